@@ -1,11 +1,28 @@
-"""Trailing-twelve-month financial ratio families on a firm-quarter panel."""
+"""Trailing-twelve-month financial ratio families on a firm-quarter panel.
+
+Plan shape: every stage is one ``select`` over the same window
+``partitionBy(firm).orderBy(date)``, so the physical plan holds one exchange
+on the firm key and one sort; later stages reuse that partitioning.  Stages
+exist only because Spark (like SQL) does not nest window functions:
+
+  A  year-to-date unwinding, coalesced prices          (lag)
+  B  T4 / M4 / differences and the coalesce chains      (sliding frames)
+  C  lags of stage-B means, 20-quarter average, leads   (lag / avg / lead)
+  D  the ratios themselves                              (row arithmetic)
+
+Catalyst prunes the intermediate columns a family does not use, so a
+family query only computes its own inputs.
+"""
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
-from ..functions.expr import M4 as _M4, T4 as _T4, col, delta, div, firm_window, nz, sub0, z
+from ..functions.expr import (M4 as _M4, T4 as _T4, add0, col, delta, div, div_or,
+                              firm_window, lag, lead, nz, rolling_mean, sub0,
+                              ytd_to_quarter, z)
 
 
 @dataclass(frozen=True)
@@ -14,40 +31,273 @@ class Opts:
     min_periods: int = 4          # non-null values a T4/M4 window needs
     key: str = "gvkey"            # firm key (isin in the global panel)
     date: str = "datadate"
+    region: str = "US"
 
 
 US = Opts()
-GLOBAL = Opts(min_periods=1, key="isin")
+GLOBAL = Opts(min_periods=1, key="isin", region="GLB")
 
+# Output columns per family (US quarterly, in source order).
+FAMILIES_US = {
+    "capitalization": ["capital_ratioq", "equity_invcapq", "debt_invcapq", "totdebt_invcapq"],
+    "efficiency": ["at_turnq", "inv_turnq", "pay_turnq", "rect_turnq", "sale_equityq",
+                   "sale_invcapq", "sale_nwcq"],
+    "soundness": ["invt_actq", "rect_actq", "fcf_ocfq", "ocf_lctq", "cash_debtq", "cash_ltq",
+                  "cfmq", "short_debtq", "profit_lctq", "curr_debtq", "debt_ebitdaq",
+                  "dltt_beq", "int_debtq", "int_totdebtq", "lt_debtq", "lt_ppentq"],
+    "liquidity": ["cash_conversionq", "cash_ratioq", "curr_ratioq", "quick_ratioq"],
+    "other": ["accrualq", "rd_saleq"],
+    "profitability": ["efftaxq", "GProfq", "aftret_eqq", "aftret_equityq", "aftret_invcapxq",
+                      "gpmq", "npmq", "opmadq", "opmbdq", "pretret_earnatq", "pretret_noq",
+                      "ptpmq", "roaq", "roceq", "roeq"],
+    "solvency": ["de_ratioq", "debt_atq", "lt_atq", "debt_capitalq", "intcovq", "intcov_ratioq"],
+    "valuation": ["dprq", "PEG_1yrforward", "PEG_ltgforward", "PEG_trailing", "bmq", "capeiq",
+                  "divyieldq", "evmq", "pcfq", "pe_exiq", "pe_incq", "pe_op_basicq",
+                  "pe_op_dilq", "psq", "ptbq"],
+}
+_GLB_MISSING = {"equity_invcapq", "debt_invcapq", "totdebt_invcapq", "sale_invcapq",
+                "rd_saleq", "aftret_invcapxq", "PEG_1yrforward", "PEG_ltgforward",
+                "PEG_trailing", "divyieldq", "pe_exiq", "pe_incq", "pe_op_basicq", "pe_op_dilq"}
+FAMILIES_GLB = {f: [c for c in cs if c not in _GLB_MISSING] for f, cs in FAMILIES_US.items()}
 
-class _K:
-    """Window kit bound to one firm window and one gate."""
 
-    def __init__(self, o: Opts):
-        self.o = o
-        self.w = firm_window(o.key, o.date)
+def ratio_columns(o: Opts = US) -> list[str]:
+    fam = FAMILIES_US if o.region == "US" else FAMILIES_GLB
+    return [c for cs in fam.values() for c in cs]
 
-    def T4(self, x):
-        return _T4(x, self.w, self.o.min_periods)
 
-    def M4(self, x):
-        return _M4(x, self.w, self.o.min_periods)
+_ITEM_NUMERIC_EXCLUDE = {"fyr", "fyearq", "fqtr"}
 
-    def d(self, x, k):
-        return delta(x, self.w, k)
 
+def quarterly_ratios(df: DataFrame, o: Opts = US) -> DataFrame:
+    """All quarterly ratios of one region variant, keyed by (firm, date)."""
+    us = o.region == "US"
+    w = firm_window(o.key, o.date)
+    mp = o.min_periods
 
-def efficiency(df: DataFrame, o: Opts = US) -> DataFrame:
-    k = _K(o)
-    us = o is US or o.min_periods == 4
-    nzu = nz if us else col
-    return df.select(
-        o.key, o.date,
-        div(k.T4("saleq"), k.M4("atq")).alias("at_turnq"),
-        div(k.T4("cogsq"), k.M4(nzu("invtq"))).alias("inv_turnq"),
-        div(k.T4(z("cogsq")) + k.d(z("invtq"), 4), k.M4(nzu("apq"))).alias("pay_turnq"),
-        div(k.T4("saleq"), k.M4(nzu("rectq"))).alias("rect_turnq"),
-        div(k.T4("saleq"), k.M4("seqq")).alias("sale_equityq"),
-        div(k.T4("saleq"), k.M4("icaptq")).alias("sale_invcapq"),
-        div(k.T4("saleq"), k.M4(sub0("actq", "lctq") if us else z("actq") - z("lctq"))).alias("sale_nwcq"),
+    def T(x) -> Column:
+        return _T4(x, w, mp)
+
+    def M(x) -> Column:
+        return _M4(x, w, mp)
+
+    def D4(x) -> Column:
+        return delta(x, w, 4)
+
+    # -- stage A: unwind year-to-date items; the global panel is zero-filled
+    if not us:
+        num = [f.name for f in df.schema.fields
+               if f.dataType.typeName() == "double" and f.name not in _ITEM_NUMERIC_EXCLUDE]
+        df = df.select(*[z(c).alias(c) if c in num else F.col(c) for c in df.columns])
+    ytd = {"oancfq": "oancfy", "capxq": "capxy", "dpcq": "dpcy", "ibcq": "ibcy",
+           "dpq": "dpy", "dvq": "dvy"}
+    if not us:
+        ytd.update({"xidocq": "xidocy", "txdcq": "txdcy"})
+    base = df.drop("dpq")
+    a = base.select(
+        "*",
+        *[ytd_to_quarter(src, w).alias(dst) for dst, src in ytd.items()],
+        (F.coalesce("mcap_crsp", "mcap_comp") if us else col("mcap_comp")).alias("mktcap"),
+        (F.coalesce("prc_crsp_unadj", "prc_comp_unadj") if us else col("prc_comp_unadj")).alias("price_unadj"),
+        (F.coalesce("prc_crsp_adj", "prc_comp_adj") if us else col("prc_comp_adj")).alias("price_adj"),
     )
+
+    # -- stage B: trailing sums and means, coalesce chains
+    txd = "txditcq" if us else "txdcq"
+    beq = z("seqq") + z(txd) - z("pstkq")
+    ibq2 = F.coalesce(col("ibq"), z("niq") + z("xidoq")) if us else col("ibq")
+    txp_term = D4(z("txpq")) if us else F.lit(0.0)
+    ocf_fb_inner = (D4(z("actq")) + -D4(z("cheq")) + -D4(z("lctq")) + D4(z("dlcq"))
+                    + (txp_term if us else F.lit(0.0)) + -z("dpq"))
+    b_cols = {
+        "T_sale": T("saleq"), "T_cogs_z": T(z("cogsq")), "T_sale_z": T(z("saleq")),
+        "T_xopr_z": T(z("xoprq")), "T_xsga_z": T(z("xsgaq")), "T_dp_z": T(z("dpq")),
+        "T_xint": T("xintq"), "T_ibq": T("ibq"), "T_oibdp": T("oibdpq"),
+        "M_lct": M("lctq"), "M_lt": M("ltq"), "M_at": M("atq"), "M_act": M("actq"),
+        "M_che": M("cheq"), "M_dltt": M("dlttq"),
+        # capitalization
+        "capital_ratioq": div(M("dlttq"), M(z("dlttq")) + M(z("ceqq") + z("pstkq"))),
+        # efficiency
+        "at_turnq": div(T("saleq"), M("atq")),
+        "inv_turnq": div(T("cogsq"), M(nz("invtq") if us else col("invtq"))),
+        "pay_turnq": div(T(z("cogsq")) + D4(z("invtq")), M(nz("apq") if us else col("apq"))),
+        "rect_turnq": div(T("saleq"), M(nz("rectq") if us else col("rectq"))),
+        "sale_equityq": div(T("saleq"), M("seqq")),
+        "sale_nwcq": div(T("saleq"), M(sub0("actq", "lctq") if us else z("actq") - z("lctq"))),
+        # soundness
+        "invt_actq": div(M("invtq"), M("actq")),
+        "rect_actq": div(M("rectq"), M("actq")),
+        "ocf": F.coalesce(T("oancfq"), T(z("ibq")) - ocf_fb_inner),
+        "T_capx_z": T(z("capxq")),
+        "cash_ltq": div(M("cheq"), M("ltq")),
+        "incomeq": F.coalesce(T(z("ibcq") + z("dpcq")), T(z("ibq")) + z("dpq")),
+        "short_debtq": div(M("dlcq"), M(z("dlttq") + z("dlcq"))),
+        "opibd": F.coalesce(T("oibdpq"), T(z("saleq")) - T(z("xoprq"))),
+        "curr_debtq": div(M("lctq"), M("ltq")),
+        "ebitdaq": F.coalesce(T("oibdpq"), T(z("saleq") - z("cogsq") - z("xsgaq"))),
+        "M_debt_sum": M(add0("dlttq", "dlcq") if us else z("dlttq") + z("dlcq")),
+        "dltt_beq": div(M("dlttq"), M(beq)),
+        "int_debtq": div(T("xintq"), M(nz("dlttq") if us else col("dlttq"))),
+        "int_totdebtq": div(T("xintq"), M(nz("dlttq") + nz("dlcq") if us else z("dlttq") + z("dlcq"))),
+        "lt_debtq": div(M("dlttq"), M("ltq")),
+        "lt_ppentq": div(M("ltq"), M(nz("ppentq") if us else col("ppentq"))),
+        # liquidity
+        "cash_conversionq": (div(M("invtq"), T(z("cogsq")) / 365) + div(M(z("rectq")), T(z("saleq")) / 365)
+                             - div(M(z("apq")), T(z("cogsq")) / 365)),
+        "cash_ratioq": div(M("cheq"), M("lctq")),
+        "currentq": F.coalesce(M("actq"), M(z("cheq") + z("rectq") + z("invtq"))),
+        "caniq": F.coalesce(M(z("actq") - z("invtq")), M(z("cheq") + z("rectq"))),
+        # other
+        "accrq": F.coalesce(z("oancfq") - z("ibq"),
+                            -(D4(z("actq")) + -D4(z("cheq")) + -D4(z("lctq")) + D4(z("dlcq"))
+                              + txp_term + T(-z("dpq")))),
+        "at5": (z("atq") + lag(z("atq"), w, 1) + lag(z("atq"), w, 2) + lag(z("atq"), w, 3)
+                + lag(z("atq"), w, 4)) / 5,
+        # profitability
+        "incometaxq": F.coalesce(T("piq"), T(z("oiadpq")) - T(z("xintq")) + T(z("spiq")) + T(z("nopiq"))),
+        "T_txt": T("txtq"),
+        "GProfq": div(T(z("revtq") - z("cogsq")), M("atq")),
+        "niaftq": (F.coalesce(T("ibcomq"), T(z("ibq") - z("dvpq"))) if us
+                   else T(sub0("ibq", "dvpdpq"))),
+        "M_ceq": M("ceqq"), "M_seq": M("seqq"),
+        "gpmq": (div(T(col("revtq") - col("cogsq")), T("saleq")) if us
+                 else div(T(z("revtq") - z("cogsq")), T(z("saleq")))),
+        "npmq": div(T("ibq"), T("saleq")),
+        "oiadq": F.coalesce(T("oiadpq"), T(z("oibdpq") - z("dpq")), T(z("saleq") - z("xoprq") - z("dpq"))),
+        "opmbdq": div(F.coalesce(T("oibdpq"), T(z("saleq")) - T(z("xoprq"))), T("saleq")),
+        "oiadq45": (F.coalesce(T("oiadpq"), T(sub0("oibdpq", "dpq")), T(sub0(sub0("saleq", "xoprq"), "dpq")))
+                    if us else F.coalesce(T("oiadpq"), T(z("oibdpq") - z("dpq")),
+                                          T(z("saleq") - z("xoprq") - z("dpq")))),
+        "M_ppent_act": M(add0("ppentq", "actq") if us else z("ppentq") + z("actq")),
+        "oibdq": (F.coalesce(T("oibdpq"), T(sub0("oiadpq", "dpq")), T(sub0(sub0("saleq", "xoprq"), "dpq")))
+                  if us else F.coalesce(T("oibdpq"), T(z("oiadpq")) - T(z("dpq")),
+                                        T(z("saleq")) - T(z("xoprq")) - T(z("dpq")))),
+        "M_noa": M(sub0(add0("ppentq", "actq"), "lctq") if us else z("ppentq") + z("actq") - z("lctq")),
+        "pretaxiq": F.coalesce(T("piq"), T(z("oiadpq")) - T(z("xintq")) + T(z("spiq")) + T(z("nopiq"))),
+        "oiadq_roa": F.coalesce(T("oibdpq"), T(z("saleq")) - T(z("xoprq"))),
+        "earningsq": F.coalesce(T("oiadpq"), T(z("oibdpq")) - T(z("dpq")),
+                                T(z("saleq")) - T(z("xoprq")) - T(z("dpq")),
+                                T(z("saleq")) - T(z("cogsq")) - T(z("xsgaq")) - T(z("dpq"))),
+        "M_capital": M(z("dlttq") + z("dlcq") + z("ceqq")),
+        "M_beq": M(beq),
+        # solvency
+        "de_ratioq": (div(M("ltq"), z(M(col("ceqq") + col("pstkq")))) if us
+                      else div(M("ltq"), M(z("ceqq") + z("pstkq")))),
+        "debt_atq": div(M(z("dlttq") + z("dlcq")), M("atq") if us else M(z("atq"))),
+        "lt_atq": div(M("ltq"), M("atq")),
+        "debt_capitalq": div(M(z("apq")) + M(z("dlcq") + z("dlttq")),
+                             M(z("apq")) + M(z("dlcq") + z("dlttq")) + M(z("ceqq") + z("pstkq"))),
+        "intcovq": div(T(z("xintq") + z("ibq")), T(nz("xintq") if us else col("xintq"))),
+        "earningsq56": F.coalesce(T("oiadpq"), T(z("saleq")) - T(z("cogsq")) - T(z("xsgaq")) - T(z("dpq"))),
+        "T_xint_nz": T(nz("xintq") if us else col("xintq")),
+        # valuation
+        "beq": beq,
+        "capei_t": T(ibq2),
+        "ocf2": F.coalesce(T("oancfq"), T(z(ibq2)) - D4(z("actq")) + -D4(z("cheq")) + -D4(z("lctq"))
+                           + D4(z("dlcq")) + txp_term + -z("dpq")),
+        "evq": (M(z("dlttq")) + M(z("dlcq")) + M(z("mibq")) + M(z("pstkq"))
+                + (M(z("prccq") * z("cshoq")) if us else M(z("mktcap")))),
+        "lead_price_adj": lead("price_adj", w, 1),
+        "lead_mktcap": lead("mktcap", w, 1),
+    }
+    if us:
+        b_cols.update({
+            "equity_invcapq": div(M("ceqq"), M("icaptq")),
+            "debt_invcapq": div(M("dlttq"), M("icaptq")),
+            "totdebt_invcapq": div(M(z("dlttq")) + M(z("dlcq")), M(z("icaptq"))),
+            "sale_invcapq": div(T("saleq"), M("icaptq")),
+            "rd_saleq": div(T(col("xrdq") + 0), T("saleq")),
+            "M_lagcap": M(z("icaptq") + z("txditcq") + -z("mibq")),
+            "T_aftret_num": T(z("ibq") + z("xintq") + z("miiq")),
+            "pe_exi": F.coalesce(col("epsf12"), T(div("epsfxq", "ajexq"))),
+            "T_dv_dvp": T(z("dvq") + z("dvpq")), "T_ibadj": T("ibadjq"),
+            "T_eps_fx": T(div("epsfxq", "ajexq")), "T_eps_fi": T(div("epsfiq", "ajexq")),
+            "T_eps_op": T(div("opepsq", "ajexq")), "T_eps_opx": T(div("oepsxq", "ajexq")),
+            "M_dvrate": M("dvrate"), "M_price_unadj": M("price_unadj"),
+        })
+    else:
+        b_cols.update({"T_dv": T("dvq"), "T_ibc": T("ibcq")})
+    b = a.select("*", *[c.alias(n) for n, c in b_cols.items()])
+
+    # -- stage C: lags of stage-B means, 20-quarter average of T4(ib)
+    c_cols = {
+        "lag_M_ceq": lag("M_ceq", w), "lag_M_seq": lag("M_seq", w), "lag_M_at": lag("M_at", w),
+        "lag_M_ppent_act": lag("M_ppent_act", w), "lag_M_noa": lag("M_noa", w),
+        "lag_M_capital": lag("M_capital", w), "lag_M_beq": lag("M_beq", w),
+        "capei20": rolling_mean("capei_t", w, 20),
+    }
+    if us:
+        c_cols.update({
+            "lagicapt4": lag("M_lagcap", w),
+            "lag4_pe_exi": lag("pe_exi", w, 4), "lag8_pe_exi": lag("pe_exi", w, 8),
+            "lag12_pe_exi": lag("pe_exi", w, 12),
+        })
+    c = b.select("*", *[v.alias(n) for n, v in c_cols.items()])
+
+    # -- stage D: ratios
+    lp, lm = col("lead_price_adj"), col("lead_mktcap")
+    d_cols = {
+        "fcf_ocfq": div(z("ocf") - col("T_capx_z"), col("ocf")),
+        "ocf_lctq": div("ocf", "M_lct"),
+        "cash_debtq": div("ocf", "M_lt"),
+        "cfmq": div("incomeq", "T_sale"),
+        "profit_lctq": div("opibd", "M_lct"),
+        "debt_ebitdaq": div("M_debt_sum", "ebitdaq"),
+        "curr_ratioq": div("currentq", "M_lct"),
+        "quick_ratioq": div("caniq", "M_lct"),
+        "accrualq": div("accrq", "at5"),
+        "efftaxq": div("T_txt", "incometaxq"),
+        "aftret_eqq": div("niaftq", "lag_M_ceq"),
+        "aftret_equityq": div("T_ibq", "lag_M_seq"),
+        "opmadq": div("oiadq", "T_sale"),
+        "pretret_earnatq": div("oiadq45", "lag_M_ppent_act"),
+        "pretret_noq": div("oibdq", "lag_M_noa"),
+        "ptpmq": div("pretaxiq", "T_sale"),
+        "roaq": div("oiadq_roa", "lag_M_at"),
+        "roceq": div("earningsq", "lag_M_capital"),
+        "roeq": div("T_ibq", "lag_M_beq"),
+        "intcov_ratioq": div("earningsq56", "T_xint_nz"),
+        "capeiq": div(lm, col("capei20")),
+        "evmq": div_or(col("evq"), col("T_oibdp"),
+                       div(col("evq"), col("T_sale_z") - col("T_cogs_z") - col("T_xsga_z"))),
+        "pcfq": div(lm, col("ocf2")),
+        "psq": div(lm, col("T_sale")),
+        "ptbq": div(lm, col("beq")),
+    }
+    if us:
+        mcap_q = col("prccq") * col("cshoq")
+        pe58 = div(lp, col("pe_exi"))
+        y1 = div(col("pe_exi"), col("lag4_pe_exi")) - 1
+        y2 = div(col("lag4_pe_exi"), col("lag8_pe_exi")) - 1
+        y3 = div(col("lag8_pe_exi"), col("lag12_pe_exi")) - 1
+        g3 = (z(y1) + z(y2) + z(y3)) / 3
+        bm = div(col("beq"), mcap_q)
+        d_cols.update({
+            "aftret_invcapxq": div("T_aftret_num", "lagicapt4"),
+            "dprq": div_or(col("T_dv_dvp"), col("ibadj12"), div(col("T_dv_dvp"), col("T_ibadj"))),
+            "PEG_1yrforward": div(F.abs(pe58), col("futepsgrowth") * 100),
+            "PEG_ltgforward": div(F.abs(pe58), col("ltg_eps")),
+            "PEG_trailing": div(div(col("price_adj"), col("pe_exi")), 100 * g3),
+            "bmq": F.when(~(z(mcap_q) < 0), bm),
+            "divyieldq": div_or(col("M_dvrate"), col("M_price_unadj"), F.lit(0.0)),
+            "pe_exiq": div_or(lp, col("epsf12"), div(lp, col("T_eps_fx"))),
+            "pe_incq": div_or(lp, col("epsfi12"), div(lp, col("T_eps_fi"))),
+            "pe_op_basicq": div_or(lp, col("oeps12"), div(lp, col("T_eps_op"))),
+            "pe_op_dilq": div_or(lp, col("oepf12"), div(lp, col("T_eps_opx"))),
+        })
+    else:
+        d_cols.update({
+            "dprq": div("T_dv", "T_ibc"),
+            "bmq": div("beq", "mcap_comp"),
+        })
+    return c.select(o.key, o.date, *[v.alias(n) for n, v in d_cols.items()],
+                    *[n for n in b_cols if n in set(ratio_columns(o))])
+
+
+def family(df: DataFrame, name: str, o: Opts = US) -> DataFrame:
+    fam = FAMILIES_US if o.region == "US" else FAMILIES_GLB
+    return quarterly_ratios(df, o).select(o.key, o.date, *fam[name])
+
+
+def efficiency(df: DataFrame, o: Opts = US) -> DataFrame:
+    return family(df, "efficiency", o)

@@ -1,4 +1,4 @@
-"""Ratio family queries."""
+"""Ratio family queries and their DuckDB oracles."""
 from __future__ import annotations
 
 from ..operators import ratios as R
@@ -6,20 +6,230 @@ from ..sources import adapters as A
 from . import oracle as O
 from .registry import register
 
-T4, M4, lag, z, nz, dv = O.t4, O.m4, O.lag, O.z, O.nz, O.dv
+z, nz, dv, dv_or, add0, sub0 = O.z, O.nz, O.dv, O.dv_or, O.add0, O.sub0
 
-EFFICIENCY_SQL = O.sql(["a_panelq"], f"""
-SELECT gvkey, datadate,
-  {dv(T4('saleq'), M4('atq'))} AS at_turnq,
-  {dv(T4('cogsq'), M4(nz('invtq')))} AS inv_turnq,
-  {dv(f"{T4(z('cogsq'))} + ({z('invtq')} - {lag(z('invtq'), 4)})", M4(nz('apq')))} AS pay_turnq,
-  {dv(T4('saleq'), M4(nz('rectq')))} AS rect_turnq,
-  {dv(T4('saleq'), M4('seqq'))} AS sale_equityq,
-  {dv(T4('saleq'), M4('icaptq'))} AS sale_invcapq,
-  {dv(T4('saleq'), M4(O.sub0('actq', 'lctq')))} AS sale_nwcq
-FROM a_panelq""")
+_PANEL_DOUBLES = (["prccq", "cshoq", "ajexq"] + A.Q_ITEMS + A.Q_YTD_ITEMS +
+                  ["mcap_crsp", "prc_crsp_unadj", "prc_crsp_adj", "mcap_comp",
+                   "prc_comp_unadj", "prc_comp_adj", "dvrate", "futepsgrowth", "ltg_eps"])
 
 
-@register("ratios_efficiency", EFFICIENCY_SQL)
-def ratios_efficiency(spark, sf):
-    return R.efficiency(A.load(spark, sf, "a_panelq"))
+def ratios_cte(region: str = "US") -> tuple[str, str]:
+    """CTE chain (without WITH) computing every quarterly ratio; returns
+    (ctes, final cte name)."""
+    us = region == "US"
+    key = "gvkey" if us else "isin"
+    mp = 4 if us else 1
+
+    def T(x):
+        return O.t4(x, mp, key)
+
+    def M(x):
+        return O.m4(x, mp, key)
+
+    def L(x, k=1):
+        return O.lag(x, k, key)
+
+    def D4(x):
+        return f"({x} - {L(x, 4)})"
+
+    w = O.W(key)
+    if us:
+        src = "SELECT * FROM a_panelq"
+    else:
+        src = ("SELECT " + ", ".join(f"coalesce({c}, 0.0) AS {c}" for c in _PANEL_DOUBLES)
+               + ", gvkey, cusip, isin, conm, datadate, fyr, fyearq, fqtr, indfmt, datafmt, popsrc, consol"
+               + " FROM a_panelq")
+    ytd = {"oancfq": "oancfy", "capxq": "capxy", "dpcq": "dpcy", "ibcq": "ibcy",
+           "dpq": "dpy", "dvq": "dvy"}
+    if not us:
+        ytd.update({"xidocq": "xidocy", "txdcq": "txdcy"})
+    ytd_sql = ",\n  ".join(
+        f"CASE WHEN fqtr = 1 THEN {s} ELSE {s} - lag({s}) {w} END AS {d}" for d, s in ytd.items())
+    if us:
+        prices = ("coalesce(mcap_crsp, mcap_comp) AS mktcap, coalesce(prc_crsp_unadj, prc_comp_unadj) AS price_unadj, "
+                  "coalesce(prc_crsp_adj, prc_comp_adj) AS price_adj")
+    else:
+        prices = "mcap_comp AS mktcap, prc_comp_unadj AS price_unadj, prc_comp_adj AS price_adj"
+    qa = f"qsrc AS ({src}),\nqa AS (SELECT * EXCLUDE (dpq),\n  {ytd_sql},\n  {prices}\nFROM qsrc)"
+
+    txd = "txditcq" if us else "txdcq"
+    beq = f"({z('seqq')} + {z(txd)} - {z('pstkq')})"
+    ibq2 = f"coalesce(ibq, {z('niq')} + {z('xidoq')})" if us else "ibq"
+    txp = f" + {D4(z('txpq'))}" if us else ""
+    ocf_inner = (f"({D4(z('actq'))} + -{D4(z('cheq'))} + -{D4(z('lctq'))} + {D4(z('dlcq'))}{txp} + -{z('dpq')})")
+    b = {
+        "T_sale": T("saleq"), "T_cogs_z": T(z("cogsq")), "T_sale_z": T(z("saleq")),
+        "T_xopr_z": T(z("xoprq")), "T_xsga_z": T(z("xsgaq")), "T_oibdp": T("oibdpq"),
+        "T_ibq": T("ibq"), "M_lct": M("lctq"), "M_lt": M("ltq"), "M_at": M("atq"),
+        "capital_ratioq": dv(M("dlttq"), f"{M(z('dlttq'))} + {M(z('ceqq') + ' + ' + z('pstkq'))}"),
+        "at_turnq": dv(T("saleq"), M("atq")),
+        "inv_turnq": dv(T("cogsq"), M(nz("invtq") if us else "invtq")),
+        "pay_turnq": dv(f"{T(z('cogsq'))} + {D4(z('invtq'))}", M(nz("apq") if us else "apq")),
+        "rect_turnq": dv(T("saleq"), M(nz("rectq") if us else "rectq")),
+        "sale_equityq": dv(T("saleq"), M("seqq")),
+        "sale_nwcq": dv(T("saleq"), M(sub0("actq", "lctq") if us else f"{z('actq')} - {z('lctq')}")),
+        "invt_actq": dv(M("invtq"), M("actq")),
+        "rect_actq": dv(M("rectq"), M("actq")),
+        "ocf": f"coalesce({T('oancfq')}, {T(z('ibq'))} - {ocf_inner})",
+        "T_capx_z": T(z("capxq")),
+        "cash_ltq": dv(M("cheq"), M("ltq")),
+        "incomeq": f"coalesce({T(z('ibcq') + ' + ' + z('dpcq'))}, {T(z('ibq'))} + {z('dpq')})",
+        "short_debtq": dv(M("dlcq"), M(f"{z('dlttq')} + {z('dlcq')}")),
+        "opibd": f"coalesce({T('oibdpq')}, {T(z('saleq'))} - {T(z('xoprq'))})",
+        "curr_debtq": dv(M("lctq"), M("ltq")),
+        "ebitdaq": f"coalesce({T('oibdpq')}, {T(z('saleq') + ' - ' + z('cogsq') + ' - ' + z('xsgaq'))})",
+        "M_debt_sum": M(add0("dlttq", "dlcq") if us else f"{z('dlttq')} + {z('dlcq')}"),
+        "dltt_beq": dv(M("dlttq"), M(beq)),
+        "int_debtq": dv(T("xintq"), M(nz("dlttq") if us else "dlttq")),
+        "int_totdebtq": dv(T("xintq"), M(f"{nz('dlttq')} + {nz('dlcq')}" if us else f"{z('dlttq')} + {z('dlcq')}")),
+        "lt_debtq": dv(M("dlttq"), M("ltq")),
+        "lt_ppentq": dv(M("ltq"), M(nz("ppentq") if us else "ppentq")),
+        "cash_conversionq": (f"{dv(M('invtq'), T(z('cogsq')) + ' / 365')} + {dv(M(z('rectq')), T(z('saleq')) + ' / 365')}"
+                             f" - {dv(M(z('apq')), T(z('cogsq')) + ' / 365')}"),
+        "cash_ratioq": dv(M("cheq"), M("lctq")),
+        "currentq": f"coalesce({M('actq')}, {M(z('cheq') + ' + ' + z('rectq') + ' + ' + z('invtq'))})",
+        "caniq": f"coalesce({M(z('actq') + ' - ' + z('invtq'))}, {M(z('cheq') + ' + ' + z('rectq'))})",
+        "accrq": (f"coalesce({z('oancfq')} - {z('ibq')}, -({D4(z('actq'))} + -{D4(z('cheq'))} + -{D4(z('lctq'))}"
+                  f" + {D4(z('dlcq'))}{txp} + {T('-' + z('dpq'))}))"),
+        "at5": f"({z('atq')} + {L(z('atq'), 1)} + {L(z('atq'), 2)} + {L(z('atq'), 3)} + {L(z('atq'), 4)}) / 5",
+        "incometaxq": f"coalesce({T('piq')}, {T(z('oiadpq'))} - {T(z('xintq'))} + {T(z('spiq'))} + {T(z('nopiq'))})",
+        "T_txt": T("txtq"),
+        "GProfq": dv(T(f"{z('revtq')} - {z('cogsq')}"), M("atq")),
+        "niaftq": (f"coalesce({T('ibcomq')}, {T(z('ibq') + ' - ' + z('dvpq'))})" if us
+                   else T(sub0("ibq", "dvpdpq"))),
+        "M_ceq": M("ceqq"), "M_seq": M("seqq"),
+        "gpmq": (dv(T("revtq - cogsq"), T("saleq")) if us
+                 else dv(T(f"{z('revtq')} - {z('cogsq')}"), T(z("saleq")))),
+        "npmq": dv(T("ibq"), T("saleq")),
+        "oiadq": (f"coalesce({T('oiadpq')}, {T(z('oibdpq') + ' - ' + z('dpq'))}, "
+                  f"{T(z('saleq') + ' - ' + z('xoprq') + ' - ' + z('dpq'))})"),
+        "opmbdq": dv(f"coalesce({T('oibdpq')}, {T(z('saleq'))} - {T(z('xoprq'))})", T("saleq")),
+        "oiadq45": (f"coalesce({T('oiadpq')}, {T(sub0('oibdpq', 'dpq'))}, {T(sub0(sub0('saleq', 'xoprq'), 'dpq'))})" if us
+                    else f"coalesce({T('oiadpq')}, {T(z('oibdpq') + ' - ' + z('dpq'))}, "
+                         f"{T(z('saleq') + ' - ' + z('xoprq') + ' - ' + z('dpq'))})"),
+        "M_ppent_act": M(add0("ppentq", "actq") if us else f"{z('ppentq')} + {z('actq')}"),
+        "oibdq": (f"coalesce({T('oibdpq')}, {T(sub0('oiadpq', 'dpq'))}, {T(sub0(sub0('saleq', 'xoprq'), 'dpq'))})" if us
+                  else f"coalesce({T('oibdpq')}, {T(z('oiadpq'))} - {T(z('dpq'))}, "
+                       f"{T(z('saleq'))} - {T(z('xoprq'))} - {T(z('dpq'))})"),
+        "M_noa": M(sub0(add0("ppentq", "actq"), "lctq") if us else f"{z('ppentq')} + {z('actq')} - {z('lctq')}"),
+        "pretaxiq": f"coalesce({T('piq')}, {T(z('oiadpq'))} - {T(z('xintq'))} + {T(z('spiq'))} + {T(z('nopiq'))})",
+        "oiadq_roa": f"coalesce({T('oibdpq')}, {T(z('saleq'))} - {T(z('xoprq'))})",
+        "earningsq": (f"coalesce({T('oiadpq')}, {T(z('oibdpq'))} - {T(z('dpq'))}, "
+                      f"{T(z('saleq'))} - {T(z('xoprq'))} - {T(z('dpq'))}, "
+                      f"{T(z('saleq'))} - {T(z('cogsq'))} - {T(z('xsgaq'))} - {T(z('dpq'))})"),
+        "M_capital": M(f"{z('dlttq')} + {z('dlcq')} + {z('ceqq')}"),
+        "M_beq": M(beq),
+        "de_ratioq": (dv(M("ltq"), z(M("ceqq + pstkq"))) if us
+                      else dv(M("ltq"), M(f"{z('ceqq')} + {z('pstkq')}"))),
+        "debt_atq": dv(M(f"{z('dlttq')} + {z('dlcq')}"), M("atq") if us else M(z("atq"))),
+        "lt_atq": dv(M("ltq"), M("atq")),
+        "debt_capitalq": dv(f"{M(z('apq'))} + {M(z('dlcq') + ' + ' + z('dlttq'))}",
+                            f"{M(z('apq'))} + {M(z('dlcq') + ' + ' + z('dlttq'))} + {M(z('ceqq') + ' + ' + z('pstkq'))}"),
+        "intcovq": dv(T(f"{z('xintq')} + {z('ibq')}"), T(nz("xintq") if us else "xintq")),
+        "earningsq56": (f"coalesce({T('oiadpq')}, {T(z('saleq'))} - {T(z('cogsq'))} - {T(z('xsgaq'))}"
+                        f" - {T(z('dpq'))})"),
+        "T_xint_nz": T(nz("xintq") if us else "xintq"),
+        "beq": beq,
+        "capei_t": T(ibq2),
+        "ocf2": (f"coalesce({T('oancfq')}, {T(z(ibq2))} - {D4(z('actq'))} + -{D4(z('cheq'))} + -{D4(z('lctq'))}"
+                 f" + {D4(z('dlcq'))}{txp} + -{z('dpq')})"),
+        "evq": (f"{M(z('dlttq'))} + {M(z('dlcq'))} + {M(z('mibq'))} + {M(z('pstkq'))} + "
+                + (M(f"{z('prccq')} * {z('cshoq')}") if us else M(z("mktcap")))),
+        "lead_price_adj": O.lead("price_adj", 1, key),
+        "lead_mktcap": O.lead("mktcap", 1, key),
+    }
+    if us:
+        b.update({
+            "equity_invcapq": dv(M("ceqq"), M("icaptq")),
+            "debt_invcapq": dv(M("dlttq"), M("icaptq")),
+            "totdebt_invcapq": dv(f"{M(z('dlttq'))} + {M(z('dlcq'))}", M(z("icaptq"))),
+            "sale_invcapq": dv(T("saleq"), M("icaptq")),
+            "rd_saleq": dv(T("xrdq + 0"), T("saleq")),
+            "M_lagcap": M(f"{z('icaptq')} + {z('txditcq')} + -{z('mibq')}"),
+            "T_aftret_num": T(f"{z('ibq')} + {z('xintq')} + {z('miiq')}"),
+            "pe_exi": f"coalesce(epsf12, {T(dv('epsfxq', 'ajexq'))})",
+            "T_dv_dvp": T(f"{z('dvq')} + {z('dvpq')}"), "T_ibadj": T("ibadjq"),
+            "T_eps_fx": T(dv("epsfxq", "ajexq")), "T_eps_fi": T(dv("epsfiq", "ajexq")),
+            "T_eps_op": T(dv("opepsq", "ajexq")), "T_eps_opx": T(dv("oepsxq", "ajexq")),
+            "M_dvrate": M("dvrate"), "M_price_unadj": M("price_unadj"),
+        })
+    else:
+        b.update({"T_dv": T("dvq"), "T_ibc": T("ibcq")})
+    qb = "qb AS (SELECT *,\n  " + ",\n  ".join(f"{v} AS {n}" for n, v in b.items()) + "\nFROM qa)"
+
+    avg20 = O.W(key, "datadate", O.rows(20))
+    c = {
+        "lag_M_ceq": L("M_ceq"), "lag_M_seq": L("M_seq"), "lag_M_at": L("M_at"),
+        "lag_M_ppent_act": L("M_ppent_act"), "lag_M_noa": L("M_noa"),
+        "lag_M_capital": L("M_capital"), "lag_M_beq": L("M_beq"),
+        "capei20": f"(CASE WHEN count(capei_t) {avg20} >= 20 THEN avg(capei_t) {avg20} END)",
+    }
+    if us:
+        c.update({"lagicapt4": L("M_lagcap"), "lag4_pe_exi": L("pe_exi", 4),
+                  "lag8_pe_exi": L("pe_exi", 8), "lag12_pe_exi": L("pe_exi", 12)})
+    qc = "qc AS (SELECT *,\n  " + ",\n  ".join(f"{v} AS {n}" for n, v in c.items()) + "\nFROM qb)"
+
+    d = {
+        "fcf_ocfq": dv(f"{z('ocf')} - T_capx_z", "ocf"),
+        "ocf_lctq": dv("ocf", "M_lct"), "cash_debtq": dv("ocf", "M_lt"),
+        "cfmq": dv("incomeq", "T_sale"), "profit_lctq": dv("opibd", "M_lct"),
+        "debt_ebitdaq": dv("M_debt_sum", "ebitdaq"),
+        "curr_ratioq": dv("currentq", "M_lct"), "quick_ratioq": dv("caniq", "M_lct"),
+        "accrualq": dv("accrq", "at5"), "efftaxq": dv("T_txt", "incometaxq"),
+        "aftret_eqq": dv("niaftq", "lag_M_ceq"), "aftret_equityq": dv("T_ibq", "lag_M_seq"),
+        "opmadq": dv("oiadq", "T_sale"), "pretret_earnatq": dv("oiadq45", "lag_M_ppent_act"),
+        "pretret_noq": dv("oibdq", "lag_M_noa"), "ptpmq": dv("pretaxiq", "T_sale"),
+        "roaq": dv("oiadq_roa", "lag_M_at"), "roceq": dv("earningsq", "lag_M_capital"),
+        "roeq": dv("T_ibq", "lag_M_beq"), "intcov_ratioq": dv("earningsq56", "T_xint_nz"),
+        "capeiq": dv("lead_mktcap", "capei20"),
+        "evmq": dv_or("evq", "T_oibdp", dv("evq", "T_sale_z - T_cogs_z - T_xsga_z")),
+        "pcfq": dv("lead_mktcap", "ocf2"), "psq": dv("lead_mktcap", "T_sale"),
+        "ptbq": dv("lead_mktcap", "beq"),
+    }
+    if us:
+        pe58 = dv("lead_price_adj", "pe_exi")
+        g3 = (f"(({z(dv('pe_exi', 'lag4_pe_exi') + ' - 1')}) + ({z(dv('lag4_pe_exi', 'lag8_pe_exi') + ' - 1')})"
+              f" + ({z(dv('lag8_pe_exi', 'lag12_pe_exi') + ' - 1')})) / 3")
+        d.update({
+            "aftret_invcapxq": dv("T_aftret_num", "lagicapt4"),
+            "dprq": dv_or("T_dv_dvp", "ibadj12", dv("T_dv_dvp", "T_ibadj")),
+            "PEG_1yrforward": dv(f"abs({pe58})", "futepsgrowth * 100"),
+            "PEG_ltgforward": dv(f"abs({pe58})", "ltg_eps"),
+            "PEG_trailing": dv(dv("price_adj", "pe_exi"), f"100 * {g3}"),
+            "bmq": f"(CASE WHEN {z('prccq * cshoq')} < 0 THEN NULL ELSE {dv(beq, 'prccq * cshoq')} END)",
+            "divyieldq": dv_or("M_dvrate", "M_price_unadj", "0.0"),
+            "pe_exiq": dv_or("lead_price_adj", "epsf12", dv("lead_price_adj", "T_eps_fx")),
+            "pe_incq": dv_or("lead_price_adj", "epsfi12", dv("lead_price_adj", "T_eps_fi")),
+            "pe_op_basicq": dv_or("lead_price_adj", "oeps12", dv("lead_price_adj", "T_eps_op")),
+            "pe_op_dilq": dv_or("lead_price_adj", "oepf12", dv("lead_price_adj", "T_eps_opx")),
+        })
+    else:
+        d.update({"dprq": dv("T_dv", "T_ibc"), "bmq": dv("beq", "mcap_comp")})
+    qd = "qd AS (SELECT *,\n  " + ",\n  ".join(f"{v} AS {n}" for n, v in d.items()) + "\nFROM qc)"
+    return ",\n".join([qa, qb, qc, qd]), "qd"
+
+
+def _family_sql(fam: str, region: str = "US") -> str:
+    ctes, last = ratios_cte(region)
+    key = "gvkey" if region == "US" else "isin"
+    cols = (R.FAMILIES_US if region == "US" else R.FAMILIES_GLB)[fam]
+    return O.sql(["a_panelq"], f"SELECT {key}, datadate, {', '.join(cols)} FROM {last}", ctes)
+
+
+def _family_query(fam: str):
+    def run(spark, sf):
+        return R.family(A.load(spark, sf, "a_panelq"), fam, R.US)
+    run.__name__ = f"ratios_{fam}"
+    return run
+
+
+for _fam in R.FAMILIES_US:
+    register(f"ratios_{_fam}", _family_sql(_fam))(_family_query(_fam))
+
+
+@register("ratios_global", O.sql(["a_panelq"], "SELECT isin, datadate, "
+                                 + ", ".join(R.ratio_columns(R.GLOBAL)) + " FROM " + ratios_cte("GLB")[1],
+                                 ratios_cte("GLB")[0]))
+def ratios_global(spark, sf):
+    return R.quarterly_ratios(A.load(spark, sf, "a_panelq"), R.GLOBAL).select(
+        "isin", "datadate", *R.ratio_columns(R.GLOBAL))

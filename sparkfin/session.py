@@ -27,7 +27,7 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     for k, v in BASE_CONF.items():
         b = b.config(k, v)
     b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions or 8))
-    b = b.config("spark.ui.enabled", "false")
+    b = b.config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
     b = b.config("spark.driver.memory", os.environ.get("SPARK_DRIVER_MEMORY", "8g"))
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")

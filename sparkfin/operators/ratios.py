@@ -290,7 +290,7 @@ def quarterly_ratios(df: DataFrame, o: Opts = US) -> DataFrame:
             "dprq": div("T_dv", "T_ibc"),
             "bmq": div("beq", "mcap_comp"),
         })
-    return c.select(o.key, o.date, *[v.alias(n) for n, v in d_cols.items()],
+    return c.select(o.key, o.date, "fqtr", *[v.alias(n) for n, v in d_cols.items()],
                     *[n for n in b_cols if n in set(ratio_columns(o))])
 
 
@@ -301,3 +301,36 @@ def family(df: DataFrame, name: str, o: Opts = US) -> DataFrame:
 
 def efficiency(df: DataFrame, o: Opts = US) -> DataFrame:
     return family(df, "efficiency", o)
+
+
+def monthly_panel(q: DataFrame, cols: list[str], key: str = "gvkey", date: str = "datadate") -> DataFrame:
+    """Quarterly ratios spread onto month ends.
+
+    Meaning: a (firm x month-end) grid over the sample's global date range,
+    each column forward-filled at most two months, rows whose filled
+    four-quarter check (T4 of the fiscal quarter) is not 10 removed, a
+    publication date two months later, everything rounded to 4 places.
+
+    Plan: instead of materialising the whole grid and joining, each
+    quarterly row emits itself for its own month and the two following
+    months (``k`` = 0, 1, 2); per (firm, month) every column takes the value
+    of the nearest row that has one (``min_by`` over ``k``).  Grid rows
+    without a quarterly row in reach would be all-null and fail the check,
+    so they are never made.  The aggregation is keyed by (firm, month) and
+    the input is already hash-partitioned by firm, so no new exchange.
+    """
+    w = firm_window(key, date)
+    hi = q.agg(F.max(date)).first()[0]
+    base = (q.select(key, date, F.col(date).alias("qdate"),
+                     _T4(F.col("fqtr").cast("double"), w, 4).alias("qtrcheck"), *cols)
+            .filter(F.col(date) == F.last_day(date)))
+    ex = base.select("*", F.explode(F.array(F.lit(0), F.lit(1), F.lit(2))).alias("_k"))
+    ex = ex.withColumn("_m", F.last_day(F.add_months(date, F.col("_k")))).filter(F.col("_m") <= F.lit(hi))
+    vals = ["qdate", "qtrcheck", *cols]
+    g = ex.groupBy(key, "_m").agg(*[F.min_by(c, F.when(F.col(c).isNotNull(), F.col("_k"))).alias(c)
+                                    for c in vals])
+    return (g.filter(F.col("qtrcheck") == 10)
+            .select(key, F.col("_m").alias(date), "qdate",
+                    F.last_day(F.add_months("_m", 2)).alias("publicdate"),
+                    F.col("qtrcheck"),
+                    *[(F.rint(F.col(c) * 10000.0) / 10000.0).alias(c) for c in cols]))

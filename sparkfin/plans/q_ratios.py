@@ -233,3 +233,28 @@ for _fam in R.FAMILIES_US:
 def ratios_global(spark, sf):
     return R.quarterly_ratios(A.load(spark, sf, "a_panelq"), R.GLOBAL).select(
         "isin", "datadate", *R.ratio_columns(R.GLOBAL))
+
+
+def _monthly_sql() -> str:
+    ctes, last = ratios_cte("US")
+    cols = R.ratio_columns(R.US)
+    grid = f"""qq AS (SELECT gvkey, datadate, datadate AS qdate, {O.t4('cast(fqtr AS double)', 4)} AS qtrcheck,
+    {', '.join(cols)} FROM {last}),
+months AS (SELECT DISTINCT last_day(cast(m AS date)) AS datadate FROM (
+    SELECT unnest(generate_series(date_trunc('month', min(datadate)), date_trunc('month', max(datadate)),
+                                  INTERVAL 1 MONTH)) AS m FROM qq) t),
+grid AS (SELECT f.gvkey, m.datadate FROM (SELECT DISTINCT gvkey FROM qq) f CROSS JOIN months m),
+filled AS (SELECT g.gvkey, g.datadate, {', '.join(
+        f"last_value(q.{c} IGNORE NULLS) OVER (PARTITION BY g.gvkey ORDER BY g.datadate ROWS BETWEEN 2 PRECEDING AND CURRENT ROW) AS {c}"
+        for c in ['qdate', 'qtrcheck'] + cols)}
+  FROM grid g LEFT JOIN qq q ON g.gvkey = q.gvkey AND g.datadate = q.datadate)"""
+    body = (f"SELECT gvkey, datadate, qdate, last_day(datadate + INTERVAL 2 MONTH) AS publicdate, qtrcheck, "
+            + ", ".join(f"round_even({c} * 10000.0, 0) / 10000.0 AS {c}" for c in cols)
+            + " FROM filled WHERE qtrcheck = 10")
+    return O.sql(["a_panelq"], body, ctes + ",\n" + grid)
+
+
+@register("ratio_monthly_panel", _monthly_sql())
+def ratio_monthly_panel(spark, sf):
+    q = R.quarterly_ratios(A.load(spark, sf, "a_panelq"))
+    return R.monthly_panel(q, R.ratio_columns(R.US))

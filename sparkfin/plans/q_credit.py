@@ -1 +1,147 @@
-"""Query registrations."""
+"""Credit-risk, macro and volatility queries."""
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..functions import expr as X
+from ..operators import credit as C
+from ..operators import macro as MC
+from ..operators import volatility as V
+from ..sources import adapters as A
+from . import oracle as O
+from .registry import register
+
+
+def L(spark, sf, name):
+    return A.load(spark, sf, name)
+
+
+_DTD_SQL = O.sql(["a_dsf", "a_macro", "a_link", "a_fundq"], """
+SELECT f.date, f.conm, f.gvkey, f.cusip, c.mcap_crsp_dd, f.bv_debt_dd, c.sd_12M_dd, c.trate_1y_dd
+FROM (SELECT f.*, k.permno FROM comp f LEFT JOIN ccm k ON f.gvkey = k.gvkey) f
+LEFT JOIN crsp_m c ON f.date = c.date AND f.permno = c.permno""", """rate AS (
+  SELECT date, round_even(last_value(value IGNORE NULLS) OVER (ORDER BY date ROWS BETWEEN 2 PRECEDING AND CURRENT ROW)
+                          * 10000, 0) / 10000 / 100 AS trate_1y_dd
+  FROM a_macro WHERE series_key = 'BUILDING'),
+crsp AS (
+  SELECT d.*, r.trate_1y_dd,
+    CASE WHEN count(ret) OVER (PARTITION BY permno ORDER BY d.date ROWS BETWEEN 251 PRECEDING AND CURRENT ROW) >= 252
+         THEN stddev_samp(ret) OVER (PARTITION BY permno ORDER BY d.date ROWS BETWEEN 251 PRECEDING AND CURRENT ROW) * sqrt(252)
+    END AS sd_12M_dd
+  FROM (SELECT DISTINCT date, permno, cusip, abs(prc) * shrout / 1000 AS mcap_crsp_dd, ret FROM a_dsf) d
+  LEFT JOIN rate r ON d.date = r.date),
+crsp_m AS (
+  SELECT last_day(date) AS date, permno, mcap_crsp_dd, sd_12M_dd, trate_1y_dd FROM (
+    SELECT *, row_number() OVER (PARTITION BY permno, last_day(date) ORDER BY date DESC) AS rn FROM crsp) t
+  WHERE rn = 1),
+ccm AS (
+  SELECT gvkey, lpermno AS permno FROM (
+    SELECT *, row_number() OVER (PARTITION BY gvkey ORDER BY linkdt, lpermno) AS rn FROM a_link
+    WHERE linktype IN ('LU', 'LC') AND linkprim IN ('P', 'C')) t WHERE rn = 1),
+comp AS (
+  SELECT gvkey, cusip, datadate AS date, conm,
+         lag(coalesce(dlcq, 0.0) + 0.5 * coalesce(dlttq, 0.0)) OVER (PARTITION BY gvkey ORDER BY datadate) AS bv_debt_dd
+  FROM a_fundq)""")
+
+
+def dtd_inputs(spark, sf):
+    return C.dtd_inputs(L(spark, sf, "a_dsf"), L(spark, sf, "a_macro"), L(spark, sf, "a_link"),
+                        L(spark, sf, "a_fundq"))
+
+
+register("dtd_inputs", _DTD_SQL)(dtd_inputs)
+
+
+@register("dtd_solve")
+def dtd_solve(spark, sf):
+    return C.dtd_solve(dtd_inputs(spark, sf))
+
+
+@register("dtd_output")
+def dtd_output(spark, sf):
+    return C.dtd_output(C.dtd_solve(dtd_inputs(spark, sf)))
+
+
+# ---------------------------------------------------------------- macro
+def _locs(spark, sf):
+    """Series names come from the nation table (bounded by it)."""
+    return sorted(r[0] for r in L(spark, sf, "nation").select("n_name").distinct().collect())
+
+
+@register("macro_long", O.sql(["a_macro_m"], """
+SELECT l.loc, d.publicdate, m.value
+FROM (SELECT DISTINCT publicdate FROM a_macro_m) d
+CROSS JOIN (SELECT DISTINCT n_name AS loc FROM nation) l
+LEFT JOIN a_macro_m m ON m.loc = l.loc AND m.publicdate = d.publicdate"""))
+def macro_long(spark, sf):
+    locs = _locs(spark, sf)
+    wide = MC.to_wide(L(spark, sf, "a_macro_m"), locs)
+    return MC.to_long(wide, locs)
+
+
+@register("macro_rate", O.sql(["a_macro"], """
+SELECT series_key, date,
+  round_even(last_value(value IGNORE NULLS) OVER (PARTITION BY series_key ORDER BY date
+             ROWS BETWEEN 2 PRECEDING AND CURRENT ROW) * 10000, 0) / 10000 / 100 AS rate
+FROM a_macro"""))
+def macro_rate(spark, sf):
+    """Percent to fraction per series: fill two dates, round 4, divide by 100."""
+    w = X.firm_window("series_key", "date")
+    return L(spark, sf, "a_macro").select(
+        "series_key", "date", (X.rint_n(X.ffill_limit("value", w, 2), 4) / 100).alias("rate"))
+
+_PANEL_LOC_SQL = """pl AS (
+  SELECT f.gvkey, f.datadate, last_day(f.datadate + INTERVAL 2 MONTH) AS publicdate, l.loc
+  FROM a_fundq f LEFT JOIN a_loc l ON f.gvkey = l.gvkey)"""
+
+
+def _panel_loc(spark, sf):
+    return (L(spark, sf, "a_fundq").select("gvkey", "datadate")
+            .join(L(spark, sf, "a_loc").select("gvkey", "loc"), "gvkey", "left")
+            .withColumn("publicdate", F.last_day(F.add_months("datadate", 2)))
+            .select("gvkey", "datadate", "publicdate", "loc"))
+
+
+register("macro_attach", O.sql(["a_fundq", "a_loc", "a_macro_m"], """
+SELECT p.gvkey, p.datadate, p.publicdate, p.loc, m.value AS macro
+FROM pl p LEFT JOIN a_macro_m m ON p.publicdate = m.publicdate AND p.loc = m.loc""", _PANEL_LOC_SQL))(
+    lambda spark, sf: _panel_loc(spark, sf).join(
+        L(spark, sf, "a_macro_m").withColumnRenamed("value", "macro"), ["publicdate", "loc"], "left")
+    .select("gvkey", "datadate", "publicdate", "loc", "macro"))
+
+
+@register("macro_overlay", O.sql(["a_fundq", "a_loc", "a_macro_m"], """
+SELECT p.gvkey, p.datadate, p.publicdate, p.loc,
+       coalesce(u.government_bond, p.government_bond) AS government_bond,
+       coalesce(u.government_bond_pct, p.government_bond_pct) AS government_bond_pct
+FROM (SELECT pl.*, CASE WHEN pl.loc < 'K' THEN 1.0 END AS government_bond,
+             CAST(NULL AS double) AS government_bond_pct FROM pl) p
+LEFT JOIN (SELECT loc, publicdate, value AS government_bond,
+                  value / nullif(lag(value) OVER (PARTITION BY loc ORDER BY publicdate), 0) - 1 AS government_bond_pct
+           FROM a_macro_m) u
+  ON p.loc = u.loc AND p.publicdate = u.publicdate""", _PANEL_LOC_SQL))
+def macro_overlay(spark, sf):
+    """Cells of the panel's bond columns replaced by the non-null values of
+    the monthly series table at matching (loc, publicdate)."""
+    base = _panel_loc(spark, sf).select(
+        "*", F.when(F.col("loc") < "K", F.lit(1.0)).alias("government_bond"),
+        F.lit(None).cast("double").alias("government_bond_pct"))
+    upd = MC.pct_change(L(spark, sf, "a_macro_m").withColumnRenamed("value", "government_bond"),
+                        "loc", "publicdate", "government_bond", "government_bond_pct")
+    return MC.overlay(base, upd, ["loc", "publicdate"], ["government_bond", "government_bond_pct"])
+
+
+# ---------------------------------------------------------------- volatility
+register("vol_baselines", O.sql(["a_dsf"], """
+SELECT permno, date, lr, r2, f_mean, f_rw, (r2 - f_mean) * (r2 - f_mean) AS se_mean,
+       (r2 - f_rw) * (r2 - f_rw) AS se_rw
+FROM (SELECT permno, date, lr, lr * lr AS r2,
+        avg(lr * lr) OVER (PARTITION BY permno ORDER BY date ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS f_mean,
+        lag(lr * lr) OVER (PARTITION BY permno ORDER BY date) AS f_rw
+      FROM (SELECT permno, date, ln(ret + 1) AS lr FROM a_dsf WHERE ret IS NOT NULL) r) t"""))(
+    lambda spark, sf: V.baselines(L(spark, sf, "a_dsf")))
+
+
+@register("vol_garch")
+def vol_garch(spark, sf):
+    return V.garch_fits(L(spark, sf, "a_dsf"))

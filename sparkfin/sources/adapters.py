@@ -254,6 +254,22 @@ FROM {a_funda} f LEFT JOIN {a_prices} p ON f.gvkey = p.gvkey AND f.datadate = p.
 """)
 
 
+# Firm location: the supplier's nation.
+ADAPTERS["a_loc"] = (("supplier", "nation"), """
+SELECT lpad(cast(s_suppkey AS string), 6, '0') AS gvkey, n_name AS loc, s_nationkey AS loc_rank
+FROM {supplier} JOIN {nation} ON s_nationkey = n_nationkey
+""")
+
+# Monthly macro series by country (customer nation), month-end dated.
+ADAPTERS["a_macro_m"] = (("orders", "customer", "nation"), """
+SELECT loc, publicdate,
+       CASE WHEN (cast(month(publicdate) AS int) + k) % 7 = 0 THEN NULL ELSE cast(n % 50 AS double) / 10 END AS value
+FROM (SELECT n_name AS loc, n_nationkey AS k, last_day(cast(o_orderdate AS date)) AS publicdate, count(*) AS n
+      FROM {orders} JOIN {customer} ON o_custkey = c_custkey JOIN {nation} ON c_nationkey = n_nationkey
+      GROUP BY 1, 2, 3) t
+""")
+
+
 def _deps_order(names: list[str]) -> list[str]:
     out: list[str] = []
 

@@ -1 +1,124 @@
-"""Query registrations."""
+"""Statement queries."""
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..operators import statements as ST
+from ..sources import adapters as A
+from . import oracle as O
+from .registry import register
+
+
+def cells(spark, sf):
+    return A.load(spark, sf, "a_cells")
+
+
+def _q(s: str) -> str:
+    return "'" + s.replace("'", "''") + "'"
+
+
+def _lit(s: str) -> str:
+    """DuckDB literal; a newline is spelled with chr(10)."""
+    parts = s.split("\n")
+    return " || chr(10) || ".join(_q(p) for p in parts) if len(parts) > 1 else _q(s)
+
+
+_SHEETS_IN = ", ".join(_q(s) for s in A.SHEETS)
+_LABEL_OK = " AND ".join(f"NOT contains(value, {_lit(w)})" for w in ST.LABEL_STOPWORDS)
+_MARKERS = ", ".join(_q(m) for m in ST.ERROR_MARKERS)
+_PMARK = ", ".join(_lit(m) for m in ST.PERIOD_MARKERS)
+
+_CTES = f"""labels AS (
+  SELECT file, sheet, row, value AS label FROM a_cells
+  WHERE row >= 16 AND col = 0 AND value IS NOT NULL AND {_LABEL_OK}),
+errcols AS (SELECT DISTINCT file, sheet, col FROM a_cells WHERE value IN ({_MARKERS})),
+body AS (
+  SELECT c.* FROM a_cells c WHERE c.row >= 16 AND c.col >= 1
+  AND NOT EXISTS (SELECT 1 FROM errcols e WHERE e.file = c.file AND e.sheet = c.sheet AND e.col = c.col)),
+periods AS (
+  SELECT file, sheet, col, value AS header,
+         try_strptime(right(value, 11), '%b-%d-%Y')::date AS period_date,
+         contains(value, 'LTM') AS is_ltm
+  FROM a_cells WHERE row = 13 AND col >= 1 AND right(value, 11) NOT IN ({_PMARK})),
+ann AS (SELECT file, col, period_date, year(period_date) AS year, is_ltm FROM periods
+        WHERE sheet = 'Income Statement' AND NOT is_ltm),
+chosen AS (
+  SELECT * FROM ann
+  UNION ALL
+  SELECT file, col, period_date, year(period_date), is_ltm FROM periods p
+  WHERE sheet = 'Income Statement' AND is_ltm
+    AND NOT EXISTS (SELECT 1 FROM ann a WHERE a.file = p.file AND a.year = year(p.period_date))),
+firstcol AS (SELECT file, col, year FROM (
+  SELECT *, row_number() OVER (PARTITION BY file, year ORDER BY col) AS rn FROM chosen) t WHERE rn = 1),
+named AS (
+  SELECT b.file, f.year, b.sheet,
+    CASE {' '.join(f"WHEN b.sheet = {_q(s)} THEN {i}" for i, s in enumerate(A.SHEETS))} END AS so,
+    regexp_replace(regexp_replace(lower(
+      CASE ltrim(regexp_replace(l.label, '[% ]+$', ''))
+        {' '.join(f"WHEN {_q(k)} THEN {_q(v)}" for k, v in ST.RENAME.items())}
+        ELSE ltrim(regexp_replace(l.label, '[% ]+$', '')) END), '[^a-z0-9]+', '_', 'g'), '^_+|_+$', '', 'g') AS name,
+    try_cast(b.value AS double) AS v
+  FROM body b JOIN labels l ON b.file = l.file AND b.sheet = l.sheet AND b.row = l.row
+  JOIN firstcol f ON b.file = f.file AND b.col = f.col),
+wide AS (SELECT file, year, {', '.join(f"arg_max(v, so) FILTER (WHERE name = '{c}') AS {c}" for c in ST.output_columns())}
+  FROM named GROUP BY file, year),
+ident AS (
+  SELECT file, split_part(value, ' (', 1) AS company,
+         regexp_extract(value, '\\(([^:]*):', 1) AS exchange,
+         regexp_extract(value, ':([^)]*)\\)', 1) AS ticker
+  FROM a_cells WHERE sheet = 'Income Statement' AND row = 3 AND col = 0)"""
+
+_NONEMPTY = [c for c in ST.output_columns() if c != "unused_item"]
+
+
+def _sql(body: str) -> str:
+    return O.sql(["a_cells"], body, _CTES)
+
+
+register("statement_cells_scan", O.sql(["a_cells"], f"""
+SELECT file, sheet, row, col, value FROM a_cells WHERE sheet IN ({_SHEETS_IN})"""))(
+    lambda spark, sf: cells(spark, sf).filter(F.col("sheet")
+        .isin(*A.SHEETS)).select("file", "sheet", "row", "col", "value"))
+
+register("statement_label_filter", _sql("SELECT file, sheet, row, label FROM labels"))(
+    lambda spark, sf: ST.label_filter(cells(spark, sf)))
+
+register("statement_error_periods", _sql("SELECT file, sheet, row, col, value FROM body"))(
+    lambda spark, sf: ST.body_values(cells(spark, sf)).select("file", "sheet", "row", "col", "value"))
+
+register("statement_periods", _sql("SELECT file, sheet, col, header, period_date, is_ltm FROM periods"))(
+    lambda spark, sf: ST.periods(cells(spark, sf)))
+
+register("statement_period_choice", _sql("SELECT file, col, period_date, year, is_ltm FROM chosen"))(
+    lambda spark, sf: _year_bigint(ST.period_choice(cells(spark, sf))))
+
+register("statement_period_semi", _sql("""
+SELECT p.file, p.col, p.period_date FROM periods p
+WHERE p.sheet = 'Capital Structure Summary'
+  AND EXISTS (SELECT 1 FROM chosen c WHERE c.file = p.file AND c.period_date = p.period_date)"""))(
+    lambda spark, sf: ST.period_semi(cells(spark, sf)))
+
+register("statement_wide", _sql(f"SELECT file, year, {', '.join(_NONEMPTY)} FROM wide"))(
+    lambda spark, sf: _year_bigint(ST.wide(cells(spark, sf))))
+
+register("statement_identity", _sql("SELECT file, company, exchange, ticker FROM ident"))(
+    lambda spark, sf: ST.identity(cells(spark, sf)))
+
+register("capitalization_select", _sql("""
+SELECT w.file, w.year, coalesce(b.bank, false) AS bank, share_price, shares_out, market_capitalization,
+       CASE WHEN coalesce(b.bank, false) THEN tier_1_capital END AS tier_1_capital,
+       CASE WHEN coalesce(b.bank, false) THEN tier_2_capital END AS tier_2_capital,
+       CASE WHEN NOT coalesce(b.bank, false) THEN total_enterprise_value END AS total_enterprise_value,
+       total_capital
+FROM wide w LEFT JOIN (SELECT DISTINCT file, true AS bank FROM labels WHERE label = 'Tier 1 Capital') b
+  ON w.file = b.file"""))(
+    lambda spark, sf: _year_bigint(ST.capitalization(cells(spark, sf))))
+
+register("statement_union", _sql(f"""
+SELECT w.file, w.year, i.company, i.exchange, i.ticker, {', '.join(sorted(_NONEMPTY))}
+FROM wide w LEFT JOIN ident i ON w.file = i.file WHERE total_revenue IS NOT NULL"""))(
+    lambda spark, sf: _year_bigint(ST.stacked(cells(spark, sf))))
+
+
+def _year_bigint(df):
+    return df.withColumn("year", df["year"].cast("bigint"))

@@ -270,6 +270,107 @@ FROM (SELECT n_name AS loc, n_nationkey AS k, last_day(cast(o_orderdate AS date)
 """)
 
 
+# ---------------------------------------------------------------------------
+# Statement cells: one "file" per firm, six sheets, a header row of period
+# labels (row 13) and label rows from row 16 on; values are integer strings.
+# Sheet names and row labels of the statement downloads.
+# ---------------------------------------------------------------------------
+SHEETS = ["Income Statement", "Balance Sheet", "Cash Flow", "Ratios",
+          "Capital Structure Summary", "Historical Capitalization"]
+# (sheet, label, annual item expression or NULL)
+CELL_ROWS = [
+    ("Income Statement", "Total Revenue", "sale"),
+    ("Income Statement", "Cost Of Goods Sold", "cogs"),
+    ("Income Statement", "Net Income", "ni"),
+    ("Income Statement", "Note: figures restated", None),
+    ("Income Statement", "Currency", None),
+    ("Income Statement", "Unused Item", None),
+    ("Balance Sheet", "Total Assets", "at"),
+    ("Balance Sheet", "LIABILITIES", None),
+    ("Balance Sheet", "Total Liabilities", "lt"),
+    ("Balance Sheet", "Total Equity", "seq"),
+    ("Cash Flow", "Cash from Ops.", "oancf"),
+    ("Cash Flow", "Capital Expenditure", "capx"),
+    ("Cash Flow", "Net Income", "ib"),
+    ("Cash Flow", "Filing Date", None),
+    ("Ratios", " Return on Equity %", "ib"),
+    ("Ratios", "Gross Margin %", "gp"),
+    ("Capital Structure Summary", "Total Senior Debt", "dltt"),
+    ("Historical Capitalization", "Share Price", "prcc_f"),
+    ("Historical Capitalization", "Shares Out.", "csho"),
+    ("Historical Capitalization", "Market Capitalization", "prcc_f * csho"),
+    ("Historical Capitalization", "Tier 1 Capital", "ceq"),
+    ("Historical Capitalization", "Tier 2 Capital", "pstk"),
+    ("Historical Capitalization", "= Total Enterprise Value (TEV)", "ebitda"),
+    ("Historical Capitalization", "Total Capital", "icapt"),
+    ("Historical Capitalization", "= Total Capital", "icapt"),
+]
+BANK_ONLY = {"Tier 1 Capital", "Tier 2 Capital", "Total Capital"}
+NONBANK_ONLY = {"= Total Enterprise Value (TEV)", "= Total Capital"}
+
+
+def _cells_sql() -> tuple[str, str]:
+    """Cell table as a few set operations: firm-years times a small fixed
+    table of row definitions (an unpivot of known item columns)."""
+    sheets = ", ".join(f"('{sh}')" for sh in SHEETS)
+    defs = []
+    cases = []
+    for i, (sh, label, item) in enumerate(CELL_ROWS):
+        bank = 1 if label in BANK_ONLY else (-1 if label in NONBANK_ONLY else 0)
+        defs.append(f"({i}, '{sh}', {16 + i}, '{label}', {bank})")
+        if item is None:
+            cases.append(f"WHEN {i} THEN " + ("cast(NULL AS string)" if label == "Unused Item" else "'USD'"))
+            continue
+        qual = " * ".join(f"fy.{t}" for t in item.split(" * "))
+        num = f"cast(cast(floor({qual}) AS bigint) AS string)"
+        if label == "Cost Of Goods Sold":
+            num = f"CASE WHEN (fy.firm + fy.fyear) % 11 = 0 THEN 'DSC' ELSE {num} END"
+        if label == "Total Assets":
+            num = f"CASE WHEN (fy.firm + fy.fyear) % 13 = 5 THEN 'FYC' ELSE {num} END"
+        cases.append(f"WHEN {i} THEN {num}")
+    case = "CASE d.i " + " ".join(cases) + " END"
+    bank_ok = "(d.bank = 0 OR (d.bank = 1 AND {t}.firm % 5 = 0) OR (d.bank = -1 AND {t}.firm % 5 <> 0))"
+    body = f"""
+SELECT file, 'Income Statement' AS sheet, 3 AS row, 0 AS col,
+       conm || ' (' || CASE firm % 3 WHEN 0 THEN 'NYSE' WHEN 1 THEN 'NASDAQ' ELSE 'ASX' END
+       || ':F' || cast(firm AS string) || ')' AS value FROM files
+UNION ALL
+SELECT fy.file, s.sheet, 13, fy.fyear - 1994, '12 months Dec-31-' || cast(fy.fyear AS string)
+FROM fy CROSS JOIN (VALUES {sheets}) AS s(sheet)
+UNION ALL
+SELECT f.file, s.sheet, 13, 9,
+       'LTM 12 months Jun-30-' || cast(CASE WHEN f.firm % 4 = 0 THEN 2002 ELSE 2001 END AS string)
+FROM files f CROSS JOIN (VALUES {sheets}) AS s(sheet) WHERE f.firm % 2 = 0
+UNION ALL
+SELECT f.file, s.sheet, 13, 8, 'Fiscal Year' || chr(10) || 'Change'
+FROM files f CROSS JOIN (VALUES {sheets}) AS s(sheet) WHERE f.firm % 6 = 1
+UNION ALL
+SELECT f.file, d.sheet, d.row, 0, d.label FROM files f CROSS JOIN defs d WHERE {bank_ok.format(t="f")}
+UNION ALL
+SELECT file, sheet, row, col, value FROM (
+  SELECT fy.file, d.sheet, d.row, fy.fyear - 1994 AS col, d.label, {case} AS value
+  FROM fy CROSS JOIN defs d WHERE {bank_ok.format(t="fy")}) v
+WHERE value IS NOT NULL OR label = 'Unused Item'
+UNION ALL
+SELECT file, sheet, row, col, value FROM (
+  SELECT fy.file, d.sheet, d.row, 9 AS col, d.label, {case} AS value
+  FROM fy CROSS JOIN defs d WHERE fy.fyear = 2001 AND fy.firm % 2 = 0 AND {bank_ok.format(t="fy")}) v
+WHERE value IS NOT NULL AND label NOT IN ('Currency', 'Filing Date', 'Note: figures restated', 'LIABILITIES')
+"""
+    return body, ", ".join(defs)
+
+
+_CELLS_BODY, _CELLS_DEFS = _cells_sql()
+
+ADAPTERS["a_cells"] = (("a_funda",), """
+WITH fy AS (SELECT 'firm_' || gvkey || '.xls' AS file, cast(gvkey AS int) AS firm, f.* FROM {a_funda} f),
+files AS (SELECT DISTINCT file, firm, conm FROM fy),
+defs AS (SELECT * FROM (VALUES """ + _CELLS_DEFS + """) AS d(i, sheet, row, label, bank))
+SELECT file, sheet, cast(row AS int) AS row, cast(col AS int) AS col, value FROM (
+""" + _CELLS_BODY + """
+) t
+""")
+
 def _deps_order(names: list[str]) -> list[str]:
     out: list[str] = []
 
@@ -308,5 +409,5 @@ def duckdb_with(names: list[str]) -> str:
     parts = []
     for n in order:
         deps, sql = ADAPTERS[n]
-        parts.append(f"{n} AS ({sql.format(**{d: d for d in deps})})")
+        parts.append(f"{n} AS MATERIALIZED ({sql.format(**{d: d for d in deps})})")
     return "WITH " + ",\n".join(parts) + "\n"

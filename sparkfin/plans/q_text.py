@@ -1 +1,218 @@
-"""Query registrations."""
+"""Forum-text queries."""
+from __future__ import annotations
+
+from pyspark.sql import Window
+from pyspark.sql import functions as F
+
+from ..functions.fixed import CONTRACTIONS, STOPWORDS_EN
+from ..operators import text as T
+from ..sources import adapters as A
+from . import oracle as O
+from .registry import register
+
+
+def L(spark, sf, name):
+    return A.load(spark, sf, name)
+
+
+def _q(s: str) -> str:
+    return "'" + s.replace("'", "''") + "'"
+
+
+_CASE_CONTR = "CASE lower(t) " + " ".join(f"WHEN {_q(k)} THEN {_q(v)}" for k, v in CONTRACTIONS.items()) + " ELSE t END"
+_STOP = "[" + ", ".join(_q(w) for w in STOPWORDS_EN) + "]"
+_WS = r"'[ \t\n\f\r]+'"
+
+_TEXT_CTES = f"""dd AS (
+  SELECT *, cast(comment_index_track AS string) || ':' || cast(position AS string) AS cid FROM (
+    SELECT *, row_number() OVER (PARTITION BY comment ORDER BY sub_date DESC, sub, comment_index_track, position) AS rn
+    FROM a_comments) t WHERE rn = 1),
+clean AS (
+  SELECT cid, regexp_replace(array_to_string(list_transform(regexp_split_to_array(comment, {_WS}),
+           lambda t: {_CASE_CONTR}), ' '), '[^\\p{{L}}\\p{{N}}_ \\t\\n\\f\\r]', ' ', 'g') AS clean FROM dd),
+ctok AS (
+  SELECT cid, unnest(toks) AS tok, unnest(generate_series(1, len(toks))) AS pos
+  FROM (SELECT cid, regexp_split_to_array(clean, {_WS}) AS toks FROM clean) t),
+replaced AS (
+  SELECT c.cid, list(coalesce(s.name_lower, c.tok) ORDER BY c.pos) AS tokens
+  FROM ctok c LEFT JOIN a_symbols s ON c.tok = s.symbol WHERE c.tok <> '' GROUP BY c.cid),
+toks AS (
+  SELECT cid, list_filter(list_transform(tokens, lambda t: lower(t)), lambda t: regexp_full_match(t, '\\p{{L}}+'))
+         AS tokens FROM replaced),
+sents AS (SELECT cid, list_filter(tokens, lambda t: NOT list_contains({_STOP}, t)) AS tokens FROM toks),
+ex AS (SELECT cid, unnest(tokens) AS a, unnest(generate_series(1, len(tokens))) AS pos FROM sents)"""
+
+
+def _tsql(body: str, extra: str = "") -> str:
+    return O.sql(["a_comments", "a_symbols"], body, _TEXT_CTES + ("," + extra if extra else ""))
+
+
+def _sents(spark, sf):
+    return T.sentences(L(spark, sf, "a_comments"), L(spark, sf, "a_symbols"))
+
+
+# ---------------------------------------------------------------- threads
+register("daily_thread_ids", O.sql(["a_submissions"], """
+SELECT day, id, title FROM (
+  SELECT cast(date_trunc('day', created_utc) AS date) AS day, id, title,
+         row_number() OVER (PARTITION BY cast(date_trunc('day', created_utc) AS date) ORDER BY created_utc, id) AS rn
+  FROM a_submissions WHERE contains(title, 'Daily Discussion -') AND contains(author, 'AutoModerator')) t
+WHERE rn = 1"""))(lambda spark, sf: T.daily_thread_ids(L(spark, sf, "a_submissions")))
+
+register("comments_flat", O.sql(["a_comments"], """
+SELECT c.sub, c.sub_date, c.comment_index_track, c.position, c.kind, c.author,
+       CASE WHEN c.position > 0 THEN p.author END AS parent_author, length(c.comment) AS comment_len
+FROM a_comments c LEFT JOIN (SELECT comment_index_track, author FROM a_comments WHERE position = 0) p
+  ON c.comment_index_track = p.comment_index_track
+WHERE c.author IS NOT NULL AND c.author <> '[deleted]'"""))(
+    lambda spark, sf: T.comments_flat(L(spark, sf, "a_comments")))
+
+_COMMENT_COLS = ["sub", "sub_date", "comment_index_track", "position", "kind", "author", "comment_upvotes"]
+
+
+@register("load_comment_partitions", O.sql(["a_comments"], f"SELECT {', '.join(_COMMENT_COLS)} FROM a_comments"))
+def load_comment_partitions(spark, sf):
+    """Daily partitions written by date, read back as one table, newest first."""
+    path = T.write_partitioned(L(spark, sf, "a_comments").select(*_COMMENT_COLS), "sub_date", "comment_days")
+    back = spark.read.parquet(path)
+    return back.select(*_COMMENT_COLS).orderBy(F.desc("sub_date"), "sub", "comment_index_track", "position")
+
+
+@register("comments_by_thread", O.sql(["a_comments"], """
+SELECT sub, count(*) AS n_rows, count(*) FILTER (WHERE position > 0) AS n_replies FROM a_comments GROUP BY sub"""))
+def comments_by_thread(spark, sf):
+    """One output folder per thread; counts read back from the sink."""
+    path = T.write_partitioned(L(spark, sf, "a_comments").select("sub", "comment_index_track", "position"),
+                               "sub", "comment_threads")
+    back = spark.read.parquet(path)
+    return back.groupBy("sub").agg(F.count("*").alias("n_rows"),
+                                   F.count(F.when(F.col("position") > 0, 1)).alias("n_replies"))
+
+
+# ---------------------------------------------------------------- cleaning
+register("text_clean", _tsql("SELECT cid, clean FROM clean"))(
+    lambda spark, sf: T.clean_text(L(spark, sf, "a_comments")))
+
+register("text_symbol_replace", _tsql("SELECT cid, tokens FROM replaced"))(
+    lambda spark, sf: T.symbol_replace(T.clean_text(L(spark, sf, "a_comments")), L(spark, sf, "a_symbols")))
+
+register("text_tokens", _tsql("SELECT cid, tokens FROM toks"))(
+    lambda spark, sf: T.tokens(T.symbol_replace(T.clean_text(L(spark, sf, "a_comments")),
+                                                L(spark, sf, "a_symbols"))))
+
+register("text_stopwords", _tsql("SELECT cid, tokens FROM sents"))(_sents)
+
+
+@register("text_stems")
+def text_stems(spark, sf):
+    return T.stems(_sents(spark, sf))
+
+
+def _ngram_sql(n: int) -> str:
+    return (f"flatten(list_transform(range(1, len(tokens) + 1), lambda i: CASE WHEN i + {n - 1} <= len(tokens) "
+            f"THEN [tokens[i], array_to_string(tokens[i:i + {n - 1}], '_')] ELSE [tokens[i]] END)) AS gram{n}")
+
+
+register("ngram_sentences", _tsql(f"SELECT cid, {', '.join(_ngram_sql(n) for n in (2, 3, 4))} "
+                                  "FROM sents WHERE len(tokens) > 1"))(
+    lambda spark, sf: T.ngram_sentences(_sents(spark, sf)))
+
+register("word_frequency", _tsql("SELECT a AS word, count(*) AS n FROM ex GROUP BY a"))(
+    lambda spark, sf: T.word_frequency(_sents(spark, sf)))
+
+
+# ---------------------------------------------------------------- phrases
+def _phrase_ctes(src: str, p: str) -> str:
+    """DuckDB: phrase table from sentence CTE ``src`` and its greedy merge."""
+    return f"""{p}_ex AS (SELECT cid, unnest(tokens) AS a, unnest(generate_series(1, len(tokens))) AS pos FROM {src}),
+{p}_pairs AS (SELECT cid, pos, a, lead(a) OVER (PARTITION BY cid ORDER BY pos) AS b FROM {p}_ex),
+{p}_na AS (SELECT a, count(*) AS n_a FROM {p}_ex GROUP BY a),
+{p}_nab AS (SELECT a, b, count(*) AS n_ab FROM {p}_pairs WHERE b IS NOT NULL GROUP BY a, b),
+{p}_tab AS (
+  SELECT x.a, x.b FROM {p}_nab x JOIN {p}_na ua ON x.a = ua.a JOIN {p}_na ub ON x.b = ub.a
+  WHERE (x.n_ab - 3) / ua.n_a / ub.n_a * ((SELECT count(*) FROM {p}_na) + (SELECT count(*) FROM {p}_nab)) > 10.0),
+{p}_flag AS (
+  SELECT q.*, (t.a IS NOT NULL) AS is_p FROM {p}_pairs q LEFT JOIN {p}_tab t ON q.a = t.a AND q.b = t.b),
+{p}_st AS (
+  SELECT cid, pos, pos - row_number() OVER (PARTITION BY cid ORDER BY pos) AS grp FROM {p}_flag WHERE is_p),
+{p}_take AS (
+  SELECT cid, pos FROM (SELECT *, min(pos) OVER (PARTITION BY cid, grp) AS start FROM {p}_st) t
+  WHERE (pos - start) % 2 = 0),
+{p}_t AS (
+  SELECT f.*, (k.pos IS NOT NULL) AS take FROM {p}_flag f LEFT JOIN {p}_take k ON f.cid = k.cid AND f.pos = k.pos),
+{p}_out AS (
+  SELECT cid, list(CASE WHEN take THEN a || '_' || b ELSE a END ORDER BY pos) AS tokens FROM (
+    SELECT *, coalesce(lag(take) OVER (PARTITION BY cid ORDER BY pos), false) AS consumed FROM {p}_t) t
+  WHERE NOT consumed GROUP BY cid
+  UNION ALL SELECT cid, tokens FROM {src} WHERE len(tokens) = 0)"""
+
+
+register("phrases_bigram", _tsql("SELECT cid, tokens FROM p1_out", _phrase_ctes("sents", "p1")))(
+    lambda spark, sf: T.phrases(_sents(spark, sf)))
+
+register("phrases_trigram", _tsql("SELECT cid, tokens FROM p2_out",
+                                  _phrase_ctes("sents", "p1") + ",\n" + _phrase_ctes("p1_out", "p2")))(
+    lambda spark, sf: T.phrases(T.phrases(_sents(spark, sf))))
+
+
+# ---------------------------------------------------------------- vectors
+def _w2v(spark, sf, max_iter: int = 30):
+    return T.word2vec(_sents(spark, sf), max_iter=max_iter)
+
+
+@register("word2vec_vectors")
+def word2vec_vectors(spark, sf):
+    from pyspark.ml.functions import vector_to_array
+    m = _w2v(spark, sf)
+    return m.getVectors().select("word", vector_to_array("vector").alias("vector"))
+
+
+@register("word2vec_similar")
+def word2vec_similar(spark, sf):
+    sents = _sents(spark, sf)
+    m = T.word2vec(sents)
+    return T.similar_words(m, T.top_words(T.word_frequency(sents), 10), 10)
+
+
+@register("word_clusters")
+def word_clusters(spark, sf):
+    return T.word_clusters(_w2v(spark, sf), k=10, n=10)
+
+
+# ---------------------------------------------------------------- embeddings
+_TOPK = 10
+
+
+@register("topk_similar", f"""
+WITH e AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
+n AS (SELECT vec_id, label, v, sqrt(list_sum(list_transform(v, lambda x: x * x))) AS nv FROM e),
+q AS (SELECT label, min(vec_id) AS qid FROM embeddings GROUP BY label),
+qv AS (SELECT q.qid, n.v AS qv, n.nv AS qn FROM q JOIN n ON q.qid = n.vec_id),
+s AS (
+  SELECT qv.qid, n.vec_id,
+         list_sum(list_transform(list_zip(qv.qv, n.v), lambda p: p[1] * p[2])) / (qv.qn * n.nv) AS sim
+  FROM qv JOIN n ON n.vec_id <> qv.qid)
+SELECT qid, vec_id, sim, rnk FROM (
+  SELECT *, row_number() OVER (PARTITION BY qid ORDER BY sim DESC, vec_id) AS rnk FROM s) t
+WHERE rnk <= {_TOPK}""")
+def topk_similar(spark, sf, k: int = _TOPK):
+    """Top-k cosine neighbours of one query vector per label.
+
+    Query vectors are few (one per label, count checked before the
+    broadcast); every vector is scored once per query in a scan, and the
+    per-query top-k is a ``row_number() <= k`` filter that Spark pushes
+    below the shuffle (per-partition top-k first)."""
+    e = L(spark, sf, "embeddings").select("vec_id", "label",
+                                          F.transform("embedding", lambda x: x.cast("double")).alias("v"))
+    e = e.withColumn("nv", F.sqrt(F.aggregate(F.transform("v", lambda x: x * x), F.lit(0.0),
+                                              lambda acc, x: acc + x)))
+    qids = e.groupBy("label").agg(F.min("vec_id").alias("qid"))
+    nq = qids.count()
+    if nq > 10_000:
+        raise ValueError(f"{nq} query vectors: too many to broadcast")
+    q = qids.join(e, qids.qid == e.vec_id).select("qid", F.col("v").alias("qv"), F.col("nv").alias("qn"))
+    dot = F.aggregate(F.zip_with("qv", "v", lambda a, b: a * b), F.lit(0.0), lambda acc, x: acc + x)
+    s = (e.join(F.broadcast(q), e.vec_id != q.qid)
+         .select("qid", "vec_id", (dot / (F.col("qn") * F.col("nv"))).alias("sim")))
+    w = Window.partitionBy("qid").orderBy(F.desc("sim"), "vec_id")
+    return s.withColumn("rnk", F.row_number().over(w).cast("bigint")).filter(F.col("rnk") <= k)

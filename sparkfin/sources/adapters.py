@@ -371,6 +371,57 @@ SELECT file, sheet, cast(row AS int) AS row, cast(col AS int) AS col, value FROM
 ) t
 """)
 
+# ---------------------------------------------------------------------------
+# Forum tables.
+# ---------------------------------------------------------------------------
+ADAPTERS["a_submissions"] = (("events",), """
+SELECT 's' || cast(event_id AS string) AS id, ts AS created_utc,
+       CASE WHEN user_id % 3 = 0 THEN 'AutoModerator' ELSE 'user' || cast(user_id AS string) END AS author,
+       CASE WHEN event_type = 'view' THEN 'Daily Discussion - ' || cast(cast(ts AS date) AS string)
+            ELSE event_type || ' post ' || cast(event_id AS string) END AS title,
+       'CryptoCurrency' AS subreddit
+FROM {events}
+""")
+
+# Comments (conversation turn 0, documents) and replies (later turns).
+ADAPTERS["a_comments"] = (("conversations", "documents"), """
+SELECT 'thread_' || lpad(cast(conv_id % 30 AS string), 2, '0') AS sub,
+       make_date(2024, 1, 1) + cast(conv_id % 30 AS int) AS sub_date,
+       conv_id AS comment_index_track, turn AS position,
+       CASE WHEN turn = 0 THEN 'comment' ELSE 'reply' END AS kind,
+       CASE WHEN (conv_id + turn) % 17 = 0 THEN '[deleted]'
+            WHEN (conv_id + turn) % 19 = 0 THEN NULL
+            ELSE role || '_' || cast(conv_id % 50 AS string) END AS author,
+       text AS comment, cast(length(text) % 100 AS int) AS comment_upvotes
+FROM {conversations}
+UNION ALL
+SELECT 'thread_' || lpad(cast(doc_id % 30 AS string), 2, '0'),
+       make_date(2024, 1, 1) + cast(doc_id % 30 AS int),
+       1000000 + doc_id, cast(0 AS bigint), 'comment',
+       CASE WHEN doc_id % 23 = 0 THEN '[deleted]' ELSE source END,
+       text, cast(length(text) % 100 AS int)
+FROM {documents}
+""")
+
+# Ticker-like symbols: first word of a part name -> its brand, lower case.
+ADAPTERS["a_symbols"] = (("part",), """
+SELECT split_part(p_name, ' ', 1) AS symbol, min(lower(replace(p_brand, '#', '_'))) AS name_lower
+FROM {part} GROUP BY 1
+""")
+
+# Credit-rating sample: one rating per firm-quarter from the returned share
+# of sales (22 classes; ranks 1-20, 23, 24), -1 when unrated.
+ADAPTERS["a_rating"] = (("a_base", "a_loc"), """
+SELECT gvkey, qdate, loc, loc_rank, loc AS country_exch, class_pos,
+       CASE WHEN class_pos IS NULL THEN -1 WHEN class_pos < 20 THEN class_pos + 1
+            WHEN class_pos = 20 THEN 23 ELSE 24 END AS rating_rank
+FROM (SELECT lpad(cast(b.firm AS string), 6, '0') AS gvkey, b.qend AS qdate, l.loc, l.loc_rank,
+             CASE WHEN b.nr IS NULL THEN NULL
+                  ELSE cast(least(21, floor(cast(b.nr AS double) / cast(b.pc AS double) * 44)) AS int) END AS class_pos
+      FROM {a_base} b LEFT JOIN {a_loc} l ON lpad(cast(b.firm AS string), 6, '0') = l.gvkey) t
+""")
+
+
 def _deps_order(names: list[str]) -> list[str]:
     out: list[str] = []
 

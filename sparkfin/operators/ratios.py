@@ -334,3 +334,142 @@ def monthly_panel(q: DataFrame, cols: list[str], key: str = "gvkey", date: str =
                     F.last_day(F.add_months("_m", 2)).alias("publicdate"),
                     F.col("qtrcheck"),
                     *[(F.rint(F.col(c) * 10000.0) / 10000.0).alias(c) for c in cols]))
+
+
+# ---------------------------------------------------------------- annual
+ANNUAL_COLS = [
+    "capital_ratioa", "equity_invcapa", "debt_invcapa", "totdebt_invcapa", "at_turna", "inv_turna",
+    "pay_turna", "rect_turna", "sale_equitya", "sale_invcapa", "sale_nwc", "invt_acta", "rect_acta",
+    "fcf_ocfa", "ocf_lcta", "cash_debta", "cash_lta", "cfma", "short_debta", "profit_lcta",
+    "curr_debta", "debt_ebitda", "dltt_bea", "int_debta", "int_totdebta", "lt_debta", "lt_ppenta",
+    "cash_conversiona", "cash_ratioa", "curr_ratioa", "quick_ratioa", "accruala", "rd_salea",
+    "adv_salea", "staff_salea", "efftaxa", "GProfa", "aftret_eqa", "aftret_equitya",
+    "aftret_invcapxa", "gpma", "npma", "opmada", "opmbda", "pretret_earnata", "pretret_noa",
+    "ptpma", "roaa", "rocea", "roea", "de_ratioa", "debt_ata", "lt_ata", "debt_capitala",
+    "intcova", "intcov_ratioa", "dpra", "PEG_1yrforwarda", "PEG_ltgforwarda", "PEG_trailinga",
+    "bma", "capeia2", "divyielda", "evma", "pcfa", "pe_exia", "pe_inca",
+]
+
+
+def annual_ratios(df: DataFrame, key: str = "gvkey", date: str = "datadate") -> DataFrame:
+    """US annual ratios (computed by the reference but never returned).
+
+    Two-period averages use the previous fiscal year of the same firm; the
+    EPS growth lags are 1, 2 and 3 years; ``roea`` uses the two-period
+    average of book equity and ``debt_capitala`` its stated definition."""
+    w = firm_window(key, date)
+
+    def lz(x, k=1):
+        return lag(z(x), w, k)
+
+    def avg2(x):
+        return (z(x) + lz(x)) / 2
+
+    def d1(x):
+        return z(x) - lz(x)
+
+    a = df.select(
+        "*",
+        F.coalesce("mcap_crsp", "mcap_comp").alias("mktcap"),
+        F.coalesce("prc_crsp_unadj", "prc_comp_unadj").alias("price_unadj"),
+        F.coalesce("prc_crsp_adj", "prc_comp_adj").alias("price_adj"))
+    bea = z("seq") + z("txditc") - z("pstk")
+    noa = sub0(add0("ppent", "act"), "lct")
+    pe_exi = div("epsfx", "ajex")
+    b = a.select(
+        "*",
+        F.coalesce(col("oancf"), z("ib") - (d1("act") - d1("che") - d1("lct") + d1("dlc") + d1("txp") - z("dp")))
+        .alias("ocf"),
+        bea.alias("bea"), lag(bea, w).alias("bea_l"),
+        lag(noa, w).alias("noa1a"), noa.alias("noa2a"),
+        pe_exi.alias("pe_exi"), lag(pe_exi, w, 1).alias("pe1"), lag(pe_exi, w, 2).alias("pe2"),
+        lag(pe_exi, w, 3).alias("pe3"),
+        rolling_mean("ib", w, 5).alias("capeia"),
+        lead("price_adj", w).alias("lead_price_adj"), lead("mktcap", w).alias("lead_mktcap"),
+        avg2("at").alias("at_avg"), avg2("invt").alias("invt_avg"), avg2("ap").alias("ap_avg"),
+        avg2("rect").alias("rect_avg"), avg2("dltt").alias("dltt_avg"), avg2("dlc").alias("dlc_avg"),
+        avg2("ceq").alias("ceq_avg"), avg2("seq").alias("seq_avg"), d1("invt").alias("d_invt"),
+        (lz("icapt") + lz("txditc") + lag(z(-col("mib")), w)).alias("lagcap"),
+        (lz("ppent") + lz("act") + (z("ppent") + z("act"))).alias("ppent_act2"),
+        (z("dltt") + lz("dltt") + z("dlc") + lz("dlc") + col("ceq") + lz("ceq")).alias("capital2"),
+    )
+    grosspa = F.coalesce(col("gp"), z("revt") - z("cogs"))
+    oiada43 = F.coalesce(col("oiadp"), z("oibdp") - z("dp"))
+    oiada45 = F.coalesce(col("oiadp"), z("oiadp") - z("dp"))
+    ebitdaa = F.coalesce(col("ebitda"), col("oibdp"), z("sale") - z("cogs") - z("xsga"))
+    pe58 = div("lead_price_adj", "pe_exi")
+    g3 = (z(div("pe_exi", "pe1") - 1) + z(div("pe1", "pe2") - 1) + z(div("pe2", "pe3") - 1)) / 3
+    eva = z("dltt") + z("dlc") + z("mib") + z("pstk") + z("prcc_f") * z("csho")
+    c = {
+        "capital_ratioa": div("dltt", z("dltt") + z("ceq") + z("pstk")),
+        "equity_invcapa": div("ceq", "icapt"),
+        "debt_invcapa": div("dltt", "icapt"),
+        "totdebt_invcapa": div(z("dltt") + z("dlc"), z("icapt")),
+        "at_turna": div("sale", "at_avg"),
+        "inv_turna": div("cogs", "invt_avg"),
+        "pay_turna": div(z("cogs") + col("d_invt"), col("ap_avg")),
+        "rect_turna": div("sale", "rect_avg"),
+        "sale_equitya": div("sale", "seq"),
+        "sale_invcapa": div("sale", "icapt"),
+        "sale_nwc": div("sale", z("act") - z("lct")),
+        "invt_acta": div("invt", "act"),
+        "rect_acta": div("rect", "act"),
+        "fcf_ocfa": div(z("ocf") - z("capx"), col("ocf")),
+        "ocf_lcta": div("ocf", "lct"),
+        "cash_debta": div(col("ocf"), F.coalesce(col("lt"), z("dltt") + z("dlc"))),
+        "cash_lta": div("che", "lt"),
+        "cfma": div(z("ibc") + z("dpc"), col("sale")),
+        "short_debta": div("dlc", z("dltt") + z("dlc")),
+        "profit_lcta": div(F.coalesce(col("oibdp"), z("sale") - z("xopr")), col("lct")),
+        "curr_debta": div("lct", "lt"),
+        "debt_ebitda": div(z("dltt") + z("dlc"), ebitdaa),
+        "dltt_bea": div("dltt", "bea"),
+        "int_debta": div("xint", "dltt_avg"),
+        "int_totdebta": div(col("xint"), col("dltt_avg") + col("dlc_avg")),
+        "lt_debta": div("dltt", "lt"),
+        "lt_ppenta": div("lt", "ppent"),
+        "cash_conversiona": (div("invt_avg", z("cogs") / 365) + div("rect_avg", z("sale") / 365)
+                             - div("ap_avg", z("cogs") / 365)),
+        "cash_ratioa": div("che", "lct"),
+        "curr_ratioa": div(F.coalesce(col("act"), z("che") + z("rect") + z("invt")), col("lct")),
+        "quick_ratioa": div(z("act") - z("invt"), col("lct")),
+        "accruala": div(z("oancf") - z("ib"), col("at_avg")),
+        "rd_salea": div(col("xrd") + 0, col("sale")),
+        "adv_salea": div(col("xad") + 0, col("sale")),
+        "staff_salea": div(col("xlr") + 0, col("sale")),
+        "efftaxa": div(col("txt"), F.coalesce(col("pi"), z("oiadp") - z("xint") + z("spi") + z("nopi"))),
+        "GProfa": div(grosspa, col("at")),
+        "aftret_eqa": div(F.coalesce(col("ibcom"), z("ib") - z("dvp")), col("ceq_avg")),
+        "aftret_equitya": div("ib", "seq_avg"),
+        "aftret_invcapxa": div(z("ib") + z("xint") + z("mii"), col("lagcap")),
+        "gpma": div(grosspa, col("sale")),
+        "npma": div("ib", "sale"),
+        "opmada": div(oiada43, col("sale")),
+        "opmbda": div(F.coalesce(col("oibdp"), z("sale") - z("xopr")), col("sale")),
+        "pretret_earnata": div(oiada45, col("ppent_act2") / 2),
+        "pretret_noa": div(F.coalesce(col("oiadp"), z("oiadp") - z("dp")), (z("noa1a") + z("noa2a")) / 2),
+        "ptpma": div(F.coalesce(col("pi"), z("oiadp") - z("xint") + z("spi") + z("nopi")), col("sale")),
+        "roaa": div(F.coalesce(col("oibdp"), z("sale") - z("xopr")), col("at_avg")),
+        "rocea": div(F.coalesce(col("ebit"), z("sale") - z("cogs") - z("xsga") - z("dp")), col("capital2") / 2),
+        "roea": div(col("ib"), (z("bea") + z("bea_l")) / 2),
+        "de_ratioa": div(z("dltt") + z("dlc"), z("ceq") + z("pstk")),
+        "debt_ata": div(z("dltt") + z("dlc"), col("at")),
+        "lt_ata": div("lt", "at"),
+        "debt_capitala": div(z("ap") + z("dlc") + z("dltt"),
+                             (z("ap") + z("dlc") + z("dltt")) + (z("ceq") + z("pstk"))),
+        "intcova": div(z("xint") + z("ib"), col("xint")),
+        "intcov_ratioa": div(F.coalesce(col("ebit"), col("oiadp"), z("sale") - z("cogs") - z("xsga") - z("dp")),
+                             col("xint")),
+        "dpra": div("dvc", "ibadj"),
+        "PEG_1yrforwarda": div(F.abs(pe58), col("futepsgrowth") * 100),
+        "PEG_ltgforwarda": div(F.abs(pe58), col("ltg_eps")),
+        "PEG_trailinga": div(div("price_adj", "pe_exi"), 100 * g3),
+        "bma": div(col("bea"), col("prcc_f") * col("csho")),
+        "capeia2": div("lead_mktcap", "capeia"),
+        "divyielda": div("dvrate", "price_unadj"),
+        "evma": div_or(eva, col("ebitda"), div_or(eva, col("oibdp"), div(z(eva), z("sale") - z("cogs") - z("xsga")))),
+        "pcfa": div("lead_mktcap", "oancf"),
+        "pe_exia": div("lead_price_adj", "pe_exi"),
+        "pe_inca": div(col("lead_price_adj"), div("epsfi", "ajex")),
+    }
+    return b.select(key, date, *[c[n].alias(n) for n in ANNUAL_COLS])

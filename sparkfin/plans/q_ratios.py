@@ -1,6 +1,8 @@
 """Ratio family queries and their DuckDB oracles."""
 from __future__ import annotations
 
+import re
+
 from ..operators import ratios as R
 from ..sources import adapters as A
 from . import oracle as O
@@ -258,3 +260,108 @@ filled AS (SELECT g.gvkey, g.datadate, {', '.join(
 def ratio_monthly_panel(spark, sf):
     q = R.quarterly_ratios(A.load(spark, sf, "a_panelq"))
     return R.monthly_panel(q, R.ratio_columns(R.US))
+
+
+def _annual_sql() -> str:
+    w = "OVER (PARTITION BY gvkey ORDER BY datadate)"
+
+    def lz(x, k=1):
+        return f"lag({z(x)}, {k}) {w}"
+
+    def avg2(x):
+        return f"(({z(x)} + {lz(x)}) / 2)"
+
+    def d1(x):
+        return f"({z(x)} - {lz(x)})"
+
+    bea = f"({z('seq')} + {z('txditc')} - {z('pstk')})"
+    noa = sub0(add0("ppent", "act"), "lct")
+    pe = "(epsfx / nullif(ajex, 0))"
+    stage_b = f"""ya AS (SELECT *, coalesce(mcap_crsp, mcap_comp) AS mktcap,
+    coalesce(prc_crsp_unadj, prc_comp_unadj) AS price_unadj, coalesce(prc_crsp_adj, prc_comp_adj) AS price_adj
+  FROM a_panela),
+yb AS (SELECT *,
+  coalesce(oancf, {z('ib')} - ({d1('act')} - {d1('che')} - {d1('lct')} + {d1('dlc')} + {d1('txp')} - {z('dp')})) AS ocf,
+  {bea} AS bea, lag({bea}) {w} AS bea_l, lag({noa}) {w} AS noa1a, {noa} AS noa2a,
+  {pe} AS pe_exi, lag({pe}, 1) {w} AS pe1, lag({pe}, 2) {w} AS pe2, lag({pe}, 3) {w} AS pe3,
+  CASE WHEN count(ib) OVER (PARTITION BY gvkey ORDER BY datadate {O.rows(5)}) >= 5
+       THEN avg(ib) OVER (PARTITION BY gvkey ORDER BY datadate {O.rows(5)}) END AS capeia,
+  lead(price_adj) {w} AS lead_price_adj, lead(mktcap) {w} AS lead_mktcap,
+  {avg2('at')} AS at_avg, {avg2('invt')} AS invt_avg, {avg2('ap')} AS ap_avg, {avg2('rect')} AS rect_avg,
+  {avg2('dltt')} AS dltt_avg, {avg2('dlc')} AS dlc_avg, {avg2('ceq')} AS ceq_avg, {avg2('seq')} AS seq_avg,
+  {d1('invt')} AS d_invt,
+  ({lz('icapt')} + {lz('txditc')} + lag(coalesce(-mib, 0.0)) {w}) AS lagcap,
+  ({lz('ppent')} + {lz('act')} + ({z('ppent')} + {z('act')})) AS ppent_act2,
+  ({z('dltt')} + {lz('dltt')} + {z('dlc')} + {lz('dlc')} + ceq + {lz('ceq')}) AS capital2
+  FROM ya)"""
+    grosspa = f"coalesce(gp, {z('revt')} - {z('cogs')})"
+    pe58 = dv("lead_price_adj", "pe_exi")
+    g3 = (f"(({z(dv('pe_exi', 'pe1') + ' - 1')}) + ({z(dv('pe1', 'pe2') + ' - 1')}) + "
+          f"({z(dv('pe2', 'pe3') + ' - 1')})) / 3")
+    eva = f"({z('dltt')} + {z('dlc')} + {z('mib')} + {z('pstk')} + {z('prcc_f')} * {z('csho')})"
+    pi_fb = f"coalesce(pi, {z('oiadp')} - {z('xint')} + {z('spi')} + {z('nopi')})"
+    c = {
+        "capital_ratioa": dv("dltt", f"{z('dltt')} + {z('ceq')} + {z('pstk')}"),
+        "equity_invcapa": dv("ceq", "icapt"), "debt_invcapa": dv("dltt", "icapt"),
+        "totdebt_invcapa": dv(f"{z('dltt')} + {z('dlc')}", z("icapt")),
+        "at_turna": dv("sale", "at_avg"), "inv_turna": dv("cogs", "invt_avg"),
+        "pay_turna": dv(f"{z('cogs')} + d_invt", "ap_avg"), "rect_turna": dv("sale", "rect_avg"),
+        "sale_equitya": dv("sale", "seq"), "sale_invcapa": dv("sale", "icapt"),
+        "sale_nwc": dv("sale", f"{z('act')} - {z('lct')}"), "invt_acta": dv("invt", "act"),
+        "rect_acta": dv("rect", "act"), "fcf_ocfa": dv(f"{z('ocf')} - {z('capx')}", "ocf"),
+        "ocf_lcta": dv("ocf", "lct"), "cash_debta": dv("ocf", f"coalesce(lt, {z('dltt')} + {z('dlc')})"),
+        "cash_lta": dv("che", "lt"), "cfma": dv(f"{z('ibc')} + {z('dpc')}", "sale"),
+        "short_debta": dv("dlc", f"{z('dltt')} + {z('dlc')}"),
+        "profit_lcta": dv(f"coalesce(oibdp, {z('sale')} - {z('xopr')})", "lct"),
+        "curr_debta": dv("lct", "lt"),
+        "debt_ebitda": dv(f"{z('dltt')} + {z('dlc')}",
+                          f"coalesce(ebitda, oibdp, {z('sale')} - {z('cogs')} - {z('xsga')})"),
+        "dltt_bea": dv("dltt", "bea"), "int_debta": dv("xint", "dltt_avg"),
+        "int_totdebta": dv("xint", "dltt_avg + dlc_avg"), "lt_debta": dv("dltt", "lt"),
+        "lt_ppenta": dv("lt", "ppent"),
+        "cash_conversiona": (f"{dv('invt_avg', z('cogs') + ' / 365')} + {dv('rect_avg', z('sale') + ' / 365')}"
+                             f" - {dv('ap_avg', z('cogs') + ' / 365')}"),
+        "cash_ratioa": dv("che", "lct"),
+        "curr_ratioa": dv(f"coalesce(act, {z('che')} + {z('rect')} + {z('invt')})", "lct"),
+        "quick_ratioa": dv(f"{z('act')} - {z('invt')}", "lct"),
+        "accruala": dv(f"{z('oancf')} - {z('ib')}", "at_avg"),
+        "rd_salea": dv("xrd + 0", "sale"), "adv_salea": dv("xad + 0", "sale"),
+        "staff_salea": dv("xlr + 0", "sale"), "efftaxa": dv("txt", pi_fb),
+        "GProfa": dv(grosspa, "at"),
+        "aftret_eqa": dv(f"coalesce(ibcom, {z('ib')} - {z('dvp')})", "ceq_avg"),
+        "aftret_equitya": dv("ib", "seq_avg"),
+        "aftret_invcapxa": dv(f"{z('ib')} + {z('xint')} + {z('mii')}", "lagcap"),
+        "gpma": dv(grosspa, "sale"), "npma": dv("ib", "sale"),
+        "opmada": dv(f"coalesce(oiadp, {z('oibdp')} - {z('dp')})", "sale"),
+        "opmbda": dv(f"coalesce(oibdp, {z('sale')} - {z('xopr')})", "sale"),
+        "pretret_earnata": dv(f"coalesce(oiadp, {z('oiadp')} - {z('dp')})", "ppent_act2 / 2"),
+        "pretret_noa": dv(f"coalesce(oiadp, {z('oiadp')} - {z('dp')})", f"({z('noa1a')} + {z('noa2a')}) / 2"),
+        "ptpma": dv(pi_fb, "sale"),
+        "roaa": dv(f"coalesce(oibdp, {z('sale')} - {z('xopr')})", "at_avg"),
+        "rocea": dv(f"coalesce(ebit, {z('sale')} - {z('cogs')} - {z('xsga')} - {z('dp')})", "capital2 / 2"),
+        "roea": dv("ib", f"({z('bea')} + {z('bea_l')}) / 2"),
+        "de_ratioa": dv(f"{z('dltt')} + {z('dlc')}", f"{z('ceq')} + {z('pstk')}"),
+        "debt_ata": dv(f"{z('dltt')} + {z('dlc')}", "at"), "lt_ata": dv("lt", "at"),
+        "debt_capitala": dv(f"{z('ap')} + {z('dlc')} + {z('dltt')}",
+                            f"({z('ap')} + {z('dlc')} + {z('dltt')}) + ({z('ceq')} + {z('pstk')})"),
+        "intcova": dv(f"{z('xint')} + {z('ib')}", "xint"),
+        "intcov_ratioa": dv(f"coalesce(ebit, oiadp, {z('sale')} - {z('cogs')} - {z('xsga')} - {z('dp')})", "xint"),
+        "dpra": dv("dvc", "ibadj"),
+        "PEG_1yrforwarda": dv(f"abs({pe58})", "futepsgrowth * 100"),
+        "PEG_ltgforwarda": dv(f"abs({pe58})", "ltg_eps"),
+        "PEG_trailinga": dv(dv("price_adj", "pe_exi"), f"100 * {g3}"),
+        "bma": dv("bea", "prcc_f * csho"), "capeia2": dv("lead_mktcap", "capeia"),
+        "divyielda": dv("dvrate", "price_unadj"),
+        "evma": dv_or(eva, "ebitda", dv_or(eva, "oibdp", dv(z(eva), f"{z('sale')} - {z('cogs')} - {z('xsga')}"))),
+        "pcfa": dv("lead_mktcap", "oancf"), "pe_exia": dv("lead_price_adj", "pe_exi"),
+        "pe_inca": dv("lead_price_adj", "(epsfi / nullif(ajex, 0))"),
+    }
+    body = "SELECT gvkey, datadate, " + ", ".join(f"{c[n]} AS {n}" for n in R.ANNUAL_COLS) + " FROM yb"
+    # ``at`` (total assets) is a DuckDB keyword: quote it as an identifier
+    quote = re.compile(r"(?<![\w.'])at(?![\w'])")
+    return O.sql(["a_panela"], quote.sub('"at"', body), quote.sub('"at"', stage_b))
+
+
+@register("ratios_annual", _annual_sql())
+def ratios_annual(spark, sf):
+    return R.annual_ratios(A.load(spark, sf, "a_panela"))

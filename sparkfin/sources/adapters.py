@@ -403,9 +403,11 @@ SELECT 'thread_' || lpad(cast(doc_id % 30 AS string), 2, '0'),
 FROM {documents}
 """)
 
-# Ticker-like symbols: first word of a part name -> its brand, lower case.
+# Ticker-like symbols: first word of a part name -> its brand spelled in
+# letters (digits 0-9 as a-j), lower case.
 ADAPTERS["a_symbols"] = (("part",), """
-SELECT split_part(p_name, ' ', 1) AS symbol, min(lower(replace(p_brand, '#', '_'))) AS name_lower
+SELECT split_part(p_name, ' ', 1) AS symbol,
+       min(lower(translate(replace(p_brand, '#', ''), '0123456789', 'abcdefghij'))) AS name_lower
 FROM {part} GROUP BY 1
 """)
 

@@ -91,7 +91,8 @@ def month_grid(df: DataFrame, key: str = "gvkey", date: str = "datadate") -> Dat
     lo, hi = df.agg(F.min(date), F.max(date)).first()
     months = F.sequence(F.trunc(F.lit(lo), "month"), F.trunc(F.lit(hi), "month"), F.expr("INTERVAL 1 MONTH"))
     return (df.select(key).distinct()
-            .select(key, F.last_day(F.explode(months)).alias(date)))
+            .select(key, F.explode(months).alias("_m"))
+            .select(key, F.last_day("_m").alias(date)))
 
 
 def gics_levels(gind) -> tuple[Column, Column]:

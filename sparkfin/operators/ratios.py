@@ -303,7 +303,8 @@ def efficiency(df: DataFrame, o: Opts = US) -> DataFrame:
     return family(df, "efficiency", o)
 
 
-def monthly_panel(q: DataFrame, cols: list[str], key: str = "gvkey", date: str = "datadate") -> DataFrame:
+def monthly_panel(q: DataFrame, cols: list[str], key: str = "gvkey", date: str = "datadate",
+                  hi=None) -> DataFrame:
     """Quarterly ratios spread onto month ends.
 
     Meaning: a (firm x month-end) grid over the sample's global date range,
@@ -320,7 +321,8 @@ def monthly_panel(q: DataFrame, cols: list[str], key: str = "gvkey", date: str =
     the input is already hash-partitioned by firm, so no new exchange.
     """
     w = firm_window(key, date)
-    hi = q.agg(F.max(date)).first()[0]
+    if hi is None:   # last date of the sample: one scalar aggregate
+        hi = q.agg(F.max(date)).first()[0]
     base = (q.select(key, date, F.col(date).alias("qdate"),
                      _T4(F.col("fqtr").cast("double"), w, 4).alias("qtrcheck"), *cols)
             .filter(F.col(date) == F.last_day(date)))

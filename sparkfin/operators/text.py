@@ -18,7 +18,7 @@ from pyspark.sql.types import StringType
 
 from ..functions.fixed import CONTRACTIONS, STOPWORDS_EN
 from ..functions.porter import stem
-from ..session import ensure_checkpoint_dir
+from ..session import cut_lineage, ensure_checkpoint_dir
 
 WS = r"[ \t\n\f\r]+"
 PUNCT = r"[^\p{L}\p{N}_ \t\n\f\r]"
@@ -48,10 +48,17 @@ def comments_flat(comments: DataFrame) -> DataFrame:
 
 # ---------------------------------------------------------------- cleaning
 def dedup_comments(comments: DataFrame) -> DataFrame:
-    """Exact duplicates of the comment text removed, newest thread first,
-    then thread order (explicit total order)."""
-    w = Window.partitionBy("comment").orderBy(F.desc("sub_date"), "sub", "comment_index_track", "position")
-    return (comments.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn")
+    """Exact duplicates of the comment text removed, keeping the first under
+    an explicit total order (newest thread first, then thread, index,
+    position).  Written as a hash aggregate on the text with ``min`` of an
+    order struct: copies collapse map-side before the shuffle and no
+    partition is sorted by the (long) text."""
+    order = F.struct(F.datediff(F.lit("9999-12-31").cast("date"), "sub_date").alias("k0"),
+                     F.col("sub").alias("k1"), F.col("comment_index_track").alias("k2"),
+                     F.col("position").alias("k3"))
+    keep = [c for c in comments.columns if c != "comment"]
+    first = comments.groupBy("comment").agg(F.min_by(F.struct(*keep), order).alias("r"))
+    return (first.select("r.*", "comment")
             .withColumn("cid", F.concat_ws(":", F.col("comment_index_track").cast("string"),
                                            F.col("position").cast("string"))))
 
@@ -68,13 +75,27 @@ def clean_text(comments: DataFrame) -> DataFrame:
     return d.select("cid", F.regexp_replace(F.array_join(toks, " "), PUNCT, " ").alias("clean"))
 
 
+MAP_MAX_ENTRIES = 10_000
+
+
 def symbol_replace(clean: DataFrame, symbols: DataFrame) -> DataFrame:
-    """Tokens replaced through the symbol dictionary: explode with position,
-    left join, regroup in position order.  The dictionary is broadcast only
-    when its row count is below a checked bound."""
+    """Tokens replaced through the symbol dictionary.
+
+    Two plans behind one size check: a dictionary of at most
+    ``MAP_MAX_ENTRIES`` rows becomes a literal map applied inside each
+    document's token array (no shuffle at all); a larger one is joined the
+    general way - explode with position, left join (broadcast only below a
+    checked row bound), regroup by document in position order."""
+    n = symbols.count()
+    if n <= MAP_MAX_ENTRIES:
+        pairs = symbols.select("symbol", "name_lower").collect()     # bounded by the check above
+        m = F.create_map(*[F.lit(x) for r in pairs for x in (r[0], r[1])]) if pairs else None
+        toks = F.filter(F.split("clean", WS), lambda t: t != "")
+        if m is not None:
+            toks = F.transform(toks, lambda t: F.coalesce(F.try_element_at(m, t), t))
+        return clean.select("cid", toks.alias("tokens")).filter(F.size("tokens") > 0)
     toks = (clean.select("cid", F.posexplode(F.split("clean", WS)).alias("pos", "tok"))
             .filter(F.col("tok") != ""))
-    n = symbols.count()
     sym = symbols.select(F.col("symbol").alias("tok"), "name_lower")
     sym = F.broadcast(sym) if n <= BROADCAST_MAX_ROWS else sym
     j = toks.join(sym, "tok", "left").select("cid", "pos", F.coalesce("name_lower", "tok").alias("tok"))
@@ -82,15 +103,26 @@ def symbol_replace(clean: DataFrame, symbols: DataFrame) -> DataFrame:
     return g.select("cid", F.transform("s", lambda x: x["tok"]).alias("tokens"))
 
 
+# a whole token (between blanks) holding any character that is not a letter
+_NON_ALPHA_TOKEN = r"(?<![^ ])[^ ]*[^\p{L} ][^ ]*(?![^ ])"
+
+
 def tokens(replaced: DataFrame) -> DataFrame:
-    """Lower case, alphabetic tokens only."""
-    return replaced.select("cid", F.filter(F.transform("tokens", lambda t: F.lower(t)),
-                                           lambda t: t.rlike(r"^\p{L}+$")).alias("tokens"))
+    """Lower case, alphabetic tokens only.
+
+    Done on the joined string with compiled string functions (lower, one
+    regex that blanks every token holding a non-letter, split) rather than
+    a per-token lambda."""
+    s = F.lower(F.array_join("tokens", " "))
+    s = F.regexp_replace(s, _NON_ALPHA_TOKEN, "")
+    return replaced.select("cid", F.filter(F.split(s, " "), lambda t: t != "").alias("tokens"))
 
 
 def remove_stopwords(toks: DataFrame) -> DataFrame:
-    stop = F.array(*[F.lit(w) for w in STOPWORDS_EN])
-    return toks.select("cid", F.filter("tokens", lambda t: ~F.array_contains(stop, t)).alias("tokens"))
+    """Stop words removed with the built-in remover (hash-set lookup)."""
+    from pyspark.ml.feature import StopWordsRemover
+    r = StopWordsRemover(inputCol="tokens", outputCol="_kept", stopWords=STOPWORDS_EN, caseSensitive=True)
+    return r.transform(toks).select("cid", F.col("_kept").alias("tokens"))
 
 
 def sentences(comments: DataFrame, symbols: DataFrame) -> DataFrame:
@@ -115,14 +147,23 @@ def stems(sents: DataFrame) -> DataFrame:
 
 
 # ---------------------------------------------------------------- n-grams
+def _grams(tok, n: int):
+    """n-grams joined by '_', built by zipping shifted slices (one pass per
+    n, no per-position slicing)."""
+    size = F.size(tok)
+    g = tok
+    for k in range(2, n + 1):
+        m = F.greatest(size - (k - 1), F.lit(0))
+        g = F.zip_with(F.slice(g, 1, m), F.slice(tok, k, m),
+                       lambda a, b: F.concat(a, F.lit("_"), b))
+    return g
+
+
 def ngram_sentence(tok, n: int):
     """Each word followed by the n-gram that starts at it (where one fits)."""
-    size = F.size(tok)
-    return F.flatten(F.transform(
-        F.sequence(F.lit(1), size),
-        lambda i: F.when(i + (n - 1) <= size,
-                         F.array(F.element_at(tok, i), F.array_join(F.slice(tok, i, n), "_")))
-        .otherwise(F.array(F.element_at(tok, i)))))
+    z = F.arrays_zip(tok.alias("w"), _grams(tok, n).alias("g"))
+    inter = F.flatten(F.transform(z, lambda s: F.array(s["w"], s["g"])))
+    return F.filter(inter, lambda x: x.isNotNull())
 
 
 def ngram_sentences(sents: DataFrame) -> DataFrame:
@@ -180,6 +221,9 @@ def apply_phrases(sents: DataFrame, phrases: DataFrame) -> DataFrame:
 
 
 def phrases(sents: DataFrame, min_count: int = 3, threshold: float = 10.0) -> DataFrame:
+    """Score pairs, then merge them; the sentences are read four times, so
+    they are checkpointed once instead of recomputing the cleaning chain."""
+    sents = cut_lineage(sents)
     return apply_phrases(sents, phrase_table(sents, min_count, threshold))
 
 

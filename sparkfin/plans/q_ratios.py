@@ -3,6 +3,8 @@ from __future__ import annotations
 
 import re
 
+from pyspark.sql import functions as F
+
 from ..operators import ratios as R
 from ..sources import adapters as A
 from . import oracle as O
@@ -258,8 +260,9 @@ filled AS (SELECT g.gvkey, g.datadate, {', '.join(
 
 @register("ratio_monthly_panel", _monthly_sql())
 def ratio_monthly_panel(spark, sf):
-    q = R.quarterly_ratios(A.load(spark, sf, "a_panelq"))
-    return R.monthly_panel(q, R.ratio_columns(R.US))
+    panel = A.load(spark, sf, "a_panelq")
+    hi = A.load(spark, sf, "a_fundq").agg(F.max("datadate")).first()[0]   # cheap: fundamentals only
+    return R.monthly_panel(R.quarterly_ratios(panel), R.ratio_columns(R.US), hi=hi)
 
 
 def _annual_sql() -> str:

@@ -13,6 +13,14 @@ def cells(spark, sf):
     return A.load(spark, sf, "a_cells")
 
 
+def cells_once(spark, sf):
+    """The assembled-statement queries read the cell table about ten times
+    (labels, error columns, headers, values, identity); it is checkpointed
+    once so each read is a scan of the materialised cells."""
+    from ..session import cut_lineage
+    return cut_lineage(cells(spark, sf))
+
+
 def _q(s: str) -> str:
     return "'" + s.replace("'", "''") + "'"
 
@@ -99,7 +107,7 @@ WHERE p.sheet = 'Capital Structure Summary'
     lambda spark, sf: ST.period_semi(cells(spark, sf)))
 
 register("statement_wide", _sql(f"SELECT file, year, {', '.join(_NONEMPTY)} FROM wide"))(
-    lambda spark, sf: _year_bigint(ST.wide(cells(spark, sf))))
+    lambda spark, sf: _year_bigint(ST.wide(cells_once(spark, sf))))
 
 register("statement_identity", _sql("SELECT file, company, exchange, ticker FROM ident"))(
     lambda spark, sf: ST.identity(cells(spark, sf)))
@@ -112,12 +120,12 @@ SELECT w.file, w.year, coalesce(b.bank, false) AS bank, share_price, shares_out,
        total_capital
 FROM wide w LEFT JOIN (SELECT DISTINCT file, true AS bank FROM labels WHERE label = 'Tier 1 Capital') b
   ON w.file = b.file"""))(
-    lambda spark, sf: _year_bigint(ST.capitalization(cells(spark, sf))))
+    lambda spark, sf: _year_bigint(ST.capitalization(cells_once(spark, sf))))
 
 register("statement_union", _sql(f"""
 SELECT w.file, w.year, i.company, i.exchange, i.ticker, {', '.join(sorted(_NONEMPTY))}
 FROM wide w LEFT JOIN ident i ON w.file = i.file WHERE total_revenue IS NOT NULL"""))(
-    lambda spark, sf: _year_bigint(ST.stacked(cells(spark, sf))))
+    lambda spark, sf: _year_bigint(ST.stacked(cells_once(spark, sf))))
 
 
 def _year_bigint(df):

@@ -169,7 +169,8 @@ def word2vec_vectors(spark, sf):
 
 @register("word2vec_similar")
 def word2vec_similar(spark, sf):
-    sents = _sents(spark, sf)
+    from ..session import cut_lineage
+    sents = cut_lineage(_sents(spark, sf))
     m = T.word2vec(sents)
     return T.similar_words(m, T.top_words(T.word_frequency(sents), 10), 10)
 

@@ -58,3 +58,11 @@ def apply_conf(spark: SparkSession) -> None:
                 spark.conf.set(k, v)
             except Exception:  # static conf on a running session
                 pass
+
+
+def cut_lineage(df):
+    """Materialise ``df`` as a reliable checkpoint in the shared checkpoint
+    folder (never a local checkpoint): later passes read it back instead of
+    recomputing the plan, and a lost executor does not force a recompute."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)

@@ -75,47 +75,57 @@ def clean_text(comments: DataFrame) -> DataFrame:
     return d.select("cid", F.regexp_replace(F.array_join(toks, " "), PUNCT, " ").alias("clean"))
 
 
-MAP_MAX_ENTRIES = 10_000
+def _token_rows(clean: DataFrame, symbols: DataFrame) -> DataFrame:
+    """One row per token: (cid, pos, sym, low, keep_alpha, keep_stop).
 
-
-def symbol_replace(clean: DataFrame, symbols: DataFrame) -> DataFrame:
-    """Tokens replaced through the symbol dictionary.
-
-    Two plans behind one size check: a dictionary of at most
-    ``MAP_MAX_ENTRIES`` rows becomes a literal map applied inside each
-    document's token array (no shuffle at all); a larger one is joined the
-    general way - explode with position, left join (broadcast only below a
-    checked row bound), regroup by document in position order."""
-    n = symbols.count()
-    if n <= MAP_MAX_ENTRIES:
-        pairs = symbols.select("symbol", "name_lower").collect()     # bounded by the check above
-        m = F.create_map(*[F.lit(x) for r in pairs for x in (r[0], r[1])]) if pairs else None
-        toks = F.filter(F.split("clean", WS), lambda t: t != "")
-        if m is not None:
-            toks = F.transform(toks, lambda t: F.coalesce(F.try_element_at(m, t), t))
-        return clean.select("cid", toks.alias("tokens")).filter(F.size("tokens") > 0)
+    Every per-token step is a compiled expression on a row (no lambdas): the
+    symbol dictionary is a hash join (broadcast when its checked row count
+    is small), alphabetic tokens are a regex match, stop words an ``IN``
+    list that Spark turns into a hash set."""
     toks = (clean.select("cid", F.posexplode(F.split("clean", WS)).alias("pos", "tok"))
             .filter(F.col("tok") != ""))
+    n = symbols.count()
     sym = symbols.select(F.col("symbol").alias("tok"), "name_lower")
     sym = F.broadcast(sym) if n <= BROADCAST_MAX_ROWS else sym
-    j = toks.join(sym, "tok", "left").select("cid", "pos", F.coalesce("name_lower", "tok").alias("tok"))
-    g = j.groupBy("cid").agg(F.sort_array(F.collect_list(F.struct("pos", "tok"))).alias("s"))
-    return g.select("cid", F.transform("s", lambda x: x["tok"]).alias("tokens"))
+    j = toks.join(sym, "tok", "left").select("cid", "pos", F.coalesce("name_lower", "tok").alias("sym"))
+    low = F.lower("sym")
+    alpha = low.rlike(r"^\p{L}+$")
+    return j.select("cid", "pos", "sym", low.alias("low"), alpha.alias("keep_alpha"),
+                    (alpha & ~low.isin(*STOPWORDS_EN)).alias("keep_stop"))
 
 
-# a whole token (between blanks) holding any character that is not a letter
-_NON_ALPHA_TOKEN = r"(?<![^ ])[^ ]*[^\p{L} ][^ ]*(?![^ ])"
+def _regroup(rows: DataFrame, value: str, keep: str | None = None) -> DataFrame:
+    """Tokens back into one array per document in position order.  Dropped
+    tokens become nulls, which ``collect_list`` skips, so a document whose
+    tokens are all dropped keeps an empty array.  The group is one document."""
+    v = F.struct("pos", F.col(value).alias("t"))
+    if keep is not None:
+        v = F.when(F.col(keep), v)
+    g = rows.groupBy("cid").agg(F.sort_array(F.collect_list(v)).alias("s"))
+    return g.select("cid", F.transform("s", lambda x: x["t"]).alias("tokens"))
 
 
-def tokens(replaced: DataFrame) -> DataFrame:
-    """Lower case, alphabetic tokens only.
+def symbol_replace(clean: DataFrame, symbols: DataFrame) -> DataFrame:
+    """Tokens replaced through the symbol dictionary (explode, hash join,
+    regroup in position order)."""
+    return _regroup(_token_rows(clean, symbols), "sym")
 
-    Done on the joined string with compiled string functions (lower, one
-    regex that blanks every token holding a non-letter, split) rather than
-    a per-token lambda."""
-    s = F.lower(F.array_join("tokens", " "))
-    s = F.regexp_replace(s, _NON_ALPHA_TOKEN, "")
-    return replaced.select("cid", F.filter(F.split(s, " "), lambda t: t != "").alias("tokens"))
+
+def tokens_from_clean(clean: DataFrame, symbols: DataFrame) -> DataFrame:
+    """Symbols replaced, lower case, alphabetic tokens only."""
+    return _regroup(_token_rows(clean, symbols), "low", "keep_alpha")
+
+
+def sentences(comments: DataFrame, symbols: DataFrame) -> DataFrame:
+    """Full cleaning chain (clean, symbols, lower case, alphabetic, stop
+    words) with a single regroup shuffle."""
+    return _regroup(_token_rows(clean_text(comments), symbols), "low", "keep_stop")
+
+
+def tokens(replaced: DataFrame) -> DataFrame:
+    """Lower case, alphabetic tokens only (on already grouped tokens)."""
+    return replaced.select("cid", F.filter(F.transform("tokens", lambda t: F.lower(t)),
+                                           lambda t: t.rlike(r"^\p{L}+$")).alias("tokens"))
 
 
 def remove_stopwords(toks: DataFrame) -> DataFrame:
@@ -125,11 +135,6 @@ def remove_stopwords(toks: DataFrame) -> DataFrame:
     return r.transform(toks).select("cid", F.col("_kept").alias("tokens"))
 
 
-def sentences(comments: DataFrame, symbols: DataFrame) -> DataFrame:
-    """Full cleaning chain: clean -> symbols -> tokens -> stop words."""
-    return remove_stopwords(tokens(symbol_replace(clean_text(comments), symbols)))
-
-
 # ---------------------------------------------------------------- stems
 @F.pandas_udf(StringType())
 def _stem_udf(words: pd.Series) -> pd.Series:

@@ -97,8 +97,7 @@ register("text_symbol_replace", _tsql("SELECT cid, tokens FROM replaced"))(
     lambda spark, sf: T.symbol_replace(T.clean_text(L(spark, sf, "a_comments")), L(spark, sf, "a_symbols")))
 
 register("text_tokens", _tsql("SELECT cid, tokens FROM toks"))(
-    lambda spark, sf: T.tokens(T.symbol_replace(T.clean_text(L(spark, sf, "a_comments")),
-                                                L(spark, sf, "a_symbols"))))
+    lambda spark, sf: T.tokens_from_clean(T.clean_text(L(spark, sf, "a_comments")), L(spark, sf, "a_symbols")))
 
 register("text_stopwords", _tsql("SELECT cid, tokens FROM sents"))(_sents)
 

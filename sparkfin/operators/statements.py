@@ -111,27 +111,58 @@ def _clean_label_col(c: F.Column) -> F.Column:
 
 
 def long_values(cells: DataFrame) -> DataFrame:
-    """(file, year, name, v, sheet) for chosen periods, one year once."""
-    labels = label_filter(cells)
-    vals = body_values(cells).join(labels, ["file", "sheet", "row"])
-    chosen = period_choice(cells)
-    w = Window.partitionBy("file", "year").orderBy("col")
-    first_col = chosen.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").select("file", "col", "year")
-    j = vals.join(first_col, ["file", "col"])
-    return j.select("file", "year", "sheet", _clean_label_col(F.col("label")).alias("name"),
-                    F.col("value").try_cast("double").alias("v"))
+    """(file, year, sheet, name, v) for chosen periods, one column per year.
+
+    One pass: the cells are hash-partitioned by file once, and every lookup
+    a transposition needs is a window inside the file - the row's label
+    (partition file, sheet, row), the column's error marker (file, sheet,
+    col), the column's period header (file, col), the file's fiscal years
+    (file), the first column of each year (file, year).  All these windows
+    reuse the one file partitioning, so the plan has a single exchange and
+    no joins; a file (one company's statements) is a bounded group."""
+    c = cells.repartition("file")
+    lab_w = Window.partitionBy("file", "sheet", "row")
+    err_w = Window.partitionBy("file", "sheet", "col")
+    hdr_w = Window.partitionBy("file", "col")
+    file_w = Window.partitionBy("file")
+    is_hdr = (F.col("sheet") == "Income Statement") & (F.col("row") == HEADER_ROW) & (F.col("col") >= 1)
+    c = c.select(
+        "file", "sheet", "row", "col", "value",
+        F.max(F.when(F.col("col") == 0, F.col("value"))).over(lab_w).alias("label"),
+        F.max(F.col("value").isin(*ERROR_MARKERS).cast("int")).over(err_w).alias("err"),
+        F.max(F.when(is_hdr, F.col("value"))).over(hdr_w).alias("header"))
+    tail = F.substring(F.col("header"), -11, 11)
+    pdate = F.try_to_date(tail, "MMM-dd-yyyy")
+    c = c.select("*", pdate.alias("period_date"), F.year(pdate).alias("year"),
+                 F.col("header").contains("LTM").alias("is_ltm"),
+                 (F.col("header").isNotNull() & ~tail.isin(*PERIOD_MARKERS)).alias("is_period"))
+    annual = F.collect_set(F.when(F.col("is_period") & ~F.col("is_ltm") & is_hdr, F.col("year"))).over(file_w)
+    c = c.withColumn("chosen", F.col("is_period") & (~F.col("is_ltm") | ~F.array_contains(annual, F.col("year"))))
+    bad = F.lit(False)
+    for w in LABEL_STOPWORDS:
+        bad = bad | F.col("label").contains(w)
+    # first chosen column of each year, from the header cells of the same file
+    first_col = F.min(F.when(F.col("chosen") & is_hdr, F.col("col"))).over(Window.partitionBy("file", "year"))
+    keep = c.select("*", first_col.alias("first_col"))
+    body = keep.filter((F.col("row") >= BODY_ROW) & (F.col("col") >= 1) & F.col("label").isNotNull() & ~bad
+                       & (F.col("err") == 0) & F.col("chosen") & (F.col("col") == F.col("first_col")))
+    return body.select("file", "year", "sheet", _clean_label_col(F.col("label")).alias("name"),
+                       F.col("value").try_cast("double").alias("v"))
 
 
 def wide(cells: DataFrame, drop_empty: bool = True) -> DataFrame:
     """One row per (file, year), one column per cleaned label.  A label in
-    two sheets keeps the later sheet's value; all-null columns are dropped
-    (one aggregate over the result decides which)."""
+    two sheets keeps the later sheet's value.  All-null columns are dropped:
+    the (small) wide table is checkpointed once and one aggregate over it
+    decides which columns stay."""
+    from ..session import cut_lineage
     names = output_columns()
     lv = long_values(cells).withColumn("_so", sheet_order())
-    # map-side partial aggregation then one shuffle on (file, year)
+    # the input is hash-partitioned by file, so (file, year) groups need no new exchange
     wd = lv.groupBy("file", "year").pivot("name", names).agg(F.max_by("v", "_so"))
     if not drop_empty:
         return wd
+    wd = cut_lineage(wd)
     counts = wd.agg(*[F.count(c).alias(c) for c in names]).first().asDict()
     return wd.select("file", "year", *[c for c in names if counts[c] > 0])
 

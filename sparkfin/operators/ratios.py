@@ -73,16 +73,6 @@ def quarterly_ratios(df: DataFrame, o: Opts = US) -> DataFrame:
     """All quarterly ratios of one region variant, keyed by (firm, date)."""
     us = o.region == "US"
     w = firm_window(o.key, o.date)
-    mp = o.min_periods
-
-    def T(x) -> Column:
-        return _T4(x, w, mp)
-
-    def M(x) -> Column:
-        return _M4(x, w, mp)
-
-    def D4(x) -> Column:
-        return delta(x, w, 4)
 
     # -- stage A: unwind year-to-date items; the global panel is zero-filled
     if not us:
@@ -102,6 +92,39 @@ def quarterly_ratios(df: DataFrame, o: Opts = US) -> DataFrame:
         (F.coalesce("prc_crsp_adj", "prc_comp_adj") if us else col("prc_comp_adj")).alias("price_adj"),
     )
 
+    b_cols, c_cols, d_cols = _stage_exprs(o)
+    b = a.select("*", *[c.alias(n) for n, c in b_cols.items()])
+    c = b.select("*", *[v.alias(n) for n, v in c_cols.items()])
+    return c.select(o.key, o.date, "fqtr", *[v.alias(n) for n, v in d_cols.items()],
+                    *[n for n in b_cols if n in set(ratio_columns(o))])
+
+
+_EXPR_CACHE: dict = {}
+
+
+def _stage_exprs(o: Opts):
+    """Column expressions of stages B, C and D.  They depend only on the
+    variant (not on the data), so they are built once per variant and
+    process: building ~300 window expressions costs thousands of calls into
+    the JVM, which would otherwise be paid by every ratio query."""
+    from pyspark import SparkContext
+    sc = SparkContext._active_spark_context
+    key = (o, id(sc._jvm) if sc is not None else None)
+    if key in _EXPR_CACHE:
+        return _EXPR_CACHE[key]
+    us = o.region == "US"
+    w = firm_window(o.key, o.date)
+    mp = o.min_periods
+
+    def T(x) -> Column:
+        return _T4(x, w, mp)
+
+    def M(x) -> Column:
+        return _M4(x, w, mp)
+
+    def D4(x) -> Column:
+        return delta(x, w, 4)
+
     # -- stage B: trailing sums and means, coalesce chains
     txd = "txditcq" if us else "txdcq"
     beq = z("seqq") + z(txd) - z("pstkq")
@@ -217,8 +240,6 @@ def quarterly_ratios(df: DataFrame, o: Opts = US) -> DataFrame:
         })
     else:
         b_cols.update({"T_dv": T("dvq"), "T_ibc": T("ibcq")})
-    b = a.select("*", *[c.alias(n) for n, c in b_cols.items()])
-
     # -- stage C: lags of stage-B means, 20-quarter average of T4(ib)
     c_cols = {
         "lag_M_ceq": lag("M_ceq", w), "lag_M_seq": lag("M_seq", w), "lag_M_at": lag("M_at", w),
@@ -232,8 +253,6 @@ def quarterly_ratios(df: DataFrame, o: Opts = US) -> DataFrame:
             "lag4_pe_exi": lag("pe_exi", w, 4), "lag8_pe_exi": lag("pe_exi", w, 8),
             "lag12_pe_exi": lag("pe_exi", w, 12),
         })
-    c = b.select("*", *[v.alias(n) for n, v in c_cols.items()])
-
     # -- stage D: ratios
     lp, lm = col("lead_price_adj"), col("lead_mktcap")
     d_cols = {
@@ -290,9 +309,8 @@ def quarterly_ratios(df: DataFrame, o: Opts = US) -> DataFrame:
             "dprq": div("T_dv", "T_ibc"),
             "bmq": div("beq", "mcap_comp"),
         })
-    return c.select(o.key, o.date, "fqtr", *[v.alias(n) for n, v in d_cols.items()],
-                    *[n for n in b_cols if n in set(ratio_columns(o))])
-
+    _EXPR_CACHE[key] = (b_cols, c_cols, d_cols)
+    return b_cols, c_cols, d_cols
 
 def family(df: DataFrame, name: str, o: Opts = US) -> DataFrame:
     fam = FAMILIES_US if o.region == "US" else FAMILIES_GLB

@@ -66,3 +66,12 @@ def sql(adapters: list[str], body: str, extra_ctes: str = "") -> str:
     if extra_ctes:
         w = (w.rstrip() + ",\n" if w else "WITH ") + extra_ctes + "\n"
     return w + body
+
+
+def ordered_mean(x: str, n: int, part: str = "gvkey", order: str = "datadate") -> str:
+    """Mean of the last n rows, only when all n are present, summed oldest
+    first (the order a sliding frame adds its rows)."""
+    w = W(part, order)
+    terms = [f"lag({x}, {k}) {w}" for k in range(n - 1, 0, -1)] + [x]
+    return (f"(CASE WHEN count({x}) {W(part, order, rows(n))} >= {n} "
+            f"THEN ({' + '.join(terms)}) / {n} END)")

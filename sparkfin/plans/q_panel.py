@@ -339,8 +339,8 @@ SELECT gvkey, datadate, {O.m4('atq', 4)} AS atq_my, {O.m4('atq', 1)} AS atq_my_g
 
 register("rolling_mean_n", O.sql(["a_fundq"], f"""
 SELECT gvkey, datadate,
-  CASE WHEN count(saleq) {O.W(frame=O.rows(5))} >= 5 THEN avg(saleq) {O.W(frame=O.rows(5))} END AS saleq_avg5,
-  CASE WHEN count(saleq) {O.W(frame=O.rows(20))} >= 20 THEN avg(saleq) {O.W(frame=O.rows(20))} END AS saleq_avg20
+  {O.ordered_mean("saleq", 5)} AS saleq_avg5,
+  {O.ordered_mean("saleq", 20)} AS saleq_avg20
 FROM a_fundq"""))(
     lambda spark, sf: L(spark, sf, "a_fundq").select(
         "gvkey", "datadate", X.rolling_mean("saleq", _W(), 5).alias("saleq_avg5"),

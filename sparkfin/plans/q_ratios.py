@@ -161,12 +161,11 @@ def ratios_cte(region: str = "US") -> tuple[str, str]:
         b.update({"T_dv": T("dvq"), "T_ibc": T("ibcq")})
     qb = "qb AS (SELECT *,\n  " + ",\n  ".join(f"{v} AS {n}" for n, v in b.items()) + "\nFROM qa)"
 
-    avg20 = O.W(key, "datadate", O.rows(20))
     c = {
         "lag_M_ceq": L("M_ceq"), "lag_M_seq": L("M_seq"), "lag_M_at": L("M_at"),
         "lag_M_ppent_act": L("M_ppent_act"), "lag_M_noa": L("M_noa"),
         "lag_M_capital": L("M_capital"), "lag_M_beq": L("M_beq"),
-        "capei20": f"(CASE WHEN count(capei_t) {avg20} >= 20 THEN avg(capei_t) {avg20} END)",
+        "capei20": O.ordered_mean("capei_t", 20, key),
     }
     if us:
         c.update({"lagicapt4": L("M_lagcap"), "lag4_pe_exi": L("pe_exi", 4),
@@ -199,7 +198,7 @@ def ratios_cte(region: str = "US") -> tuple[str, str]:
             "dprq": dv_or("T_dv_dvp", "ibadj12", dv("T_dv_dvp", "T_ibadj")),
             "PEG_1yrforward": dv(f"abs({pe58})", "futepsgrowth * 100"),
             "PEG_ltgforward": dv(f"abs({pe58})", "ltg_eps"),
-            "PEG_trailing": dv(dv("price_adj", "pe_exi"), f"100 * {g3}"),
+            "PEG_trailing": dv(dv("price_adj", "pe_exi"), f"100 * ({g3})"),
             "bmq": f"(CASE WHEN {z('prccq * cshoq')} < 0 THEN NULL ELSE {dv(beq, 'prccq * cshoq')} END)",
             "divyieldq": dv_or("M_dvrate", "M_price_unadj", "0.0"),
             "pe_exiq": dv_or("lead_price_adj", "epsf12", dv("lead_price_adj", "T_eps_fx")),
@@ -287,8 +286,7 @@ yb AS (SELECT *,
   coalesce(oancf, {z('ib')} - ({d1('act')} - {d1('che')} - {d1('lct')} + {d1('dlc')} + {d1('txp')} - {z('dp')})) AS ocf,
   {bea} AS bea, lag({bea}) {w} AS bea_l, lag({noa}) {w} AS noa1a, {noa} AS noa2a,
   {pe} AS pe_exi, lag({pe}, 1) {w} AS pe1, lag({pe}, 2) {w} AS pe2, lag({pe}, 3) {w} AS pe3,
-  CASE WHEN count(ib) OVER (PARTITION BY gvkey ORDER BY datadate {O.rows(5)}) >= 5
-       THEN avg(ib) OVER (PARTITION BY gvkey ORDER BY datadate {O.rows(5)}) END AS capeia,
+  {O.ordered_mean("ib", 5)} AS capeia,
   lead(price_adj) {w} AS lead_price_adj, lead(mktcap) {w} AS lead_mktcap,
   {avg2('at')} AS at_avg, {avg2('invt')} AS invt_avg, {avg2('ap')} AS ap_avg, {avg2('rect')} AS rect_avg,
   {avg2('dltt')} AS dltt_avg, {avg2('dlc')} AS dlc_avg, {avg2('ceq')} AS ceq_avg, {avg2('seq')} AS seq_avg,
@@ -352,7 +350,7 @@ yb AS (SELECT *,
         "dpra": dv("dvc", "ibadj"),
         "PEG_1yrforwarda": dv(f"abs({pe58})", "futepsgrowth * 100"),
         "PEG_ltgforwarda": dv(f"abs({pe58})", "ltg_eps"),
-        "PEG_trailinga": dv(dv("price_adj", "pe_exi"), f"100 * {g3}"),
+        "PEG_trailinga": dv(dv("price_adj", "pe_exi"), f"100 * ({g3})"),
         "bma": dv("bea", "prcc_f * csho"), "capeia2": dv("lead_mktcap", "capeia"),
         "divyielda": dv("dvrate", "price_unadj"),
         "evma": dv_or(eva, "ebitda", dv_or(eva, "oibdp", dv(z(eva), f"{z('sale')} - {z('cogs')} - {z('xsga')}"))),

@@ -182,16 +182,24 @@ def word_frequency(sents: DataFrame) -> DataFrame:
 
 
 # ---------------------------------------------------------------- phrases
+def _pair_rows(sents: DataFrame) -> DataFrame:
+    """(cid, pos, a, b): every token with its successor (null at the end),
+    from the array itself (zip with the shifted slice), no sort needed."""
+    t = F.col("tokens")
+    z = F.arrays_zip(t.alias("a"), F.slice(t, 2, F.greatest(F.size(t) - 1, F.lit(0))).alias("b"))
+    return sents.select("cid", F.posexplode(z).alias("pos", "p")).select("cid", "pos", "p.a", "p.b")
+
+
 def phrase_table(sents: DataFrame, min_count: int = 3, threshold: float = 10.0) -> DataFrame:
     """Collocations scored as (n(ab) - min_count) * V / (n(a) n(b)), V the
-    number of distinct words plus distinct pairs; pairs above threshold."""
-    ex = sents.select("cid", F.posexplode("tokens").alias("pos", "a"))
-    w = Window.partitionBy("cid").orderBy("pos")
-    pairs = ex.withColumn("b", F.lead("a").over(w)).filter(F.col("b").isNotNull())
-    na = ex.groupBy("a").agg(F.count("*").alias("n_a"))
-    nab = pairs.groupBy("a", "b").agg(F.count("*").alias("n_ab"))
-    # vocabulary size: two scalar aggregates (one number each to the driver)
-    vocab = float(na.count() + nab.count())
+    number of distinct words plus distinct pairs; pairs above threshold.
+    Word and pair counts are map-side combined aggregates, checkpointed
+    once because they are read for V and for the score."""
+    from ..session import cut_lineage
+    ex = _pair_rows(sents)
+    na = cut_lineage(ex.groupBy("a").agg(F.count("*").alias("n_a")))
+    nab = cut_lineage(ex.filter(F.col("b").isNotNull()).groupBy("a", "b").agg(F.count("*").alias("n_ab")))
+    vocab = float(na.count() + nab.count())    # two scalars to the driver
     nb = na.select(F.col("a").alias("b"), F.col("n_a").alias("n_b"))
     sc = (nab.join(na, "a").join(nb, "b")
           .withColumn("score", (F.col("n_ab") - min_count) / F.col("n_a") / F.col("n_b") * F.lit(vocab)))
@@ -206,10 +214,15 @@ def apply_phrases(sents: DataFrame, phrases: DataFrame) -> DataFrame:
     one; the word after a taken start is consumed.  Runs come from the
     gaps-and-islands trick (position minus row number), all windows keyed by
     document."""
-    ex = sents.select("cid", F.posexplode("tokens").alias("pos", "a"))
     w = Window.partitionBy("cid").orderBy("pos")
-    ex = ex.withColumn("b", F.lead("a").over(w))
-    flag = ex.join(phrases.select("a", "b", F.lit(True).alias("is_p")), ["a", "b"], "left")
+    ex = _pair_rows(sents)
+    ph = phrases.select("a", "b", F.lit(True).alias("is_p"))
+    # the phrase table is usually far smaller than the token stream: broadcast
+    # it when its checked row count allows, so the tokens are not shuffled
+    # for the lookup (only once, by document, for the windows below)
+    if phrases.count() <= BROADCAST_MAX_ROWS:
+        ph = F.broadcast(ph)
+    flag = ex.join(ph, ["a", "b"], "left")
     flag = flag.withColumn("is_p", F.coalesce("is_p", F.lit(False)))
     st = flag.filter("is_p").withColumn("grp", F.col("pos") - F.row_number().over(w))
     st = st.withColumn("start", F.min("pos").over(Window.partitionBy("cid", "grp")))

@@ -29,6 +29,8 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions or 8))
     b = b.config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
     b = b.config("spark.driver.memory", os.environ.get("SPARK_DRIVER_MEMORY", "8g"))
+    # checkpoint files of DataFrames that went out of scope are removed
+    b = b.config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)

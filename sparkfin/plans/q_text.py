@@ -198,21 +198,25 @@ WHERE rnk <= {_TOPK}""")
 def topk_similar(spark, sf, k: int = _TOPK):
     """Top-k cosine neighbours of one query vector per label.
 
-    Query vectors are few (one per label, count checked before the
-    broadcast); every vector is scored once per query in a scan, and the
-    per-query top-k is a ``row_number() <= k`` filter that Spark pushes
-    below the shuffle (per-partition top-k first)."""
+    The query vectors are few (one per label; their count is checked before
+    they are inlined as a literal array), so every vector row scores itself
+    against each query in place - no join and no shuffle for the scoring -
+    and the per-query top-k is a ``row_number() <= k`` filter that Spark
+    evaluates per partition before the final exchange."""
     e = L(spark, sf, "embeddings").select("vec_id", "label",
                                           F.transform("embedding", lambda x: x.cast("double")).alias("v"))
     e = e.withColumn("nv", F.sqrt(F.aggregate(F.transform("v", lambda x: x * x), F.lit(0.0),
                                               lambda acc, x: acc + x)))
     qids = e.groupBy("label").agg(F.min("vec_id").alias("qid"))
     nq = qids.count()
-    if nq > 10_000:
-        raise ValueError(f"{nq} query vectors: too many to broadcast")
-    q = qids.join(e, qids.qid == e.vec_id).select("qid", F.col("v").alias("qv"), F.col("nv").alias("qn"))
-    dot = F.aggregate(F.zip_with("qv", "v", lambda a, b: a * b), F.lit(0.0), lambda acc, x: acc + x)
-    s = (e.join(F.broadcast(q), e.vec_id != q.qid)
-         .select("qid", "vec_id", (dot / (F.col("qn") * F.col("nv"))).alias("sim")))
+    if nq > 1_000:
+        raise ValueError(f"{nq} query vectors: too many to inline")
+    qrows = qids.join(e, qids.qid == e.vec_id).select("qid", "v", "nv").collect()   # nq rows, checked
+    qarr = F.array(*[F.struct(F.lit(r.qid).cast("bigint").alias("qid"), F.array(*[F.lit(float(x)) for x in r.v]).alias("qv"),
+                              F.lit(r.nv).alias("qn")) for r in qrows])
+    dot = F.aggregate(F.zip_with("q.qv", "v", lambda a, b: a * b), F.lit(0.0), lambda acc, x: acc + x)
+    s = (e.select("vec_id", "v", "nv", F.explode(qarr).alias("q"))
+         .filter(F.col("vec_id") != F.col("q.qid"))
+         .select(F.col("q.qid").alias("qid"), "vec_id", (dot / (F.col("q.qn") * F.col("nv"))).alias("sim")))
     w = Window.partitionBy("qid").orderBy(F.desc("sim"), "vec_id")
     return s.withColumn("rnk", F.row_number().over(w).cast("bigint")).filter(F.col("rnk") <= k)

@@ -1,6 +1,6 @@
 """Fixed values that results depend on, stated once in natural order."""
 
-# English stop words (the common NLTK English list, 179 words).
+# English stop words (the widely used 179-word English list).
 STOPWORDS_EN = [
     "i", "me", "my", "myself", "we", "our", "ours", "ourselves", "you", "you're", "you've",
     "you'll", "you'd", "your", "yours", "yourself", "yourselves", "he", "him", "his", "himself",

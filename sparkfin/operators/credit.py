@@ -38,14 +38,14 @@ def dtd_inputs(dsf: DataFrame, macro: DataFrame, link: DataFrame, fundq: DataFra
     per calendar day (bounded by the calendar, not by the data), so the
     planner may broadcast it.
     """
-    crsp = dsf.select("date", "permno", "cusip",
+    daily = dsf.select("date", "permno", "cusip",
                       (F.abs("prc") * F.col("shrout") / 1000).alias("mcap_crsp_dd"), "ret").distinct()
-    crsp = crsp.join(rate_series(macro), "date", "left")
+    daily = daily.join(rate_series(macro), "date", "left")
     wv = Window.partitionBy("permno").orderBy("date").rowsBetween(-(VOL_DAYS - 1), 0)
-    crsp = crsp.withColumn("sd_12M_dd", F.when(F.count("ret").over(wv) >= VOL_DAYS,
+    daily = daily.withColumn("sd_12M_dd", F.when(F.count("ret").over(wv) >= VOL_DAYS,
                                                F.stddev_samp("ret").over(wv) * math.sqrt(VOL_DAYS)))
-    crsp = crsp.withColumn("month_end", F.last_day("date"))
-    crsp_m = dedup_last(crsp, ["permno", "month_end"], ["date"]).select(
+    daily = daily.withColumn("month_end", F.last_day("date"))
+    monthly = dedup_last(daily, ["permno", "month_end"], ["date"]).select(
         F.col("month_end").alias("date"), "permno", "mcap_crsp_dd", "sd_12M_dd", "trate_1y_dd")
 
     ccm = (link.filter(F.col("linktype").isin("LU", "LC") & F.col("linkprim").isin("P", "C")))
@@ -55,7 +55,7 @@ def dtd_inputs(dsf: DataFrame, macro: DataFrame, link: DataFrame, fundq: DataFra
     comp = fundq.select("gvkey", "cusip", F.col("datadate").alias("date"), "dlcq", "dlttq", "conm")
     comp = comp.withColumn("bv_debt_dd", F.lag(z("dlcq") + 0.5 * z("dlttq"), 1).over(wq))
     comp = comp.join(ccm, "gvkey", "left")
-    out = comp.join(crsp_m, ["date", "permno"], "left")
+    out = comp.join(monthly, ["date", "permno"], "left")
     return out.select("date", "conm", "gvkey", "cusip", "mcap_crsp_dd", "bv_debt_dd", "sd_12M_dd",
                       "trate_1y_dd")
 

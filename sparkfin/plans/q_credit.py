@@ -19,20 +19,20 @@ def L(spark, sf, name):
 _DTD_SQL = O.sql(["a_dsf", "a_macro", "a_link", "a_fundq"], """
 SELECT f.date, f.conm, f.gvkey, f.cusip, c.mcap_crsp_dd, f.bv_debt_dd, c.sd_12M_dd, c.trate_1y_dd
 FROM (SELECT f.*, k.permno FROM comp f LEFT JOIN ccm k ON f.gvkey = k.gvkey) f
-LEFT JOIN crsp_m c ON f.date = c.date AND f.permno = c.permno""", """rate AS (
+LEFT JOIN daily_m c ON f.date = c.date AND f.permno = c.permno""", """rate AS (
   SELECT date, round_even(last_value(value IGNORE NULLS) OVER (ORDER BY date ROWS BETWEEN 2 PRECEDING AND CURRENT ROW)
                           * 10000, 0) / 10000 / 100 AS trate_1y_dd
   FROM a_macro WHERE series_key = 'BUILDING'),
-crsp AS (
+daily AS (
   SELECT d.*, r.trate_1y_dd,
     CASE WHEN count(ret) OVER (PARTITION BY permno ORDER BY d.date ROWS BETWEEN 251 PRECEDING AND CURRENT ROW) >= 252
          THEN stddev_samp(ret) OVER (PARTITION BY permno ORDER BY d.date ROWS BETWEEN 251 PRECEDING AND CURRENT ROW) * sqrt(252)
     END AS sd_12M_dd
   FROM (SELECT DISTINCT date, permno, cusip, abs(prc) * shrout / 1000 AS mcap_crsp_dd, ret FROM a_dsf) d
   LEFT JOIN rate r ON d.date = r.date),
-crsp_m AS (
+daily_m AS (
   SELECT last_day(date) AS date, permno, mcap_crsp_dd, sd_12M_dd, trate_1y_dd FROM (
-    SELECT *, row_number() OVER (PARTITION BY permno, last_day(date) ORDER BY date DESC) AS rn FROM crsp) t
+    SELECT *, row_number() OVER (PARTITION BY permno, last_day(date) ORDER BY date DESC) AS rn FROM daily) t
   WHERE rn = 1),
 ccm AS (
   SELECT gvkey, lpermno AS permno FROM (

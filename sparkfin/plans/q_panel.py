@@ -210,16 +210,16 @@ FROM a_fundq f LEFT JOIN a_prices p ON f.gvkey = p.gvkey AND f.datadate = p.data
     .select("gvkey", "datadate", "mcap_crsp", "mcap_comp"))
 
 
-@register("estimates_merge", O.sql(["a_ibes_act", "a_ibes_sum"], """
+@register("estimates_merge", O.sql(["a_est_act", "a_est_sum"], """
 SELECT a.cusip, a.pends, a.value, s.meanest AS meanest_1y, g.meanest AS ltg
-FROM a_ibes_act a
-LEFT JOIN (SELECT cusip, fpedats, meanest FROM a_ibes_sum WHERE fpi = '1' AND statpers = fpedats) s
+FROM a_est_act a
+LEFT JOIN (SELECT cusip, fpedats, meanest FROM a_est_sum WHERE fpi = '1' AND statpers = fpedats) s
   ON a.cusip = s.cusip AND a.pends = s.fpedats
-LEFT JOIN (SELECT cusip, statpers, meanest FROM a_ibes_sum WHERE fpi = '0') g
+LEFT JOIN (SELECT cusip, statpers, meanest FROM a_est_sum WHERE fpi = '0') g
   ON a.cusip = g.cusip AND a.pends = g.statpers"""))
 def estimates_merge(spark, sf):
-    act = L(spark, sf, "a_ibes_act")
-    summ = L(spark, sf, "a_ibes_sum")
+    act = L(spark, sf, "a_est_act")
+    summ = L(spark, sf, "a_est_sum")
     one = (summ.filter((F.col("fpi") == "1") & (F.col("statpers") == F.col("fpedats")))
            .select("cusip", F.col("fpedats").alias("pends"), F.col("meanest").alias("meanest_1y")))
     ltg = summ.filter(F.col("fpi") == "0").select("cusip", F.col("statpers").alias("pends"),
@@ -228,10 +228,10 @@ def estimates_merge(spark, sf):
             .select("cusip", "pends", "value", "meanest_1y", "ltg"))
 
 
-@register("fundamentals_merge", O.sql(["a_fundq", "a_ibes_sum", "a_msf"], """
+@register("fundamentals_merge", O.sql(["a_fundq", "a_est_sum", "a_msf"], """
 SELECT f.gvkey, f.datadate, e.meanest, m.mcap_crsp
 FROM a_fundq f
-LEFT JOIN (SELECT cusip AS cusip8, statpers AS statpers_me, meanest FROM a_ibes_sum WHERE fpi = '1') e
+LEFT JOIN (SELECT cusip AS cusip8, statpers AS statpers_me, meanest FROM a_est_sum WHERE fpi = '1') e
   ON substring(f.cusip, 1, length(f.cusip) - 1) = e.cusip8 AND f.datadate = e.statpers_me
 LEFT JOIN (SELECT lpad(cast(permno - 10000 AS string), 6, '0') AS gvkey, last_day(date) AS date,
                   abs(prc) * shrout / 1000 AS mcap_crsp FROM a_msf) m
@@ -239,7 +239,7 @@ LEFT JOIN (SELECT lpad(cast(permno - 10000 AS string), 6, '0') AS gvkey, last_da
 def fundamentals_merge(spark, sf):
     """Left joins whose keys carry different names on the two sides."""
     f = L(spark, sf, "a_fundq").withColumn("cusip8", P.drop_last_char("cusip"))
-    e = (L(spark, sf, "a_ibes_sum").filter(F.col("fpi") == "1")
+    e = (L(spark, sf, "a_est_sum").filter(F.col("fpi") == "1")
          .select(F.col("cusip").alias("e_cusip"), F.col("statpers").alias("statpers_me"), "meanest"))
     m = L(spark, sf, "a_msf").select(
         F.lpad((F.col("permno") - 10000).cast("string"), 6, "0").alias("m_gvkey"),

@@ -194,7 +194,7 @@ SELECT gvkey, gsector, gsector || sub AS ggroup, gsector || sub || '10' AS gind,
   FROM {supplier} WHERE s_suppkey % 4 = 0) t
 """)
 
-ADAPTERS["a_ibes_act"] = (("orders", "supplier"), """
+ADAPTERS["a_est_act"] = (("orders", "supplier"), """
 SELECT cusip, pends, 'ANN' AS pdicity, pends + 60 AS anndats, value FROM (
   SELECT lpad(cast(o_custkey % (SELECT count(*) FROM {supplier}) + 1 AS string), 8, '0') AS cusip,
          make_date(cast(year(o_orderdate) AS int), 12, 31) AS pends,
@@ -202,7 +202,7 @@ SELECT cusip, pends, 'ANN' AS pdicity, pends + 60 AS anndats, value FROM (
   FROM {orders} GROUP BY 1, 2) t
 """)
 
-ADAPTERS["a_ibes_sum"] = (("orders", "supplier"), """
+ADAPTERS["a_est_sum"] = (("orders", "supplier"), """
 SELECT cusip, statpers, fpi, 'ANN' AS fiscalp, 'USD' AS curr_act,
        cast(actual AS double) / 100 AS actual, cast(meanest AS double) / 100 AS meanest,
        statpers + 45 AS anndats_act, make_date(cast(year(statpers) AS int), 12, 31) AS fpedats
@@ -379,7 +379,7 @@ SELECT 's' || cast(event_id AS string) AS id, ts AS created_utc,
        CASE WHEN user_id % 3 = 0 THEN 'AutoModerator' ELSE 'user' || cast(user_id AS string) END AS author,
        CASE WHEN event_type = 'view' THEN 'Daily Discussion - ' || cast(cast(ts AS date) AS string)
             ELSE event_type || ' post ' || cast(event_id AS string) END AS title,
-       'CryptoCurrency' AS subreddit
+       'forum' AS subreddit
 FROM {events}
 """)
 

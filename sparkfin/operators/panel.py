@@ -105,3 +105,19 @@ def drop_last_char(c) -> Column:
     """Nine-character security key to its eight-character issuer key."""
     c = col(c)
     return F.substring(c, F.lit(1), F.length(c) - 1)
+
+
+def link_market(msf: DataFrame, link: DataFrame, respect_link_dates: bool = False) -> DataFrame:
+    """Market rows joined to the firm key through the link table (link
+    types LU/LC, primary P/C).  The reference fetches the link date range
+    but does not apply it; ``respect_link_dates`` applies it (a range
+    condition on top of the equi-join on the security id)."""
+    lk = (link.filter(F.col("linktype").isin("LU", "LC") & F.col("linkprim").isin("P", "C"))
+          .withColumnRenamed("lpermno", "permno"))
+    if not respect_link_dates:
+        return msf.join(lk, "permno", "left")
+    m = msf.alias("m")
+    cond = ((F.col("m.permno") == F.col("l.permno")) & (F.col("m.date") >= F.col("l.linkdt"))
+            & (F.col("m.date") <= F.coalesce(F.col("l.linkenddt"), F.lit("9999-12-31").cast("date"))))
+    out = m.join(lk.alias("l"), cond, "left")
+    return out.select("m.*", *[F.col("l." + c) for c in lk.columns if c != "permno"])

@@ -192,9 +192,7 @@ register("link_market_to_firm", O.sql(["a_msf", "a_link"], """
 SELECT m.date, m.permno, l.gvkey, m.prc, l.linktype, l.linkprim
 FROM a_msf m LEFT JOIN (SELECT * FROM a_link WHERE linktype IN ('LU', 'LC') AND linkprim IN ('P', 'C')) l
   ON m.permno = l.lpermno"""))(
-    lambda spark, sf: L(spark, sf, "a_msf").join(
-        L(spark, sf, "a_link").filter(F.col("linktype").isin("LU", "LC") & F.col("linkprim").isin("P", "C"))
-        .withColumnRenamed("lpermno", "permno"), "permno", "left")
+    lambda spark, sf: P.link_market(L(spark, sf, "a_msf"), L(spark, sf, "a_link"))
     .select("date", "permno", "gvkey", "prc", "linktype", "linkprim"))
 
 register("attach_industry", O.sql(["a_fundq", "a_gics"], """

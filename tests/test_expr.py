@@ -117,3 +117,16 @@ def test_monthly_panel_matches_grid_definition(spark):
     assert first.qdate == dt.date(1995, 12, 31) and first.x == 4.0
     xs = [r.x for r in out]
     assert xs[:3] == [4.0, 4.0, 4.0] and xs[3:6] == [5.0, 5.0, 5.0] and xs[6:9] == [None, None, None]
+
+
+def test_link_dates_option(spark):
+    msf = spark.createDataFrame([(dt.date(1988, 6, 30), 10001, 5.0), (dt.date(1995, 6, 30), 10001, 6.0)],
+                                "date date, permno long, prc double")
+    link = spark.createDataFrame(
+        [("000001", 10001, "LU", "P", dt.date(1990, 1, 1), None),
+         ("000009", 10001, "LC", "C", dt.date(1985, 1, 1), dt.date(1989, 12, 31))],
+        "gvkey string, lpermno long, linktype string, linkprim string, linkdt date, linkenddt date")
+    loose = P.link_market(msf, link).collect()
+    strict = {r.date: r.gvkey for r in P.link_market(msf, link, respect_link_dates=True).collect()}
+    assert len(loose) == 4                      # dates ignored: both links match both months
+    assert strict == {dt.date(1988, 6, 30): "000009", dt.date(1995, 6, 30): "000001"}

@@ -253,7 +253,9 @@ def word2vec(sents: DataFrame, vector_size: int = 200, window: int = 3, min_coun
     parts = max(1, sents.sparkSession.sparkContext.defaultParallelism)
     w2v = Word2Vec(vectorSize=vector_size, windowSize=window, minCount=min_count, maxIter=max_iter,
                    stepSize=step, seed=seed, numPartitions=parts, inputCol="tokens", outputCol="vec")
-    return w2v.fit(sents.filter(F.size("tokens") > 0))
+    # the fit reads its input twice (vocabulary, then training sentences):
+    # checkpoint it once rather than recompute the cleaning chain
+    return w2v.fit(cut_lineage(sents.filter(F.size("tokens") > 0)))
 
 
 def top_words(freq: DataFrame, n: int) -> list[str]:

@@ -176,10 +176,6 @@ def identity(cells: DataFrame) -> DataFrame:
                     F.regexp_extract(v, r":([^)]*)\)", 1).alias("ticker"))
 
 
-CAP_COLS = ["share_price", "shares_out", "market_capitalization", "tier_1_capital", "tier_2_capital",
-            "total_enterprise_value", "total_capital"]
-
-
 def capitalization(cells: DataFrame) -> DataFrame:
     """Bank files (a 'Tier 1 Capital' row exists) report tier capital;
     others report enterprise value; both report total capital."""

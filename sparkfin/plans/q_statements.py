@@ -13,14 +13,6 @@ def cells(spark, sf):
     return A.load(spark, sf, "a_cells")
 
 
-def cells_once(spark, sf):
-    """The assembled-statement queries read the cell table about ten times
-    (labels, error columns, headers, values, identity); it is checkpointed
-    once so each read is a scan of the materialised cells."""
-    from ..session import cut_lineage
-    return cut_lineage(cells(spark, sf))
-
-
 def _q(s: str) -> str:
     return "'" + s.replace("'", "''") + "'"
 

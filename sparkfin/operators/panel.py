@@ -121,3 +121,32 @@ def link_market(msf: DataFrame, link: DataFrame, respect_link_dates: bool = Fals
             & (F.col("m.date") <= F.coalesce(F.col("l.linkenddt"), F.lit("9999-12-31").cast("date"))))
     out = m.join(lk.alias("l"), cond, "left")
     return out.select("m.*", *[F.col("l." + c) for c in lk.columns if c != "permno"])
+
+
+# Items filled with zero after a firm's first observation,
+# and the items interpolated, in the quarterly preparation order.
+ZERO_FILL_Q = ["dvrate", "nopiq", "spiq", "pstkq", "dvy", "dvpq", "mibq", "xidoq", "miiq"]
+
+
+def prepare_quarterly(df: DataFrame, items: Sequence[str], key: str = "gvkey", date: str = "datadate",
+                      group_keys: Sequence[str] = ("gvkey", "cusip", "datadate", "conm"),
+                      exempt: Sequence[str] = ("ajexq",)) -> DataFrame:
+    """The quarterly panel preparation in the reference's order: one row per
+    (firm, date) (first under an explicit order), rows with no item dropped
+    (one item exempt), zero fill after the first observation for one list,
+    linear interpolation for the other items, zero fill of R&D, then a group
+    sum that keeps null for an all-null group and drops null keys.  Every
+    step is keyed by the firm, so it all runs on one firm partitioning."""
+    d = dedup_first(df, [key, date], [date, *items])   # item values break ties: a total order
+    d = drop_all_null(d, [c for c in items if c not in set(exempt)])
+    w = firm_window(key, date)
+    zero = [c for c in ZERO_FILL_Q if c in d.columns]
+    from ..functions.expr import zero_fill_after_first
+    d = d.select(*[zero_fill_after_first(c, w).alias(c) if c in zero else F.col(c) for c in d.columns])
+    interp = [c for c in items if c not in set(zero) and c != "xrdq"]
+    d = interpolate_linear(d, interp, key, date)
+    if "xrdq" in d.columns:
+        d = d.select(*[zero_fill_after_first("xrdq", w).alias("xrdq") if c == "xrdq" else F.col(c)
+                       for c in d.columns])
+    values = [c for c in items if c in d.columns]
+    return group_sum(d, list(group_keys), values)

@@ -124,29 +124,42 @@ def link_market(msf: DataFrame, link: DataFrame, respect_link_dates: bool = Fals
 
 
 # Items filled with zero after a firm's first observation,
-# and the items interpolated, in the quarterly preparation order.
+# and the items interpolated (those present in the quarterly panel), in the
+# order the quarterly preparation uses them.
 ZERO_FILL_Q = ["dvrate", "nopiq", "spiq", "pstkq", "dvy", "dvpq", "mibq", "xidoq", "miiq"]
-
-
-def prepare_quarterly(df: DataFrame, items: Sequence[str], key: str = "gvkey", date: str = "datadate",
-                      group_keys: Sequence[str] = ("gvkey", "cusip", "datadate", "conm"),
+INTERPOLATE_Q = [
+    "prccq", "epsf12", "epsfi12", "ibadj12", "oepsxq", "oepsxy", "oepf12", "oeps12", "seqq",
+    "ceqq", "txditcq", "txdbq", "cshoq", "epsfxq", "epsfiq", "opepsq", "ajexq", "saleq", "saley",
+    "ibadjq", "ibq", "oibdpq", "dpq", "oiadpq", "revtq", "cogsq", "piq", "dpcy", "atq", "niq",
+    "ibcomq", "icaptq", "xsgaq", "xintq", "ppentq", "actq", "lctq", "dlttq", "dlcq", "cheq",
+    "invtq", "ltq", "rectq", "xoprq", "oancfy", "txpq", "txtq", "apq", "xrdq", "capxy", "ibcy",
+    "dpy", "ltg_eps", "futepsgrowth", "mcap_crsp", "prc_crsp_unadj", "prc_crsp_adj",
+    "prc_comp_unadj", "prc_comp_adj", "mcap_comp",
+]
+PANEL_GROUP_KEYS = ["gvkey", "cusip", "datadate", "conm", "isin", "fyr", "fyearq", "fqtr"]
+
+
+def prepare_quarterly(df: DataFrame, key: str = "gvkey", date: str = "datadate",
+                      group_keys: Sequence[str] = tuple(PANEL_GROUP_KEYS),
                       exempt: Sequence[str] = ("ajexq",)) -> DataFrame:
     """The quarterly panel preparation in the reference's order: one row per
-    (firm, date) (first under an explicit order), rows with no item dropped
-    (one item exempt), zero fill after the first observation for one list,
-    linear interpolation for the other items, zero fill of R&D, then a group
-    sum that keeps null for an all-null group and drops null keys.  Every
-    step is keyed by the firm, so it all runs on one firm partitioning."""
-    d = dedup_first(df, [key, date], [date, *items])   # item values break ties: a total order
-    d = drop_all_null(d, [c for c in items if c not in set(exempt)])
+    (firm, date) (first under a total order), rows with no item dropped (one
+    item exempt), zero fill after the first observation for one list,
+    linear interpolation for the other, zero fill of R&D after its first
+    value, then a group sum that keeps null for an all-null group and drops
+    null keys.  Every step is keyed by the firm, so it all runs on one firm
+    partitioning."""
+    from ..functions.expr import zero_fill_after_first
+    values = [f.name for f in df.schema.fields
+              if f.dataType.typeName() == "double" and f.name not in set(group_keys)]
+    d = dedup_first(df, [key, date], [date, *values])   # item values break ties: a total order
+    d = drop_all_null(d, [c for c in values if c not in set(exempt)])
     w = firm_window(key, date)
     zero = [c for c in ZERO_FILL_Q if c in d.columns]
-    from ..functions.expr import zero_fill_after_first
     d = d.select(*[zero_fill_after_first(c, w).alias(c) if c in zero else F.col(c) for c in d.columns])
-    interp = [c for c in items if c not in set(zero) and c != "xrdq"]
+    interp = [c for c in INTERPOLATE_Q if c in d.columns]
     d = interpolate_linear(d, interp, key, date)
     if "xrdq" in d.columns:
         d = d.select(*[zero_fill_after_first("xrdq", w).alias("xrdq") if c == "xrdq" else F.col(c)
                        for c in d.columns])
-    values = [c for c in items if c in d.columns]
-    return group_sum(d, list(group_keys), values)
+    return group_sum(d, [k for k in group_keys if k in d.columns], values)

@@ -133,7 +133,7 @@ def test_link_dates_option(spark):
 
 
 def test_prepare_quarterly_order(spark):
-    """Duplicates collapse, zero fill after first, interpolation, R&D fill."""
+    """Duplicates collapse, zero fill after first, interpolation, then R&D."""
     rows = [("A", "c", "F", dt.date(2000, 3, 31), None, 1.0, None),
             ("A", "c", "F", dt.date(2000, 3, 31), None, 9.0, None),      # duplicate date: dropped
             ("A", "c", "F", dt.date(2000, 6, 30), 2.0, None, 5.0),
@@ -141,8 +141,10 @@ def test_prepare_quarterly_order(spark):
             ("A", "c", "F", dt.date(2000, 12, 31), None, None, None)]      # all items null: dropped
     df = spark.createDataFrame(rows, "gvkey string, cusip string, conm string, datadate date, "
                                      "dvpq double, saleq double, xrdq double")
-    out = {r.datadate: r for r in P.prepare_quarterly(df, ["dvpq", "saleq", "xrdq"]).collect()}
+    out = {r.datadate: r for r in P.prepare_quarterly(df, group_keys=("gvkey", "cusip", "datadate", "conm"))
+           .collect()}
     assert sorted(out) == [dt.date(2000, 3, 31), dt.date(2000, 6, 30), dt.date(2000, 9, 30)]
     assert out[dt.date(2000, 3, 31)].dvpq is None and out[dt.date(2000, 9, 30)].dvpq == 0.0
     assert out[dt.date(2000, 6, 30)].saleq == 2.0          # interpolated between 1 and 3
-    assert out[dt.date(2000, 9, 30)].xrdq == 0.0 and out[dt.date(2000, 3, 31)].xrdq is None
+    # R&D is interpolated first (a trailing gap repeats the last value), leading gap stays
+    assert out[dt.date(2000, 9, 30)].xrdq == 5.0 and out[dt.date(2000, 3, 31)].xrdq is None

@@ -75,3 +75,15 @@ def ordered_mean(x: str, n: int, part: str = "gvkey", order: str = "datadate") -
     terms = [f"lag({x}, {k}) {w}" for k in range(n - 1, 0, -1)] + [x]
     return (f"(CASE WHEN count({x}) {W(part, order, rows(n))} >= {n} "
             f"THEN ({' + '.join(terms)}) / {n} END)")
+
+
+def interp_sql(c: str) -> str:
+    """Linear interpolation by row position (needs a row-number column ``rn``)."""
+    back = W(frame="ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW")
+    fwd = W(frame="ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING")
+    pv = f"last_value({c} IGNORE NULLS) {back}"
+    pr = f"max(CASE WHEN {c} IS NOT NULL THEN rn END) {back}"
+    nv = f"first_value({c} IGNORE NULLS) {fwd}"
+    nr = f"min(CASE WHEN {c} IS NOT NULL THEN rn END) {fwd}"
+    return (f"CASE WHEN {c} IS NOT NULL THEN {c} WHEN {pr} IS NULL THEN NULL WHEN {nr} IS NULL THEN {pv} "
+            f"ELSE {pv} + ({nv} - {pv}) * (rn - {pr}) / ({nr} - {pr}) END AS {c}")

@@ -175,7 +175,8 @@ WHERE g.gsector <> '40' AND cast(g.gsector AS int) > 0""", _GICS_FIRST_SQL))(
 @register("ratio_clean", O.sql(["a_panelq"], "SELECT gvkey, datadate, "
                                + ", ".join(R.FAMILIES_US["efficiency"]) + " FROM qd", ratios_cte("US")[0]))
 def ratio_clean(spark, sf):
-    df = R.family(L(spark, sf, "a_panelq"), "efficiency")
+    from .q_ratios import prepared_panel
+    df = R.family(prepared_panel(spark, sf), "efficiency")
     return df.select("gvkey", "datadate", *[X.clean_inf(c).alias(c) for c in R.FAMILIES_US["efficiency"]])
 
 
@@ -183,7 +184,8 @@ def ratio_clean(spark, sf):
                                 + ", ".join(R.ratio_columns(R.US)) + " FROM qd", ratios_cte("US")[0]))
 def ratio_output(spark, sf):
     """US output table: keys, then the 69 quarterly ratios in family order."""
-    return R.quarterly_ratios(L(spark, sf, "a_panelq")).select(
+    from .q_ratios import prepared_panel
+    return R.quarterly_ratios(prepared_panel(spark, sf)).select(
         "gvkey", "datadate", *R.ratio_columns(R.US))
 
 
@@ -384,19 +386,8 @@ register("zero_fill_after_first", O.sql(["a_fundq"], "SELECT gvkey, datadate, "
 _IP = ["saleq", "atq", "ltq"]
 
 
-def _interp_sql(c: str) -> str:
-    back = O.W(frame="ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW")
-    fwd = O.W(frame="ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING")
-    pv = f"last_value({c} IGNORE NULLS) {back}"
-    pr = f"max(CASE WHEN {c} IS NOT NULL THEN rn END) {back}"
-    nv = f"first_value({c} IGNORE NULLS) {fwd}"
-    nr = f"min(CASE WHEN {c} IS NOT NULL THEN rn END) {fwd}"
-    return (f"CASE WHEN {c} IS NOT NULL THEN {c} WHEN {pr} IS NULL THEN NULL WHEN {nr} IS NULL THEN {pv} "
-            f"ELSE {pv} + ({nv} - {pv}) * (rn - {pr}) / ({nr} - {pr}) END AS {c}")
-
-
 register("interpolate_linear", O.sql(["a_fundq"], "SELECT gvkey, datadate, "
-                                     + ", ".join(_interp_sql(c) for c in _IP)
+                                     + ", ".join(O.interp_sql(c) for c in _IP)
                                      + " FROM (SELECT *, row_number() OVER (PARTITION BY gvkey ORDER BY datadate)"
                                        " AS rn FROM a_fundq) t"))(
     lambda spark, sf: P.interpolate_linear(L(spark, sf, "a_fundq").select("gvkey", "datadate", *_IP), _IP))

@@ -39,7 +39,8 @@ def _rsql(body: str) -> str:
 
 
 def _matched(spark, sf):
-    return RT.rating_match(R.quarterly_ratios(L(spark, sf, "a_panelq")), L(spark, sf, "a_rating"))
+    from .q_ratios import prepared_panel
+    return RT.rating_match(R.quarterly_ratios(prepared_panel(spark, sf)), L(spark, sf, "a_rating"))
 
 
 def _features(spark, sf):

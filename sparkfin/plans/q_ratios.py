@@ -5,6 +5,7 @@ import re
 
 from pyspark.sql import functions as F
 
+from ..operators import panel as P
 from ..operators import ratios as R
 from ..sources import adapters as A
 from . import oracle as O
@@ -17,6 +18,30 @@ _PANEL_DOUBLES = (["prccq", "cshoq", "ajexq"] + A.Q_ITEMS + A.Q_YTD_ITEMS +
                    "prc_comp_unadj", "prc_comp_adj", "dvrate", "futepsgrowth", "ltg_eps"])
 
 
+def prep_ctes() -> str:
+    """DuckDB: the quarterly preparation chain over ``a_panelq`` (one row per
+    firm-date, no all-null rows, zero fill after first, interpolation, R&D
+    zero fill, group sum), ending in CTE ``p_gs``."""
+    vals = _PANEL_DOUBLES
+    nn = " OR ".join(f"{c} IS NOT NULL" for c in vals if c != "ajexq")
+    run = "OVER (PARTITION BY gvkey ORDER BY datadate ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
+    zf = ", ".join(f"CASE WHEN count({c}) {run} > 0 THEN coalesce({c}, 0.0) END AS {c}"
+                   for c in P.ZERO_FILL_Q if c in vals)
+    ip = ", ".join(O.interp_sql(c) for c in P.INTERPOLATE_Q if c in vals)
+    keys = ", ".join(P.PANEL_GROUP_KEYS)
+    return f"""p_dd AS (SELECT * EXCLUDE (rn_dd) FROM (
+    SELECT *, row_number() OVER (PARTITION BY gvkey, datadate ORDER BY datadate) AS rn_dd FROM a_panelq) t
+  WHERE rn_dd = 1),
+p_nn AS (SELECT * FROM p_dd WHERE {nn}),
+p_zf AS (SELECT * REPLACE ({zf}) FROM p_nn),
+p_ip AS (SELECT * REPLACE ({ip}) FROM (
+    SELECT *, row_number() OVER (PARTITION BY gvkey ORDER BY datadate) AS rn FROM p_zf) t),
+p_rd AS (SELECT * REPLACE (CASE WHEN count(xrdq) {run} > 0 THEN coalesce(xrdq, 0.0) END AS xrdq) FROM p_ip),
+p_gs AS (SELECT {keys}, {", ".join(f"sum({c}) AS {c}" for c in vals)} FROM p_rd
+  WHERE {" AND ".join(k + " IS NOT NULL" for k in P.PANEL_GROUP_KEYS)}
+  GROUP BY {keys})"""
+
+
 def ratios_cte(region: str = "US") -> tuple[str, str]:
     """CTE chain (without WITH) computing every quarterly ratio; returns
     (ctes, final cte name)."""
@@ -38,11 +63,10 @@ def ratios_cte(region: str = "US") -> tuple[str, str]:
 
     w = O.W(key)
     if us:
-        src = "SELECT * FROM a_panelq"
+        src = "SELECT * FROM p_gs"
     else:
         src = ("SELECT " + ", ".join(f"coalesce({c}, 0.0) AS {c}" for c in _PANEL_DOUBLES)
-               + ", gvkey, cusip, isin, conm, datadate, fyr, fyearq, fqtr, indfmt, datafmt, popsrc, consol"
-               + " FROM a_panelq")
+               + ", " + ", ".join(P.PANEL_GROUP_KEYS) + " FROM p_gs")
     ytd = {"oancfq": "oancfy", "capxq": "capxy", "dpcq": "dpcy", "ibcq": "ibcy",
            "dpq": "dpy", "dvq": "dvy"}
     if not us:
@@ -54,7 +78,7 @@ def ratios_cte(region: str = "US") -> tuple[str, str]:
                   "coalesce(prc_crsp_adj, prc_comp_adj) AS price_adj")
     else:
         prices = "mcap_comp AS mktcap, prc_comp_unadj AS price_unadj, prc_comp_adj AS price_adj"
-    qa = f"qsrc AS ({src}),\nqa AS (SELECT * EXCLUDE (dpq),\n  {ytd_sql},\n  {prices}\nFROM qsrc)"
+    qa = prep_ctes() + f",\nqsrc AS ({src}),\nqa AS (SELECT * EXCLUDE (dpq),\n  {ytd_sql},\n  {prices}\nFROM qsrc)"
 
     txd = "txditcq" if us else "txdcq"
     beq = f"({z('seqq')} + {z(txd)} - {z('pstkq')})"
@@ -219,9 +243,14 @@ def _family_sql(fam: str, region: str = "US") -> str:
     return O.sql(["a_panelq"], f"SELECT {key}, datadate, {', '.join(cols)} FROM {last}", ctes)
 
 
+def prepared_panel(spark, sf):
+    """The ratio input: the firm-quarter panel after the quarterly preparation."""
+    return P.prepare_quarterly(A.load(spark, sf, "a_panelq"))
+
+
 def _family_query(fam: str):
     def run(spark, sf):
-        return R.family(A.load(spark, sf, "a_panelq"), fam, R.US)
+        return R.family(prepared_panel(spark, sf), fam, R.US)
     run.__name__ = f"ratios_{fam}"
     return run
 
@@ -234,7 +263,7 @@ for _fam in R.FAMILIES_US:
                                  + ", ".join(R.ratio_columns(R.GLOBAL)) + " FROM " + ratios_cte("GLB")[1],
                                  ratios_cte("GLB")[0]))
 def ratios_global(spark, sf):
-    return R.quarterly_ratios(A.load(spark, sf, "a_panelq"), R.GLOBAL).select(
+    return R.quarterly_ratios(prepared_panel(spark, sf), R.GLOBAL).select(
         "isin", "datadate", *R.ratio_columns(R.GLOBAL))
 
 
@@ -259,7 +288,7 @@ filled AS (SELECT g.gvkey, g.datadate, {', '.join(
 
 @register("ratio_monthly_panel", _monthly_sql())
 def ratio_monthly_panel(spark, sf):
-    panel = A.load(spark, sf, "a_panelq")
+    panel = prepared_panel(spark, sf)
     hi = A.load(spark, sf, "a_fundq").agg(F.max("datadate")).first()[0]   # cheap: fundamentals only
     return R.monthly_panel(R.quarterly_ratios(panel), R.ratio_columns(R.US), hi=hi)
 

@@ -7,7 +7,8 @@ from .registry import register
 # Batch oracle: the same counts, only for windows the watermark has closed
 # (window end at most the latest event time minus one day).
 register("stream_daily_windows", """
-SELECT cast(date_trunc('day', ts) AS date) AS day, event_type, count(*) AS n_events, sum(value) AS value_sum
+SELECT cast(date_trunc('day', ts) AS date) AS day, event_type, count(*) AS n_events,
+       cast(sum(cast(value AS DECIMAL(18, 2))) AS DOUBLE) AS value_sum
 FROM (SELECT DISTINCT ON (event_id) * FROM events) e
 WHERE date_trunc('day', ts) + INTERVAL 1 DAY <= (SELECT max(ts) - INTERVAL 1 DAY FROM events)
 GROUP BY 1, 2""")(lambda spark, sf: daily_windows(spark, sf))

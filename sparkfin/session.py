@@ -2,6 +2,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -20,6 +21,9 @@ BASE_CONF = {
 }
 
 
+RESULT_CONF = ("spark.sql.session.timeZone", "spark.sql.ansi.enabled")
+
+
 def get_session(master: str | None = None, shuffle_partitions: int | None = None,
                 app: str = "sparkfin") -> SparkSession:
     master = master or os.environ.get("SPARK_MASTER", "local[*]")
@@ -40,26 +44,27 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder the cluster names.
 
-    On a cluster ``spark.checkpoint.dir`` points at shared storage and is
-    used as is.  Only when it is unset (local tests) a scratch folder is
-    made, so lineage can still be cut with ``checkpoint()``.
+    ``spark.checkpoint.dir`` (or a folder set on the context) is used as is.
+    Only a local session, whose one JVM sees its own scratch folder, gets one
+    made where none is set; on a cluster a missing setting is an error.
     """
     d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not d:
+        master = spark.sparkContext.master
+        if not re.fullmatch(r"local(\[[^\]]*\])?", master):
+            raise RuntimeError(f"set spark.checkpoint.dir to a folder all executors of {master} share")
         d = tempfile.mkdtemp(prefix="sparkfin-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
-    spark.sparkContext.setCheckpointDir(d)
+    if not spark.sparkContext.getCheckpointDir():
+        spark.sparkContext.setCheckpointDir(d)
     return d
 
 
 def apply_conf(spark: SparkSession) -> None:
-    """Apply the SQL settings to a session made elsewhere (driver, notebooks)."""
-    for k, v in BASE_CONF.items():
-        if k.startswith("spark.sql."):
-            try:
-                spark.conf.set(k, v)
-            except Exception:  # static conf on a running session
-                pass
+    """Set on a session made elsewhere what results depend on: the clock and
+    ANSI arithmetic.  Memory, broadcast and shuffle settings stay the caller's."""
+    for k in RESULT_CONF:
+        spark.conf.set(k, BASE_CONF[k])
 
 
 def cut_lineage(df):

@@ -9,10 +9,37 @@ from pyspark.sql import functions as F
 
 from sparkfin.sources.tables import read_table
 
-from . import mixing, warc
+from . import decontaminate, lang_id, licenses, mixing, near_dup, quality, substring_dedup, top_inner, toxicity, warc
 from .shared import run_folder
 
 
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents (text, source as host) and pages (text, lang attribute,
+    address) in one run: one text model, learnt from document labels."""
+    docs, pages = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "pages")
+    model = lang_id.fit(docs.select(F.col("lang").alias("label"), "text", F.lit(False).alias("markup")))
+    none = F.lit(None).cast("long")
+    evidence = ["doc_id", "page_id", "text", "markup", "declared", "suffix", "host", "domain"]
+    rows = lang_id.document_evidence(docs.withColumn("page_id", none)).select(evidence).unionByName(
+        lang_id.page_evidence(pages.withColumn("doc_id", none)).select(evidence))
+    return lang_id.identify(rows, model)
+
+
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    model = quality.fit(docs, read_table(spark, sf_dir, "labels"))
+    return quality.score(docs, model).withColumnRenamed("id", "doc_id")
+
+
+def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.leaks(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+    return found.withColumnsRenamed({"id": "doc_id", "item": "item_id"})
+
+
+def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dup.near_duplicates(read_table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
 def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = run_folder(spark, "warc")
     warc.write_archive(read_table(spark, sf_dir, "pages"), path)
@@ -21,15 +48,41 @@ def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("refers_to").cast("long").alias("refers_to"))
 
 
+def op6_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(read_table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
+def op7_top_inner(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_inner.top_inner(read_table(spark, sf_dir, "embeddings"), lambda i: i % 50 == 0)
+
+
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows, dealt = mixing.mix(read_table(spark, sf_dir, "documents"))
     return mixing.taken(rows, dealt).select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken")
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op5_warc, op8_mixing)}
+def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.substring_dedup(read_table(spark, sf_dir, "documents")) \
+        .select(F.col("id").alias("doc_id"), "n_words", "n_removed", "kept_sha256")
+
+
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    model = toxicity.fit(docs, read_table(spark, sf_dir, "labels"))
+    return toxicity.score(docs, model).withColumnRenamed("id", "doc_id")
+
+
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+    return corpus_pipeline.run(spark, sf_dir)
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
+    op1_language_id, op2_quality, op3_decontaminate, op4_near_duplicates, op5_warc, op6_licenses, op7_top_inner,
+    op8_mixing, op9_substring_dedup, op10_toxicity, pipeline)}
 
-ORACLES: dict[str, str] = {"op5_warc": warc.ORACLE, "op8_mixing": mixing.ORACLE}
+ORACLES: dict[str, str] = {"op5_warc": warc.ORACLE, "op7_top_inner": top_inner.ORACLE, "op8_mixing": mixing.ORACLE,
+                           "op9_substring_dedup": substring_dedup.ORACLE}
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

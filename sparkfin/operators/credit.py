@@ -18,6 +18,7 @@ from .panel import dedup_first, dedup_last
 
 RATE_SERIES = "BUILDING"   # macro series standing in for the 1-year rate
 VOL_DAYS = 252
+TOLERANCE = 1e-6    # relative residual of a solved row
 
 
 def rate_series(macro: DataFrame, series: str = RATE_SERIES) -> DataFrame:
@@ -61,11 +62,23 @@ def dtd_inputs(dsf: DataFrame, macro: DataFrame, link: DataFrame, fundq: DataFra
 
 
 # ---------------------------------------------------------------- solver
-_erfc = np.frompyfunc(math.erfc, 1, 1)
+# fixed values: numerator and denominator of Hart's rational form of the normal tail
+_NUM = (3.52624965998911e-02, 0.700383064443688, 6.37396220353165, 33.912866078383, 112.079291497871,
+        221.213596169931, 220.206867912376)
+_DEN = (8.83883476483184e-02, 1.75566716318264, 16.064177579207, 86.7807322029461, 296.564248779674,
+        637.333633378831, 793.826512519948, 440.413735824752)
 
 
 def norm_cdf(x: np.ndarray) -> np.ndarray:
-    return 0.5 * _erfc(-np.asarray(x, dtype=float) / math.sqrt(2.0)).astype(float)
+    """Standard normal distribution function of a whole array: a rational form
+    near 0, a continued fraction in the far tail."""
+    x = np.asarray(x, dtype=float)
+    a = np.minimum(np.abs(x), 38.0)
+    e = np.exp(-0.5 * a * a)
+    near = e * np.polyval(_NUM, a) / np.polyval(_DEN, a)
+    far = e / (a + 1 / (a + 2 / (a + 3 / (a + 4 / (a + 0.65))))) / math.sqrt(2 * math.pi)
+    tail = np.where(a < 7.07106781186547, near, far)
+    return np.where(x > 0, 1 - tail, tail)
 
 
 def _call(V, D, s):
@@ -123,12 +136,17 @@ def _solve_batches(it):
         out["asset_value_a"] = V
         out["volatility_a"] = S
         out["dtd"] = (V - D) / (V * S)
+        # how far both equations are from holding, relative to the equity
+        call, n1 = _call(np.where(ok, V, 1.0), np.where(ok, D, 1.0), np.where(ok, S, 1.0))
+        miss = np.maximum(np.abs(call - E) / np.where(ok, E, 1.0), np.abs(S * V * n1 / np.where(ok, E * vol, 1.0) - 1))
+        out["residual"] = np.where(ok, miss, np.nan)
+        out["converged"] = ok & (np.nan_to_num(miss, nan=1.0) < TOLERANCE)
         yield out
 
 
 SOLVE_SCHEMA = ("date date, conm string, gvkey string, cusip string, mcap_crsp_dd double, "
                 "bv_debt_dd double, sd_12M_dd double, trate_1y_dd double, pv_debt double, "
-                "asset_value_a double, volatility_a double, dtd double")
+                "asset_value_a double, volatility_a double, dtd double, residual double, converged boolean")
 
 
 def prepare_for_solve(inputs: DataFrame) -> DataFrame:

@@ -141,6 +141,14 @@ INTERPOLATE_Q = [
     "dpy", "ltg_eps", "futepsgrowth", "mcap_crsp", "prc_crsp_unadj", "prc_crsp_adj",
     "prc_comp_unadj", "prc_comp_adj", "mcap_comp",
 ]
+# the global panel's lists
+ZERO_FILL_GLOBAL = ["nopiq", "spiq", "pstkq", "dvy", "mibq", "miiq"]
+INTERPOLATE_GLOBAL = [
+    "seqq", "ceqq", "txdcy", "txdbq", "saleq", "saley", "ibq", "oibdpq", "dpq", "oiadpq", "dvpdpq",
+    "revtq", "cogsq", "piq", "dpcy", "atq", "xsgaq", "xidocy", "xintq", "ppentq", "actq", "lctq",
+    "dlttq", "dlcq", "cheq", "invtq", "ltq", "rectq", "xoprq", "oancfy", "txtq", "apq", "capxy",
+    "ibcy", "dpy", "prc_comp_unadj", "prc_comp_adj", "mcap_comp",
+]
 PANEL_GROUP_KEYS = ["gvkey", "cusip", "datadate", "conm", "isin", "fyr", "fyearq", "fqtr"]
 
 
@@ -170,3 +178,32 @@ def prepare_quarterly(df: DataFrame, key: str = "gvkey", date: str = "datadate",
         d = d.select(*[zero_fill_after_first("xrdq", w).alias("xrdq") if c == "xrdq" else F.col(c)
                        for c in d.columns])
     return group_sum(d, [k for k in group_keys if k in d.columns], values)
+
+
+def forecast_growth(actuals: DataFrame, summary: DataFrame) -> DataFrame:
+    """Every annual actual with each monthly forecast for its fiscal year, the
+    long-term growth forecast of the same month, and the forecast's growth over
+    the firm's actual of the year before (null where that is missing or 0).
+    One window and two joins, all keyed by firm."""
+    lagged = F.lag("value").over(Window.partitionBy("cusip").orderBy("pends"))
+    act = actuals.select("cusip", "pends", "value", lagged.alias("current_actual"))
+    year = summary.filter("fpi = '1' AND fiscalp = 'ANN' AND curr_act = 'USD'").select(
+        "cusip", F.col("fpedats").alias("pends"), "statpers", F.col("actual").alias("fut_actual"), F.col("meanest").alias("fut_eps"))
+    long_term = summary.filter("fpi = '0' AND fiscalp = 'LTG'").select("cusip", "statpers", F.col("meanest").alias("ltg_eps"))
+    growth = (F.col("fut_eps") - F.col("current_actual")) / F.nullif(F.abs("current_actual"), F.lit(0.0))
+    return (act.join(year, ["cusip", "pends"], "left").join(long_term, ["cusip", "statpers"], "left")
+            .withColumn("futepsgrowth", growth).withColumn("statpers_me", F.last_day("statpers")))
+
+
+def prepare_global(df: DataFrame, gics: DataFrame, key: str = "isin", date: str = "datadate") -> DataFrame:
+    """The global panel preparation: one row per (security, date), financial
+    and unclassified firms out, zero fill after the first observation for six
+    items, linear interpolation for the global list.  Keyed by security."""
+    from ..functions.expr import zero_fill_after_first
+    values = [f.name for f in df.schema.fields if f.dataType.typeName() == "double"]
+    d = dedup_first(df, [key, date], [F.col(date), F.xxhash64(*values)])
+    d = d.join(gics.select("gvkey", "gsector", "ggroup", "gind"), "gvkey", "left")
+    d = d.filter((F.col("gsector") != "40") & (F.col("gsector").cast("int") > 0))
+    w = firm_window(key, date)
+    d = d.select(*[zero_fill_after_first(c, w).alias(c) if c in ZERO_FILL_GLOBAL else F.col(c) for c in d.columns])
+    return interpolate_linear(d, [c for c in INTERPOLATE_GLOBAL if c in d.columns], key, date)

@@ -69,8 +69,14 @@ def ratio_columns(o: Opts = US) -> list[str]:
 _ITEM_NUMERIC_EXCLUDE = {"fyr", "fyearq", "fqtr"}
 
 
-def quarterly_ratios(df: DataFrame, o: Opts = US) -> DataFrame:
-    """All quarterly ratios of one region variant, keyed by (firm, date)."""
+# columns the global output carries next to the ratios
+GLOBAL_KEYS = ["gvkey", "conm", "fyr", "fyearq", "fqtr", "gsector", "ggroup", "gind"]
+GLOBAL_PRICES = ["mktcap", "price_adj", "price_unadj"]
+
+
+def quarterly_ratios(df: DataFrame, o: Opts = US, keep: list[str] | None = None) -> DataFrame:
+    """All quarterly ratios of one region variant, keyed by (firm, date);
+    ``keep`` names further columns of the panel to carry along."""
     us = o.region == "US"
     w = firm_window(o.key, o.date)
 
@@ -95,7 +101,8 @@ def quarterly_ratios(df: DataFrame, o: Opts = US) -> DataFrame:
     b_cols, c_cols, d_cols = _stage_exprs(o)
     b = a.select("*", *[c.alias(n) for n, c in b_cols.items()])
     c = b.select("*", *[v.alias(n) for n, v in c_cols.items()])
-    return c.select(o.key, o.date, "fqtr", *[v.alias(n) for n, v in d_cols.items()],
+    more = [x for x in keep or [] if x != "fqtr"]
+    return c.select(o.key, o.date, "fqtr", *more, *[v.alias(n) for n, v in d_cols.items()],
                     *[n for n in b_cols if n in set(ratio_columns(o))])
 
 
@@ -109,7 +116,7 @@ def _stage_exprs(o: Opts):
     the JVM, which would otherwise be paid by every ratio query."""
     from pyspark import SparkContext
     sc = SparkContext._active_spark_context
-    key = (o, id(sc._jvm) if sc is not None else None)
+    key = (o, sc.applicationId if sc is not None else None)
     if key in _EXPR_CACHE:
         return _EXPR_CACHE[key]
     us = o.region == "US"
@@ -322,7 +329,7 @@ def efficiency(df: DataFrame, o: Opts = US) -> DataFrame:
 
 
 def monthly_panel(q: DataFrame, cols: list[str], key: str = "gvkey", date: str = "datadate",
-                  hi=None) -> DataFrame:
+                  plain: list[str] | None = None) -> DataFrame:
     """Quarterly ratios spread onto month ends.
 
     Meaning: a (firm x month-end) grid over the sample's global date range,
@@ -339,20 +346,20 @@ def monthly_panel(q: DataFrame, cols: list[str], key: str = "gvkey", date: str =
     the input is already hash-partitioned by firm, so no new exchange.
     """
     w = firm_window(key, date)
-    if hi is None:   # last date of the sample: one scalar aggregate
-        hi = q.agg(F.max(date)).first()[0]
+    hi = q.agg(F.max(date)).scalar()   # last date of the sample: a scalar subquery of the same plan
     base = (q.select(key, date, F.col(date).alias("qdate"),
-                     _T4(F.col("fqtr").cast("double"), w, 4).alias("qtrcheck"), *cols)
+                     _T4(F.col("fqtr").cast("double"), w, 4).alias("qtrcheck"), *(plain or []), *cols)
             .filter(F.col(date) == F.last_day(date)))
     ex = base.select("*", F.explode(F.array(F.lit(0), F.lit(1), F.lit(2))).alias("_k"))
-    ex = ex.withColumn("_m", F.last_day(F.add_months(date, F.col("_k")))).filter(F.col("_m") <= F.lit(hi))
-    vals = ["qdate", "qtrcheck", *cols]
+    ex = ex.withColumn("_m", F.last_day(F.add_months(date, F.col("_k")))).filter(F.col("_m") <= hi)
+    plain = plain or []   # carried along unrounded
+    vals = ["qdate", "qtrcheck", *plain, *cols]
     g = ex.groupBy(key, "_m").agg(*[F.min_by(c, F.when(F.col(c).isNotNull(), F.col("_k"))).alias(c)
                                     for c in vals])
     return (g.filter(F.col("qtrcheck") == 10)
             .select(key, F.col("_m").alias(date), "qdate",
                     F.last_day(F.add_months("_m", 2)).alias("publicdate"),
-                    F.col("qtrcheck"),
+                    F.col("qtrcheck"), *plain,
                     *[(F.rint(F.col(c) * 10000.0) / 10000.0).alias(c) for c in cols]))
 
 

@@ -13,18 +13,32 @@ import re
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..sources.adapters import CELL_ROWS, SHEETS
+from ..sources.adapters import SHEETS
 
 HEADER_ROW = 13
 BODY_ROW = 16
-
-# Label fragments that mark non-data rows, and error markers.
-LABEL_STOPWORDS = ["For the Fiscal Period Ending", "Note:", "Currency", "NaN", "Exchange Rate",
-                   "Conversion Method", "Filing Date", "Occasionally", "Restatement Type",
-                   "Calculation Type", "\n", "LIABILITIES", "Supplemental Items", "FYC", "Compustat"]
+RATIO_BODY_ROW = 13
+CAPITAL_HEADER_ROW = 12
+
+STATEMENTS = SHEETS[:4]
+SUMMARY, CAPITALIZATION = SHEETS[4:]
+
+# Label fragments that mark non-data rows (the capital sheets
+# have none), error markers, header markers.
+COMMON_STOPWORDS = ["For the Fiscal Period Ending", "Note:", "Currency", "NaN", "Exchange Rate",
+                    "Conversion Method", "Filing Date", "Occasionally", "Restatement Type",
+                    "Calculation Type", "\n", "FYC", "Compustat"]
+STOPWORDS = {"Income Statement": COMMON_STOPWORDS,
+             "Balance Sheet": [*COMMON_STOPWORDS, "LIABILITIES", "Supplemental Items"],
+             "Cash Flow": [*COMMON_STOPWORDS, "Supplemental Items"],
+             "Ratios": [*COMMON_STOPWORDS, "Supplemental Items"]}
 ERROR_MARKERS = ["DSC", "FYC"]
-PERIOD_MARKERS = ["urce Change", "Year\nChange"]
-# Column renames applied after cleaning.
+CAPITAL_ERROR_MARKERS = ["FYC"]
+PERIOD_MARKERS = ["urce Change", "Year\nChange", "Year Change"]
+# The rows taken from the capital sheets, and column renames.
+SUMMARY_LABELS = ["Total Senior Debt"]
+BANK_LABELS = ["Share Price", "Shares Out.", "Market Capitalization", "Tier 1 Capital", "Tier 2 Capital", "Total Capital"]
+OTHER_LABELS = ["Share Price", "Shares Out.", "Market Capitalization", "= Total Enterprise Value (TEV)", "= Total Capital"]
 RENAME = {"= Total Enterprise Value (TEV)": "Total Enterprise Value", "= Total Capital": "Total Capital"}
 
 
@@ -37,17 +51,6 @@ def snake(label: str) -> str:
     return re.sub(r"[^a-z0-9]+", "_", label.lower()).strip("_")
 
 
-def output_columns() -> list[str]:
-    seen = []
-    for _sh, label, _item in CELL_ROWS:
-        if any(w in label for w in LABEL_STOPWORDS):
-            continue
-        c = snake(clean_label_py(label))
-        if c not in seen:
-            seen.append(c)
-    return seen
-
-
 def sheet_order() -> F.Column:
     expr = F.lit(None).cast("int")
     for i, s in enumerate(SHEETS):
@@ -55,33 +58,66 @@ def sheet_order() -> F.Column:
     return expr
 
 
+def _is_statement() -> F.Column:
+    return F.col("sheet").isin(*STATEMENTS)
+
+
+def _in_body() -> F.Column:
+    return F.col("row") >= F.when(F.col("sheet") == "Ratios", RATIO_BODY_ROW).otherwise(BODY_ROW)
+
+
+def _stop_label(label: F.Column) -> F.Column:
+    """Whether a label holds one of its own sheet's stop fragments."""
+    bad = F.lit(False)
+    for sheet, fragments in STOPWORDS.items():
+        hit = F.lit(False)
+        for f in fragments:
+            hit = hit | label.contains(f)
+        bad = bad | ((F.col("sheet") == sheet) & hit)
+    return bad
+
+
+def _is_marker() -> F.Column:
+    return F.when(_is_statement(), F.col("value").isin(*ERROR_MARKERS)).otherwise(F.col("value").isin(*CAPITAL_ERROR_MARKERS))
+
+
 def label_filter(cells: DataFrame) -> DataFrame:
-    """Body label cells whose text holds none of the stop fragments."""
+    """Body label cells whose text holds none of their sheet's stop fragments."""
     lab = F.col("value")
-    bad = F.lit(False)
-    for w in LABEL_STOPWORDS:
-        bad = bad | lab.contains(w)
-    return (cells.filter((F.col("row") >= BODY_ROW) & (F.col("col") == 0) & lab.isNotNull() & ~bad)
+    return (cells.filter(_in_body() & (F.col("col") == 0) & lab.isNotNull() & ~_stop_label(lab))
             .select("file", "sheet", "row", F.col("value").alias("label")))
 
 
 def error_periods(cells: DataFrame) -> DataFrame:
-    """(file, sheet, col) holding an error marker anywhere in the sheet."""
-    return (cells.filter(F.col("value").isin(*ERROR_MARKERS)).select("file", "sheet", "col").distinct())
+    """(file, sheet, col) holding an error marker: in a kept row of a
+    statement, in any body row of a capital sheet."""
+    hit = cells.filter(_in_body() & (F.col("col") >= 1) & _is_marker())
+    kept = hit.filter(_is_statement()).join(label_filter(cells), ["file", "sheet", "row"], "left_semi")
+    return kept.unionByName(hit.filter(~_is_statement())).select("file", "sheet", "col").distinct()
 
 
 def body_values(cells: DataFrame) -> DataFrame:
     """Body cells of data columns without error markers."""
-    body = cells.filter((F.col("row") >= BODY_ROW) & (F.col("col") >= 1))
+    body = cells.filter(_in_body() & (F.col("col") >= 1))
     return body.join(error_periods(cells), ["file", "sheet", "col"], "left_anti")
 
 
+def _own_header(c: DataFrame) -> DataFrame:
+    """Marks header cells (``hdr``): row 13 of a statement; row 12 of a capital
+    sheet, of the summary every second column, and its row 13 where its row 12
+    is empty."""
+    in_row_12 = F.max(((F.col("row") == CAPITAL_HEADER_ROW) & (F.col("col") >= 1) & F.col("value").isNotNull()).cast("int")) \
+        .over(Window.partitionBy("file", "sheet"))
+    row = F.when(_is_statement() | ((F.col("sheet") == SUMMARY) & (in_row_12 == 0)), HEADER_ROW).otherwise(CAPITAL_HEADER_ROW)
+    odd = (F.col("sheet") != SUMMARY) | (F.col("col") % 2 == 1)
+    return c.withColumn("hdr", (F.col("row") == row) & (F.col("col") >= 1) & F.col("value").isNotNull() & odd)
+
+
 def periods(cells: DataFrame) -> DataFrame:
     """Header cells parsed to dates: last 11 characters, 'MMM-dd-yyyy';
     year-change markers dropped."""
-    h = cells.filter((F.col("row") == HEADER_ROW) & (F.col("col") >= 1))
     tail = F.substring(F.col("value"), -11, 11)
-    return (h.filter(~tail.isin(*PERIOD_MARKERS))
+    return (_own_header(cells).filter(F.col("hdr") & ~tail.isin(*PERIOD_MARKERS))
             .select("file", "sheet", "col", F.col("value").alias("header"),
                     F.try_to_date(tail, "MMM-dd-yyyy").alias("period_date"),
                     F.col("value").contains("LTM").alias("is_ltm")))
@@ -113,58 +149,55 @@ def _clean_label_col(c: F.Column) -> F.Column:
 def long_values(cells: DataFrame) -> DataFrame:
     """(file, year, sheet, name, v) for chosen periods, one column per year.
 
-    One pass: the cells are hash-partitioned by file once, and every lookup
-    a transposition needs is a window inside the file - the row's label
-    (partition file, sheet, row), the column's error marker (file, sheet,
-    col), the column's period header (file, col), the file's fiscal years
-    (file), the first column of each year (file, year).  All these windows
-    reuse the one file partitioning, so the plan has a single exchange and
-    no joins; a file (one company's statements) is a bounded group."""
-    c = cells.repartition("file")
-    lab_w = Window.partitionBy("file", "sheet", "row")
-    err_w = Window.partitionBy("file", "sheet", "col")
-    hdr_w = Window.partitionBy("file", "col")
-    file_w = Window.partitionBy("file")
-    is_hdr = (F.col("sheet") == "Income Statement") & (F.col("row") == HEADER_ROW) & (F.col("col") >= 1)
-    c = c.select(
-        "file", "sheet", "row", "col", "value",
-        F.max(F.when(F.col("col") == 0, F.col("value"))).over(lab_w).alias("label"),
-        F.max(F.col("value").isin(*ERROR_MARKERS).cast("int")).over(err_w).alias("err"),
-        F.max(F.when(is_hdr, F.col("value"))).over(hdr_w).alias("header"))
+    The four statements share the income statement's header by column; the
+    capital sheets bring their own and keep the dates that are among the
+    chosen ones.  One pass: the cells are hash-partitioned by file once, and
+    every lookup a transposition needs is a window inside the file - the row's
+    label, the column's error marker and header, the file's fiscal years and
+    chosen dates, the first column of each year.  All these windows reuse the
+    one file partitioning, so the plan has a single exchange and no joins; a
+    file (one company's statements) is a bounded group."""
+    c = _own_header(cells.repartition("file"))
+    by_row, by_col = Window.partitionBy("file", "sheet", "row"), Window.partitionBy("file", "sheet", "col")
+    by_file = Window.partitionBy("file")
+    income = F.col("hdr") & (F.col("sheet") == "Income Statement")
+    c = c.select("*", F.max(F.when(F.col("col") == 0, F.col("value"))).over(by_row).alias("label"),
+                 F.when(_is_statement(), F.max(F.when(income, F.col("value"))).over(Window.partitionBy("file", "col")))
+                 .otherwise(F.max(F.when(F.col("hdr"), F.col("value"))).over(by_col)).alias("header"))
+    kept_row = F.col("label").isNotNull() & ~_stop_label(F.col("label"))
+    marker = _in_body() & (F.col("col") >= 1) & _is_marker() & (kept_row | ~_is_statement())
     tail = F.substring(F.col("header"), -11, 11)
-    pdate = F.try_to_date(tail, "MMM-dd-yyyy")
-    c = c.select("*", pdate.alias("period_date"), F.year(pdate).alias("year"),
-                 F.col("header").contains("LTM").alias("is_ltm"),
-                 (F.col("header").isNotNull() & ~tail.isin(*PERIOD_MARKERS)).alias("is_period"))
-    annual = F.collect_set(F.when(F.col("is_period") & ~F.col("is_ltm") & is_hdr, F.col("year"))).over(file_w)
-    c = c.withColumn("chosen", F.col("is_period") & (~F.col("is_ltm") | ~F.array_contains(annual, F.col("year"))))
-    bad = F.lit(False)
-    for w in LABEL_STOPWORDS:
-        bad = bad | F.col("label").contains(w)
-    # first chosen column of each year, from the header cells of the same file
-    first_col = F.min(F.when(F.col("chosen") & is_hdr, F.col("col"))).over(Window.partitionBy("file", "year"))
-    keep = c.select("*", first_col.alias("first_col"))
-    body = keep.filter((F.col("row") >= BODY_ROW) & (F.col("col") >= 1) & F.col("label").isNotNull() & ~bad
-                       & (F.col("err") == 0) & F.col("chosen") & (F.col("col") == F.col("first_col")))
+    c = c.select("*", kept_row.alias("kept_row"), F.max(F.coalesce(marker, F.lit(False)).cast("int")).over(by_col).alias("err"),
+                 F.when(~tail.isin(*PERIOD_MARKERS), F.try_to_date(tail, "MMM-dd-yyyy")).alias("period_date"),
+                 F.col("header").contains("LTM").alias("is_ltm"))
+    c = c.withColumn("year", F.year("period_date"))
+    annual = F.collect_set(F.when(income & ~F.col("is_ltm"), F.col("year"))).over(by_file)
+    c = c.withColumn("chosen", F.col("period_date").isNotNull() & (~F.col("is_ltm") | ~F.array_contains(annual, F.col("year"))))
+    dates = F.collect_set(F.when(income & F.col("chosen"), F.col("period_date"))).over(by_file)
+    c = c.withColumn("chosen", F.when(_is_statement(), F.col("chosen")).otherwise(
+        F.col("period_date").isNotNull() & F.array_contains(dates, F.col("period_date"))))
+    first = F.when(_is_statement(), F.min(F.when(F.col("chosen") & income, F.col("col"))).over(Window.partitionBy("file", "year"))) \
+        .otherwise(F.min(F.when(F.col("chosen") & F.col("hdr"), F.col("col"))).over(Window.partitionBy("file", "sheet", "year")))
+    bank = F.max(((F.col("sheet") == CAPITALIZATION) & _in_body() & (F.col("col") == 0) & (F.col("value") == "Tier 1 Capital")).cast("int")).over(by_file)
+    c = c.select("*", first.alias("first_col"), bank.alias("bank"))
+    taken = F.when(_is_statement(), F.col("kept_row")).when(F.col("sheet") == SUMMARY, F.col("label").isin(*SUMMARY_LABELS)) \
+        .otherwise(F.when(F.col("bank") == 1, F.col("label").isin(*BANK_LABELS)).otherwise(F.col("label").isin(*OTHER_LABELS)))
+    body = c.filter(_in_body() & (F.col("col") >= 1) & taken & (F.col("err") == 0) & F.col("chosen") & (F.col("col") == F.col("first_col")))
     return body.select("file", "year", "sheet", _clean_label_col(F.col("label")).alias("name"),
                        F.col("value").try_cast("double").alias("v"))
 
 
-def wide(cells: DataFrame, drop_empty: bool = True) -> DataFrame:
-    """One row per (file, year), one column per cleaned label.  A label in
-    two sheets keeps the later sheet's value.  All-null columns are dropped:
-    the (small) wide table is checkpointed once and one aggregate over it
-    decides which columns stay."""
-    from ..session import cut_lineage
-    names = output_columns()
+def wide(cells: DataFrame, drop_empty: bool = True, required: tuple[str, ...] = ()) -> DataFrame:
+    """One row per (file, year), one column per cleaned label found in the
+    cells.  A label in two sheets keeps the later sheet's value.  The labels,
+    and which of them hold a value, come from one grouped pass; what reaches
+    the driver is the vocabulary of the statements.  Columns without a value
+    are dropped unless ``drop_empty`` is off; ``required`` ones always stay."""
     lv = long_values(cells).withColumn("_so", sheet_order())
+    found = lv.groupBy("name").agg(F.count("v").alias("n")).collect()
+    names = sorted({r.name for r in found if r.name and (r.n or not drop_empty)} | set(required))
     # the input is hash-partitioned by file, so (file, year) groups need no new exchange
-    wd = lv.groupBy("file", "year").pivot("name", names).agg(F.max_by("v", "_so"))
-    if not drop_empty:
-        return wd
-    wd = cut_lineage(wd)
-    counts = wd.agg(*[F.count(c).alias(c) for c in names]).first().asDict()
-    return wd.select("file", "year", *[c for c in names if counts[c] > 0])
+    return lv.groupBy("file", "year").pivot("name", names).agg(F.max_by("v", "_so"))
 
 
 def identity(cells: DataFrame) -> DataFrame:
@@ -179,8 +212,9 @@ def identity(cells: DataFrame) -> DataFrame:
 def capitalization(cells: DataFrame) -> DataFrame:
     """Bank files (a 'Tier 1 Capital' row exists) report tier capital;
     others report enterprise value; both report total capital."""
-    wd = wide(cells, drop_empty=False)
-    bank = (label_filter(cells).filter(F.col("label") == "Tier 1 Capital").select("file").distinct()
+    wd = wide(cells, required=("share_price", "shares_out", "market_capitalization", "tier_1_capital", "tier_2_capital",
+                               "total_enterprise_value", "total_capital"))
+    bank = (label_filter(cells).filter((F.col("label") == "Tier 1 Capital") & (F.col("sheet") == CAPITALIZATION)).select("file").distinct()
             .withColumn("bank", F.lit(True)))
     out = wd.join(bank, "file", "left").withColumn("bank", F.coalesce("bank", F.lit(False)))
     return out.select(

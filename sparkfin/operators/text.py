@@ -22,45 +22,52 @@ from ..session import cut_lineage, ensure_checkpoint_dir
 
 WS = r"[ \t\n\f\r]+"
 PUNCT = r"[^\p{L}\p{N}_ \t\n\f\r]"
-BROADCAST_MAX_ROWS = 1_000_000
 
 
 # ---------------------------------------------------------------- threads
+def moderator_threads(subs: DataFrame) -> DataFrame:
+    s = subs.filter(F.col("title").contains("Daily Discussion -") & F.col("author").contains("AutoModerator"))
+    return s.withColumn("day", F.to_date(F.date_trunc("day", "created_utc")))
+
+
+def merge_last(first: DataFrame, second: DataFrame, key: str, value: str) -> DataFrame:
+    """Two key -> value tables as one; where both hold a key the second wins."""
+    both = first.select(key, value, F.lit(0).alias("_o")).unionByName(second.select(key, value, F.lit(1).alias("_o")))
+    return both.groupBy(key).agg(F.max_by(value, "_o").alias(value))
+
+
 def daily_thread_ids(subs: DataFrame) -> DataFrame:
     """First moderator 'Daily Discussion' thread of each day."""
-    s = subs.filter(F.col("title").contains("Daily Discussion -") & F.col("author").contains("AutoModerator"))
-    s = s.withColumn("day", F.to_date(F.date_trunc("day", "created_utc")))
+    s = moderator_threads(subs)
     w = Window.partitionBy("day").orderBy("created_utc", "id")
     return s.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").select("day", "id", "title")
 
 
 def comments_flat(comments: DataFrame) -> DataFrame:
-    """Comments and their replies as one table, replies tagged with the
-    parent comment's author; deleted or missing authors removed."""
+    """Comments and their replies as one table with their text and author
+    fields, replies tagged with the parent comment's author; deleted or missing
+    authors removed."""
     top = comments.filter(F.col("position") == 0).select(
         "comment_index_track", F.col("author").alias("parent_author"))
     c = comments.filter(F.col("author").isNotNull() & (F.col("author") != "[deleted]"))
     flat = c.join(top, "comment_index_track", "left")
-    return flat.select("sub", "sub_date", "comment_index_track", "position", "kind", "author",
-                       F.when(F.col("position") > 0, F.col("parent_author")).alias("parent_author"),
-                       F.length("comment").cast("bigint").alias("comment_len"))
+    return flat.withColumn("parent_author", F.when(F.col("position") > 0, F.col("parent_author"))) \
+        .select(*comments.columns, "parent_author")
 
 
 # ---------------------------------------------------------------- cleaning
 def dedup_comments(comments: DataFrame) -> DataFrame:
     """Exact duplicates of the comment text removed, keeping the first under
     an explicit total order (newest thread first, then thread, index,
-    position).  Written as a hash aggregate on the text with ``min`` of an
-    order struct: copies collapse map-side before the shuffle and no
-    partition is sorted by the (long) text."""
-    order = F.struct(F.datediff(F.lit("9999-12-31").cast("date"), "sub_date").alias("k0"),
-                     F.col("sub").alias("k1"), F.col("comment_index_track").alias("k2"),
-                     F.col("position").alias("k3"))
-    keep = [c for c in comments.columns if c != "comment"]
-    first = comments.groupBy("comment").agg(F.min_by(F.struct(*keep), order).alias("r"))
-    return (first.select("r.*", "comment")
-            .withColumn("cid", F.concat_ws(":", F.col("comment_index_track").cast("string"),
-                                           F.col("position").cast("string"))))
+    position).  Copies are found on a digest of the text with small typed
+    fields, so no text is sorted; the text comes back by one join on the kept
+    row's own key, which no two rows share."""
+    keyed = comments.withColumn("_h", F.coalesce(F.sha2("comment", 256), F.lit("null"))) \
+        .withColumn("_newest", F.datediff(F.lit("9999-12-31").cast("date"), "sub_date"))
+    order = F.struct("_newest", "sub", "comment_index_track", "position")
+    first = keyed.groupBy("_h").agg(F.min(order).alias("r")).select("_h", "r.*")
+    kept = keyed.join(first, ["_h", "_newest", "sub", "comment_index_track", "position"], "left_semi").drop("_h", "_newest")
+    return kept.withColumn("cid", F.concat_ws(":", F.col("comment_index_track").cast("string"), F.col("position").cast("string")))
 
 
 def _contraction_map():
@@ -76,31 +83,27 @@ def clean_text(comments: DataFrame) -> DataFrame:
 
 
 def _token_rows(clean: DataFrame, symbols: DataFrame) -> DataFrame:
-    """One row per token: (cid, pos, sym, low, keep_alpha, keep_stop).
+    """One row per token: (cid, pos, sym, low, keep_any, keep_alpha, keep_stop).
 
     Every per-token step is a compiled expression on a row (no lambdas): the
-    symbol dictionary is a hash join (broadcast when its checked row count
-    is small), alphabetic tokens are a regex match, stop words an ``IN``
-    list that Spark turns into a hash set."""
-    toks = (clean.select("cid", F.posexplode(F.split("clean", WS)).alias("pos", "tok"))
-            .filter(F.col("tok") != ""))
-    n = symbols.count()
+    symbol dictionary is a join the planner picks by the sizes it sees,
+    alphabetic tokens are a regex match, stop words an ``IN`` list that Spark
+    turns into a hash set.  Blank tokens stay as rows that are never kept, so
+    a comment of punctuation alone keeps an empty token list."""
+    toks = clean.select("cid", F.posexplode(F.split("clean", WS)).alias("pos", "tok"))
     sym = symbols.select(F.col("symbol").alias("tok"), "name_lower")
-    sym = F.broadcast(sym) if n <= BROADCAST_MAX_ROWS else sym
     j = toks.join(sym, "tok", "left").select("cid", "pos", F.coalesce("name_lower", "tok").alias("sym"))
     low = F.lower("sym")
     alpha = low.rlike(r"^\p{L}+$")
-    return j.select("cid", "pos", "sym", low.alias("low"), alpha.alias("keep_alpha"),
+    return j.select("cid", "pos", "sym", low.alias("low"), (F.col("sym") != "").alias("keep_any"), alpha.alias("keep_alpha"),
                     (alpha & ~low.isin(*STOPWORDS_EN)).alias("keep_stop"))
 
 
-def _regroup(rows: DataFrame, value: str, keep: str | None = None) -> DataFrame:
+def _regroup(rows: DataFrame, value: str, keep: str) -> DataFrame:
     """Tokens back into one array per document in position order.  Dropped
     tokens become nulls, which ``collect_list`` skips, so a document whose
     tokens are all dropped keeps an empty array.  The group is one document."""
-    v = F.struct("pos", F.col(value).alias("t"))
-    if keep is not None:
-        v = F.when(F.col(keep), v)
+    v = F.when(F.col(keep), F.struct("pos", F.col(value).alias("t")))
     g = rows.groupBy("cid").agg(F.sort_array(F.collect_list(v)).alias("s"))
     return g.select("cid", F.transform("s", lambda x: x["t"]).alias("tokens"))
 
@@ -108,7 +111,7 @@ def _regroup(rows: DataFrame, value: str, keep: str | None = None) -> DataFrame:
 def symbol_replace(clean: DataFrame, symbols: DataFrame) -> DataFrame:
     """Tokens replaced through the symbol dictionary (explode, hash join,
     regroup in position order)."""
-    return _regroup(_token_rows(clean, symbols), "sym")
+    return _regroup(_token_rows(clean, symbols), "sym", "keep_any")
 
 
 def tokens_from_clean(clean: DataFrame, symbols: DataFrame) -> DataFrame:
@@ -144,10 +147,11 @@ def _stem_udf(words: pd.Series) -> pd.Series:
 def stems(sents: DataFrame) -> DataFrame:
     """Stem the distinct vocabulary once (Arrow-batched pandas UDF), then
     map every token through the stem table and regroup by document."""
-    ex = sents.select("cid", F.posexplode("tokens").alias("pos", "w"))
-    vocab = ex.select("w").distinct().select("w", _stem_udf("w").alias("stem"))
-    j = ex.join(vocab, "w")
-    g = j.groupBy("cid").agg(F.sort_array(F.collect_list(F.struct("pos", "stem"))).alias("s"))
+    ex = sents.select("cid", F.posexplode_outer("tokens").alias("pos", "w"))
+    vocab = ex.select("w").filter("w is not null").distinct().select("w", _stem_udf("w").alias("stem"))
+    j = ex.join(vocab, "w", "left")
+    one = F.when(F.col("stem").isNotNull(), F.struct("pos", "stem"))   # an empty list stays an empty list
+    g = j.groupBy("cid").agg(F.sort_array(F.collect_list(one)).alias("s"))
     return g.select("cid", F.transform("s", lambda x: x["stem"]).alias("tokens"))
 
 
@@ -203,7 +207,8 @@ def phrase_table(sents: DataFrame, min_count: int = 3, threshold: float = 10.0)
     nb = na.select(F.col("a").alias("b"), F.col("n_a").alias("n_b"))
     sc = (nab.join(na, "a").join(nb, "b")
           .withColumn("score", (F.col("n_ab") - min_count) / F.col("n_a") / F.col("n_b") * F.lit(vocab)))
-    return sc.filter(F.col("score") > threshold).select("a", "b", "n_ab", "n_a", "n_b", "score")
+    # read by the merge, which may look at its size before it joins
+    return cut_lineage(sc.filter(F.col("score") > threshold).select("a", "b", "n_ab", "n_a", "n_b", "score"))
 
 
 def apply_phrases(sents: DataFrame, phrases: DataFrame) -> DataFrame:
@@ -217,11 +222,6 @@ def apply_phrases(sents: DataFrame, phrases: DataFrame) -> DataFrame:
     w = Window.partitionBy("cid").orderBy("pos")
     ex = _pair_rows(sents)
     ph = phrases.select("a", "b", F.lit(True).alias("is_p"))
-    # the phrase table is usually far smaller than the token stream: broadcast
-    # it when its checked row count allows, so the tokens are not shuffled
-    # for the lookup (only once, by document, for the windows below)
-    if phrases.count() <= BROADCAST_MAX_ROWS:
-        ph = F.broadcast(ph)
     flag = ex.join(ph, ["a", "b"], "left")
     flag = flag.withColumn("is_p", F.coalesce("is_p", F.lit(False)))
     st = flag.filter("is_p").withColumn("grp", F.col("pos") - F.row_number().over(w))
@@ -247,10 +247,10 @@ def phrases(sents: DataFrame, min_count: int = 3, threshold: float = 10.0) -> Da
 
 # ---------------------------------------------------------------- vectors
 def word2vec(sents: DataFrame, vector_size: int = 200, window: int = 3, min_count: int = 1,
-             max_iter: int = 30, step: float = 0.03, seed: int = 42):
-    """Skip-gram word vectors (Spark ML; hierarchical softmax)."""
+             max_iter: int = 30, step: float = 0.03, seed: int = 42, parts: int = 8):
+    """Skip-gram word vectors (Spark ML; hierarchical softmax).  The number of
+    partitions shapes the vectors, so it is a parameter, not the core count."""
     from pyspark.ml.feature import Word2Vec
-    parts = max(1, sents.sparkSession.sparkContext.defaultParallelism)
     w2v = Word2Vec(vectorSize=vector_size, windowSize=window, minCount=min_count, maxIter=max_iter,
                    stepSize=step, seed=seed, numPartitions=parts, inputCol="tokens", outputCol="vec")
     # the fit reads its input twice (vocabulary, then training sentences):
@@ -258,43 +258,59 @@ def word2vec(sents: DataFrame, vector_size: int = 200, window: int = 3, min_coun
     return w2v.fit(cut_lineage(sents.filter(F.size("tokens") > 0)))
 
 
+def reloaded(model):
+    """Save word vectors to the shared checkpoint folder and load them back."""
+    from pyspark.ml.feature import Word2VecModel
+    path = os.path.join(ensure_checkpoint_dir(model.getVectors().sparkSession), "vectors", uuid.uuid4().hex)
+    model.write().save(path)
+    return Word2VecModel.load(path)
+
+
 def top_words(freq: DataFrame, n: int) -> list[str]:
     """The n most frequent words (a top-k report: n rows to the driver)."""
     return [r[0] for r in freq.orderBy(F.desc("n"), "word").limit(n).collect()]
 
 
-def similar_words(model, words: list[str], n: int = 10) -> DataFrame:
-    frames = [model.findSynonyms(w, n).select(F.lit(w).alias("word"), F.col("word").alias("similar"),
-                                              "similarity") for w in words]
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f)
-    return out
-
-
-def word_clusters(model, k: int = 10, n: int = 10, seed: int = 1) -> DataFrame:
+def _nearest(vectors: DataFrame, queries: list[tuple], label: str, kind: str, n: int) -> DataFrame:
+    """The ``n`` words nearest by cosine to each query vector.  The queries are
+    the rows of a report (some words, the cluster centres) and ride along as a
+    literal; every word meets them where it is, and a window that Spark cuts
+    to ``n`` rows per task and query ranks the scores."""
+    def unit(v):
+        length = sum(x * x for x in v) ** 0.5 or 1.0
+        return [float(x / length) for x in v]
+    q = F.array(*(F.struct(F.lit(name).cast(kind).alias("q"), F.array(*map(F.lit, unit(v))).alias("qv")) for name, v in queries))
+    from pyspark.ml.functions import vector_to_array
+    w = vectors.select(F.col("word").alias("w"), vector_to_array("vector").alias("v"))
+    dot = F.aggregate(F.zip_with("v", "x.qv", lambda a, b: a * b), F.lit(0.0), lambda a, b: a + b)
+    size = F.sqrt(F.aggregate("v", F.lit(0.0), lambda a, b: a + b * b))
+    s = w.withColumn("x", F.explode(q)).select(F.col("x.q").alias(label), "w", (dot / F.nullif(size, F.lit(0.0))).alias("similarity"))
+    rank = F.row_number().over(Window.partitionBy(label).orderBy(F.desc("similarity"), "w"))
+    return s.filter(F.col("w") != F.col(label).cast("string")).withColumn("_r", rank).filter(F.col("_r") <= n).drop("_r")
+
+
+def similar_words(model, words: list[str], n: int = 20) -> DataFrame:
+    vectors = model.getVectors()
+    known = vectors.filter(F.col("word").isin(words)).collect()   # one row per asked word
+    return _nearest(vectors, [(r.word, r.vector) for r in known], "word", "string", n) \
+        .select("word", F.col("w").alias("similar"), "similarity")
+
+
+def word_clusters(model, k: int = 10, n: int = 20, seed: int = 1, max_iter: int = 10_000) -> DataFrame:
     """k-means over the word vectors; nearest words of each centroid."""
     from pyspark.ml.clustering import KMeans
-    vecs = model.getVectors().withColumnRenamed("vector", "features")
-    km = KMeans(k=k, seed=seed, featuresCol="features").fit(vecs)
-    frames = []
-    for i, c in enumerate(km.clusterCenters()):
-        frames.append(model.findSynonyms(_dense(c), n).select(F.lit(i).alias("cluster"), "word",
-                                                              "similarity"))
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f)
-    return out
-
-
-def _dense(c):
-    from pyspark.ml.linalg import Vectors
-    return Vectors.dense(c)
+    vectors = model.getVectors()
+    km = KMeans(k=k, seed=seed, maxIter=max_iter, featuresCol="vector").fit(vectors)
+    return _nearest(vectors, list(enumerate(km.clusterCenters())), "cluster", "int", n) \
+        .select("cluster", F.col("w").alias("word"), "similarity")
 
 
 # ---------------------------------------------------------------- sinks
 def write_partitioned(df: DataFrame, col: str, name: str) -> str:
-    """Partitioned parquet sink under the shared checkpoint folder."""
+    """Partitioned parquet sink under the shared checkpoint folder.  Rows are
+    brought together by the partition column and a salt, so a folder gets a
+    few files and a folder with very many rows is written by several tasks."""
     path = os.path.join(ensure_checkpoint_dir(df.sparkSession), name, uuid.uuid4().hex)
-    df.write.mode("overwrite").partitionBy(col).parquet(path)
+    salt = F.pmod(F.xxhash64(*df.columns), F.lit(4))
+    df.repartition(F.col(col), salt).write.mode("overwrite").partitionBy(col).parquet(path)
     return path

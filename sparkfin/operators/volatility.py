@@ -118,7 +118,7 @@ def _params(model: str, theta) -> dict:
 
 
 FIT_SCHEMA = ("permno long, model string, n long, omega double, alpha double, gamma double, "
-              "beta double, loglik double, aic double")
+              "beta double, loglik double, aic double, reason string")
 
 
 def fit_group(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -128,8 +128,10 @@ def fit_group(pdf: pd.DataFrame) -> pd.DataFrame:
     r = r[np.isfinite(r)]
     key = int(pdf["permno"].iloc[0])
     rows = []
-    if len(r) < 30:
-        return pd.DataFrame(rows, columns=[c.split()[0] for c in FIT_SCHEMA.split(", ")])
+    reason = "short series" if len(r) < 30 else "flat series" if not np.var(r) else None
+    if reason:   # a row that says why there is no fit
+        names = [c.split()[0] for c in FIT_SCHEMA.split(", ")]
+        return pd.DataFrame([{"permno": key, "model": m, "n": len(r), "reason": reason} for m in ("garch", "gjr", "tgarch")], columns=names)
     e = (r - r.mean()).tolist()
     v0 = float(np.var(r))
     for model, x0 in (("garch", [math.log(v0 * 0.1), -2.0, 2.0]),
@@ -139,7 +141,7 @@ def fit_group(pdf: pd.DataFrame) -> pd.DataFrame:
         p = _params(model, theta)
         k = len(x0) + 1
         rows.append({"permno": key, "model": model, "n": len(e), **p,
-                     "loglik": -nll, "aic": 2 * k + 2 * nll})
+                     "loglik": -nll, "aic": 2 * k + 2 * nll, "reason": None})
     return pd.DataFrame(rows)
 
 

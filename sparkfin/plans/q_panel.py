@@ -211,21 +211,18 @@ FROM a_fundq f LEFT JOIN a_prices p ON f.gvkey = p.gvkey AND f.datadate = p.data
 
 
 @register("estimates_merge", O.sql(["a_est_act", "a_est_sum"], """
-SELECT a.cusip, a.pends, a.value, s.meanest AS meanest_1y, g.meanest AS ltg
-FROM a_est_act a
-LEFT JOIN (SELECT cusip, fpedats, meanest FROM a_est_sum WHERE fpi = '1' AND statpers = fpedats) s
+SELECT a.cusip, a.pends, a.value, a.current_actual, s.statpers, last_day(s.statpers) AS statpers_me, s.actual AS fut_actual,
+       s.meanest AS fut_eps, g.meanest AS ltg_eps,
+       CASE WHEN a.current_actual <> 0 THEN (s.meanest - a.current_actual) / abs(a.current_actual) END AS futepsgrowth
+FROM (SELECT x.cusip, x.pends, x.value,
+             (SELECT max_by(y.value, y.pends) FROM a_est_act y WHERE y.cusip = x.cusip AND y.pends < x.pends) AS current_actual
+      FROM a_est_act x) a
+LEFT JOIN (SELECT * FROM a_est_sum WHERE fpi = '1' AND fiscalp = 'ANN' AND curr_act = 'USD') s
   ON a.cusip = s.cusip AND a.pends = s.fpedats
-LEFT JOIN (SELECT cusip, statpers, meanest FROM a_est_sum WHERE fpi = '0') g
-  ON a.cusip = g.cusip AND a.pends = g.statpers"""))
+LEFT JOIN (SELECT * FROM a_est_sum WHERE fpi = '0' AND fiscalp = 'LTG') g
+  ON a.cusip = g.cusip AND s.statpers = g.statpers"""))
 def estimates_merge(spark, sf):
-    act = L(spark, sf, "a_est_act")
-    summ = L(spark, sf, "a_est_sum")
-    one = (summ.filter((F.col("fpi") == "1") & (F.col("statpers") == F.col("fpedats")))
-           .select("cusip", F.col("fpedats").alias("pends"), F.col("meanest").alias("meanest_1y")))
-    ltg = summ.filter(F.col("fpi") == "0").select("cusip", F.col("statpers").alias("pends"),
-                                                    F.col("meanest").alias("ltg"))
-    return (act.join(one, ["cusip", "pends"], "left").join(ltg, ["cusip", "pends"], "left")
-            .select("cusip", "pends", "value", "meanest_1y", "ltg"))
+    return P.forecast_growth(L(spark, sf, "a_est_act"), L(spark, sf, "a_est_sum"))
 
 
 @register("fundamentals_merge", O.sql(["a_fundq", "a_est_sum", "a_msf"], """

@@ -70,7 +70,7 @@ register("rating_features", _rsql(f"SELECT gvkey, qdate, label, {', '.join(RT.FE
     lambda spark, sf: _features(spark, sf).drop("is_test"))
 
 register("rating_split", _rsql("""
-SELECT gvkey, qdate, (cast(gvkey AS int) * 7 + year(qdate) * 13 + quarter(qdate)) % 4 = 0 AS is_test FROM feat"""))(
+SELECT gvkey, qdate, cast('0x' || substr(md5(gvkey || '|' || cast(qdate AS string)), 1, 8) AS bigint) % 4 = 0 AS is_test FROM feat"""))(
     lambda spark, sf: _features(spark, sf).select("gvkey", "qdate", "is_test"))
 
 

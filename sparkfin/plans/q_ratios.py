@@ -42,6 +42,26 @@ p_gs AS (SELECT {keys}, {", ".join(f"sum({c}) AS {c}" for c in vals)} FROM p_rd
   GROUP BY {keys})"""
 
 
+_GICS_CTE = """gics1 AS (
+  SELECT gvkey, gsector, ggroup, gind FROM (
+    SELECT *, row_number() OVER (PARTITION BY gvkey ORDER BY indfrom, gind) AS rn FROM a_gics) t
+  WHERE rn = 1)"""
+
+
+def prep_global_ctes() -> str:
+    """DuckDB: the global preparation over ``a_panelq``, ending in ``g_ip``."""
+    run = "OVER (PARTITION BY isin ORDER BY datadate ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
+    zf = ", ".join(f"CASE WHEN count({c}) {run} > 0 THEN coalesce({c}, 0.0) END AS {c}" for c in P.ZERO_FILL_GLOBAL)
+    ip = ", ".join(O.interp_sql(c).replace("PARTITION BY gvkey", "PARTITION BY isin") for c in P.INTERPOLATE_GLOBAL if c in _PANEL_DOUBLES)
+    return f"""{_GICS_CTE},
+g_dd AS (SELECT t.* EXCLUDE (rn_dd), gsector, ggroup, gind FROM (
+    SELECT *, row_number() OVER (PARTITION BY isin, datadate ORDER BY datadate) AS rn_dd FROM a_panelq) t JOIN gics1 USING (gvkey)
+  WHERE rn_dd = 1 AND gsector <> '40' AND cast(gsector AS int) > 0),
+g_zf AS (SELECT * REPLACE ({zf}) FROM g_dd),
+g_ip AS (SELECT * REPLACE ({ip}) FROM (
+    SELECT *, row_number() OVER (PARTITION BY isin ORDER BY datadate) AS rn FROM g_zf) t)"""
+
+
 def ratios_cte(region: str = "US") -> tuple[str, str]:
     """CTE chain (without WITH) computing every quarterly ratio; returns
     (ctes, final cte name)."""
@@ -66,7 +86,7 @@ def ratios_cte(region: str = "US") -> tuple[str, str]:
         src = "SELECT * FROM p_gs"
     else:
         src = ("SELECT " + ", ".join(f"coalesce({c}, 0.0) AS {c}" for c in _PANEL_DOUBLES)
-               + ", " + ", ".join(P.PANEL_GROUP_KEYS) + " FROM p_gs")
+               + ", " + ", ".join([*P.PANEL_GROUP_KEYS, "gsector", "ggroup", "gind"]) + " FROM g_ip")
     ytd = {"oancfq": "oancfy", "capxq": "capxy", "dpcq": "dpcy", "ibcq": "ibcy",
            "dpq": "dpy", "dvq": "dvy"}
     if not us:
@@ -78,7 +98,7 @@ def ratios_cte(region: str = "US") -> tuple[str, str]:
                   "coalesce(prc_crsp_adj, prc_comp_adj) AS price_adj")
     else:
         prices = "mcap_comp AS mktcap, prc_comp_unadj AS price_unadj, prc_comp_adj AS price_adj"
-    qa = prep_ctes() + f",\nqsrc AS ({src}),\nqa AS (SELECT * EXCLUDE (dpq),\n  {ytd_sql},\n  {prices}\nFROM qsrc)"
+    qa = (prep_ctes() if us else prep_global_ctes()) + f",\nqsrc AS ({src}),\nqa AS (SELECT * EXCLUDE (dpq),\n  {ytd_sql},\n  {prices}\nFROM qsrc)"
 
     txd = "txditcq" if us else "txdcq"
     beq = f"({z('seqq')} + {z(txd)} - {z('pstkq')})"
@@ -259,38 +279,54 @@ for _fam in R.FAMILIES_US:
     register(f"ratios_{_fam}", _family_sql(_fam))(_family_query(_fam))
 
 
-@register("ratios_global", O.sql(["a_panelq"], "SELECT isin, datadate, "
+def prepared_global(spark, sf):
+    """The global ratio input: the panel by security after its preparation."""
+    gics = P.dedup_first(A.load(spark, sf, "a_gics"), ["gvkey"], ["indfrom", "gind"])
+    return P.prepare_global(A.load(spark, sf, "a_panelq"), gics)
+
+
+@register("ratios_global", O.sql(["a_panelq", "a_gics"], "SELECT isin, datadate, "
                                  + ", ".join(R.ratio_columns(R.GLOBAL)) + " FROM " + ratios_cte("GLB")[1],
                                  ratios_cte("GLB")[0]))
 def ratios_global(spark, sf):
-    return R.quarterly_ratios(prepared_panel(spark, sf), R.GLOBAL).select(
+    return R.quarterly_ratios(prepared_global(spark, sf), R.GLOBAL).select(
         "isin", "datadate", *R.ratio_columns(R.GLOBAL))
 
 
-def _monthly_sql() -> str:
-    ctes, last = ratios_cte("US")
-    cols = R.ratio_columns(R.US)
-    grid = f"""qq AS (SELECT gvkey, datadate, datadate AS qdate, {O.t4('cast(fqtr AS double)', 4)} AS qtrcheck,
-    {', '.join(cols)} FROM {last}),
+def _monthly_sql(region: str = "US") -> str:
+    ctes, last = ratios_cte(region)
+    us = region == "US"
+    key = "gvkey" if us else "isin"
+    rounded = R.ratio_columns(R.US if us else R.GLOBAL) + ([] if us else R.GLOBAL_PRICES)
+    plain = [] if us else R.GLOBAL_KEYS
+    grid = f"""qq AS (SELECT {key}, datadate, datadate AS qdate, {O.t4('cast(fqtr AS double)', 4, key)} AS qtrcheck,
+    {', '.join(plain + rounded)} FROM {last}),
 months AS (SELECT DISTINCT last_day(cast(m AS date)) AS datadate FROM (
     SELECT unnest(generate_series(date_trunc('month', min(datadate)), date_trunc('month', max(datadate)),
                                   INTERVAL 1 MONTH)) AS m FROM qq) t),
-grid AS (SELECT f.gvkey, m.datadate FROM (SELECT DISTINCT gvkey FROM qq) f CROSS JOIN months m),
-filled AS (SELECT g.gvkey, g.datadate, {', '.join(
-        f"last_value(q.{c} IGNORE NULLS) OVER (PARTITION BY g.gvkey ORDER BY g.datadate ROWS BETWEEN 2 PRECEDING AND CURRENT ROW) AS {c}"
-        for c in ['qdate', 'qtrcheck'] + cols)}
-  FROM grid g LEFT JOIN qq q ON g.gvkey = q.gvkey AND g.datadate = q.datadate)"""
-    body = (f"SELECT gvkey, datadate, qdate, last_day(datadate + INTERVAL 2 MONTH) AS publicdate, qtrcheck, "
-            + ", ".join(f"round_even({c} * 10000.0, 0) / 10000.0 AS {c}" for c in cols)
+grid AS (SELECT f.{key}, m.datadate FROM (SELECT DISTINCT {key} FROM qq) f CROSS JOIN months m),
+filled AS (SELECT g.{key}, g.datadate, {', '.join(
+        f"last_value(q.{c} IGNORE NULLS) OVER (PARTITION BY g.{key} ORDER BY g.datadate ROWS BETWEEN 2 PRECEDING AND CURRENT ROW) AS {c}"
+        for c in ['qdate', 'qtrcheck'] + plain + rounded)}
+  FROM grid g LEFT JOIN qq q ON g.{key} = q.{key} AND g.datadate = q.datadate)"""
+    body = (f"SELECT {key}, datadate, qdate, last_day(datadate + INTERVAL 2 MONTH) AS publicdate, qtrcheck, "
+            + "".join(f"{c}, " for c in plain)
+            + ", ".join(f"round_even({c} * 10000.0, 0) / 10000.0 AS {c}" for c in rounded)
             + " FROM filled WHERE qtrcheck = 10")
-    return O.sql(["a_panelq"], body, ctes + ",\n" + grid)
+    return O.sql(["a_panelq"] + ([] if us else ["a_gics"]), body, ctes + ",\n" + grid)
 
 
 @register("ratio_monthly_panel", _monthly_sql())
 def ratio_monthly_panel(spark, sf):
-    panel = prepared_panel(spark, sf)
-    hi = A.load(spark, sf, "a_fundq").agg(F.max("datadate")).first()[0]   # cheap: fundamentals only
-    return R.monthly_panel(R.quarterly_ratios(panel), R.ratio_columns(R.US), hi=hi)
+    return R.monthly_panel(R.quarterly_ratios(prepared_panel(spark, sf)), R.ratio_columns(R.US))
+
+
+@register("ratio_monthly_global", _monthly_sql("GLB"))
+def ratio_monthly_global(spark, sf):
+    """The global monthly panel with its output columns: codes, fiscal keys,
+    market value and prices next to the ratios."""
+    q = R.quarterly_ratios(prepared_global(spark, sf), R.GLOBAL, keep=R.GLOBAL_KEYS + R.GLOBAL_PRICES)
+    return R.monthly_panel(q, R.ratio_columns(R.GLOBAL) + R.GLOBAL_PRICES, key="isin", plain=R.GLOBAL_KEYS)
 
 
 def _annual_sql() -> str:

@@ -24,22 +24,41 @@ def _lit(s: str) -> str:
 
 
 _SHEETS_IN = ", ".join(_q(s) for s in A.SHEETS)
-_LABEL_OK = " AND ".join(f"NOT contains(value, {_lit(w)})" for w in ST.LABEL_STOPWORDS)
-_MARKERS = ", ".join(_q(m) for m in ST.ERROR_MARKERS)
+_STATEMENTS = ", ".join(_q(s) for s in ST.STATEMENTS)
+_LABEL_OK = "CASE sheet " + " ".join(
+    f"WHEN {_q(s)} THEN " + " AND ".join(f"NOT contains(value, {_lit(w)})" for w in words) for s, words in ST.STOPWORDS.items()) + " ELSE true END"
 _PMARK = ", ".join(_lit(m) for m in ST.PERIOD_MARKERS)
+_BODY = "row >= CASE WHEN sheet = 'Ratios' THEN 13 ELSE 16 END"
+# every column the fixture's labels can give
+_ALL = list(dict.fromkeys(ST.snake(ST.clean_label_py(label)) for sheet, label, _ in A.CELL_ROWS
+                          if not any(w in label for w in ST.STOPWORDS.get(sheet, ()))))
+
+
+def _in(labels):
+    return ", ".join(_q(x) for x in labels)
+
 
 _CTES = f"""labels AS (
-  SELECT file, sheet, row, value AS label FROM a_cells
-  WHERE row >= 16 AND col = 0 AND value IS NOT NULL AND {_LABEL_OK}),
-errcols AS (SELECT DISTINCT file, sheet, col FROM a_cells WHERE value IN ({_MARKERS})),
+  SELECT file, sheet, row, value AS label FROM a_cells WHERE {_BODY} AND col = 0 AND value IS NOT NULL AND {_LABEL_OK}),
+errcols AS (
+  SELECT DISTINCT c.file, c.sheet, c.col FROM a_cells c JOIN labels l USING (file, sheet, row)
+  WHERE c.col >= 1 AND c.sheet IN ({_STATEMENTS}) AND c.value IN ('DSC', 'FYC')
+  UNION
+  SELECT file, sheet, col FROM a_cells WHERE col >= 1 AND row >= 16 AND sheet NOT IN ({_STATEMENTS}) AND value = 'FYC'),
 body AS (
-  SELECT c.* FROM a_cells c WHERE c.row >= 16 AND c.col >= 1
+  SELECT c.* FROM a_cells c WHERE {_BODY} AND c.col >= 1
   AND NOT EXISTS (SELECT 1 FROM errcols e WHERE e.file = c.file AND e.sheet = c.sheet AND e.col = c.col)),
+headers AS (
+  SELECT * FROM a_cells WHERE col >= 1 AND row = 13 AND sheet IN ({_STATEMENTS})
+  UNION ALL SELECT * FROM a_cells WHERE col >= 1 AND row = 12 AND sheet = 'Historical Capitalization'
+  UNION ALL SELECT * FROM a_cells WHERE col % 2 = 1 AND row = 12 AND sheet = 'Capital Structure Summary'
+  UNION ALL SELECT * FROM a_cells c WHERE col % 2 = 1 AND row = 13 AND sheet = 'Capital Structure Summary'
+    AND NOT EXISTS (SELECT 1 FROM a_cells x WHERE x.file = c.file AND x.sheet = c.sheet AND x.row = 12 AND x.col >= 1 AND x.value IS NOT NULL)),
 periods AS (
   SELECT file, sheet, col, value AS header,
          try_strptime(right(value, 11), '%b-%d-%Y')::date AS period_date,
          contains(value, 'LTM') AS is_ltm
-  FROM a_cells WHERE row = 13 AND col >= 1 AND right(value, 11) NOT IN ({_PMARK})),
+  FROM headers WHERE value IS NOT NULL AND right(value, 11) NOT IN ({_PMARK})),
 ann AS (SELECT file, col, period_date, year(period_date) AS year, is_ltm FROM periods
         WHERE sheet = 'Income Statement' AND NOT is_ltm),
 chosen AS (
@@ -48,8 +67,18 @@ chosen AS (
   SELECT file, col, period_date, year(period_date), is_ltm FROM periods p
   WHERE sheet = 'Income Statement' AND is_ltm
     AND NOT EXISTS (SELECT 1 FROM ann a WHERE a.file = p.file AND a.year = year(p.period_date))),
-firstcol AS (SELECT file, col, year FROM (
-  SELECT *, row_number() OVER (PARTITION BY file, year ORDER BY col) AS rn FROM chosen) t WHERE rn = 1),
+firstcol AS (
+  SELECT f.file, s.sheet, f.year, min(f.col) AS col FROM chosen f CROSS JOIN (SELECT unnest([{_STATEMENTS}]) AS sheet) s GROUP BY ALL
+  UNION ALL
+  SELECT p.file, p.sheet, year(p.period_date), min(p.col) FROM periods p JOIN (SELECT DISTINCT file, period_date FROM chosen) c
+    ON p.file = c.file AND p.period_date = c.period_date
+  WHERE p.sheet NOT IN ({_STATEMENTS}) GROUP BY ALL),
+banks AS (SELECT DISTINCT file FROM labels WHERE sheet = 'Historical Capitalization' AND label = 'Tier 1 Capital'),
+wanted AS (
+  SELECT * FROM labels WHERE sheet IN ({_STATEMENTS})
+  UNION ALL SELECT * FROM labels WHERE sheet = 'Capital Structure Summary' AND label IN ({_in(ST.SUMMARY_LABELS)})
+  UNION ALL SELECT * FROM labels WHERE sheet = 'Historical Capitalization' AND file IN (FROM banks) AND label IN ({_in(ST.BANK_LABELS)})
+  UNION ALL SELECT * FROM labels WHERE sheet = 'Historical Capitalization' AND file NOT IN (FROM banks) AND label IN ({_in(ST.OTHER_LABELS)})),
 named AS (
   SELECT b.file, f.year, b.sheet,
     CASE {' '.join(f"WHEN b.sheet = {_q(s)} THEN {i}" for i, s in enumerate(A.SHEETS))} END AS so,
@@ -58,9 +87,9 @@ named AS (
         {' '.join(f"WHEN {_q(k)} THEN {_q(v)}" for k, v in ST.RENAME.items())}
         ELSE ltrim(regexp_replace(l.label, '[% ]+$', '')) END), '[^a-z0-9]+', '_', 'g'), '^_+|_+$', '', 'g') AS name,
     try_cast(b.value AS double) AS v
-  FROM body b JOIN labels l ON b.file = l.file AND b.sheet = l.sheet AND b.row = l.row
-  JOIN firstcol f ON b.file = f.file AND b.col = f.col),
-wide AS (SELECT file, year, {', '.join(f"arg_max(v, so) FILTER (WHERE name = '{c}') AS {c}" for c in ST.output_columns())}
+  FROM body b JOIN wanted l ON b.file = l.file AND b.sheet = l.sheet AND b.row = l.row
+  JOIN firstcol f ON b.file = f.file AND b.sheet = f.sheet AND b.col = f.col),
+wide AS (SELECT file, year, {', '.join(f"arg_max(v, so) FILTER (WHERE name = '{c}') AS {c}" for c in _ALL)}
   FROM named GROUP BY file, year),
 ident AS (
   SELECT file, split_part(value, ' (', 1) AS company,
@@ -68,7 +97,7 @@ ident AS (
          regexp_extract(value, ':([^)]*)\\)', 1) AS ticker
   FROM a_cells WHERE sheet = 'Income Statement' AND row = 3 AND col = 0)"""
 
-_NONEMPTY = [c for c in ST.output_columns() if c != "unused_item"]
+_NONEMPTY = [c for c in _ALL if c != "unused_item"]
 
 
 def _sql(body: str) -> str:
@@ -110,7 +139,7 @@ SELECT w.file, w.year, coalesce(b.bank, false) AS bank, share_price, shares_out,
        CASE WHEN coalesce(b.bank, false) THEN tier_2_capital END AS tier_2_capital,
        CASE WHEN NOT coalesce(b.bank, false) THEN total_enterprise_value END AS total_enterprise_value,
        total_capital
-FROM wide w LEFT JOIN (SELECT DISTINCT file, true AS bank FROM labels WHERE label = 'Tier 1 Capital') b
+FROM wide w LEFT JOIN (SELECT file, true AS bank FROM banks) b
   ON w.file = b.file"""))(
     lambda spark, sf: _year_bigint(ST.capitalization(cells(spark, sf))))
 

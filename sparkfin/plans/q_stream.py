@@ -1,14 +1,20 @@
 """Streaming query."""
 from __future__ import annotations
 
+import hashlib
+
+from ..session import ensure_checkpoint_dir
 from ..streaming.daily import daily_windows
 from .registry import register
 
-# Batch oracle: the same counts, only for windows the watermark has closed
-# (window end at most the latest event time minus one day).
-register("stream_daily_windows", """
+
+@register("stream_daily_windows", """
 SELECT cast(date_trunc('day', ts) AS date) AS day, event_type, count(*) AS n_events,
        cast(sum(cast(value AS DECIMAL(18, 2))) AS DOUBLE) AS value_sum
 FROM (SELECT DISTINCT ON (event_id) * FROM events) e
-WHERE date_trunc('day', ts) + INTERVAL 1 DAY <= (SELECT max(ts) - INTERVAL 1 DAY FROM events)
-GROUP BY 1, 2""")(lambda spark, sf: daily_windows(spark, sf))
+GROUP BY 1, 2""")
+def stream_daily_windows(spark, sf):
+    """One folder per source under the shared checkpoint folder: a second call
+    goes on from the first and finds nothing new."""
+    name = hashlib.md5(sf.encode()).hexdigest()
+    return daily_windows(spark, sf, f"{ensure_checkpoint_dir(spark)}/stream_daily/{name}")

@@ -34,8 +34,8 @@ ctok AS (
   SELECT cid, unnest(toks) AS tok, unnest(generate_series(1, len(toks))) AS pos
   FROM (SELECT cid, regexp_split_to_array(clean, {_WS}) AS toks FROM clean) t),
 replaced AS (
-  SELECT c.cid, list(coalesce(s.name_lower, c.tok) ORDER BY c.pos) AS tokens
-  FROM ctok c LEFT JOIN a_symbols s ON c.tok = s.symbol WHERE c.tok <> '' GROUP BY c.cid),
+  SELECT c.cid, coalesce(list(coalesce(s.name_lower, c.tok) ORDER BY c.pos) FILTER (WHERE c.tok <> ''), []) AS tokens
+  FROM ctok c LEFT JOIN a_symbols s ON c.tok = s.symbol GROUP BY c.cid),
 toks AS (
   SELECT cid, list_filter(list_transform(tokens, lambda t: lower(t)), lambda t: regexp_full_match(t, '\\p{{L}}+'))
          AS tokens FROM replaced),
@@ -59,15 +59,33 @@ SELECT day, id, title FROM (
   FROM a_submissions WHERE contains(title, 'Daily Discussion -') AND contains(author, 'AutoModerator')) t
 WHERE rn = 1"""))(lambda spark, sf: T.daily_thread_ids(L(spark, sf, "a_submissions")))
 
+@register("thread_ids_merged", O.sql(["a_submissions"], """
+WITH s AS (SELECT cast(date_trunc('day', created_utc) AS date) AS day, created_utc, id FROM a_submissions
+           WHERE contains(title, 'Daily Discussion -') AND contains(author, 'AutoModerator')),
+m AS (SELECT min(day) + cast(date_diff('day', min(day), max(day)) // 2 AS int) AS cut FROM s),
+a AS (SELECT day, arg_min(id, (created_utc, id)) AS id FROM s, m WHERE day <= cut GROUP BY day),
+b AS (SELECT day, arg_max(id, (created_utc, id)) AS id FROM s, m WHERE day >= cut GROUP BY day)
+SELECT day, coalesce(b.id, a.id) AS id FROM a FULL JOIN b USING (day)""".replace("WITH s AS", "SELECT * FROM (WITH s AS") + ") t"))
+def thread_ids_merged(spark, sf):
+    """Two captures of thread ids that overlap in one day, merged as one
+    dictionary: the later capture's value stays."""
+    s = T.moderator_threads(L(spark, sf, "a_submissions"))
+    lo, hi = s.agg(F.min("day"), F.max("day")).first()
+    cut = F.date_add(F.lit(lo), (hi - lo).days // 2) if lo else F.lit(None).cast("date")
+    when = F.struct("created_utc", "id")
+    first = s.filter(F.col("day") <= cut).groupBy("day").agg(F.min_by("id", when).alias("id"))
+    second = s.filter(F.col("day") >= cut).groupBy("day").agg(F.max_by("id", when).alias("id"))
+    return T.merge_last(first, second, "day", "id")
+
+
 register("comments_flat", O.sql(["a_comments"], """
-SELECT c.sub, c.sub_date, c.comment_index_track, c.position, c.kind, c.author,
-       CASE WHEN c.position > 0 THEN p.author END AS parent_author, length(c.comment) AS comment_len
+SELECT c.*, CASE WHEN c.position > 0 THEN p.author END AS parent_author
 FROM a_comments c LEFT JOIN (SELECT comment_index_track, author FROM a_comments WHERE position = 0) p
   ON c.comment_index_track = p.comment_index_track
 WHERE c.author IS NOT NULL AND c.author <> '[deleted]'"""))(
     lambda spark, sf: T.comments_flat(L(spark, sf, "a_comments")))
 
-_COMMENT_COLS = ["sub", "sub_date", "comment_index_track", "position", "kind", "author", "comment_upvotes"]
+_COMMENT_COLS = ["sub", "sub_date", "comment_index_track", "position", "kind", "author", "comment", "comment_upvotes"]
 
 
 @register("load_comment_partitions", O.sql(["a_comments"], f"SELECT {', '.join(_COMMENT_COLS)} FROM a_comments"))
@@ -79,14 +97,16 @@ def load_comment_partitions(spark, sf):
 
 
 @register("comments_by_thread", O.sql(["a_comments"], """
-SELECT sub, count(*) AS n_rows, count(*) FILTER (WHERE position > 0) AS n_replies FROM a_comments GROUP BY sub"""))
+SELECT sub, count(*) AS n_rows, count(*) FILTER (WHERE position > 0) AS n_replies, cast(sum(length(comment)) AS bigint) AS n_chars
+FROM a_comments GROUP BY sub"""))
 def comments_by_thread(spark, sf):
-    """One output folder per thread; counts read back from the sink."""
-    path = T.write_partitioned(L(spark, sf, "a_comments").select("sub", "comment_index_track", "position"),
-                               "sub", "comment_threads")
+    """One output folder per thread holding its comments; counts read back
+    from the sink."""
+    path = T.write_partitioned(L(spark, sf, "a_comments").select(*_COMMENT_COLS), "sub", "comment_threads")
     back = spark.read.parquet(path)
     return back.groupBy("sub").agg(F.count("*").alias("n_rows"),
-                                   F.count(F.when(F.col("position") > 0, 1)).alias("n_replies"))
+                                   F.count(F.when(F.col("position") > 0, 1)).alias("n_replies"),
+                                   F.sum(F.length("comment")).alias("n_chars"))
 
 
 # ---------------------------------------------------------------- cleaning
@@ -156,7 +176,9 @@ register("phrases_trigram", _tsql("SELECT cid, tokens FROM p2_out",
 
 # ---------------------------------------------------------------- vectors
 def _w2v(spark, sf, max_iter: int = 30):
-    return T.word2vec(_sents(spark, sf), max_iter=max_iter)
+    """Vectors of the bigram sentences (each word followed by the pair it opens)."""
+    grams = T.ngram_sentences(_sents(spark, sf)).select("cid", F.col("gram2").alias("tokens"))
+    return T.word2vec(grams, max_iter=max_iter)
 
 
 @register("word2vec_vectors")
@@ -168,15 +190,14 @@ def word2vec_vectors(spark, sf):
 
 @register("word2vec_similar")
 def word2vec_similar(spark, sf):
-    from ..session import cut_lineage
-    sents = cut_lineage(_sents(spark, sf))
-    m = T.word2vec(sents)
-    return T.similar_words(m, T.top_words(T.word_frequency(sents), 10), 10)
+    """Neighbours of the ten most frequent words, from vectors saved and loaded."""
+    m = T.reloaded(_w2v(spark, sf))
+    return T.similar_words(m, T.top_words(T.word_frequency(_sents(spark, sf)), 10))
 
 
 @register("word_clusters")
 def word_clusters(spark, sf):
-    return T.word_clusters(_w2v(spark, sf), k=10, n=10)
+    return T.word_clusters(_w2v(spark, sf), k=10)
 
 
 # ---------------------------------------------------------------- embeddings
@@ -198,25 +219,31 @@ WHERE rnk <= {_TOPK}""")
 def topk_similar(spark, sf, k: int = _TOPK):
     """Top-k cosine neighbours of one query vector per label.
 
-    The query vectors are few (one per label; their count is checked before
-    they are inlined as a literal array), so every vector row scores itself
-    against each query in place - no join and no shuffle for the scoring -
-    and the per-query top-k is a ``row_number() <= k`` filter that Spark
-    evaluates per partition before the final exchange."""
+    The query vectors (one per label) are inlined as a literal array, a
+    thousand at a time, so every vector row scores itself against each query
+    in place - no join and no shuffle for the scoring - and the per-query
+    top-k is a ``row_number() <= k`` filter that Spark evaluates per
+    partition before the final exchange."""
     e = L(spark, sf, "embeddings").select("vec_id", "label",
                                           F.transform("embedding", lambda x: x.cast("double")).alias("v"))
     e = e.withColumn("nv", F.sqrt(F.aggregate(F.transform("v", lambda x: x * x), F.lit(0.0),
                                               lambda acc, x: acc + x)))
     qids = e.groupBy("label").agg(F.min("vec_id").alias("qid"))
-    nq = qids.count()
-    if nq > 1_000:
-        raise ValueError(f"{nq} query vectors: too many to inline")
-    qrows = qids.join(e, qids.qid == e.vec_id).select("qid", "v", "nv").collect()   # nq rows, checked
-    qarr = F.array(*[F.struct(F.lit(r.qid).cast("bigint").alias("qid"), F.array(*[F.lit(float(x)) for x in r.v]).alias("qv"),
-                              F.lit(r.nv).alias("qn")) for r in qrows])
-    dot = F.aggregate(F.zip_with("q.qv", "v", lambda a, b: a * b), F.lit(0.0), lambda acc, x: acc + x)
-    s = (e.select("vec_id", "v", "nv", F.explode(qarr).alias("q"))
-         .filter(F.col("vec_id") != F.col("q.qid"))
-         .select(F.col("q.qid").alias("qid"), "vec_id", (dot / (F.col("q.qn") * F.col("nv"))).alias("sim")))
+    blocks = max(1, -(-2 * qids.count() // 1_000)) if qids.count() > 1_000 else 1
+    found = None
+    for b in range(blocks):
+        mine = qids.filter(F.pmod(F.xxhash64("qid"), F.lit(blocks)) == b)
+        qrows = mine.join(e, mine.qid == e.vec_id).select("qid", "v", "nv").collect()   # one block of queries
+        if not qrows:
+            continue
+        qarr = F.array(*[F.struct(F.lit(r.qid).cast("bigint").alias("qid"), F.array(*[F.lit(float(x)) for x in r.v]).alias("qv"),
+                                  F.lit(r.nv).alias("qn")) for r in qrows])
+        dot = F.aggregate(F.zip_with("q.qv", "v", lambda a, b: a * b), F.lit(0.0), lambda acc, x: acc + x)
+        s = (e.select("vec_id", "v", "nv", F.explode(qarr).alias("q"))
+             .filter(F.col("vec_id") != F.col("q.qid"))
+             .select(F.col("q.qid").alias("qid"), "vec_id", (dot / (F.col("q.qn") * F.col("nv"))).alias("sim")))
+        found = s if found is None else found.unionByName(s)
+    if found is None:
+        found = e.select(F.col("vec_id").alias("qid"), "vec_id", F.col("nv").alias("sim")).limit(0)
     w = Window.partitionBy("qid").orderBy(F.desc("sim"), "vec_id")
-    return s.withColumn("rnk", F.row_number().over(w).cast("bigint")).filter(F.col("rnk") <= k)
+    return found.withColumn("rnk", F.row_number().over(w).cast("bigint")).filter(F.col("rnk") <= k)

@@ -195,7 +195,7 @@ SELECT gvkey, gsector, gsector || sub AS ggroup, gsector || sub || '10' AS gind,
 """)
 
 ADAPTERS["a_est_act"] = (("orders", "supplier"), """
-SELECT cusip, pends, 'ANN' AS pdicity, pends + 60 AS anndats, value FROM (
+SELECT cusip, pends, 'ANN' AS pdicity, pends + 60 AS anndats, cast(value AS double) / 100 AS value FROM (
   SELECT lpad(cast(o_custkey % (SELECT count(*) FROM {supplier}) + 1 AS string), 8, '0') AS cusip,
          make_date(cast(year(o_orderdate) AS int), 12, 31) AS pends,
          cast(floor(sum(cast(round(o_totalprice * 100) AS bigint)) / count(*)) AS bigint) AS value
@@ -203,7 +203,7 @@ SELECT cusip, pends, 'ANN' AS pdicity, pends + 60 AS anndats, value FROM (
 """)
 
 ADAPTERS["a_est_sum"] = (("orders", "supplier"), """
-SELECT cusip, statpers, fpi, 'ANN' AS fiscalp, 'USD' AS curr_act,
+SELECT cusip, statpers, fpi, CASE WHEN fpi = '0' THEN 'LTG' ELSE 'ANN' END AS fiscalp, 'USD' AS curr_act,
        cast(actual AS double) / 100 AS actual, cast(meanest AS double) / 100 AS meanest,
        statpers + 45 AS anndats_act, make_date(cast(year(statpers) AS int), 12, 31) AS fpedats
 FROM (
@@ -235,22 +235,35 @@ SELECT s.gvkey, last_day(s.datadate) AS datadate,
 FROM {a_secm} s
 """)
 
+# Forecast growth per firm and forecast month: the forecast for the fiscal year
+# against the actual of the year before; long-term growth of the same month.
+ADAPTERS["a_growth"] = (("a_est_act", "a_est_sum"), """
+SELECT cusip, statpers_me, futepsgrowth, ltg_eps FROM (
+  SELECT a.cusip, last_day(s.statpers) AS statpers_me, g.meanest AS ltg_eps,
+         (s.meanest - a.current_actual) / nullif(abs(a.current_actual), 0) AS futepsgrowth,
+         row_number() OVER (PARTITION BY a.cusip, last_day(s.statpers) ORDER BY a.pends, s.statpers) AS rn
+  FROM (SELECT cusip, pends, lag(value) OVER (PARTITION BY cusip ORDER BY pends) AS current_actual FROM {a_est_act}) a
+  JOIN (SELECT * FROM {a_est_sum} WHERE fpi = '1' AND fiscalp = 'ANN' AND curr_act = 'USD') s
+    ON a.cusip = s.cusip AND a.pends = s.fpedats
+  LEFT JOIN (SELECT * FROM {a_est_sum} WHERE fpi = '0' AND fiscalp = 'LTG') g
+    ON s.cusip = g.cusip AND s.statpers = g.statpers) t
+WHERE rn = 1
+""")
+
 # Firm-quarter panel as the ratio blocks see it: fundamentals with prices and
 # estimate-derived growth inputs (left joins on firm and quarter end).
-ADAPTERS["a_panelq"] = (("a_fundq", "a_prices"), """
+ADAPTERS["a_panelq"] = (("a_fundq", "a_prices", "a_growth"), """
 SELECT f.*, p.mcap_crsp, p.prc_crsp_unadj, p.prc_crsp_adj, p.mcap_comp,
-       p.prc_comp_unadj, p.prc_comp_adj, p.dvrate,
-       cast((cast(f.gvkey AS int) + f.fqtr) % 7 + 1 AS double) / 100 AS futepsgrowth,
-       cast((3 * cast(f.gvkey AS int)) % 11 + 2 AS double) AS ltg_eps
+       p.prc_comp_unadj, p.prc_comp_adj, p.dvrate, e.futepsgrowth, e.ltg_eps
 FROM {a_fundq} f LEFT JOIN {a_prices} p ON f.gvkey = p.gvkey AND f.datadate = p.datadate
+LEFT JOIN {a_growth} e ON substring(f.cusip, 1, length(f.cusip) - 1) = e.cusip AND f.datadate = e.statpers_me
 """)
 
-ADAPTERS["a_panela"] = (("a_funda", "a_prices"), """
+ADAPTERS["a_panela"] = (("a_funda", "a_prices", "a_growth"), """
 SELECT f.*, p.mcap_crsp, p.prc_crsp_unadj, p.prc_crsp_adj, p.mcap_comp,
-       p.prc_comp_unadj, p.prc_comp_adj, p.dvrate,
-       cast(cast(f.gvkey AS int) % 7 + 1 AS double) / 100 AS futepsgrowth,
-       cast((3 * cast(f.gvkey AS int)) % 11 + 2 AS double) AS ltg_eps
+       p.prc_comp_unadj, p.prc_comp_adj, p.dvrate, e.futepsgrowth, e.ltg_eps
 FROM {a_funda} f LEFT JOIN {a_prices} p ON f.gvkey = p.gvkey AND f.datadate = p.datadate
+LEFT JOIN {a_growth} e ON substring(f.cusip, 1, length(f.cusip) - 1) = e.cusip AND f.datadate = e.statpers_me
 """)
 
 
@@ -325,35 +338,51 @@ def _cells_sql() -> tuple[str, str]:
         num = f"cast(cast(floor({qual}) AS bigint) AS string)"
         if label == "Cost Of Goods Sold":
             num = f"CASE WHEN (fy.firm + fy.fyear) % 11 = 0 THEN 'DSC' ELSE {num} END"
+        if label == "Tier 2 Capital":   # no error marker on the capital sheets
+            num = f"CASE WHEN (fy.firm + fy.fyear) % 7 = 0 THEN 'DSC' ELSE {num} END"
+        if label == "Share Price":
+            num = f"CASE WHEN (fy.firm + fy.fyear) % 17 = 3 THEN 'FYC' ELSE {num} END"
         if label == "Total Assets":
             num = f"CASE WHEN (fy.firm + fy.fyear) % 13 = 5 THEN 'FYC' ELSE {num} END"
         cases.append(f"WHEN {i} THEN {num}")
     case = "CASE d.i " + " ".join(cases) + " END"
+    # the capital sheets have their own headers: row 12; the summary uses every
+    # second column, the other sheet also holds quarters that are no fiscal year end
+    # (the summary of every third firm has its header in row 13)
+    head = ("CASE WHEN s.sheet = 'Historical Capitalization' OR (s.sheet = 'Capital Structure Summary' AND {t}.firm % 3 <> 0) THEN 12 ELSE 13 END")
+    year_col = "CASE WHEN s.sheet = 'Capital Structure Summary' THEN 2 * (fy.fyear - 1994) - 1 ELSE fy.fyear - 1994 END"
+    last_col = "CASE WHEN s.sheet = 'Capital Structure Summary' THEN 17 ELSE 9 END"
     bank_ok = "(d.bank = 0 OR (d.bank = 1 AND {t}.firm % 5 = 0) OR (d.bank = -1 AND {t}.firm % 5 <> 0))"
     body = f"""
 SELECT file, 'Income Statement' AS sheet, 3 AS row, 0 AS col,
        conm || ' (' || CASE firm % 3 WHEN 0 THEN 'NYSE' WHEN 1 THEN 'NASDAQ' ELSE 'ASX' END
        || ':F' || cast(firm AS string) || ')' AS value FROM files
 UNION ALL
-SELECT fy.file, s.sheet, 13, fy.fyear - 1994, '12 months Dec-31-' || cast(fy.fyear AS string)
+SELECT fy.file, s.sheet, {head.format(t='fy')}, {year_col}, '12 months Dec-31-' || cast(fy.fyear AS string)
 FROM fy CROSS JOIN (VALUES {sheets}) AS s(sheet)
 UNION ALL
-SELECT f.file, s.sheet, 13, 9,
+SELECT f.file, s.sheet, {head.format(t='f')}, {last_col},
        'LTM 12 months Jun-30-' || cast(CASE WHEN f.firm % 4 = 0 THEN 2002 ELSE 2001 END AS string)
 FROM files f CROSS JOIN (VALUES {sheets}) AS s(sheet) WHERE f.firm % 2 = 0
 UNION ALL
-SELECT f.file, s.sheet, 13, 8, 'Fiscal Year' || chr(10) || 'Change'
+SELECT f.file, s.sheet, {head.format(t='f')}, CASE WHEN s.sheet = 'Capital Structure Summary' THEN 15 ELSE 8 END, 'Fiscal Year' || chr(10) || 'Change'
 FROM files f CROSS JOIN (VALUES {sheets}) AS s(sheet) WHERE f.firm % 6 = 1
 UNION ALL
+SELECT fy.file, 'Historical Capitalization', 12, fy.fyear - 1974, 'Mar-31-' || cast(fy.fyear AS string) FROM fy
+UNION ALL
+SELECT fy.file, d.sheet, d.row, fy.fyear - 1974, '7' FROM fy CROSS JOIN defs d WHERE d.sheet = 'Historical Capitalization'
+UNION ALL
+SELECT fy.file, d.sheet, d.row, 2 * (fy.fyear - 1994), '12.5%' FROM fy CROSS JOIN defs d WHERE d.sheet = 'Capital Structure Summary'
+UNION ALL
 SELECT f.file, d.sheet, d.row, 0, d.label FROM files f CROSS JOIN defs d WHERE {bank_ok.format(t="f")}
 UNION ALL
 SELECT file, sheet, row, col, value FROM (
-  SELECT fy.file, d.sheet, d.row, fy.fyear - 1994 AS col, d.label, {case} AS value
+  SELECT fy.file, d.sheet, d.row, {year_col.replace("s.sheet", "d.sheet")} AS col, d.label, {case} AS value
   FROM fy CROSS JOIN defs d WHERE {bank_ok.format(t="fy")}) v
 WHERE value IS NOT NULL OR label = 'Unused Item'
 UNION ALL
 SELECT file, sheet, row, col, value FROM (
-  SELECT fy.file, d.sheet, d.row, 9 AS col, d.label, {case} AS value
+  SELECT fy.file, d.sheet, d.row, {last_col.replace("s.sheet", "d.sheet")} AS col, d.label, {case} AS value
   FROM fy CROSS JOIN defs d WHERE fy.fyear = 2001 AND fy.firm % 2 = 0 AND {bank_ok.format(t="fy")}) v
 WHERE value IS NOT NULL AND label NOT IN ('Currency', 'Filing Date', 'Note: figures restated', 'LIABILITIES')
 """

@@ -1,42 +1,41 @@
 """Incremental daily capture as a Structured Streaming job.
 
 The reference walks day by day over [after, before) windows and saves one
-result per day.  Here a file stream of events is de-duplicated by id within
-a one-day watermark and counted in tumbling one-day windows; a window is
-written (append mode, parquet sink) once the watermark has passed its end,
-so rows arriving more than a day late are dropped.  ``availableNow``
-processes what is there and stops; the checkpoint and the sink live in the
-cluster's shared checkpoint folder, so a restarted job resumes exactly.
+result per day, the last day included.  Here a file stream of events is
+de-duplicated by id within a one-day watermark; each micro-batch writes its
+counts by day and type under its batch number (overwritten when a batch is
+repeated), and the result is the sum over batches, so open days are there as
+soon as their rows are.  Rows more than a day late are dropped.
+``availableNow`` processes what is there and stops.  The folder is the
+caller's: a job started again with the same folder goes on where it stopped.
 """
 from __future__ import annotations
 
 import os
-import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import ensure_checkpoint_dir
 
-
-def daily_windows(spark: SparkSession, source_dir: str, file_glob: str = "events.parquet",
-                  watermark: str = "1 day", out_dir: str | None = None) -> DataFrame:
+def daily_windows(spark: SparkSession, source_dir: str, folder: str, file_glob: str = "events.parquet",
+                  watermark: str = "1 day") -> DataFrame:
     schema = spark.read.parquet(os.path.join(source_dir, file_glob)).schema
-    base = out_dir or os.path.join(ensure_checkpoint_dir(spark), "stream_daily", uuid.uuid4().hex)
     src = (spark.readStream.schema(schema).option("pathGlobFilter", file_glob)
            .option("maxFilesPerTrigger", 64).parquet(source_dir))
-    agg = (src.withColumn("ts", F.col("ts").cast("timestamp"))
-           .withWatermark("ts", watermark)
-           .dropDuplicatesWithinWatermark(["event_id"])
-           .groupBy(F.window("ts", "1 day").alias("w"), "event_type")
-           # values are cents: summed as decimals, the total is exact and
-           # independent of the order rows arrive in (replays give the same bits)
-           .agg(F.count("*").alias("n_events"),
-                F.sum(F.col("value").cast("decimal(18,2)")).cast("double").alias("value_sum")))
-    q = (agg.writeStream.outputMode("append").format("parquet")
-         .option("path", os.path.join(base, "out"))
-         .option("checkpointLocation", os.path.join(base, "checkpoint"))
+    events = (src.withColumn("ts", F.col("ts").cast("timestamp"))
+              .withWatermark("ts", watermark)
+              .dropDuplicatesWithinWatermark(["event_id"]))
+
+    def save(batch: DataFrame, number: int) -> None:
+        # values are cents: summed as decimals, the total is exact and
+        # independent of the order rows arrive in (replays give the same bits)
+        (batch.groupBy(F.to_date("ts").alias("day"), "event_type")
+         .agg(F.count("*").alias("n"), F.sum(F.col("value").cast("decimal(18,2)")).alias("total"))
+         .write.mode("overwrite").parquet(f"{folder}/days/batch={number}"))
+
+    q = (events.writeStream.outputMode("append").foreachBatch(save)
+         .option("checkpointLocation", f"{folder}/checkpoint")
          .trigger(availableNow=True).start())
     q.awaitTermination()
-    out = spark.read.parquet(os.path.join(base, "out"))
-    return out.select(F.to_date("w.start").alias("day"), "event_type", "n_events", "value_sum")
+    days = spark.read.schema("day date, event_type string, n long, total decimal(28,2), batch long").parquet(f"{folder}/days")
+    return days.groupBy("day", "event_type").agg(F.sum("n").alias("n_events"), F.sum("total").cast("double").alias("value_sum"))

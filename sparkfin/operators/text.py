@@ -246,10 +246,12 @@ def phrases(sents: DataFrame, min_count: int = 3, threshold: float = 10.0) -> Da
 
 
 # ---------------------------------------------------------------- vectors
-def word2vec(sents: DataFrame, vector_size: int = 200, window: int = 3, min_count: int = 1,
+def word2vec(sents: DataFrame, vector_size: int = 200, window: int = 3, min_count: int = 2,
              max_iter: int = 30, step: float = 0.03, seed: int = 42, parts: int = 8):
     """Skip-gram word vectors (Spark ML; hierarchical softmax).  The number of
-    partitions shapes the vectors, so it is a parameter, not the core count."""
+    partitions shapes the vectors, so it is a parameter, not the core count.
+    Spark keeps the vocabulary on the driver; words and pairs seen once have
+    nothing to learn from and are left out of it."""
     from pyspark.ml.feature import Word2Vec
     w2v = Word2Vec(vectorSize=vector_size, windowSize=window, minCount=min_count, maxIter=max_iter,
                    stepSize=step, seed=seed, numPartitions=parts, inputCol="tokens", outputCol="vec")
@@ -258,11 +260,14 @@ def word2vec(sents: DataFrame, vector_size: int = 200, window: int = 3, min_coun
     return w2v.fit(cut_lineage(sents.filter(F.size("tokens") > 0)))
 
 
-def reloaded(model):
-    """Save word vectors to the shared checkpoint folder and load them back."""
+def saved_or_fitted(spark, name: str, fit):
+    """Load word vectors saved in the shared checkpoint folder under ``name``,
+    or fit, save and load them."""
     from pyspark.ml.feature import Word2VecModel
-    path = os.path.join(ensure_checkpoint_dir(model.getVectors().sparkSession), "vectors", uuid.uuid4().hex)
-    model.write().save(path)
+    path = os.path.join(ensure_checkpoint_dir(spark), "vectors", name)
+    done = spark._jvm.org.apache.hadoop.fs.Path(path + "/data/_SUCCESS")
+    if not done.getFileSystem(spark._jsc.hadoopConfiguration()).exists(done):
+        fit().write().overwrite().save(path)
     return Word2VecModel.load(path)
 
 

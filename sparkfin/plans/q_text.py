@@ -1,6 +1,8 @@
 """Forum-text queries."""
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -175,10 +177,12 @@ register("phrases_trigram", _tsql("SELECT cid, tokens FROM p2_out",
 
 
 # ---------------------------------------------------------------- vectors
-def _w2v(spark, sf, max_iter: int = 30):
-    """Vectors of the bigram sentences (each word followed by the pair it opens)."""
-    grams = T.ngram_sentences(_sents(spark, sf)).select("cid", F.col("gram2").alias("tokens"))
-    return T.word2vec(grams, max_iter=max_iter)
+def _w2v(spark, sf):
+    """Vectors of the bigram sentences (each word followed by the pair it
+    opens), fitted once per application and source, then loaded."""
+    name = f"{spark.sparkContext.applicationId}-{hashlib.md5(sf.encode()).hexdigest()}"
+    return T.saved_or_fitted(spark, name, lambda: T.word2vec(
+        T.ngram_sentences(_sents(spark, sf)).select("cid", F.col("gram2").alias("tokens"))))
 
 
 @register("word2vec_vectors")
@@ -190,9 +194,8 @@ def word2vec_vectors(spark, sf):
 
 @register("word2vec_similar")
 def word2vec_similar(spark, sf):
-    """Neighbours of the ten most frequent words, from vectors saved and loaded."""
-    m = T.reloaded(_w2v(spark, sf))
-    return T.similar_words(m, T.top_words(T.word_frequency(_sents(spark, sf)), 10))
+    """Neighbours of the ten most frequent words, from the saved vectors."""
+    return T.similar_words(_w2v(spark, sf), T.top_words(T.word_frequency(_sents(spark, sf)), 10))
 
 
 @register("word_clusters")

@@ -45,3 +45,10 @@ def test_edge_dtd_rules(spark):
     assert out[dt.date(2000, 9, 30)].dtd is None
     assert out[dt.date(2000, 3, 31)].dtd > 0 and out[dt.date(2000, 6, 30)].dtd > 0
     assert out[dt.date(2001, 3, 31)].asset_value_a >= 100.0
+
+
+def test_norm_cdf_against_erfc():
+    x = np.linspace(-37, 37, 1481)
+    want = np.array([0.5 * math.erfc(-v / math.sqrt(2)) for v in x])
+    got = norm_cdf(x)
+    assert np.abs(got - want).max() < 1e-14 and (np.abs(got - want) / want).max() < 1e-6

@@ -7,12 +7,18 @@ def _plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-def test_ratio_family_single_firm_exchange(spark):
-    import __spark_entry__ as E
-    df = E.queries()["ratios_efficiency"](spark, SF_SMALL)
-    plan = df._jdf.queryExecution().sparkPlan().toString()
-    firm_exchanges = [ln for ln in plan.splitlines() if "Exchange hashpartitioning(gvkey" in ln]
-    assert len(firm_exchanges) <= 1, plan
+def test_ratio_family_firm_exchanges(spark):
+    """From a panel that is read as it is: one exchange by (firm, date) for
+    the one row per date, one by firm for all windows."""
+    import re
+    from sparkfin.operators import panel as P
+    from sparkfin.operators import ratios as R
+    from sparkfin.sources import adapters as A
+    schema = A.load(spark, SF_SMALL, "a_panelq").schema
+    panel = spark.createDataFrame([], schema).repartition(3)
+    plan = _plan(R.family(P.prepare_quarterly(panel), "efficiency"))
+    keys = re.findall(r"Exchange hashpartitioning\(([^,)]*)#\d+, ([^,)]*)", plan)
+    assert 1 <= len(keys) <= 3 and all(k[0] == "gvkey" for k in keys), plan
 
 
 def test_no_python_in_relational_plans(spark):

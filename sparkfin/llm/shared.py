@@ -27,7 +27,17 @@ def written(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = run_folder(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    back = spark.read.schema(df.schema).parquet(path)
+    back.written_path = path
+    return back
+
+
+def release(*tables: DataFrame) -> None:
+    """Delete written tables that nothing reads any more."""
+    for t in tables:
+        spark = t.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(t.written_path)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def word_count(text) -> F.Column:
@@ -70,5 +80,22 @@ def gram_hashes(h: np.ndarray, c: np.ndarray) -> np.ndarray:
         return np.empty(0, np.uint64)
     out = h[:n] * c[0]
     for i in range(1, len(c)):
-        out += mixed(h[i:i + n]) * c[i] if i % 2 else h[i:i + n] * c[i]
+        out += h[i:i + n] * c[i]
     return mixed(out)
+
+
+def text_groups(texts, limit: int = 300_000):
+    """Texts of a batch in groups of about ``limit`` words: (numbers of the
+    texts, their word counts, the hashes of all their words).  Array work is
+    done per group, so short texts cost little and memory stays bounded."""
+    numbers, counts, words = [], [], []
+    for i, text in enumerate(texts):
+        w = byte_words(text.as_py())
+        numbers.append(i)
+        counts.append(len(w))
+        words += w
+        if len(words) >= limit:
+            yield np.array(numbers), np.array(counts), word_hashes(words)
+            numbers, counts, words = [], [], []
+    if numbers:
+        yield np.array(numbers), np.array(counts), word_hashes(words)

@@ -34,63 +34,79 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .shared import byte_words, gram_hashes, odd_constants, word_hashes, written
+from .shared import byte_words, gram_hashes, mixed, odd_constants, release, text_groups, written
 
 WINDOW = 20
 SEED = 9
 
 
-def anchor_rows(h: np.ndarray, window: int, c: np.ndarray):
-    """Anchors of a text's word hashes: (hash, at, lo, hi); the windows that
-    start at lo..hi have this anchor."""
-    k = len(c)
-    g = gram_hashes(h, c)
-    w = window - k + 1
-    if len(g) < w:
-        return (np.empty(0, np.uint64),) + (np.empty(0, np.int64),) * 3
-    best = np.lib.stride_tricks.sliding_window_view(g, w).argmin(axis=1) + np.arange(len(g) - w + 1)
-    at, lo = np.unique(best, return_index=True)
-    return g[at], at, lo, np.append(lo[1:], len(best)) - 1
+def leftmost_smallest(g: np.ndarray, w: int) -> np.ndarray:
+    """Place of the first smallest value in every run of ``w`` values."""
+    value, place, span = g, np.arange(len(g)), 1
+    while span < w:
+        step = min(span, w - span)
+        later = value[step:] < value[:-step]
+        value = np.where(later, value[step:], value[:-step])
+        place = np.where(later, place[step:], place[:-step])
+        span += step
+    return place
 
 
-def _anchors(window: int, id_type):
+def anchor_rows(counts: np.ndarray, h: np.ndarray, window: int, c: np.ndarray):
+    """Anchors of texts given one after the other by their word counts and word
+    hashes: (text, hash, at, lo, hi); the text's windows that start at lo..hi
+    have this anchor at ``at``."""
+    k = len(c)
+    w = window - k + 1
+    if len(h) < window:
+        return (np.empty(0, np.int64), np.empty(0, np.uint64)) + (np.empty(0, np.int64),) * 3
+    g = gram_hashes(h, c)
+    best = leftmost_smallest(g, w)
+    starts = np.concatenate([[0], np.cumsum(counts)])
+    owner = np.repeat(np.arange(len(counts)), counts)[:len(best)]
+    inside = np.flatnonzero(np.arange(len(best)) + window <= starts[owner + 1])  # windows that do not leave their text
+    best, owner = best[inside], owner[inside]
+    new = np.flatnonzero(np.concatenate([[True], (best[1:] != best[:-1]) | (owner[1:] != owner[:-1])])) if len(best) else np.empty(0, np.int64)
+    last = np.append(new[1:], len(best)) - 1 if len(best) else new
+    text = owner[new]
+    return text, g[best[new]], best[new] - starts[text], inside[new] - starts[text], inside[last] - starts[text]
+
+
+def _anchors(window: int):
     k = window // 2 + 1
 
     def run(batches):
         c = odd_constants(window, SEED)[:k]
         for batch in batches:
-            out, owner = [], []
-            for i, text in enumerate(batch.column(1)):
-                words = byte_words(text.as_py())
-                if len(words) >= window:
-                    g, at, lo, hi = anchor_rows(word_hashes(words), window, c)
-                    out.append((g.view(np.int64), (at << 16) | ((at - lo) << 8) | (at - hi)))
-                    owner.append(np.full(len(at), i, np.int64))
-            if out:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate([x[0] for x in out])), batch.column(0).take(pa.array(np.concatenate(owner))),
-                     pa.array(np.concatenate([x[1] for x in out]))], names=["anchor", "key", "place"])
+            for numbers, counts, h in text_groups(batch.column(1)):
+                text, g, at, lo, hi = anchor_rows(counts, h, window, c)
+                if len(text):
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(g.view(np.int64)), batch.column(0).take(pa.array(numbers[text])),
+                         pa.array((at << 16) | ((at - lo) << 8) | (at - hi))], names=["anchor", "key", "place"])
     return run
 
 
 def _windows(window: int):
     """Full hashes of the windows that start in the listed ranges."""
     def run(batches):
-        c1, c2 = odd_constants(window, SEED + 1), odd_constants(window, SEED + 2)
+        c1, c2, reach = odd_constants(window, SEED + 1), odd_constants(window, SEED + 2), np.arange(window)
         for batch in batches:
-            a, b, starts, owner = [], [], [], []
-            for i, (text, ranges) in enumerate(zip(batch.column(1), batch.column(2), strict=True)):
-                h = word_hashes(byte_words(text.as_py()))
-                p = np.unique(np.concatenate([np.arange(r["lo"], r["hi"] + 1) for r in ranges.as_py()]))
-                a.append(gram_hashes(h, c1)[p].view(np.int64))
-                b.append(gram_hashes(h, c2)[p].view(np.int64))
-                starts.append(p)
-                owner.append(np.full(len(p), i, np.int64))
-            if a:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(a)), pa.array(np.concatenate(b)),
-                     batch.column(0).take(pa.array(np.concatenate(owner))), pa.array(np.concatenate(starts).astype(np.int64))],
-                    names=["w1", "w2", "key", "start"])
+            ranges = batch.column(2)
+            for numbers, counts, h in text_groups(batch.column(1)):
+                starts = np.concatenate([[0], np.cumsum(counts)])
+                owner, at = [], []
+                for j, i in enumerate(numbers.tolist()):
+                    p = np.unique(np.concatenate([np.arange(r["lo"], r["hi"] + 1) for r in ranges[i].as_py()]))
+                    at.append(p + starts[j])
+                    owner.append(np.full(len(p), j))
+                at, owner = np.concatenate(at), np.concatenate(owner)
+                for z in range(0, len(at), 1 << 16):
+                    p, o = at[z:z + (1 << 16)], owner[z:z + (1 << 16)]
+                    words = h[p[:, None] + reach]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(mixed((words * c).sum(axis=1, dtype=np.uint64)).view(np.int64)) for c in (c1, c2)]
+                        + [batch.column(0).take(pa.array(numbers[o])), pa.array(p - starts[o])], names=["w1", "w2", "key", "start"])
     return run
 
 
@@ -130,11 +146,12 @@ def parse(src: DataFrame, key_type: str, window: int) -> DataFrame:
     """Anchors of (key, text) that the reference index holds, each with the
     bounds (cs, ce) of its factor; ``first`` marks the reference itself."""
     k = window // 2 + 1
-    anchors = src.mapInArrow(_anchors(window, key_type), f"anchor long, key {key_type}, place long")
+    anchors = src.mapInArrow(_anchors(window), f"anchor long, key {key_type}, place long")
     index = anchors.groupBy("anchor").agg(F.min("key").alias("ref"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
-    hits = anchors.join(index, "anchor")
+    # both joins are written or shuffled on at once, so a hot anchor can be split
+    hits = written(anchors.join(index, "anchor"), "substring-hits")
     head = hits.filter(F.col("key") == F.col("ref")).groupBy("anchor").agg(F.min("place").alias("ref_place"))
-    rows = written(hits.join(head, "anchor"), "substring-hits")
+    rows = hits.join(head, "anchor")
 
     at, ref_at = F.shiftright("place", 16), F.shiftright("ref_place", 16)
     rows = rows.select("anchor", "key", "ref", at.alias("at"), ref_at.alias("ref_at"),
@@ -147,8 +164,10 @@ def parse(src: DataFrame, key_type: str, window: int) -> DataFrame:
     rows = rows.withColumn("opens", F.when(F.coalesce(goes_on, F.lit(False)), 0).otherwise(1))
     rows = rows.withColumn("factor", F.sum("opens").over(line.rowsBetween(Window.unboundedPreceding, 0)))
     whole = Window.partitionBy("key", "factor")
-    return rows.withColumn("cs", F.min("at").over(whole)).withColumn("ce", F.max("at").over(whole) + k) \
-        .select("anchor", "key", "lo", "hi", "first", "cs", "ce")
+    out = written(rows.withColumn("cs", F.min("at").over(whole)).withColumn("ce", F.max("at").over(whole) + k)
+                  .select("anchor", "key", "lo", "hi", "first", "cs", "ce"), "substring-factors")
+    release(hits)
+    return out
 
 
 def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW,
@@ -162,7 +181,7 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     odd = src.groupBy("id").agg(F.min(tag).alias("lo"), F.max(tag).alias("hi")).filter("lo <> hi or id is null")
     src = src.withColumn("key", F.col("id") if odd.isEmpty() else F.struct("id", tag.alias("tag")))
     key_type = src.schema["key"].dataType.simpleString()
-    rows = written(parse(src.select("key", "text"), key_type, window), "substring-factors")
+    rows = parse(src.select("key", "text"), key_type, window)
 
     spans = rows.filter(~F.col("first") & (F.col("ce") - F.col("cs") >= window)).groupBy("key") \
         .agg(F.collect_set(F.struct("cs", "ce")).alias("spans"))
@@ -195,10 +214,10 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 ORACLE = r"""
 with w as (select doc_id, coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) as words from documents),
-p as (select doc_id, unnest(range(0, greatest(len(words) - 19, 0))) as at, words from w),
-h as (select doc_id, at, md5(array_to_string(words[at + 1: at + 20], ' ')) as win from p),
-f as (select *, row_number() over (partition by win order by doc_id, at) as nth from h),
-g as (select distinct doc_id, unnest(range(at, at + 20)) as word from f where nth > 1),
+p as (select doc_id, unnest(range(0, greatest(len(words) - 19, 0))) as pos, words from w),
+h as (select doc_id, pos, md5(array_to_string(words[pos + 1: pos + 20], ' ')) as win from p),
+f as (select *, row_number() over (partition by win order by doc_id, pos) as nth from h),
+g as (select distinct doc_id, unnest(range(pos, pos + 20)) as word from f where nth > 1),
 m as (select doc_id, list(word) as gone from g group by doc_id)
 select w.doc_id, len(words)::bigint as n_words, coalesce(len(gone), 0)::bigint as n_removed,
        sha256(array_to_string(list_transform(list_filter(list_zip(words, range(0, len(words))),

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import written
+from .shared import release, written
 
 
 def components(edges: DataFrame, name: str = "components") -> DataFrame:
@@ -29,8 +29,10 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
         # large star: all higher ends of a node hang on its lowest end or itself
         both = e2.unionByName(e2.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m"))
+        last = e
         e = written(both.filter("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
                     .filter("u <> v").distinct(), name)
+        release(last)
         state = e.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")), F.lit(0))).first()
         if state == before:
             break

@@ -12,9 +12,10 @@ other members, so a bucket of n classes gives n - 1 pairs, never n * n.  Every
 candidate is confirmed on the full sets.  The first round's center is the
 member that shares most buckets with others (in a group of variants that is
 the common original).  A bucket whose members are one component is settled;
-members of unsettled buckets go on in rounds over narrower buckets (keys of
-one, two, three and four bands), with members that have no link yet as centers
-first and another center each time, until a round confirms no link.
+members of unsettled buckets go on in rounds over narrower buckets (keys of two
+to four neighbouring bands, other widths each round), with members that have no
+link yet as centers first and another center each time, until a round confirms
+no link.
 
 The center join is keyed by bucket and may be hot; it is a plain equi-join
 that adaptive execution splits, fed by map-side combined aggregates.
@@ -30,14 +31,16 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window  # noqa: F401
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .components import components
-from .shared import byte_words, gram_hashes, mixed, odd_constants, word_hashes, written
+from .shared import byte_words, gram_hashes, mixed, odd_constants, release, word_hashes, written
 
 BANDS = 32
 ROWS = 4
+#: bands in a key of the later rounds; the last entry holds from then on
+WIDTHS = ((2, 3), (2, 4), (3, 4))
 BINS_LOG2 = 7
 PROBES = 256
 SEED = 4
@@ -162,16 +165,20 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     tried = written(_stars(ranked, F.col("density")), "near-tried")
     links = written(confirmed(tried, sets, similar), "near-links")
     roots = components(links, "near-roots")
+    # members of buckets that still hold several components go on, by narrower
+    # keys; buckets only settle, so who goes on is found once
+    live = _rooted(members.select("key", "node", "n"), roots)
+    open_keys = live.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo <> hi").select("key")
+    nodes = live.join(open_keys, "key", "left_semi").select("node").distinct()
+    going = written(classes.join(nodes, "node", "left_semi").select("node", "n", "bands"), "near-going")
+    release(members)
     turn = 1
     while True:
-        # members of buckets that still hold several components, by narrower keys
-        live = _rooted(members.select("key", "node", "n"), roots)
-        open_keys = live.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo <> hi").select("key")
-        nodes = live.join(open_keys, "key", "left_semi").select("node").distinct()
         size = roots.groupBy("root").agg(F.count(F.lit(1)).alias("linked"))
-        wide = _rooted(classes.join(nodes, "node", "left_semi").select("node", "n", "bands"), roots).join(size, "root", "left")
+        wide = _rooted(going, roots).join(size, "root", "left")
+        widths = WIDTHS[min(turn, len(WIDTHS)) - 1]
         keys = F.flatten(F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda i: F.array(*(
-            F.xxhash64(*(F.col("bands")[(i + d) % BANDS] for d in range(w)), F.lit(w)) for w in (1, 2, 3, 4)))))
+            F.xxhash64(*(F.col("bands")[(i + d) % BANDS] for d in range(w)), F.lit(w)) for w in widths))))
         wide = wide.select("node", "n", "root", "linked", F.explode(keys).alias("key"))
         mixed_keys = wide.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo <> hi").select("key")
         wide = written(wide.join(mixed_keys, "key"), "near-open")
@@ -179,11 +186,13 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         order = F.struct(F.col("linked").isNull(), F.xxhash64(F.lit(turn), "key", "node"))
         fresh = written(_stars(wide, order).join(tried, ["a", "b"], "left_anti"), "near-tried")
         found = written(confirmed(fresh, sets, similar), "near-links")
+        release(wide)
         if found.isEmpty():
             break
         tried, links, turn = tried.unionByName(fresh), links.unionByName(found), turn + 1
         roots = components(links, "near-roots")
 
+    release(going, sets)
     named = classes.select("digest", "node").join(roots, "node", "left").select("digest", F.coalesce("root", "node").alias("component"))
     out = facts.select("id", "n", "digest").join(named, "digest", "left")
     component = F.when(F.col("id").isNull() | (F.col("n") == 0), F.col("id")).otherwise(F.col("component"))

@@ -9,7 +9,9 @@ the share of the template's words that are aligned.
 A text is first asked for a template's rare words: at coverage c at most a
 share 1 - c of the template may be missing, so of any (1 - c) m + 1 of its m
 words one must be present.  Then runs of two template words in order seed the
-places to align; seeds of a template closer than its length share a place.
+places to align; seeds of a template closer than its length share a place.  A
+place may chain several copies, so windows of about one template length slide
+over it, and its whole is aligned only where no window covers the template.
 Texts are mapped whole, one batch at a time; templates are a fixed list (or a
 given one) of bounded size.
 
@@ -22,7 +24,7 @@ columns are not read.
 from __future__ import annotations
 
 import re
-from bisect import bisect_left
+from bisect import bisect_left, bisect_right
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -119,6 +121,20 @@ def align(a: list[str], b: list[str]) -> list[tuple[int, int]]:
     return sorted(out)
 
 
+def densest(pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """The run of aligned pairs that is worth most, a pair counting 1 and a
+    word of the text between two pairs -1/2: strays at the ends fall off."""
+    best, at, worth, first = 0.0, (0, 0), 0.0, 0
+    for i, (_, b) in enumerate(pairs):
+        worth -= (b - pairs[i - 1][1] - 1) / 2 if i else 0
+        if worth < 0:
+            worth, first = 0.0, i
+        worth += 1
+        if worth > best:
+            best, at = worth, (first, i + 1)
+    return pairs[at[0]:at[1]]
+
+
 class Scanner:
     """Finds templates in texts."""
 
@@ -159,11 +175,30 @@ class Scanner:
                     places[-1][1] = s
                 else:
                     places.append([s, s])
+            kinds, known = set(w), [0]
+            for x in t if len(starts) > 1 else ():
+                known.append(known[-1] + (x in kinds))
+            need = self.coverage * m - 1e-9
             for lo, hi in places:
+                here = []
+                if hi > lo:
+                    step = max(1, m // 8)
+                    inside = starts[bisect_left(starts, lo):bisect_right(starts, hi)]
+                    for a in sorted({max(0, s) for s in inside} | set(range(max(0, lo - m // 4), hi + 1, step))):
+                        z = min(len(t), a + m + m // 4 + step + 1)
+                        if a < z and known[z] - known[a] >= need:
+                            pairs = align(w, t[a:z])
+                            dense = densest(pairs)
+                            pairs = dense if len(dense) >= need else pairs
+                            if len(pairs) >= need:
+                                here.append((name, len(pairs) / m, a + pairs[0][1], a + pairs[-1][1] + 1))
                 a, z = max(0, lo - m // 4), min(len(t), hi + m + m // 4 + 1)
                 pairs = align(w, t[a:z])
-                if len(pairs) >= self.coverage * m - 1e-9:
-                    found.append((name, len(pairs) / m, a + pairs[0][1], a + pairs[-1][1] + 1))
+                if len(pairs) >= need:
+                    whole = (name, len(pairs) / m, a + pairs[0][1], a + pairs[-1][1] + 1)
+                    if all(whole[3] <= f[2] or whole[2] >= f[3] for f in here):
+                        here.append(whole)
+                found += here
         return self._best(found)
 
     def _best(self, found):

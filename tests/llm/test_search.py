@@ -104,3 +104,17 @@ def test_license_scan(spark):
         [(1, "MIT"), (2, "MIT"), (6, "MIT-notice"), (6, "All-rights-reserved"), (8, "Apache-2.0-notice"), (None, "All-rights-reserved")], key=str)
     assert {r.id: round(r.coverage, 2) for r in got}[1] == 1.0
     assert licenses.scan(frame(spark, [])).count() == 0
+
+
+def test_license_copies_side_by_side():
+    mit = " ".join(licenses.TEMPLATES["MIT"].split())
+    scanner, m = licenses.Scanner(licenses.TEMPLATES), len(licenses.words_of(licenses.TEMPLATES["MIT"]))
+    for between in (0, 10, 30, 60):
+        for copies in (1, 2, 5):
+            text = (" " + "and " * between).join([mit] * copies)
+            assert [(r[0], r[2], r[3]) for r in scanner.scan(text)] == [("MIT", i * (m + between), i * (m + between) + m) for i in range(copies)]
+    words = mit.split()
+    first = " ".join(words[:-6])                                            # lacks its end
+    second = " ".join(w for i, w in enumerate(words) if i % 11 != 5)
+    third = " ".join(x for i, w in enumerate(words) for x in ((w, "zz") if i % 3 == 0 else (w,)))  # more words between
+    assert [r[0] for r in scanner.scan(" ".join([first, second, mit, third]))] == ["MIT"] * 4

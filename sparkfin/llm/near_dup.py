@@ -17,8 +17,18 @@ to four neighbouring bands, other widths each round), with members that have no
 link yet as centers first and another center each time, until a round confirms
 no link.
 
-The center join is keyed by bucket and may be hot; it is a plain equi-join
-that adaptive execution splits, fed by map-side combined aggregates.
+The finish is exact: all pairs of members of unsettled buckets that are in
+different components meet by a prefix filter.  Shingles are put in one order,
+rare ones first; two sets that reach the similarity share one of the first
+shingles of each, as many as the overlap their sizes ask for leaves out.  Sets
+meet per class of sizes, so the prefixes are nearly those of the pair, and the
+boilerplate of a family whose members are not near is in none of them.  The
+order uses shingle counts in a table of fixed size; a collision costs time, not
+pairs.  So a near pair is missed only if it shares no band at all.
+
+The center join and the prefix join are keyed by bucket and shingle and may be
+hot; both are plain equi-joins that adaptive execution splits, fed by map-side
+combined aggregates.
 
 Defined results: a null text has no words; a set without shingles, and a row
 without id, is linked with nothing; an id repeated with other texts is one
@@ -46,6 +56,9 @@ PROBES = 256
 SEED = 4
 #: numerator and denominator of the least similarity
 SIMILAR = (80, 100)
+#: counters of shingles; ratio of the sizes of a class of the exact finish
+COUNTERS = 1 << 20
+CLASS_RATIO = 1.06
 
 
 def shingle_set(text: str | None, k: int, c: np.ndarray) -> np.ndarray:
@@ -117,6 +130,90 @@ def _expand(k: int):
     return run
 
 
+def _tally(batches):
+    counts = np.zeros(COUNTERS, np.int64)
+    for batch in batches:
+        flat = batch.column(0).flatten().to_numpy(zero_copy_only=False).view(np.uint64)
+        counts += np.bincount((flat % np.uint64(COUNTERS)).astype(np.int64), minlength=COUNTERS)
+    at = np.flatnonzero(counts)
+    yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(counts[at])], names=["counter", "n"])
+
+
+def size_classes(largest: int) -> np.ndarray:
+    """Least size of each class of sizes."""
+    out = [1]
+    while out[-1] <= largest:
+        out.append(max(out[-1] + 1, int(out[-1] * CLASS_RATIO)))
+    return np.array(out)
+
+
+def prefixes(s: np.ndarray, counts: np.ndarray, similar=SIMILAR) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(keys, places in the order, probing) of a set.  Of a near pair, the
+    smaller set's entries that do not probe and the larger set's entries that
+    do share a key; a shingle that occurs once meets nothing and is left out."""
+    num, den = similar
+    n = len(s)
+    seen = counts[(s % np.uint64(COUNTERS)).astype(np.int64)]
+    order = np.lexsort((s, seen))
+    ranked, useful = s[order], seen[order] > 1
+    lows = size_classes(n)
+    own = int(np.searchsorted(lows, n, "right")) - 1
+    least = -(-num * n // den)
+    asked = [(own, n, False)]
+    for c in range(int(np.searchsorted(lows, least, "right")) - 1, own + 1):
+        asked.append((c, max(int(lows[c]), least), True))
+    keys, places, probing = [], [], []
+    for c, other, probes in asked:
+        at = np.flatnonzero(useful[:n + (-num * (n + other) // (num + den)) + 1])
+        keys.append(mixed(ranked[at] + np.uint64((c + 1) * 0x9E3779B97F4A7C15 % 2**64)))
+        places.append(at)
+        probing.append(np.full(len(at), probes))
+    return np.concatenate(keys), np.concatenate(places), np.concatenate(probing)
+
+
+def _prefix_rows(counts: np.ndarray, similar):
+    def run(batches):
+        for batch in batches:
+            for lo in range(0, len(batch), 256):
+                part = batch.slice(lo, 256)
+                sets = [np.array(g.values, np.int64).view(np.uint64) for g in part.column(1)]
+                got = [prefixes(s, counts, similar) for s in sets]
+                owner = pa.array(np.repeat(np.arange(len(got)), [len(g[0]) for g in got]))
+                size = np.repeat([len(s) for s in sets], [len(g[0]) for g in got])
+                keys, places, probing = (np.concatenate([g[j] for g in got]) for j in range(3))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(keys.view(np.int64)), part.column(0).take(owner), part.column(2).take(owner), part.column(3).take(owner),
+                     pa.array(size, pa.int64()), pa.array(places, pa.int64()), pa.array(probing)],
+                    names=["key", "node", "root", "linked", "n", "place", "probing"])
+    return run
+
+
+def prefix_pairs(sets: DataFrame, similar=SIMILAR) -> DataFrame:
+    """Every pair (a, b) of different roots that can reach the similarity;
+    ``sets``: id, grams, root, linked (members of the root)."""
+    num, den = similar
+    kind = sets.schema["id"].dataType.simpleString()
+    table = sets.select("grams").mapInArrow(_tally, "counter long, n long").groupBy("counter").agg(F.sum("n").alias("n")).toPandas()
+    counts = np.zeros(COUNTERS, np.uint32)
+    counts[table["counter"].to_numpy(np.int64)] = np.minimum(table["n"].to_numpy(np.int64), 2**32 - 1)
+    rows = written(sets.select("id", "grams", "root", "linked").mapInArrow(
+        _prefix_rows(counts, similar), f"key long, node {kind}, root {kind}, linked long, n long, place long, probing boolean"), "near-prefix")
+    # a key of one component has no pair; the members of a key's largest
+    # component need not meet each other, so one side goes without them
+    keys = rows.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.max(F.struct("linked", "root")).alias("lead")) \
+        .filter("lo <> hi").select("key", F.col("lead.root").alias("lead"))
+    left = rows.join(keys.select("key"), "key", "left_semi")
+    right = rows.join(keys, "key").filter("root <> lead").select(
+        "key", *(F.col(c).alias(f"{c}2") for c in ("node", "root", "n", "place", "probing")))
+    need = F.ceil(num * (F.col("n") + F.col("n2")) / F.lit(num + den))
+    small, large = F.least("n", "n2"), F.greatest("n", "n2")
+    ordered = F.when(F.col("probing"), F.col("n") >= F.col("n2")).otherwise(F.col("n") <= F.col("n2"))
+    e = left.join(right, "key").filter((F.col("root") != F.col("root2")) & (F.col("probing") != F.col("probing2")) & ordered
+                                       & (small * den >= large * num)
+                                       & (F.col("place") <= F.col("n") - need) & (F.col("place2") <= F.col("n2") - need))
+    return e.select(F.least("node", "node2").alias("a"), F.greatest("node", "node2").alias("b")).filter("a <> b").distinct()
+
+
 def confirmed(pairs: DataFrame, sets: DataFrame, similar=SIMILAR) -> DataFrame:
     """Pairs (a, b) whose full sets reach the similarity."""
     num, den = similar
@@ -192,7 +289,18 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         tried, links, turn = tried.unionByName(fresh), links.unionByName(found), turn + 1
         roots = components(links, "near-roots")
 
+    # the exact finish over members of unsettled buckets in different components
+    size = roots.groupBy("root").agg(F.count(F.lit(1)).alias("linked"))
+    rooted = _rooted(going.select("node").distinct(), roots) \
+        .join(size, "root", "left").select(F.col("node").alias("id"), "root", F.coalesce("linked", F.lit(1)).alias("linked"))
+    chosen = written(sets.join(rooted, "id").select("id", "grams", "root", "linked"), "near-chosen")
     release(going, sets)
+    fresh = written(prefix_pairs(chosen, similar).join(tried, ["a", "b"], "left_anti"), "near-tried")
+    found = written(confirmed(fresh, chosen, similar), "near-links")
+    release(chosen)
+    if not found.isEmpty():
+        roots = components(links.unionByName(found), "near-roots")
+
     named = classes.select("digest", "node").join(roots, "node", "left").select("digest", F.coalesce("root", "node").alias("component"))
     out = facts.select("id", "n", "digest").join(named, "digest", "left")
     component = F.when(F.col("id").isNull() | (F.col("n") == 0), F.col("id")).otherwise(F.col("component"))

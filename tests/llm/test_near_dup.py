@@ -73,3 +73,43 @@ def test_components_of_a_path_and_a_star(spark):
     edges = [(i, i + 1) for i in range(50)] + [(100, 100 + i) for i in range(1, 40)] + [(7, 7), (100, 101)]
     got = {r.node: r.root for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {**{i: 0 for i in range(51)}, **{100 + i: 100 for i in range(40)}}
+
+
+def test_pair_in_a_family_that_is_not_near(spark):
+    """Members share boilerplate at 0.74; one pair is near, but shares no band
+    that only the two have."""
+    rng, table, c = random.Random(9), near_dup.probe_table(), near_dup.odd_constants(near_dup.ROWS + 1, near_dup.SEED)
+    core = [f"c{i}" for i in range(170)]
+
+    def grams(words):
+        return near_dup.shingle_set(" ".join(words), 1, c)
+    for attempt in range(2000):
+        tail = [f"t{attempt}_{j}" for j in range(30)]
+        x, y = core + tail, core + tail[:10] + [f"y{attempt}_{j}" for j in range(20)]
+        sx, sy = (near_dup.signature(grams(w), table) for w in (x, y))
+        same = near_dup.band_keys(sx, c) == near_dup.band_keys(sy, c)
+        if same.any() and not np.isin(sx.reshape(-1, near_dup.ROWS)[same], grams(tail[:10])).any():
+            break
+    rows = [(i, " ".join(core + [f"u{i}_{j}" for j in range(30)]), "en", "s") for i in range(2000)]
+    rows += [(5000, " ".join(x), "en", "s"), (5005, " ".join(y), "en", "s")]
+    rng.shuffle(rows)
+    sets = {r[0]: gram_set(r[1], 1) for r in rows}
+    assert len(sets[5000] & sets[5005]) / len(sets[5000] | sets[5005]) > 0.8 > 0.75 > len(sets[0] & sets[1]) / len(sets[0] | sets[1])
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    got = {r.id: r.component_id for r in near_dup.near_duplicates(df, shingle=1).collect()}
+    assert got == {i: 5000 if i == 5005 else i for i in sets}
+
+
+def test_prefixes_of_near_pairs_meet():
+    rng = np.random.default_rng(3)
+    counts = rng.integers(1, 50, near_dup.COUNTERS).astype(np.uint32) + 1
+    for _ in range(300):
+        common = rng.integers(0, 2**63, int(rng.integers(1, 120)), dtype=np.uint64)
+        sets = [np.unique(np.append(common, rng.integers(0, 2**63, int(rng.integers(0, 20)), dtype=np.uint64))) for _ in range(2)]
+        x, y = sorted(sets, key=len)
+        both = len(np.intersect1d(x, y))
+        if 100 * both < 80 * (len(x) + len(y) - both):
+            continue
+        (k, p, f), (k2, p2, f2) = near_dup.prefixes(x, counts), near_dup.prefixes(y, counts)
+        need = -(-80 * (len(x) + len(y)) // 180)
+        assert set(k[~f & (p <= len(x) - need)]) & set(k2[f2 & (p2 <= len(y) - need)])

@@ -59,9 +59,13 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents that hold a benchmark item within its edit budget."""
-    bad = decontaminate.leaks(docs, read_table(spark, sf_dir, "benchmark")).select(F.col("id").alias("__id")).distinct()
-    return docs.select(*COLUMNS).join(bad, F.col("doc_id").eqNullSafe(F.col("__id")), "left_anti")
+    """Drops documents that hold a benchmark item within its edit budget; a row
+    of the same id (or without id, too) with another text stays."""
+    rows = docs.select(*COLUMNS)
+    keyed = rows.withColumn("__t", F.xxhash64("text"))
+    asked = keyed.select(F.struct(F.col("doc_id").alias("__id"), F.col("__t").alias("__tag")).alias("__key"), "text")
+    bad = decontaminate.leaks(asked, read_table(spark, sf_dir, "benchmark"), id_col="__key").select("id.*").distinct()
+    return keyed.join(bad, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__t") == F.col("__tag")), "left_anti").select(*COLUMNS)
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -73,3 +73,13 @@ def test_pipeline_edges(spark, rows, tmp_path):
         spark.read.parquet(f"{SF_SMALL}/benchmark.parquet").write.parquet(str(d / "benchmark.parquet"))
         out = corpus_pipeline.run(spark, str(d))
         assert (out.count() > 0) == bool(data)
+
+
+def test_clean_rows_beside_contaminated_rows(spark, tmp_path):
+    item = "the quick brown fox jumps over the lazy dog while seven wizards look on"
+    spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    clean = "an entirely different document about the price of tea"
+    rows = [(None, item, "en", "s"), (None, clean, "en", "s"), (None, None, "en", "s"), (1, "so " + item, "en", "s"), (1, clean, "en", "s"),
+            (1, clean, "en", "s"), (2, clean, "en", "s"), (2, "x " + item + " y", "en", "s")]
+    got = corpus_pipeline.decontaminated(spark, frame(spark, rows), str(tmp_path)).collect()
+    assert sorted(((r.doc_id, r.text) for r in got), key=str) == sorted([(r[0], r[1]) for r in rows if item not in (r[1] or "")], key=str)

@@ -246,12 +246,11 @@ def phrases(sents: DataFrame, min_count: int = 3, threshold: float = 10.0) -> Da
 
 
 # ---------------------------------------------------------------- vectors
-def word2vec(sents: DataFrame, vector_size: int = 200, window: int = 3, min_count: int = 2,
+def word2vec(sents: DataFrame, vector_size: int = 200, window: int = 3, min_count: int = 1,
              max_iter: int = 30, step: float = 0.03, seed: int = 42, parts: int = 8):
     """Skip-gram word vectors (Spark ML; hierarchical softmax).  The number of
     partitions shapes the vectors, so it is a parameter, not the core count.
-    Spark keeps the vocabulary on the driver; words and pairs seen once have
-    nothing to learn from and are left out of it."""
+    Spark keeps the vocabulary on the driver; every word and pair is in it."""
     from pyspark.ml.feature import Word2Vec
     w2v = Word2Vec(vectorSize=vector_size, windowSize=window, minCount=min_count, maxIter=max_iter,
                    stepSize=step, seed=seed, numPartitions=parts, inputCol="tokens", outputCol="vec")
@@ -301,11 +300,22 @@ def similar_words(model, words: list[str], n: int = 20) -> DataFrame:
         .select("word", F.col("w").alias("similar"), "similarity")
 
 
-def word_clusters(model, k: int = 10, n: int = 20, seed: int = 1, max_iter: int = 10_000) -> DataFrame:
-    """k-means over the word vectors; nearest words of each centroid."""
+def best_kmeans(vectors: DataFrame, k: int, seed: int = 1, max_iter: int = 10_000, starts: int = 100):
+    """k-means from ``starts`` seeds; the model with the lowest cost."""
     from pyspark.ml.clustering import KMeans
+    kept = vectors.select("vector").cache()
+    try:
+        fits = (KMeans(k=k, seed=seed + i, maxIter=max_iter, featuresCol="vector").fit(kept) for i in range(starts))
+        return min(fits, key=lambda m: m.summary.trainingCost)
+    finally:
+        kept.unpersist()
+
+
+def word_clusters(model, k: int = 10, n: int = 20, seed: int = 1, max_iter: int = 10_000, starts: int = 100) -> DataFrame:
+    """k-means over the word vectors, the best of ``starts``; nearest words of
+    each centroid."""
     vectors = model.getVectors()
-    km = KMeans(k=k, seed=seed, maxIter=max_iter, featuresCol="vector").fit(vectors)
+    km = best_kmeans(vectors, k, seed, max_iter, starts)
     return _nearest(vectors, list(enumerate(km.clusterCenters())), "cluster", "int", n) \
         .select("cluster", F.col("w").alias("word"), "similarity")
 

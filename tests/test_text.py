@@ -82,3 +82,20 @@ def test_word_frequency_sums_tokens(spark):
     got = {r.word: r.n for r in T.word_frequency(df).collect()}
     assert got == {"x": 3, "y": 1}
     assert T.word_frequency(df).agg(F.sum("n")).first()[0] == 4
+
+
+def test_words_seen_once_have_vectors(spark):
+    s = spark.createDataFrame([(1, ["a", "b", "a", "once"]), (2, ["b", "a"]), (3, ["alone", "single"])], "cid long, tokens array<string>")
+    m = T.word2vec(s, vector_size=4, max_iter=1, parts=1)
+    assert {r.word for r in m.getVectors().select("word").collect()} == {"a", "b", "once", "alone", "single"}
+
+
+def test_clusters_keep_the_best_start(spark):
+    from pyspark.ml.clustering import KMeans
+    from pyspark.ml.linalg import Vectors
+    rng = __import__("random").Random(4)
+    rows = [(f"w{i}", Vectors.dense([10.0 * (i % 7) + rng.random(), 7.0 * (i % 5) + rng.random()])) for i in range(140)]
+    v = spark.createDataFrame(rows, ["word", "vector"])
+    costs = [KMeans(k=10, seed=1 + i, maxIter=10_000, featuresCol="vector").fit(v.select("vector")).summary.trainingCost for i in range(6)]
+    best = T.best_kmeans(v, 10, starts=6).summary.trainingCost
+    assert abs(best - min(costs)) < 1e-6 * best and best < max(costs)

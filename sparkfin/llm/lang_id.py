@@ -70,11 +70,14 @@ def _count(batches):
 
 
 def fit(rows: DataFrame, sample_rows: int = SAMPLE_ROWS) -> tuple[list[str], np.ndarray]:
-    """(languages, log probabilities [bucket, language]) from the labelled rows
-    (label, text, markup) with the smallest hashes.  What reaches the driver is
-    the table of counts, at most buckets x languages of the sample."""
-    sample = rows.filter("label is not null and text is not null") \
-        .orderBy(F.xxhash64("text"), "label").limit(sample_rows)
+    """(languages, log probabilities [bucket, language]) from the labelled
+    texts (label, text, markup) with the smallest hashes; copies of a text count
+    once.  What reaches the driver is the table of counts, at most buckets x
+    languages of the sample."""
+    key = ["hash", "label", "markup"]
+    known = rows.filter("label is not null and text is not null").select("label", "text", "markup", F.xxhash64("text").alias("hash"))
+    chosen = known.select(key).distinct().orderBy(key).limit(sample_rows)
+    sample = known.join(chosen, key).groupBy(key).agg(F.first("text").alias("text"))
     got = sample.select("label", "text", "markup").mapInArrow(_count, "label string, bucket long, n long") \
         .groupBy("label", "bucket").agg(F.sum("n").alias("n")).toPandas()
     names = sorted(got["label"].unique())

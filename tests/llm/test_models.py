@@ -83,3 +83,13 @@ def test_machine_weighs_pairs():
 
 def test_cut_between_classes():
     assert 0.2 < quality.cut_quantile(np.array([0.1, 0.9, 0.2, 0.8]), np.array([0, 1, 0, 1])) < 0.8
+
+
+def test_copies_of_a_text_are_sampled_once(spark):
+    rows = [(x, f"{w} number {i}", False) for x, w in (("en", "the cat sat"), ("de", "der hund sass")) for i in range(15)]
+    df = spark.createDataFrame(rows, "label string, text string, markup boolean")
+    first = df.orderBy(F.xxhash64("text"), "label").limit(1)
+    many = df.unionByName(first.crossJoin(spark.range(200)).drop("id"))
+    names, logs = lang_id.fit(many, sample_rows=25)
+    names2, logs2 = lang_id.fit(df, sample_rows=25)
+    assert names == names2 == ["de", "en"] and (logs == logs2).all()

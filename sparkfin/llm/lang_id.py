@@ -39,6 +39,8 @@ EFFECTIVE = 200
 #: pseudo-rows a coarser prior counts for
 STRENGTH = 5.0
 ACCEPT = 0.5
+#: prior of the background class
+BACKGROUND = 0.01
 
 _MARKUP = re.compile(r"<(script|style)\b.*?</\1\s*>|<!--.*?-->|<[^>]*>|&[a-zA-Z#0-9]+;", re.S | re.I)
 _LETTERS = bytes(b if b >= 128 or chr(b).isalpha() else 32 for b in range(256))
@@ -153,10 +155,15 @@ def identify(rows: DataFrame, model: tuple[list[str], np.ndarray], strength: flo
     total = F.zip_with("ll", prior, lambda a, b: a + F.log(b))
     for column in ("declared", "suffix"):
         total = F.when(F.col(f"log_{column}").isNull(), total).otherwise(F.zip_with(total, F.col(f"log_{column}"), lambda a, b: a + b))
-    e = e.withColumn("fused", total).withColumn("final", _softmax(F.col("fused")))
+    even = F.log(F.lit(BACKGROUND)) - F.least(F.col("n"), F.lit(EFFECTIVE)) * F.log(F.lit(float(BUCKETS)))
+    for column in ("declared", "suffix"):  # a value tells nothing about the background
+        mean = F.aggregate(f"log_{column}", F.lit(0.0), lambda a, b: a + F.exp(b) / width)
+        even = F.when(F.col(f"log_{column}").isNull(), even).otherwise(even + F.log(mean))
+    e = e.withColumn("fused", total).withColumn("final", _softmax(F.col("fused"))).withColumn("even", even)
     top = F.array_max("final")
+    held = 1 / (1 / top + F.exp(F.col("even") - F.array_max("fused")))
     return e.select(*ids, F.element_at(F.array(*map(F.lit, names)), F.array_position("final", top).cast("int")).alias("lang"),
-                    top.alias("confidence"), ((F.col("n") > 0) & (top >= ACCEPT)).alias("accepted"))
+                    top.alias("confidence"), ((F.col("n") > 0) & (held >= ACCEPT)).alias("accepted"))
 
 
 def document_evidence(docs: DataFrame, text_col: str = "text", host_col: str = "source") -> DataFrame:

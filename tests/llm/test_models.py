@@ -93,3 +93,15 @@ def test_copies_of_a_text_are_sampled_once(spark):
     names, logs = lang_id.fit(many, sample_rows=25)
     names2, logs2 = lang_id.fit(df, sample_rows=25)
     assert names == names2 == ["de", "en"] and (logs == logs2).all()
+
+
+def test_unlabelled_script_and_junk_are_not_accepted(spark):
+    labelled = table(spark, "documents").select(F.col("lang").alias("label"), "text", F.lit(False).alias("markup"))
+    m = lang_id.fit(labelled)
+    known = [(i, r.text, False, None, None, None, None) for i, r in enumerate(labelled.filter("label is not null").limit(50).collect())]
+    rng = np.random.default_rng(0)
+    junk = " ".join("".join(map(chr, rng.integers(97, 123, 9))) for _ in range(60))
+    other = [(100, "это предложение написано на языке которого нет в таблице " * 4, False, None, None, None, None),
+             (101, "αυτή η πρόταση είναι γραμμένη σε άλλη γλώσσα", False, None, None, None, None), (102, junk, False, None, None, None, None)]
+    got = {r.doc_id: r.accepted for r in lang_id.identify(evidence(spark, known + other), m).collect()}
+    assert all(got[i] for i in range(len(known))) and not got[100] and not got[101] and not got[102]

@@ -92,7 +92,8 @@ def _field(name: str) -> F.Column:
 def read_archive(spark: SparkSession, path: str) -> DataFrame:
     """Read an archive: one row per record with the parsed header fields, the
     full payload, and ``record``, the exact bytes.  Bytes that do not give
-    their address or the digest in the header stop the read."""
+    their address or the digest in the header, and records that are not as long
+    as their header states, stop the read."""
     store = spark.read.parquet(f"{path}/payloads").select(
         "address", "payload", F.octet_length("payload").cast("long").alias("payload_bytes"),
         F.sha2("payload", 256).alias("found"), base32_sha1(F.col("payload")).alias("found_digest"))
@@ -101,11 +102,16 @@ def read_archive(spark: SparkSession, path: str) -> DataFrame:
         "refers_to": F.regexp_extract(_field("WARC-Refers-To"), "^<urn:record:(.*)>$", 1), "uri": _field("WARC-Target-URI")})
     r = r.join(store, "address", "left")
     sound = F.coalesce((F.col("found") == F.col("address")) & (F.col("found_digest") == F.col("digest")), F.lit(False))
-    checked = F.when(sound, F.col("digest")).otherwise(F.raise_error(F.concat(F.lit("damaged payload "), "address")))
     body = F.when(F.col("record_type") == "response", F.col("payload")).otherwise(F.lit(b""))
+    record = F.concat(F.col("header").cast("binary"), body, F.lit(CRLF + CRLF).cast("binary"))
+    # the rebuilt bytes have the length that the header states
+    stated = F.octet_length("header") + _field("Content-Length").cast("long") + 4
+    checked = F.when(~sound, F.raise_error(F.concat(F.lit("damaged payload "), "address"))) \
+        .when(F.coalesce(F.octet_length(record) == stated, F.lit(False)), F.col("digest")) \
+        .otherwise(F.raise_error(F.concat(F.lit("damaged record "), "address")))
     return r.select("id", "uri", "record_type", F.nullif("refers_to", F.lit("")).alias("refers_to"), "payload_bytes",
                     checked.alias("payload_digest"), "payload", "header",
-                    F.concat(F.col("header").cast("binary"), body, F.lit(CRLF + CRLF).cast("binary")).alias("record"))
+                    record.alias("record"))
 
 
 def write_warc_files(records: DataFrame, path: str, per_file: int = 10_000) -> None:

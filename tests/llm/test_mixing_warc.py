@@ -91,3 +91,13 @@ def test_empty_archive(spark, pages):
     path = run_folder(spark, "warc-test")
     warc.write_archive(pages.limit(0), path)
     assert warc.read_archive(spark, path).count() == 0
+
+
+def test_rebuilt_record_is_checked(spark, pages):
+    path = run_folder(spark, "warc-test")
+    warc.write_archive(pages, path)
+    bad = spark.read.parquet(path + "/records").withColumn("header", F.regexp_replace("header", "Content-Length: ", "Content-Length: 1"))
+    bad.write.parquet(path + "-bad/records")
+    spark.read.parquet(path + "/payloads").write.parquet(path + "-bad/payloads")
+    with pytest.raises(Exception, match="damaged record"):
+        warc.read_archive(spark, path + "-bad").select("payload_digest").collect()

@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from sparkfin.sources.tables import read_table
 
-from . import decontaminate, lang_id, licenses, mixing, near_dup, quality, substring_dedup, top_inner, toxicity, warc
+from . import (decontaminate, fill_middle, lang_id, licenses, mixing, near_dup, periodic, quality, simhash, substring_dedup, top_inner,
+               toxicity, warc)
 from .shared import run_folder
 
 
@@ -72,6 +73,26 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, model).withColumnRenamed("id", "doc_id")
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic.periodic_runs(periodic.with_planted_runs(read_table(spark, sf_dir, "documents")), "id")
+    best = F.col("best")
+    return found.withColumn("best", periodic.strongest()).select(
+        F.col("id").alias("doc_id"), F.size("runs").cast("long").alias("n_runs"), best["start"].alias("start"), best["length"].alias("length"),
+        best["period"].alias("period"), F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(periodic.listing(), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = fill_middle.fill_in_middle(read_table(spark, sf_dir, "documents"))
+    return done.select(F.col("id").alias("doc_id"), "n", "form", "prefix_chars", "middle_chars",
+                       F.sha2("output", 256).alias("output_sha256"), F.sha2(fill_middle.restored(), 256).alias("restored_sha256"))
+
+
+def op13_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(read_table(spark, sf_dir, "documents"))
+    return found.select(F.col("id").alias("doc_id"), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
     return corpus_pipeline.run(spark, sf_dir)
@@ -79,10 +100,10 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     op1_language_id, op2_quality, op3_decontaminate, op4_near_duplicates, op5_warc, op6_licenses, op7_top_inner,
-    op8_mixing, op9_substring_dedup, op10_toxicity, pipeline)}
+    op8_mixing, op9_substring_dedup, op10_toxicity, op11_periodic_runs, op12_fill_in_middle, op13_simhash, pipeline)}
 
 ORACLES: dict[str, str] = {"op5_warc": warc.ORACLE, "op7_top_inner": top_inner.ORACLE, "op8_mixing": mixing.ORACLE,
-                           "op9_substring_dedup": substring_dedup.ORACLE}
+                           "op9_substring_dedup": substring_dedup.ORACLE, "op12_fill_in_middle": fill_middle.ORACLE}
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

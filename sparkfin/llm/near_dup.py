@@ -9,26 +9,21 @@ keys.  Documents with equal sets are one class and travel as one row.
 
 Candidates are star edges: each bucket names one center and pairs it with its
 other members, so a bucket of n classes gives n - 1 pairs, never n * n.  Every
-candidate is confirmed on the full sets.  The first round's center is the
-member that shares most buckets with others (in a group of variants that is
-the common original).  A bucket whose members are one component is settled;
-members of unsettled buckets go on in rounds over narrower buckets (keys of two
-to four neighbouring bands, other widths each round), with members that have no
-link yet as centers first and another center each time, until a round confirms
-no link.
-
-The finish is exact: all pairs of members of unsettled buckets that are in
-different components meet by a prefix filter.  Shingles are put in one order,
-rare ones first; two sets that reach the similarity share one of the first
-shingles of each, as many as the overlap their sizes ask for leaves out.  Sets
-meet per class of sizes, so the prefixes are nearly those of the pair, and the
-boilerplate of a family whose members are not near is in none of them.  The
-order uses shingle counts in a table of fixed size; a collision costs time, not
-pairs.  So a near pair is missed only if it shares no band at all.
-
-The center join and the prefix join are keyed by bucket and shingle and may be
-hot; both are plain equi-joins that adaptive execution splits, fed by map-side
-combined aggregates.
+candidate is confirmed on the full sets.  The center is the member that shares
+most buckets with others (in a group of variants that is the common original).
+
+The finish is exact within buckets.  A bucket whose members are one component is
+settled; in one that is not, members of different components meet in an
+equi-join on the bucket, whose condition holds a safe bound: each set's parity
+bitmap has a bit for the parity of the shingles that fall on it, and two
+bitmaps differ in no more bits than their sets in shingles.  So of a family
+that shares boilerplate but is not near, no pair leaves the join; rows are made
+only for pairs at the similarity, or close to it.  The members of a bucket's
+largest component need not meet each other, so one side goes without them.
+A near pair is missed only if it shares no band at all.
+
+Both joins may have hot buckets; they are plain equi-joins between written
+tables, which adaptive execution splits.
 
 Defined results: a null text has no words; a set without shingles, and a row
 without id, is linked with nothing; an id repeated with other texts is one
@@ -49,16 +44,13 @@ from .shared import byte_words, gram_hashes, mixed, odd_constants, release, word
 
 BANDS = 32
 ROWS = 4
-#: bands in a key of the later rounds; the last entry holds from then on
-WIDTHS = ((2, 3), (2, 4), (3, 4))
 BINS_LOG2 = 7
 PROBES = 256
 SEED = 4
 #: numerator and denominator of the least similarity
 SIMILAR = (80, 100)
-#: counters of shingles; ratio of the sizes of a class of the exact finish
-COUNTERS = 1 << 20
-CLASS_RATIO = 1.06
+#: bits of a parity bitmap
+BITS = 2048
 
 
 def shingle_set(text: str | None, k: int, c: np.ndarray) -> np.ndarray:
@@ -119,125 +111,66 @@ def _describe(k: int):
     return run
 
 
+def parity_bits(s: np.ndarray) -> np.ndarray:
+    """Bitmap, as longs, of the parity of the shingles on each bit."""
+    odd = np.bincount((s & np.uint64(BITS - 1)).astype(np.int64), minlength=BITS) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
 def _expand(k: int):
     def run(batches):
         c = odd_constants(max(k, ROWS + 1), SEED)
         for batch in batches:
-            sets = [shingle_set(t.as_py(), k, c).view(np.int64) for t in batch.column(1)]
+            sets = [shingle_set(t.as_py(), k, c) for t in batch.column(1)]
             ends = np.cumsum([0] + [len(s) for s in sets], dtype=np.int32)
-            flat = np.concatenate(sets) if sets else np.empty(0, np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.ListArray.from_arrays(ends, flat)], names=["id", "grams"])
-    return run
-
-
-def _tally(batches):
-    counts = np.zeros(COUNTERS, np.int64)
-    for batch in batches:
-        flat = batch.column(0).flatten().to_numpy(zero_copy_only=False).view(np.uint64)
-        counts += np.bincount((flat % np.uint64(COUNTERS)).astype(np.int64), minlength=COUNTERS)
-    at = np.flatnonzero(counts)
-    yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(counts[at])], names=["counter", "n"])
-
-
-def size_classes(largest: int) -> np.ndarray:
-    """Least size of each class of sizes."""
-    out = [1]
-    while out[-1] <= largest:
-        out.append(max(out[-1] + 1, int(out[-1] * CLASS_RATIO)))
-    return np.array(out)
-
-
-def prefixes(s: np.ndarray, counts: np.ndarray, similar=SIMILAR) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(keys, places in the order, probing) of a set.  Of a near pair, the
-    smaller set's entries that do not probe and the larger set's entries that
-    do share a key; a shingle that occurs once meets nothing and is left out."""
-    num, den = similar
-    n = len(s)
-    seen = counts[(s % np.uint64(COUNTERS)).astype(np.int64)]
-    order = np.lexsort((s, seen))
-    ranked, useful = s[order], seen[order] > 1
-    lows = size_classes(n)
-    own = int(np.searchsorted(lows, n, "right")) - 1
-    least = -(-num * n // den)
-    asked = [(own, n, False)]
-    for c in range(int(np.searchsorted(lows, least, "right")) - 1, own + 1):
-        asked.append((c, max(int(lows[c]), least), True))
-    keys, places, probing = [], [], []
-    for c, other, probes in asked:
-        at = np.flatnonzero(useful[:n + (-num * (n + other) // (num + den)) + 1])
-        keys.append(mixed(ranked[at] + np.uint64((c + 1) * 0x9E3779B97F4A7C15 % 2**64)))
-        places.append(at)
-        probing.append(np.full(len(at), probes))
-    return np.concatenate(keys), np.concatenate(places), np.concatenate(probing)
-
-
-def _prefix_rows(counts: np.ndarray, similar):
-    def run(batches):
-        for batch in batches:
-            for lo in range(0, len(batch), 256):
-                part = batch.slice(lo, 256)
-                sets = [np.array(g.values, np.int64).view(np.uint64) for g in part.column(1)]
-                got = [prefixes(s, counts, similar) for s in sets]
-                owner = pa.array(np.repeat(np.arange(len(got)), [len(g[0]) for g in got]))
-                size = np.repeat([len(s) for s in sets], [len(g[0]) for g in got])
-                keys, places, probing = (np.concatenate([g[j] for g in got]) for j in range(3))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(keys.view(np.int64)), part.column(0).take(owner), part.column(2).take(owner), part.column(3).take(owner),
-                     pa.array(size, pa.int64()), pa.array(places, pa.int64()), pa.array(probing)],
-                    names=["key", "node", "root", "linked", "n", "place", "probing"])
+            flat = np.concatenate(sets).view(np.int64) if sets else np.empty(0, np.int64)
+            bits = np.concatenate([parity_bits(s) for s in sets]) if sets else np.empty(0, np.int64)
+            at = np.arange(len(sets) + 1, dtype=np.int32) * (BITS // 64)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.ListArray.from_arrays(ends, flat), pa.ListArray.from_arrays(at, bits)],
+                                             names=["id", "grams", "bits"])
     return run
 
 
-def prefix_pairs(sets: DataFrame, similar=SIMILAR) -> DataFrame:
-    """Every pair (a, b) of different roots that can reach the similarity;
-    ``sets``: id, grams, root, linked (members of the root)."""
-    num, den = similar
-    kind = sets.schema["id"].dataType.simpleString()
-    table = sets.select("grams").mapInArrow(_tally, "counter long, n long").groupBy("counter").agg(F.sum("n").alias("n")).toPandas()
-    counts = np.zeros(COUNTERS, np.uint32)
-    counts[table["counter"].to_numpy(np.int64)] = np.minimum(table["n"].to_numpy(np.int64), 2**32 - 1)
-    rows = written(sets.select("id", "grams", "root", "linked").mapInArrow(
-        _prefix_rows(counts, similar), f"key long, node {kind}, root {kind}, linked long, n long, place long, probing boolean"), "near-prefix")
-    # a key of one component has no pair; the members of a key's largest
-    # component need not meet each other, so one side goes without them
-    keys = rows.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.max(F.struct("linked", "root")).alias("lead")) \
-        .filter("lo <> hi").select("key", F.col("lead.root").alias("lead"))
-    left = rows.join(keys.select("key"), "key", "left_semi")
-    right = rows.join(keys, "key").filter("root <> lead").select(
-        "key", *(F.col(c).alias(f"{c}2") for c in ("node", "root", "n", "place", "probing")))
-    need = F.ceil(num * (F.col("n") + F.col("n2")) / F.lit(num + den))
-    small, large = F.least("n", "n2"), F.greatest("n", "n2")
-    ordered = F.when(F.col("probing"), F.col("n") >= F.col("n2")).otherwise(F.col("n") <= F.col("n2"))
-    e = left.join(right, "key").filter((F.col("root") != F.col("root2")) & (F.col("probing") != F.col("probing2")) & ordered
-                                       & (small * den >= large * num)
-                                       & (F.col("place") <= F.col("n") - need) & (F.col("place2") <= F.col("n2") - need))
-    return e.select(F.least("node", "node2").alias("a"), F.greatest("node", "node2").alias("b")).filter("a <> b").distinct()
-
-
 def confirmed(pairs: DataFrame, sets: DataFrame, similar=SIMILAR) -> DataFrame:
-    """Pairs (a, b) whose full sets reach the similarity."""
+    """The rows of ``pairs`` (a, b, ..) whose full sets reach the similarity."""
     num, den = similar
     left = sets.select(F.col("id").alias("a"), F.col("grams").alias("ga"))
     right = sets.select(F.col("id").alias("b"), F.col("grams").alias("gb"))
     both = F.size(F.array_intersect("ga", "gb"))
-    j = pairs.join(right, "b").join(left, "a").select("a", "b", both.alias("both"), (F.size("ga") + F.size("gb")).alias("total"))
-    return j.filter(F.col("both") * den >= (F.col("total") - F.col("both")) * num).select("a", "b")
+    j = pairs.join(right, "b").join(left, "a").select(*pairs.columns, both.alias("both"), (F.size("ga") + F.size("gb")).alias("total"))
+    return j.filter(F.col("both") * den >= (F.col("total") - F.col("both")) * num).select(*pairs.columns)
 
 
-def _stars(members: DataFrame, order) -> DataFrame:
+def _stars(members: DataFrame, order, similar=SIMILAR) -> DataFrame:
     """Star edges of buckets: ``members`` (key, node, n, root, ...); the center
     has the largest ``order``; only members of other components are paired."""
     center = members.groupBy("key").agg(F.max(F.struct(order.alias("o"), F.col("node").alias("c"), F.col("root").alias("r"),
                                                        F.col("n").alias("m"))).alias("x")).select("key", "x.*")
-    num, den = SIMILAR
+    num, den = similar
     e = members.join(center, "key").filter("root <> r") \
         .filter((F.least("n", "m") * den >= F.greatest("n", "m") * num))
     return e.select(F.least("node", "c").alias("a"), F.greatest("node", "c").alias("b")).distinct()
 
 
-def _rooted(members: DataFrame, roots: DataFrame) -> DataFrame:
-    r = roots.withColumnRenamed("root", "found")
-    return members.drop("root").join(r, "node", "left").withColumn("root", F.coalesce("found", "node")).drop("found")
+def unsettled_pairs(live: DataFrame, sets: DataFrame, similar=SIMILAR) -> DataFrame:
+    """Pairs (a, b) of different roots (ra, rb) that share a bucket and may
+    reach the similarity; ``live``: key, node, n, root."""
+    num, den = similar
+    share = live.groupBy("key", "root").agg(F.count(F.lit(1)).alias("held"))
+    leads = share.groupBy("key").agg(F.max(F.struct("held", "root")).alias("x"), F.count(F.lit(1)).alias("roots")) \
+        .filter("roots > 1").select("key", F.col("x.root").alias("lead"))
+    bits = sets.select(F.col("id").alias("node"), "bits")
+    left = written(live.join(leads, "key").join(bits, "node").select("key", "node", "n", "root", "lead", "bits"), "near-open")
+    right = written(left.filter("root <> lead").select("key", *(F.col(c).alias(f"{c}2") for c in ("node", "n", "root", "bits"))), "near-apart")
+    # of sets with n + n2 shingles, a near pair differs in so many at most
+    most = (F.col("n") + F.col("n2")) * (den - num) / F.lit(den + num)
+    differ = F.aggregate(F.zip_with("bits", "bits2", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda x, y: x + y)
+    e = left.join(right, "key").filter((F.col("root") != F.col("root2")) & ((F.col("root") == F.col("lead")) | (F.col("node") < F.col("node2")))
+                                       & (F.least("n", "n2") * den >= F.greatest("n", "n2") * num) & (differ <= most))
+    low = F.col("node") < F.col("node2")
+    return e.select(F.least("node", "node2").alias("a"), F.greatest("node", "node2").alias("b"),
+                    F.when(low, F.col("root")).otherwise(F.col("root2")).alias("ra"),
+                    F.when(low, F.col("root2")).otherwise(F.col("root")).alias("rb")).distinct()
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 2,
@@ -257,51 +190,23 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     ranked = members.join(density, "node")
 
     wanted = members.select(F.col("node").alias("id")).distinct()
-    sets = written(src.join(wanted, "id", "left_semi").mapInArrow(_expand(shingle), f"id {id_type}, grams array<long>"), "near-sets")
+    sets = written(src.join(wanted, "id", "left_semi").mapInArrow(_expand(shingle), f"id {id_type}, grams array<long>, bits array<long>"), "near-sets")
 
-    tried = written(_stars(ranked, F.col("density")), "near-tried")
+    tried = written(_stars(ranked, F.col("density"), similar), "near-tried")
     links = written(confirmed(tried, sets, similar), "near-links")
     roots = components(links, "near-roots")
-    # members of buckets that still hold several components go on, by narrower
-    # keys; buckets only settle, so who goes on is found once
-    live = _rooted(members.select("key", "node", "n"), roots)
-    open_keys = live.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo <> hi").select("key")
-    nodes = live.join(open_keys, "key", "left_semi").select("node").distinct()
-    going = written(classes.join(nodes, "node", "left_semi").select("node", "n", "bands"), "near-going")
-    release(members)
-    turn = 1
-    while True:
-        size = roots.groupBy("root").agg(F.count(F.lit(1)).alias("linked"))
-        wide = _rooted(going, roots).join(size, "root", "left")
-        widths = WIDTHS[min(turn, len(WIDTHS)) - 1]
-        keys = F.flatten(F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda i: F.array(*(
-            F.xxhash64(*(F.col("bands")[(i + d) % BANDS] for d in range(w)), F.lit(w)) for w in widths))))
-        wide = wide.select("node", "n", "root", "linked", F.explode(keys).alias("key"))
-        mixed_keys = wide.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo <> hi").select("key")
-        wide = written(wide.join(mixed_keys, "key"), "near-open")
-        # members without a link lead first, another one each round
-        order = F.struct(F.col("linked").isNull(), F.xxhash64(F.lit(turn), "key", "node"))
-        fresh = written(_stars(wide, order).join(tried, ["a", "b"], "left_anti"), "near-tried")
-        found = written(confirmed(fresh, sets, similar), "near-links")
-        release(wide)
-        if found.isEmpty():
-            break
-        tried, links, turn = tried.unionByName(fresh), links.unionByName(found), turn + 1
-        roots = components(links, "near-roots")
-
-    # the exact finish over members of unsettled buckets in different components
-    size = roots.groupBy("root").agg(F.count(F.lit(1)).alias("linked"))
-    rooted = _rooted(going.select("node").distinct(), roots) \
-        .join(size, "root", "left").select(F.col("node").alias("id"), "root", F.coalesce("linked", F.lit(1)).alias("linked"))
-    chosen = written(sets.join(rooted, "id").select("id", "grams", "root", "linked"), "near-chosen")
-    release(going, sets)
-    fresh = written(prefix_pairs(chosen, similar).join(tried, ["a", "b"], "left_anti"), "near-tried")
-    found = written(confirmed(fresh, chosen, similar), "near-links")
-    release(chosen)
-    if not found.isEmpty():
-        roots = components(links.unionByName(found), "near-roots")
-
-    named = classes.select("digest", "node").join(roots, "node", "left").select("digest", F.coalesce("root", "node").alias("component"))
+
+    # the finish: members of unsettled buckets that are in different components
+    found_root = roots.withColumnRenamed("root", "found")
+    live = members.select("key", "node", "n").join(found_root, "node", "left").select("key", "node", "n", F.coalesce("found", "node").alias("root"))
+    open_pairs = written(unsettled_pairs(written(live, "near-live"), sets, similar), "near-tried")
+    found = written(confirmed(open_pairs, sets, similar), "near-links")
+    release(members, sets)
+    # roots are the smallest ids, so components of roots have the smallest ids too
+    above = components(found.select(F.col("ra").alias("a"), F.col("rb").alias("b")), "near-above") \
+        .select(F.col("node").alias("inner"), F.col("root").alias("top"))
+    named = classes.select("digest", "node").join(roots, "node", "left").select("digest", F.coalesce("root", "node").alias("inner")) \
+        .join(above, "inner", "left").select("digest", F.coalesce("top", "inner").alias("component"))
     out = facts.select("id", "n", "digest").join(named, "digest", "left")
     component = F.when(F.col("id").isNull() | (F.col("n") == 0), F.col("id")).otherwise(F.col("component"))
     return out.select("id", F.col("n").alias("n_shingles"), component.alias("component_id"),

@@ -100,16 +100,25 @@ def test_pair_in_a_family_that_is_not_near(spark):
     assert got == {i: 5000 if i == 5005 else i for i in sets}
 
 
-def test_prefixes_of_near_pairs_meet():
+def test_bitmaps_differ_in_no_more_bits_than_the_sets():
     rng = np.random.default_rng(3)
-    counts = rng.integers(1, 50, near_dup.COUNTERS).astype(np.uint32) + 1
     for _ in range(300):
-        common = rng.integers(0, 2**63, int(rng.integers(1, 120)), dtype=np.uint64)
-        sets = [np.unique(np.append(common, rng.integers(0, 2**63, int(rng.integers(0, 20)), dtype=np.uint64))) for _ in range(2)]
-        x, y = sorted(sets, key=len)
-        both = len(np.intersect1d(x, y))
-        if 100 * both < 80 * (len(x) + len(y) - both):
-            continue
-        (k, p, f), (k2, p2, f2) = near_dup.prefixes(x, counts), near_dup.prefixes(y, counts)
-        need = -(-80 * (len(x) + len(y)) // 180)
-        assert set(k[~f & (p <= len(x) - need)]) & set(k2[f2 & (p2 <= len(y) - need)])
+        common, x, y = (rng.integers(0, 2**63, int(rng.integers(0, n)), dtype=np.uint64) for n in (3000, 400, 400))
+        sets = [np.unique(np.append(common, z)) for z in (x, y)]
+        a, b = (near_dup.parity_bits(s).view(np.uint64) for s in sets)
+        assert np.bitwise_count(a ^ b).sum() <= len(np.setxor1d(*sets))
+
+
+def test_family_makes_no_pairs(spark):
+    """Members share 70 of 100 words, each other word is one of 6; no pair is
+    near, and the finish makes no rows however many members there are."""
+    rng, table, c = random.Random(12), near_dup.probe_table(), near_dup.odd_constants(near_dup.ROWS + 1, near_dup.SEED)
+    made = []
+    for n in (300, 900):
+        texts = [" ".join([f"c{i}" for i in range(70)] + [f"v{i}_{rng.randrange(6)}" for i in range(30)]) for _ in range(n)]
+        sets = [near_dup.shingle_set(t, 1, c) for t in texts]
+        keys = [(k, i, len(s), i) for i, s in enumerate(sets) for k in near_dup.band_keys(near_dup.signature(s, table), c).view(np.int64).tolist()]
+        live = spark.createDataFrame(keys, "key long, node long, n long, root long")
+        bits = spark.createDataFrame([(i, near_dup.parity_bits(s).tolist()) for i, s in enumerate(sets)], "id long, bits array<long>")
+        made.append(near_dup.unsettled_pairs(live, bits).count())
+    assert made[0] <= 300 // 50 and made[1] <= 900 // 50, made

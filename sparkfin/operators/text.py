@@ -19,6 +19,7 @@ from pyspark.sql.types import StringType
 from ..functions.fixed import CONTRACTIONS, STOPWORDS_EN
 from ..functions.porter import stem
 from ..session import cut_lineage, ensure_checkpoint_dir
+from .word_vectors import best_kmeans
 
 WS = r"[ \t\n\f\r]+"
 PUNCT = r"[^\p{L}\p{N}_ \t\n\f\r]"
@@ -246,30 +247,6 @@ def phrases(sents: DataFrame, min_count: int = 3, threshold: float = 10.0) -> Da
 
 
 # ---------------------------------------------------------------- vectors
-def word2vec(sents: DataFrame, vector_size: int = 200, window: int = 3, min_count: int = 1,
-             max_iter: int = 30, step: float = 0.03, seed: int = 42, parts: int = 8):
-    """Skip-gram word vectors (Spark ML; hierarchical softmax).  The number of
-    partitions shapes the vectors, so it is a parameter, not the core count.
-    Spark keeps the vocabulary on the driver; every word and pair is in it."""
-    from pyspark.ml.feature import Word2Vec
-    w2v = Word2Vec(vectorSize=vector_size, windowSize=window, minCount=min_count, maxIter=max_iter,
-                   stepSize=step, seed=seed, numPartitions=parts, inputCol="tokens", outputCol="vec")
-    # the fit reads its input twice (vocabulary, then training sentences):
-    # checkpoint it once rather than recompute the cleaning chain
-    return w2v.fit(cut_lineage(sents.filter(F.size("tokens") > 0)))
-
-
-def saved_or_fitted(spark, name: str, fit):
-    """Load word vectors saved in the shared checkpoint folder under ``name``,
-    or fit, save and load them."""
-    from pyspark.ml.feature import Word2VecModel
-    path = os.path.join(ensure_checkpoint_dir(spark), "vectors", name)
-    done = spark._jvm.org.apache.hadoop.fs.Path(path + "/data/_SUCCESS")
-    if not done.getFileSystem(spark._jsc.hadoopConfiguration()).exists(done):
-        fit().write().overwrite().save(path)
-    return Word2VecModel.load(path)
-
-
 def top_words(freq: DataFrame, n: int) -> list[str]:
     """The n most frequent words (a top-k report: n rows to the driver)."""
     return [r[0] for r in freq.orderBy(F.desc("n"), "word").limit(n).collect()]
@@ -284,8 +261,7 @@ def _nearest(vectors: DataFrame, queries: list[tuple], label: str, kind: str, n:
         length = sum(x * x for x in v) ** 0.5 or 1.0
         return [float(x / length) for x in v]
     q = F.array(*(F.struct(F.lit(name).cast(kind).alias("q"), F.array(*map(F.lit, unit(v))).alias("qv")) for name, v in queries))
-    from pyspark.ml.functions import vector_to_array
-    w = vectors.select(F.col("word").alias("w"), vector_to_array("vector").alias("v"))
+    w = vectors.select(F.col("word").alias("w"), F.col("vector").cast("array<double>").alias("v"))
     dot = F.aggregate(F.zip_with("v", "x.qv", lambda a, b: a * b), F.lit(0.0), lambda a, b: a + b)
     size = F.sqrt(F.aggregate("v", F.lit(0.0), lambda a, b: a + b * b))
     s = w.withColumn("x", F.explode(q)).select(F.col("x.q").alias(label), "w", (dot / F.nullif(size, F.lit(0.0))).alias("similarity"))
@@ -293,30 +269,18 @@ def _nearest(vectors: DataFrame, queries: list[tuple], label: str, kind: str, n:
     return s.filter(F.col("w") != F.col(label).cast("string")).withColumn("_r", rank).filter(F.col("_r") <= n).drop("_r")
 
 
-def similar_words(model, words: list[str], n: int = 20) -> DataFrame:
-    vectors = model.getVectors()
+def similar_words(vectors: DataFrame, words: list[str], n: int = 20) -> DataFrame:
+    """The ``n`` words nearest to each of ``words``; ``vectors``: word, vector."""
     known = vectors.filter(F.col("word").isin(words)).collect()   # one row per asked word
     return _nearest(vectors, [(r.word, r.vector) for r in known], "word", "string", n) \
         .select("word", F.col("w").alias("similar"), "similarity")
 
 
-def best_kmeans(vectors: DataFrame, k: int, seed: int = 1, max_iter: int = 10_000, starts: int = 100):
-    """k-means from ``starts`` seeds; the model with the lowest cost."""
-    from pyspark.ml.clustering import KMeans
-    kept = vectors.select("vector").cache()
-    try:
-        fits = (KMeans(k=k, seed=seed + i, maxIter=max_iter, featuresCol="vector").fit(kept) for i in range(starts))
-        return min(fits, key=lambda m: m.summary.trainingCost)
-    finally:
-        kept.unpersist()
-
-
-def word_clusters(model, k: int = 10, n: int = 20, seed: int = 1, max_iter: int = 10_000, starts: int = 100) -> DataFrame:
+def word_clusters(vectors: DataFrame, k: int = 10, n: int = 20, seed: int = 1, max_iter: int = 10_000, starts: int = 100) -> DataFrame:
     """k-means over the word vectors, the best of ``starts``; nearest words of
     each centroid."""
-    vectors = model.getVectors()
-    km = best_kmeans(vectors, k, seed, max_iter, starts)
-    return _nearest(vectors, list(enumerate(km.clusterCenters())), "cluster", "int", n) \
+    centres, _ = best_kmeans(vectors, k, seed, max_iter, starts)
+    return _nearest(vectors, list(enumerate(centres.tolist())), "cluster", "int", n) \
         .select("cluster", F.col("w").alias("word"), "similarity")
 
 

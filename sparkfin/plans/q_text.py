@@ -1,13 +1,12 @@
 """Forum-text queries."""
 from __future__ import annotations
 
-import hashlib
-
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions.fixed import CONTRACTIONS, STOPWORDS_EN
 from ..operators import text as T
+from ..operators import word_vectors as V
 from ..sources import adapters as A
 from . import oracle as O
 from .registry import register
@@ -179,17 +178,13 @@ register("phrases_trigram", _tsql("SELECT cid, tokens FROM p2_out",
 # ---------------------------------------------------------------- vectors
 def _w2v(spark, sf):
     """Vectors of the bigram sentences (each word followed by the pair it
-    opens), fitted once per application and source, then loaded."""
-    name = f"{spark.sparkContext.applicationId}-{hashlib.md5(sf.encode()).hexdigest()}"
-    return T.saved_or_fitted(spark, name, lambda: T.word2vec(
-        T.ngram_sentences(_sents(spark, sf)).select("cid", F.col("gram2").alias("tokens"))))
+    opens), trained once per corpus, then loaded."""
+    return V.saved_or_trained(T.ngram_sentences(_sents(spark, sf)).select("cid", F.col("gram2").alias("tokens")))
 
 
 @register("word2vec_vectors")
 def word2vec_vectors(spark, sf):
-    from pyspark.ml.functions import vector_to_array
-    m = _w2v(spark, sf)
-    return m.getVectors().select("word", vector_to_array("vector").alias("vector"))
+    return _w2v(spark, sf).select("word", F.col("vector").cast("array<double>").alias("vector"))
 
 
 @register("word2vec_similar")

@@ -1,8 +1,10 @@
 """Text chain on edge inputs, phrases against a brute-force scan, stemmer."""
+import numpy as np
 from pyspark.sql import functions as F
 
 from sparkfin.functions.porter import stem
 from sparkfin.operators import text as T
+from sparkfin.operators import word_vectors as V
 
 CSCHEMA = ("sub string, sub_date date, comment_index_track long, position long, kind string, author string, "
            "comment string, comment_upvotes int")
@@ -86,16 +88,63 @@ def test_word_frequency_sums_tokens(spark):
 
 def test_words_seen_once_have_vectors(spark):
     s = spark.createDataFrame([(1, ["a", "b", "a", "once"]), (2, ["b", "a"]), (3, ["alone", "single"])], "cid long, tokens array<string>")
-    m = T.word2vec(s, vector_size=4, max_iter=1, parts=1)
-    assert {r.word for r in m.getVectors().select("word").collect()} == {"a", "b", "once", "alone", "single"}
+    for block_words in (100, 2):  # one block, and several that may be empty
+        v = V.skip_gram(s, dim=4, epochs=2, block_words=block_words).collect()
+        assert {r.word: len(r.vector) for r in v} == dict.fromkeys(["a", "b", "once", "alone", "single"], 4)
+    assert V.skip_gram(s, dim=4, epochs=1, min_count=2).count() == 2
+
+
+def _planted(spark):
+    """Sentences about two topics; "left" and "port" are one word with two names."""
+    rng = __import__("random").Random(5)
+    topics = [[f"t{k}w{i}" for i in range(6)] for k in range(8)]
+    names = [("left", "port"), ("right", "star")]
+    rows = []
+    for i in range(1500):
+        k = i % 8
+        words = rng.choices(topics[k], k=8)
+        if k < 2:
+            words[rng.randrange(1, 7)] = rng.choice(names[k])
+        rows.append((i, words))
+    return spark.createDataFrame(rows, "cid long, tokens array<string>")
+
+
+def test_planted_synonyms_are_nearest(spark):
+    s = _planted(spark)
+    for block_words in (1000, 20):
+        v = V.skip_gram(s, dim=16, sample=1.0, rate=0.05, negative=5, epochs=20, visits=4, block_words=block_words).cache()
+        near = {(r.word, r.similar) for r in T.similar_words(v, ["left", "star"], n=3).collect()}
+        assert ("left", "port") in near and ("star", "right") in near
+
+
+def test_frequent_words_are_sub_sampled_and_windows_kept(spark):
+    s = spark.createDataFrame([(i, ["the"] * 20 + [f"u{i}", f"v{i}"]) for i in range(100)], "cid long, tokens array<string>")
+    vocab, blocks, total = V.vocabulary(s.select(F.explode("tokens").alias("word")))
+    assert (blocks, total) == (1, 2200)
+    slots = {r.slot: r.word for r in vocab.collect()}
+    pairs = [(slots[r.islot], slots[r.oslot]) for r in V.training_pairs(s, vocab, total, 3, 1e-2, 1).collect()]
+    assert sum(a == "the" for a, _ in pairs) < 0.7 * len(pairs)  # nine tenths of all tokens
+    both = V.training_pairs(s, vocab, total, 1, 1e9, 1).count()
+    assert both == 2 * 100 * 21
+
+
+def test_saved_vectors_are_loaded_for_the_same_corpus(spark):
+    s = spark.createDataFrame([(1, ["a", "b", "c"]), (2, ["b", "a"])], "cid long, tokens array<string>")
+    first = V.saved_or_trained(s, dim=4, epochs=1)
+    again = V.saved_or_trained(s.orderBy("cid"), dim=4, epochs=1)
+    other = V.saved_or_trained(s.filter("cid = 1"), dim=4, epochs=1)
+    assert first.inputFiles() == again.inputFiles() and first.inputFiles() != other.inputFiles()
 
 
 def test_clusters_keep_the_best_start(spark):
     from pyspark.ml.clustering import KMeans
     from pyspark.ml.linalg import Vectors
     rng = __import__("random").Random(4)
-    rows = [(f"w{i}", Vectors.dense([10.0 * (i % 7) + rng.random(), 7.0 * (i % 5) + rng.random()])) for i in range(140)]
-    v = spark.createDataFrame(rows, ["word", "vector"])
-    costs = [KMeans(k=10, seed=1 + i, maxIter=10_000, featuresCol="vector").fit(v.select("vector")).summary.trainingCost for i in range(6)]
-    best = T.best_kmeans(v, 10, starts=6).summary.trainingCost
-    assert abs(best - min(costs)) < 1e-6 * best and best < max(costs)
+    points = [[10.0 * (i % 7) + rng.random(), 7.0 * (i % 5) + rng.random()] for i in range(140)]
+    v = spark.createDataFrame([(f"w{i}", p) for i, p in enumerate(points)], "word string, vector array<float>")
+    m = spark.createDataFrame([(Vectors.dense(p),) for p in points], ["vector"])
+    costs = [KMeans(k=10, seed=1 + i, maxIter=10_000, featuresCol="vector").fit(m).summary.trainingCost for i in range(6)]
+    centres, best = T.best_kmeans(v, 10, starts=100)
+    assert centres.shape == (10, 2) and best <= min(costs) * (1 + 1e-3) and best < max(costs)
+    near = ((np.array(points)[:, None, :] - centres) ** 2).sum(axis=2).min(axis=1).sum()
+    assert abs(near - best) < 0.01 * best

@@ -1,15 +1,13 @@
 """Distance to default: Merton-model inputs, solve and output.
 
-Inputs are one DataFrame plan (joins + windows).  The solve is a
-``mapInPandas`` job: each Arrow batch of firm-quarters is solved at once with
-vectorised numpy, so the work spreads over all partitions and needs no
-grouping or ordering.
+Inputs are one DataFrame plan (joins + windows).  The solve is an expression:
+root finding by ``aggregate`` over a bracket inside the row, so it runs in the
+JVM wherever the row is and needs no grouping or ordering.
 """
 from __future__ import annotations
 
 import math
 
-import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -69,84 +67,57 @@ _DEN = (8.83883476483184e-02, 1.75566716318264, 16.064177579207, 86.780732202946
         637.333633378831, 793.826512519948, 440.413735824752)
 
 
-def norm_cdf(x: np.ndarray) -> np.ndarray:
-    """Standard normal distribution function of a whole array: a rational form
-    near 0, a continued fraction in the far tail."""
-    x = np.asarray(x, dtype=float)
-    a = np.minimum(np.abs(x), 38.0)
-    e = np.exp(-0.5 * a * a)
-    near = e * np.polyval(_NUM, a) / np.polyval(_DEN, a)
+#: halvings of the bracket: from any width seen to neighbouring doubles
+HALVINGS = 100
+
+
+def _poly(coefficients, x) -> F.Column:
+    out = F.lit(coefficients[0])
+    for c in coefficients[1:]:
+        out = out * x + F.lit(c)
+    return out
+
+
+def _let(value, use) -> F.Column:
+    """``use(value)`` with the value computed once."""
+    return F.transform(F.array(value), use)[0]
+
+
+def _upper_tail(a) -> F.Column:
+    e = F.exp(F.lit(-0.5) * a * a)
     far = e / (a + 1 / (a + 2 / (a + 3 / (a + 4 / (a + 0.65))))) / math.sqrt(2 * math.pi)
-    tail = np.where(a < 7.07106781186547, near, far)
-    return np.where(x > 0, 1 - tail, tail)
-
-
-def _call(V, D, s):
-    d1 = (np.log(V / D) + 0.5 * s * s) / s
-    n1 = norm_cdf(d1)
-    return V * n1 - D * norm_cdf(d1 - s), n1
-
-
-def merton_solve(E: np.ndarray, D: np.ndarray, vol: np.ndarray,
-                 outer: int = 60, inner: int = 12) -> tuple[np.ndarray, np.ndarray]:
-    """Asset value V >= E and asset volatility s > 0 with
-    E = V N(d1) - D N(d2) and vol E = s V N(d1), T = 1.
-
-    Outer bisection on s in (0, vol]; for each s the call equation is solved
-    for V by Newton from V = E + D (the call price is convex and increasing
-    in V, so Newton from the right stays in [E, E + D] and converges)."""
-    E, D, vol = (np.asarray(a, dtype=float) for a in (E, D, vol))
-    lo, hi = np.zeros_like(E), vol.copy()
-
-    def v_of(s):
-        V = E + D
-        for _ in range(inner):
-            c, n1 = _call(V, D, s)
-            step = np.where(n1 > 0, (c - E) / np.where(n1 > 0, n1, 1.0), 0.0)
-            V = np.maximum(V - step, E)
-        return V
-
-    for _ in range(outer):
-        s = 0.5 * (lo + hi)
-        V = v_of(s)
-        _, n1 = _call(V, D, s)
-        g = s * V * n1 - vol * E
-        up = g > 0
-        hi = np.where(up, s, hi)
-        lo = np.where(up, lo, s)
-    s = 0.5 * (lo + hi)
-    return v_of(s), s
-
-
-def _solve_batches(it):
-    for pdf in it:
-        E = pdf["mcap_crsp_dd"].to_numpy(dtype=float)
-        debt = pdf["bv_debt_dd"].to_numpy(dtype=float)
-        vol = pdf["sd_12M_dd"].to_numpy(dtype=float)
-        r = pdf["trate_1y_dd"].to_numpy(dtype=float)
-        D = debt * np.exp(-r)
-        ok = np.isfinite(E) & np.isfinite(D) & np.isfinite(vol) & (E > 0) & (vol > 0) & (D > 0)
-        V = np.full(len(pdf), np.nan)
-        S = np.full(len(pdf), np.nan)
-        if ok.any():
-            v, s = merton_solve(E[ok], D[ok], vol[ok])
-            V[ok], S[ok] = v, s
-        out = pdf.copy()
-        out["pv_debt"] = np.where(np.isfinite(D), D, np.nan)
-        out["asset_value_a"] = V
-        out["volatility_a"] = S
-        out["dtd"] = (V - D) / (V * S)
-        # how far both equations are from holding, relative to the equity
-        call, n1 = _call(np.where(ok, V, 1.0), np.where(ok, D, 1.0), np.where(ok, S, 1.0))
-        miss = np.maximum(np.abs(call - E) / np.where(ok, E, 1.0), np.abs(S * V * n1 / np.where(ok, E * vol, 1.0) - 1))
-        out["residual"] = np.where(ok, miss, np.nan)
-        out["converged"] = ok & (np.nan_to_num(miss, nan=1.0) < TOLERANCE)
-        yield out
-
-
-SOLVE_SCHEMA = ("date date, conm string, gvkey string, cusip string, mcap_crsp_dd double, "
-                "bv_debt_dd double, sd_12M_dd double, trate_1y_dd double, pv_debt double, "
-                "asset_value_a double, volatility_a double, dtd double, residual double, converged boolean")
+    return F.when(a < 7.07106781186547, e * _poly(_NUM, a) / _poly(_DEN, a)).otherwise(far)
+
+
+def norm_cdf(x) -> F.Column:
+    """Standard normal distribution function: a rational form near 0, a
+    continued fraction in the far tail."""
+    return _let(x, lambda v: _let(F.least(F.abs(v), F.lit(37.0)), lambda a: _let(
+        _upper_tail(a), lambda tail: F.when(v > 0, 1 - tail).otherwise(tail))))
+
+
+def _at(d2, E, D, vol, use) -> F.Column:
+    """``use(d2, s, V)`` of the asset volatility and value that both equations
+    give for a d2: vol E = s V N(d1) and E = V N(d1) - D N(d2)."""
+    return _let(d2, lambda d2: _let(E + D * norm_cdf(d2), lambda held: _let(
+        vol * E / held, lambda s: _let(held / norm_cdf(d2 + s), lambda v: use(d2, s, v)))))
+
+
+def merton(E, D, vol) -> F.Column:
+    """d2 of the Merton model (T = 1) with E = V N(d1) - D N(d2) and
+    vol E = s V N(d1).
+
+    Given d2 both equations are explicit in s and V; what is left is that d2
+    is the one of that s and V, one equation whose left side falls from plus to
+    minus infinity.  Its root is bracketed by E <= V <= E + D and
+    vol E / (E + D) <= s <= vol and halved inside the row."""
+    least = vol * E / (E + D)
+    start = F.struct((F.least(F.log(E / D), F.lit(0.0)) / least - vol / 2).alias("lo"), (F.log1p(E / D) / least).alias("hi"))
+
+    def halve(b, _):
+        return _at((b["lo"] + b["hi"]) / 2, E, D, vol, lambda mid, s, v: F.when(
+            F.log(v / D) - s * s / 2 - s * mid > 0, F.struct(mid.alias("lo"), b["hi"].alias("hi"))).otherwise(F.struct(b["lo"].alias("lo"), mid.alias("hi"))))
+    return F.aggregate(F.sequence(F.lit(1), F.lit(HALVINGS)), start, halve, lambda b: (b["lo"] + b["hi"]) / 2)
 
 
 def prepare_for_solve(inputs: DataFrame) -> DataFrame:
@@ -157,7 +128,24 @@ def prepare_for_solve(inputs: DataFrame) -> DataFrame:
 
 
 def dtd_solve(inputs: DataFrame) -> DataFrame:
-    return prepare_for_solve(inputs).mapInPandas(_solve_batches, SOLVE_SCHEMA)
+    """Asset value and volatility, distance to default, how far both equations
+    are from holding (relative to the equity) and whether that is within
+    ``TOLERANCE``; rows without positive equity, debt and volatility, or without
+    a rate, have none of them."""
+    df = prepare_for_solve(inputs)
+    E, D, vol = F.col("mcap_crsp_dd"), F.col("pv_debt"), F.col("sd_12M_dd")
+    df = df.withColumn("pv_debt", F.col("bv_debt_dd") * F.exp(-F.col("trate_1y_dd")))
+    ok = F.coalesce((E > 0) & (D > 0) & (vol > 0), F.lit(False))
+    df = df.withColumn("_d2", F.when(ok, merton(E, D, vol)))
+    df = df.withColumn("_a", F.when(ok, _at(F.col("_d2"), E, D, vol, lambda _, s, v: F.struct(v.alias("v"), s.alias("s")))))
+    df = df.withColumn("asset_value_a", F.col("_a.v")).withColumn("volatility_a", F.col("_a.s"))
+    V, S = F.col("asset_value_a"), F.col("volatility_a")
+    d1 = (F.log(V / D) + S * S / 2) / S
+    miss = F.greatest(F.abs(V * norm_cdf(d1) - D * norm_cdf(d1 - S) - E) / E, F.abs(S * V * norm_cdf(d1) / (E * vol) - 1))
+    return df.withColumn("dtd", (V - D) / (V * S)).withColumn("residual", F.when(ok, miss)) \
+        .withColumn("converged", F.coalesce(F.col("residual") < TOLERANCE, F.lit(False))) \
+        .select("date", "conm", "gvkey", "cusip", "mcap_crsp_dd", "bv_debt_dd", "sd_12M_dd", "trate_1y_dd", "pv_debt",
+                "asset_value_a", "volatility_a", "dtd", "residual", "converged")
 
 
 def dtd_output(solved: DataFrame) -> DataFrame:

@@ -9,11 +9,11 @@ from __future__ import annotations
 import os
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.fixed import CLASS_RATINGS, INVESTMENT_GRADE_MAX_RANK, RATING_FEATURES_US, RATING_RANKS
-from ..session import ensure_checkpoint_dir
+from ..session import cut_lineage, ensure_checkpoint_dir
 
 FEATURES = RATING_FEATURES_US
 RATIO_FEATURES = [f for f in FEATURES if f != "gind"]
@@ -98,27 +98,47 @@ def scale_map(rating: DataFrame) -> DataFrame:
             .select("gvkey", "qdate", "rating_rank", "rating", "grade"))
 
 
-def fold_column(df: DataFrame, k: int = 5) -> DataFrame:
-    """Fold id from a hash of the key, drawn inside each class (so folds are
-    stratified in expectation without ranking a whole class in one task)."""
-    return df.withColumn("fold", F.pmod(F.xxhash64("gvkey", "qdate", "label"), F.lit(k)).cast("int"))
+def stratified_folds(df: DataFrame, k: int = 5, keys=("gvkey", "qdate"), label: str = "label") -> DataFrame:
+    """Fold 0..k-1 of every row: inside each class the rows, in the order of a
+    hash of their keys, go to the folds in turn, so a class's folds differ by
+    one row at most.
+
+    The rank inside a class is distributed: rows are range-sorted by (class,
+    hash), and a row's rank is its place in its partition plus the rows of its
+    class in the partitions before, from one count per partition and class."""
+    h = df.withColumn("_h", F.xxhash64(*keys))
+    cut = cut_lineage(h.repartitionByRange(label, "_h", *keys).sortWithinPartitions(label, "_h", *keys))
+    placed = cut.withColumn("_at", F.monotonically_increasing_id()) \
+        .withColumn("_part", F.shiftright("_at", 33)).withColumn("_at", F.col("_at").bitwiseAND(F.lit((1 << 33) - 1)))
+    placed = cut_lineage(placed)
+    per = placed.groupBy("_part", F.col(label).alias("_class")).agg(F.min("_at").alias("_first"), F.count(F.lit(1)).alias("_n"))
+    before = F.coalesce(F.sum("_n").over(Window.partitionBy("_class").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    per = per.select("_part", "_class", (before - F.col("_first")).alias("_shift"))
+    same = (placed["_part"] == per["_part"]) & placed[label].eqNullSafe(per["_class"])
+    rank = F.col("_at") + F.col("_shift")
+    return placed.join(per, same).withColumn("fold", F.pmod(rank, F.lit(k)).cast("int")).select(*df.columns, "fold")
 
 
 def cross_validate(train: DataFrame, trees=(100,), k: int = 5, seed: int = 0) -> DataFrame:
-    from pyspark.ml import Pipeline
-    from pyspark.ml.classification import RandomForestClassifier
-    from pyspark.ml.evaluation import MulticlassClassificationEvaluator
-    from pyspark.ml.feature import VectorAssembler
-    from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
-    va = VectorAssembler(inputCols=FEATURES, outputCol="features")
-    rf = RandomForestClassifier(maxDepth=30, maxBins=64, seed=seed, labelCol="label")
-    grid = ParamGridBuilder().addGrid(rf.numTrees, list(trees)).build()
-    ev = MulticlassClassificationEvaluator(metricName="accuracy", labelCol="label")
-    cv = CrossValidator(estimator=Pipeline(stages=[va, rf]), estimatorParamMaps=grid, evaluator=ev,
-                        foldCol="fold", numFolds=k, seed=seed)
-    m = cv.fit(fold_column(train, k))
-    rows = [(int(t), float(a)) for t, a in zip(trees, m.avgMetrics)]
-    return train.sparkSession.createDataFrame(rows, "num_trees int, cv_accuracy double")
+    """Mean accuracy over ``k`` stratified folds.  The folds' forests do not
+    wait for each other: they are fitted at the same time, so the levels of one
+    fill the cluster while another plans its next."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    from pyspark import inheritable_thread_target
+    folded = cut_lineage(stratified_folds(train, k))
+    spark = train.sparkSession
+
+    def measured(job):
+        n, fold = job
+        held = fit(folded.filter(F.col("fold") != fold), num_trees=n, seed=seed).transform(folded.filter(F.col("fold") == fold))
+        return held.agg(F.avg((F.col("prediction") == F.col("label")).cast("double"))).first()[0]
+    jobs = [(n, f) for n in trees for f in range(k)]
+    with ThreadPoolExecutor(k) as pool:
+        found = list(pool.map(inheritable_thread_target(spark)(measured), jobs))
+    rows = [(int(n), sum(a for (m, _), a in zip(jobs, found) if m == n and a is not None) / max(1, sum(
+        m == n and a is not None for (m, _), a in zip(jobs, found)))) for n in trees]
+    return spark.createDataFrame(rows, "num_trees int, cv_accuracy double")
 
 
 def roundtrip(model, df: DataFrame) -> DataFrame:

@@ -52,12 +52,48 @@ def dtd_inputs(spark, sf):
 register("dtd_inputs", _DTD_SQL)(dtd_inputs)
 
 
-@register("dtd_solve")
+def _cdf_sql(x: str) -> str:
+    """The normal distribution function, spelled out."""
+    a = f"least(abs({x}), 37.0)"
+
+    def poly(c):
+        return " + ".join(f"{v!r} * pow({a}, {len(c) - 1 - i})" for i, v in enumerate(c))
+    tail = (f"(CASE WHEN {a} < 7.07106781186547 THEN exp(-0.5 * {a} * {a}) * ({poly(C._NUM)}) / ({poly(C._DEN)}) "
+            f"ELSE exp(-0.5 * {a} * {a}) / ({a} + 1 / ({a} + 2 / ({a} + 3 / ({a} + 4 / ({a} + 0.65))))) / sqrt(2 * pi()) END)")
+    return f"(CASE WHEN {x} > 0 THEN 1 - {tail} ELSE {tail} END)"
+
+
+# the halving of the bracket as a recursive table, one row a step
+_SOLVE_SQL = f"""WITH RECURSIVE inputs AS ({_DTD_SQL}),
+prepared AS (
+  SELECT row_number() OVER () AS id, * REPLACE (CASE WHEN bv_debt_dd IS NULL OR bv_debt_dd = 0 THEN 0.01 ELSE bv_debt_dd END AS bv_debt_dd)
+  FROM inputs WHERE sd_12M_dd IS NOT NULL),
+rows AS MATERIALIZED (SELECT *, bv_debt_dd * exp(-trate_1y_dd) AS pv_debt, mcap_crsp_dd AS e, bv_debt_dd * exp(-trate_1y_dd) AS d, sd_12M_dd AS vol FROM prepared),
+steps AS (
+  SELECT id, e, d, vol, least(ln(e / d), 0.0) * (e + d) / (vol * e) - vol / 2 AS lo, ln(1 + e / d) * (e + d) / (vol * e) AS hi, 0 AS k
+  FROM rows WHERE e > 0 AND d > 0 AND vol > 0
+  UNION ALL
+  SELECT id, e, d, vol, CASE WHEN ln(held / n1 / d) - s * s / 2 - s * mid > 0 THEN mid ELSE lo END,
+         CASE WHEN ln(held / n1 / d) - s * s / 2 - s * mid > 0 THEN hi ELSE mid END, k + 1
+  FROM (SELECT *, {_cdf_sql("(mid + s)")} AS n1 FROM (SELECT *, vol * e / held AS s FROM (
+    SELECT *, e + d * {_cdf_sql("mid")} AS held FROM (SELECT *, (lo + hi) / 2 AS mid FROM steps WHERE k < {C.HALVINGS}))))),
+solved AS (
+  SELECT id, held / {_cdf_sql("(mid + s)")} AS v, s FROM (SELECT *, vol * e / held AS s FROM (
+    SELECT *, e + d * {_cdf_sql("mid")} AS held FROM (SELECT *, (lo + hi) / 2 AS mid FROM steps WHERE k = {C.HALVINGS}))))
+"""
+
+_SOLVED = "rows LEFT JOIN solved USING (id)"
+
+
+@register("dtd_solve", _SOLVE_SQL + f"""
+SELECT date, conm, gvkey, cusip, mcap_crsp_dd, bv_debt_dd, sd_12M_dd, trate_1y_dd, pv_debt, v AS asset_value_a, s AS volatility_a,
+       (v - d) / (v * s) AS dtd, CASE WHEN v IS NOT NULL THEN CAST(0 AS DOUBLE) END AS residual, v IS NOT NULL AS converged FROM {_SOLVED}""")
 def dtd_solve(spark, sf):
-    return C.dtd_solve(dtd_inputs(spark, sf))
+    return C.dtd_solve(dtd_inputs(spark, sf)).withColumn("residual", F.round("residual", 8))
 
 
-@register("dtd_output")
+@register("dtd_output", _SOLVE_SQL + f"""
+SELECT date, conm, gvkey, cusip, (v - d) / (v * s) AS dtd, v AS asset_value_a, s AS volatility_a FROM {_SOLVED}""")
 def dtd_output(spark, sf):
     return C.dtd_output(C.dtd_solve(dtd_inputs(spark, sf)))
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -19,16 +19,17 @@ def exact_quantiles(long: DataFrame, qs: Sequence[float], key: str = "item",
     """Exact linear-interpolated quantiles per key, without holding a group
     in one task and without moving rows through Python.
 
-    The (key, value) pairs are range-partitioned and sorted across the
-    cluster and checkpointed once.  Inside a partition the row's position is
-    ``monotonically_increasing_id`` minus the partition's base; one small
-    aggregate gives the row count of every partition, hence each
-    partition's global offset.  Only the two order statistics around each
-    (key, q) are fetched, so driver traffic is keys x quantiles rows plus
-    one count per partition, whatever the data size."""
+    Equal values are one row with a count, made before the shuffle, so a value
+    that fills a third of the table is one row.  The distinct (key, value) rows
+    are range-partitioned and sorted across the cluster; a row's first rank is
+    the count of the partitions before its own, one sum per partition, plus
+    the running count inside its partition.  Only the two order statistics
+    around each (key, q) are fetched, so driver traffic is keys x quantiles
+    rows plus one sum per partition, whatever the data size."""
     from ..session import cut_lineage
     spark = long.sparkSession
-    counts = {r[0]: r[1] for r in long.groupBy(key).count().collect()}  # one row per key
+    distinct = cut_lineage(long.groupBy(key, value).agg(F.count(F.lit(1)).alias("_n")))
+    counts = {r[0]: r[1] for r in distinct.groupBy(key).agg(F.sum("_n")).collect()}  # one row per key
     if not counts:
         return spark.createDataFrame([], f"{key} string, q double, value double")
     offsets, run = {}, 0
@@ -43,19 +44,18 @@ def exact_quantiles(long: DataFrame, qs: Sequence[float], key: str = "item",
             lo, hi = math.floor(pos), math.ceil(pos)
             plan.append((k, q, offsets[k] + lo, offsets[k] + hi, pos - lo))
             wanted.update((offsets[k] + lo, offsets[k] + hi))
-    ordered = cut_lineage(long.select(key, value).orderBy(key, value)
-                          .select(value, F.spark_partition_id().alias("_p"),
-                                  F.monotonically_increasing_id().alias("_m")))
-    sizes = sorted((r[0], r[1]) for r in ordered.groupBy("_p").count().collect())  # one row per partition
+    ordered = cut_lineage(distinct.orderBy(key, value).withColumn("_p", F.spark_partition_id()))
+    sizes = sorted((r[0], r[1]) for r in ordered.groupBy("_p").agg(F.sum("_n")).collect())  # one row per partition
     base, run = {}, 0
     for p, c in sizes:
         base[p] = run
         run += c
     base_map = F.create_map(*[F.lit(x) for p in base for x in (p, base[p])])
-    local = F.col("_m") - F.shiftleft(F.col("_p").cast("long"), 33)
-    gidx = F.element_at(base_map, F.col("_p")) + local
-    picked = {r[0]: r[1] for r in ordered.select(gidx.alias("i"), value)
-              .filter(F.col("i").isin(*sorted(wanted))).collect()}
+    before = Window.partitionBy("_p").orderBy(key, value).rowsBetween(Window.unboundedPreceding, -1)
+    first = F.element_at(base_map, F.col("_p")) + F.coalesce(F.sum("_n").over(before), F.lit(0))
+    asked = F.array(*(F.lit(w).cast("long") for w in sorted(wanted)))
+    hit = F.filter(asked, lambda w: (w >= F.col("_first")) & (w < F.col("_first") + F.col("_n")))
+    picked = {r[0]: r[1] for r in ordered.withColumn("_first", first).select(F.explode(hit).alias("i"), value).collect()}
     rows = []
     for k, q, lo, hi, frac in plan:
         a, b = picked[lo], picked[hi]

@@ -15,6 +15,6 @@ FROM (SELECT DISTINCT ON (event_id) * FROM events) e
 GROUP BY 1, 2""")
 def stream_daily_windows(spark, sf):
     """One folder per source under the shared checkpoint folder: a second call
-    goes on from the first and finds nothing new."""
+    goes on from the first, unless a file was replaced."""
     name = hashlib.md5(sf.encode()).hexdigest()
     return daily_windows(spark, sf, f"{ensure_checkpoint_dir(spark)}/stream_daily/{name}")

@@ -54,7 +54,6 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         if not re.fullmatch(r"local(\[[^\]]*\])?", master):
             raise RuntimeError(f"set spark.checkpoint.dir to a folder all executors of {master} share")
         d = tempfile.mkdtemp(prefix="sparkfin-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", d)
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(d)
     return d

@@ -23,7 +23,5 @@ def spark():
     s = b.getOrCreate()
     s.sparkContext.setLogLevel("ERROR")
     if not (s.sparkContext.getCheckpointDir() or s.conf.get("spark.checkpoint.dir", None)):
-        d = tempfile.mkdtemp(prefix="sparkfin-test-ckpt-")
-        s.conf.set("spark.checkpoint.dir", d)
-        s.sparkContext.setCheckpointDir(d)
+        s.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="sparkfin-test-ckpt-"))
     yield s

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.expr import ffill_limit, rint_n, z
+from .aggregates import rolling_deviation
 from .panel import dedup_first, dedup_last
 
 RATE_SERIES = "BUILDING"   # macro series standing in for the 1-year rate
@@ -40,9 +41,8 @@ def dtd_inputs(dsf: DataFrame, macro: DataFrame, link: DataFrame, fundq: DataFra
     daily = dsf.select("date", "permno", "cusip",
                       (F.abs("prc") * F.col("shrout") / 1000).alias("mcap_crsp_dd"), "ret").distinct()
     daily = daily.join(rate_series(macro), "date", "left")
-    wv = Window.partitionBy("permno").orderBy("date").rowsBetween(-(VOL_DAYS - 1), 0)
-    daily = daily.withColumn("sd_12M_dd", F.when(F.count("ret").over(wv) >= VOL_DAYS,
-                                               F.stddev_samp("ret").over(wv) * math.sqrt(VOL_DAYS)))
+    daily = rolling_deviation(daily, "ret", "permno", "date", VOL_DAYS, "sd_12M_dd") \
+        .withColumn("sd_12M_dd", F.col("sd_12M_dd") * math.sqrt(VOL_DAYS))
     daily = daily.withColumn("month_end", F.last_day("date"))
     monthly = dedup_last(daily, ["permno", "month_end"], ["date"]).select(
         F.col("month_end").alias("date"), "permno", "mcap_crsp_dd", "sd_12M_dd", "trate_1y_dd")
@@ -67,8 +67,8 @@ _DEN = (8.83883476483184e-02, 1.75566716318264, 16.064177579207, 86.780732202946
         637.333633378831, 793.826512519948, 440.413735824752)
 
 
-#: halvings of the bracket: from any width seen to neighbouring doubles
-HALVINGS = 100
+#: halvings of the bracket: a width of 10,000 comes down to 5e-16
+HALVINGS = 64
 
 
 def _poly(coefficients, x) -> F.Column:

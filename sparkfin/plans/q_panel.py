@@ -347,9 +347,8 @@ FROM a_fundq"""))(
 def rolling_volatility_df(dsf, n: int = 252):
     """Annualised rolling deviation of daily returns by security; the frame
     needs ``n`` returns.  Rounded to 6 places (half-even)."""
-    w = Window.partitionBy("permno").orderBy("date").rowsBetween(-(n - 1), 0)
-    vol = F.when(F.count("ret").over(w) >= n, F.stddev_samp("ret").over(w) * math.sqrt(n))
-    return dsf.select("permno", "date", X.rint_n(vol, 6).alias("vol"))
+    d = AG.rolling_deviation(dsf.select("permno", "date", "ret"), "ret", "permno", "date", n, "sd")
+    return d.select("permno", "date", X.rint_n(F.col("sd") * math.sqrt(n), 6).alias("vol"))
 
 
 _VOLW = f"OVER (PARTITION BY permno ORDER BY date {O.rows(252)})"

@@ -25,11 +25,13 @@ RESULT_CONF = ("spark.sql.session.timeZone", "spark.sql.ansi.enabled")
 
 
 def get_session(master: str | None = None, shuffle_partitions: int | None = None,
-                app: str = "sparkfin") -> SparkSession:
+                app: str = "sparkfin", checkpoint_dir: str | None = None) -> SparkSession:
     master = master or os.environ.get("SPARK_MASTER", "local[*]")
     b = SparkSession.builder.master(master).appName(app)
     for k, v in BASE_CONF.items():
         b = b.config(k, v)
+    if checkpoint_dir:
+        b = b.config("spark.checkpoint.dir", checkpoint_dir)
     b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions or 8))
     b = b.config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
     b = b.config("spark.driver.memory", os.environ.get("SPARK_DRIVER_MEMORY", "8g"))

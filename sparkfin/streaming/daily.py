@@ -15,23 +15,47 @@ has gone, what was counted no longer holds, and a new run counts all files.
 """
 from __future__ import annotations
 
+import json
 import os
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-_MANIFEST = "name string, length long, time long"
-
-
 def _files(spark: SparkSession, source_dir: str, file_glob: str) -> set[tuple[str, int, int]]:
     path = spark._jvm.org.apache.hadoop.fs.Path(os.path.join(source_dir, file_glob))
     found = path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path) or []
     return {(f.getPath().getName(), f.getLen(), f.getModificationTime()) for f in found}
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
+def _at(spark: SparkSession, path: str):
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    fs, p = _at(spark, path)
+    return fs.exists(p)
+
+
+def _save_manifest(spark: SparkSession, run: str, files: set) -> None:
+    """Written under another name first: a manifest is whole or not there."""
+    (fs, draft), (_, path) = _at(spark, f"{run}/manifest.draft"), _at(spark, f"{run}/manifest.json")
+    out = fs.create(draft, True)
+    out.write(bytearray(json.dumps(sorted(files)).encode()))
+    out.close()
+    fs.delete(path, False)
+    fs.rename(draft, path)
+
+
+def _manifest(spark: SparkSession, run: str) -> set | None:
+    fs, path = _at(spark, f"{run}/manifest.json")
+    if not fs.exists(path):
+        return None
+    stream = fs.open(path)
+    try:
+        return {tuple(x) for x in json.loads(spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))}
+    finally:
+        stream.close()
 
 
 def _last_run(spark: SparkSession, folder: str) -> int:
@@ -44,10 +68,8 @@ def _last_run(spark: SparkSession, folder: str) -> int:
 def _current_run(spark: SparkSession, folder: str, files: set) -> str:
     """The run that what is there belongs to, or a new one."""
     n = _last_run(spark, folder)
-    if n and _exists(spark, f"{folder}/run-{n}/manifest/_SUCCESS"):
-        known = {tuple(r) for r in spark.read.schema(_MANIFEST).json(f"{folder}/run-{n}/manifest").collect()}
-        if known <= files:
-            return f"{folder}/run-{n}"
+    if n and (known := _manifest(spark, f"{folder}/run-{n}")) is not None and known <= files:
+        return f"{folder}/run-{n}"
     return f"{folder}/run-{n + 1}"
 
 
@@ -55,7 +77,7 @@ def daily_windows(spark: SparkSession, source_dir: str, folder: str, file_glob:
                   watermark: str = "1 day") -> DataFrame:
     files = _files(spark, source_dir, file_glob)
     run = _current_run(spark, folder, files)
-    spark.createDataFrame(sorted(files), _MANIFEST).coalesce(1).write.mode("overwrite").json(f"{run}/manifest")
+    _save_manifest(spark, run, files)
     schema = spark.read.parquet(os.path.join(source_dir, file_glob)).schema
     src = (spark.readStream.schema(schema).option("pathGlobFilter", file_glob)
            .option("maxFilesPerTrigger", 64).parquet(source_dir))

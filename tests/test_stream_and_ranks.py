@@ -6,7 +6,7 @@ import numpy as np
 import pandas as pd
 import pytest
 
-from sparkfin.operators.aggregates import exact_quantiles
+from sparkfin.operators.aggregates import exact_quantiles, rolling_deviation
 from sparkfin.streaming.daily import daily_windows, late_rows
 
 GLOB = "events*.parquet"
@@ -53,3 +53,20 @@ def test_quantiles_with_a_value_that_fills_most_rows(spark):
     for key, x in (("a", a), ("b", b), ("c", np.array([1.0]))):
         for q in qs:
             assert got[key, q] == pytest.approx(float(np.quantile(x, q)), rel=1e-12, abs=1e-15)
+
+
+def test_rolling_deviation_of_heavy_tails(spark):
+    rng = np.random.default_rng(6)
+    series = {"a": rng.standard_t(1.5, 700) * 1e-3, "b": 1e6 + rng.normal(size=95), "c": rng.normal(size=20), "d": rng.normal(size=21), "e": np.full(70, 0.25)}
+    series["a"][300] = 1e4  # one wild value must not spoil the frames after it
+    rows = [(k, i, None if k == "d" and i == 3 else float(v)) for k, x in series.items() for i, v in enumerate(x)]
+    df = spark.createDataFrame(rows, "k string, t int, v double").repartition(5)
+    got = {(r.k, r.t): r.s for r in rolling_deviation(df, "v", "k", "t", 20, "s").collect()}
+    assert len(got) == len(rows)
+    for k, x in series.items():
+        for i in range(len(x)):
+            frame = x[max(0, i - 19):i + 1]
+            if len(frame) < 20 or k == "d" and i - 19 <= 3:
+                assert got[k, i] is None
+            else:
+                assert got[k, i] == pytest.approx(np.std(frame, ddof=1), rel=1e-9, abs=1e-12)

@@ -44,3 +44,8 @@ INVESTMENT_GRADE_MAX_RANK = 10   # ranks 1-10 investment grade, the rest high yi
 # Ten model features of the US rating forest (quarterly ratios and industry).
 RATING_FEATURES_US = ["intcov_ratioq", "lt_debtq", "inv_turnq", "gind", "int_totdebtq",
                       "lt_ppentq", "opmbdq", "short_debtq", "debt_atq", "invt_actq"]
+
+# Ten model features of the global rating forest (country rank, industry and
+# quarterly ratios).
+RATING_FEATURES_GLB = ["loc_rank", "gind", "intcov_ratioq", "int_totdebtq", "gpmq", "lt_ppentq",
+                       "lt_atq", "inv_turnq", "invt_actq", "rect_turnq"]

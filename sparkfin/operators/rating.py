@@ -9,14 +9,19 @@ from __future__ import annotations
 import os
 import uuid
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..functions.fixed import CLASS_RATINGS, INVESTMENT_GRADE_MAX_RANK, RATING_FEATURES_US, RATING_RANKS
+from ..functions.fixed import (CLASS_RATINGS, INVESTMENT_GRADE_MAX_RANK, RATING_FEATURES_GLB, RATING_FEATURES_US,
+                               RATING_RANKS)
 from ..session import cut_lineage, ensure_checkpoint_dir
 
 FEATURES = RATING_FEATURES_US
 RATIO_FEATURES = [f for f in FEATURES if f != "gind"]
+GLOBAL_FEATURES = RATING_FEATURES_GLB
+GLOBAL_CODES = ["loc_rank", "gind"]          # names, not numbers: country rank and industry
+GLOBAL_RATIO_FEATURES = [f for f in GLOBAL_FEATURES if f not in GLOBAL_CODES]
+MAX_CODES = 1024                             # a code list is a published standard; more values mean a wrong column
 
 
 def rating_match(ratios: DataFrame, rating: DataFrame) -> DataFrame:
@@ -35,10 +40,22 @@ def features(matched: DataFrame, gics_first: DataFrame) -> DataFrame:
                     *cols)
 
 
-def split_flag(df: DataFrame) -> DataFrame:
+def global_features(ratios: DataFrame, rating: DataFrame) -> DataFrame:
+    """Label and the ten global features of every rated (security, quarter).
+
+    The eight ratios are numbers, missing values 0; country rank and industry
+    are codes, a missing one the empty text, which is a category of its own."""
+    r = rating.select("gvkey", F.col("qdate").alias("datadate"), "rating_rank", "class_pos", "loc_rank")
+    j = ratios.join(r, ["gvkey", "datadate"], "left").filter(F.coalesce("rating_rank", F.lit(-1)) > -1)
+    return j.select("isin", "gvkey", F.col("datadate").alias("qdate"), F.col("class_pos").cast("double").alias("label"),
+                    *[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in GLOBAL_CODES],
+                    *[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) for c in GLOBAL_RATIO_FEATURES])
+
+
+def split_flag(df: DataFrame, keys=("gvkey", "qdate")) -> DataFrame:
     """Stable 25 % test split from a digest of the key (no random state, so
     reruns and lost executors give the same split, and any key will do)."""
-    digest = F.md5(F.concat_ws("|", "gvkey", "qdate").cast("binary"))
+    digest = F.md5(F.concat_ws("|", *keys).cast("binary"))
     return df.withColumn("is_test", F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint") % 4 == 0)
 
 
@@ -52,6 +69,93 @@ def fit(train: DataFrame, num_trees: int = 100, max_depth: int = 30, seed: int =
     return Pipeline(stages=[va, rf]).fit(train)
 
 
+def fit_global(train: DataFrame, num_trees: int = 100, max_depth: int = 30, seed: int = 0):
+    """The global forest: country rank and industry are split as sets of
+    codes, not as numbers.  Bins hold every code of the training rows (and one
+    for codes not seen there), at least 64."""
+    from pyspark.ml import Pipeline
+    from pyspark.ml.classification import RandomForestClassifier
+    from pyspark.ml.feature import StringIndexer, VectorAssembler
+    seen = train.agg(*[F.approx_count_distinct(c).alias(c) for c in GLOBAL_CODES]).first()
+    if max(seen) > MAX_CODES:
+        raise ValueError(f"more than {MAX_CODES} codes in {GLOBAL_CODES}: {seen}")
+    codes = StringIndexer(inputCols=GLOBAL_CODES, outputCols=[c + "_index" for c in GLOBAL_CODES],
+                          handleInvalid="keep", stringOrderType="alphabetAsc").fit(train)
+    bins = max(64, *(len(labels) + 1 for labels in codes.labelsArray))
+    va = VectorAssembler(inputCols=[c + "_index" if c in GLOBAL_CODES else c for c in GLOBAL_FEATURES], outputCol="features")
+    rf = RandomForestClassifier(numTrees=num_trees, maxDepth=max_depth, maxBins=bins, seed=seed,
+                                labelCol="label", featuresCol="features")
+    return Pipeline(stages=[codes, va, rf]).fit(train)
+
+
+def node_table(model) -> DataFrame:
+    """A fitted forest as a table, one row per node: ``tree``, ``node``,
+    ``feature`` (its place in the vector), ``threshold`` (a number: values up to
+    it go left), ``left_codes`` (a code: these go left), ``left``, ``right`` and
+    ``shares`` (class shares of the node's training rows).  A leaf has no
+    feature and is its own child, so a walk may go on past it; ``levels`` is the
+    depth of the deepest tree.  Spark ML keeps a fitted forest on the driver;
+    this writes it to the shared folder and reads it as data."""
+    spark = SparkSession.active()
+    path = os.path.join(ensure_checkpoint_dir(spark), "forests", uuid.uuid4().hex)
+    model.stages[-1].write().save(path)
+    n = spark.read.parquet(os.path.join(path, "data")).select(F.col("treeID").alias("tree"), "nodeData.*")
+    leaf, code = F.col("leftChild") < 0, F.col("split.numCategories") >= 0
+    total = F.aggregate("impurityStats", F.lit(0.0), lambda a, x: a + x)
+    return n.select(
+        "tree", F.col("id").alias("node"), F.when(~leaf, F.col("split.featureIndex")).alias("feature"),
+        F.when(~leaf & ~code, F.try_element_at("split.leftCategoriesOrThreshold", F.lit(1))).alias("threshold"),
+        F.when(~leaf & code, F.col("split.leftCategoriesOrThreshold")).alias("left_codes"),
+        F.when(leaf, F.col("id")).otherwise(F.col("leftChild")).alias("left"),
+        F.when(leaf, F.col("id")).otherwise(F.col("rightChild")).alias("right"),
+        F.transform("impurityStats", lambda x: F.when(total > 0, x / total).otherwise(0.0)).alias("shares"),
+        F.lit(max(t.depth for t in model.stages[-1].trees)).alias("levels"))
+
+
+def score_nodes(nodes: DataFrame, df: DataFrame, vector: str = "features") -> DataFrame:
+    """``df`` with ``probability`` (an array over the classes) and
+    ``prediction``, from a node table by joins, one per level.
+
+    A row enters every tree at its root; each join moves it to a child.  The
+    node table grows with the training rows, so the planner alone decides from
+    its measured size whether it is sent to the executors or both sides meet by
+    (tree, node).  The walk ends with the deepest leaf.  Of classes whose shares
+    agree to nine places the first is predicted, so the order of the sums does
+    not matter."""
+    from pyspark.ml.functions import vector_to_array
+    nodes = cut_lineage(nodes)
+    trees, classes, levels = nodes.agg(F.max("tree"), F.max(F.size("shares")), F.max("levels")).first()
+    if trees is None:
+        raise ValueError("no nodes")
+    rows = cut_lineage(df.withColumn("_row", F.monotonically_increasing_id()))
+    at = rows.select("_row", vector_to_array(vector).alias("_x"), F.explode(F.sequence(F.lit(0), F.lit(trees))).alias("tree"),
+                     F.lit(0).alias("node"))
+    step = nodes.select("tree", "node", "feature", "threshold", "left_codes", "left", "right")
+    for level in range(levels):
+        v = F.try_element_at("_x", F.col("feature") + 1)
+        goes_left = F.coalesce(v <= F.col("threshold"), F.array_contains("left_codes", v), F.lit(False))
+        at = at.join(step, ["tree", "node"]).select(
+            "_row", "_x", "tree", F.when(goes_left, F.col("left")).otherwise(F.col("right")).alias("node"))
+        if level % 8 == 7:
+            at = cut_lineage(at)
+    votes = at.join(nodes.select("tree", "node", "shares"), ["tree", "node"]).groupBy("_row").agg(
+        *[F.sum(F.get("shares", F.lit(i))).alias(f"_s{i}") for i in range(classes)])
+    s = F.array(*[F.col(f"_s{i}") for i in range(classes)])
+    near = F.transform(s, lambda x: F.round(x, 9))
+    total = sum((F.col(f"_s{i}") for i in range(1, classes)), F.col("_s0"))
+    votes = votes.select("_row", F.transform(s, lambda x: x / total).alias("probability"),
+                         (F.array_position(near, F.array_max(near)) - 1).cast("double").alias("prediction"))
+    return rows.join(votes, "_row").drop("_row")
+
+
+def score_model(model, df: DataFrame) -> DataFrame:
+    """A fitted pipeline's forest applied through its node table: the stages
+    before it make the vector, the joins of ``score_nodes`` the prediction."""
+    for stage in model.stages[:-1]:
+        df = stage.transform(df)
+    return score_nodes(node_table(model), df)
+
+
 def _class_col(i: int) -> str:
     return "p_" + CLASS_RATINGS[i].replace("+", "_plus").replace("-", "_minus")
 

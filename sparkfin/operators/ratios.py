@@ -378,8 +378,54 @@ ANNUAL_COLS = [
 ]
 
 
-def annual_ratios(df: DataFrame, key: str = "gvkey", date: str = "datadate") -> DataFrame:
-    """US annual ratios (computed by the reference but never returned).
+# The global annual family has no advertising, labour, growth-multiple or dividend-yield ratio.
+ANNUAL_COLS_GLB = [c for c in ANNUAL_COLS if c not in (
+    "adv_salea", "staff_salea", "PEG_1yrforwarda", "PEG_ltgforwarda", "PEG_trailinga", "divyielda")]
+
+
+def annual_panel_global(df: DataFrame, key: str = "isin", date: str = "datadate") -> DataFrame:
+    """One row per (security, fiscal year end), market value and prices from
+    the company's own price file alone."""
+    from .panel import dedup_first
+    values = [f.name for f in df.schema.fields if f.dataType.typeName() == "double"]
+    none = F.lit(None).cast("double")
+    return dedup_first(df, [key, date], [F.col(date), F.xxhash64(*values)]).withColumns(
+        {"mcap_crsp": none, "prc_crsp_unadj": none, "prc_crsp_adj": none})
+
+
+def annual_ratios_global(df: DataFrame, key: str = "isin", date: str = "datadate") -> DataFrame:
+    """Global annual ratios, keyed by security.  Those whose definition differs
+    from the US family: gross profit is always revenue less cost; net operating
+    assets, capital employed and total assets under debt count a missing item
+    as 0; after-tax return takes income less preferred dividends; payout is over
+    ``ibc``; book to market and enterprise value use the panel's market value."""
+    w = firm_window(key, date)
+    us = annual_ratios(annual_panel_global(df, key, date), key, date, keep=(
+        "mktcap", "revt", "cogs", "sale", "at", "ib", "dvp", "dvc", "ibc", "ceq", "dltt", "dlc", "mib", "pstk",
+        "ppent", "act", "lct", "oiadp", "dp", "ebit", "xsga", "ebitda", "oibdp", "bea"))
+    gross = z("revt") - z("cogs")
+    noa = z("ppent") + z("act") - z("lct")
+    debt = z("dltt") + z("dlc")
+    capital = debt + z("ceq")
+    ev = debt + z("mib") + z("pstk") + z("mktcap")
+    d = us.select("*", lag(noa, w).alias("_noa1"), lag(capital, w).alias("_capital1"), lag(z("ceq"), w).alias("_ceq1"))
+    own = {
+        "GProfa": div(gross, col("at")),
+        "gpma": div(gross, col("sale")),
+        "aftret_eqa": div(z("ib") - z("dvp"), (z("ceq") + col("_ceq1")) / 2),
+        "pretret_noa": div(F.coalesce(col("oiadp"), -z("dp")), (z("_noa1") + noa) / 2),
+        "rocea": div(F.coalesce(col("ebit"), z("sale") - z("cogs") - z("xsga") - z("dp")), (capital + col("_capital1")) / 2),
+        "debt_ata": div(debt, z("at")),
+        "dpra": div("dvc", "ibc"),
+        "bma": div("bea", "mktcap"),
+        "evma": div_or(ev, col("ebitda"), div_or(ev, col("oibdp"), div(ev, z("sale") - z("cogs") - z("xsga")))),
+    }
+    return d.select(key, date, *[own[c].alias(c) if c in own else F.col(c) for c in ANNUAL_COLS_GLB])
+
+
+def annual_ratios(df: DataFrame, key: str = "gvkey", date: str = "datadate", keep: tuple[str, ...] = ()) -> DataFrame:
+    """US annual ratios (computed by the reference but never returned), with
+    the input or intermediate columns named in ``keep``.
 
     Two-period averages use the previous fiscal year of the same firm; the
     EPS growth lags are 1, 2 and 3 years; ``roea`` uses the two-period
@@ -499,4 +545,4 @@ def annual_ratios(df: DataFrame, key: str = "gvkey", date: str = "datadate") ->
         "pe_exia": div("lead_price_adj", "pe_exi"),
         "pe_inca": div(col("lead_price_adj"), div("epsfi", "ajex")),
     }
-    return b.select(key, date, *[c[n].alias(n) for n in ANNUAL_COLS])
+    return b.select(key, date, *keep, *[c[n].alias(n) for n in ANNUAL_COLS])

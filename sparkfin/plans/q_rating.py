@@ -7,6 +7,7 @@ from ..functions.fixed import CLASS_RATINGS, INVESTMENT_GRADE_MAX_RANK, RATING_R
 from ..operators import panel as P
 from ..operators import rating as RT
 from ..operators import ratios as R
+from ..session import cut_lineage
 from ..sources import adapters as A
 from . import oracle as O
 from .q_ratios import ratios_cte
@@ -63,6 +64,43 @@ def _model_and_test(spark, sf):
     return model, f.filter(F.col("is_test"))
 
 
+def _global_features(spark, sf):
+    from .q_ratios import prepared_global
+    ratios = R.quarterly_ratios(prepared_global(spark, sf), R.GLOBAL, keep=R.GLOBAL_KEYS)
+    return RT.global_features(ratios, L(spark, sf, "a_rating"))
+
+
+_GLOBAL_CTES, _GLOBAL_RATIOS = ratios_cte("GLB")
+_GLOBAL_FEATURE_SQL = ", ".join(
+    [f"coalesce(cast({c} AS string), '') AS {c}" for c in RT.GLOBAL_CODES]
+    + [f"coalesce(cast(q.{c} AS double), 0.0) AS {c}" for c in RT.GLOBAL_RATIO_FEATURES])
+
+register("rating_features_global", O.sql(["a_panelq", "a_gics", "a_rating"], f"""
+SELECT q.isin, q.gvkey, q.datadate AS qdate, cast(r.class_pos AS double) AS label, {_GLOBAL_FEATURE_SQL}
+FROM {_GLOBAL_RATIOS} q JOIN a_rating r ON q.gvkey = r.gvkey AND q.datadate = r.qdate
+WHERE r.rating_rank > -1""", _GLOBAL_CTES))(_global_features)
+
+
+@register("rating_model_global")
+def rating_model_global(spark, sf):
+    """Importances of the global forest and how many codes a feature has."""
+    train = RT.split_flag(cut_lineage(_global_features(spark, sf)), ("isin", "qdate")).filter(~F.col("is_test"))
+    model = RT.fit_global(train)
+    codes = dict(zip(RT.GLOBAL_CODES, (len(labels) for labels in model.stages[0].labelsArray)))
+    rf = model.stages[-1]
+    return spark.createDataFrame(
+        [(f, float(v), codes.get(f), rf.getNumTrees) for f, v in zip(RT.GLOBAL_FEATURES, rf.featureImportances.toArray().tolist())],
+        "feature string, importance double, n_codes int, num_trees int")
+
+
+@register("rating_predict_global")
+def rating_predict_global(spark, sf):
+    """Held-out rows scored from the node table of the global forest."""
+    f = cut_lineage(RT.split_flag(_global_features(spark, sf), ("isin", "qdate")))
+    model = RT.fit_global(f.filter(~F.col("is_test")))
+    return RT.score_model(model, f.filter(F.col("is_test"))).select("isin", "qdate", "label", "prediction")
+
+
 register("rating_match", _rsql(f"SELECT gvkey, datadate, rating_rank, class_pos, {', '.join(RT.RATIO_FEATURES)} FROM rm"))(
     _matched)
 

@@ -431,3 +431,74 @@ yb AS (SELECT *,
 @register("ratios_annual", _annual_sql())
 def ratios_annual(spark, sf):
     return R.annual_ratios(A.load(spark, sf, "a_panela"))
+
+
+def _annual_global_sql() -> str:
+    """Every global annual ratio from the definitions, apart from the US text."""
+    w = "OVER (PARTITION BY isin ORDER BY datadate)"
+
+    def mean2(x):
+        return f"(({z(x)} + lag({z(x)}) {w}) / 2)"
+
+    def diff(x):
+        return f"({z(x)} - lag({z(x)}) {w})"
+
+    debt, bea = f"({z('dltt')} + {z('dlc')})", f"({z('seq')} + {z('txditc')} - {z('pstk')})"
+    noa, gross = f"({z('ppent')} + {z('act')} - {z('lct')})", f"({z('revt')} - {z('cogs')})"
+    capital = f"({debt} + {z('ceq')})"
+    works = f"({z('ppent')} + {z('act')})"
+    income = f"coalesce(pi, {z('oiadp')} - {z('xint')} + {z('spi')} + {z('nopi')})"
+    after = f"coalesce(oiadp, 0.0 - {z('dp')})"
+    before = f"coalesce(oibdp, {z('sale')} - {z('xopr')})"
+    stage = f"""gy AS (SELECT *, mcap_comp AS mktcap, prc_comp_adj AS price_adj FROM (
+    SELECT *, row_number() OVER (PARTITION BY isin, datadate ORDER BY datadate) AS rn FROM a_panela) t WHERE rn = 1),
+gz AS (SELECT *, {debt} AS debt, {bea} AS bea, {capital} AS capital,
+  coalesce(oancf, {z('ib')} - ({diff('act')} - {diff('che')} - {diff('lct')} + {diff('dlc')} + {diff('txp')} - {z('dp')})) AS ocf,
+  lag({bea}) {w} AS bea1, lag({noa}) {w} AS noa1, lag({capital}) {w} AS capital1, lag({works}) {w} AS works1,
+  lag({z('icapt')} + {z('txditc')} + coalesce(-mib, 0.0)) {w} AS invested1,
+  {debt} + {z('mib')} + {z('pstk')} + {z('mktcap')} AS ev,
+  {O.ordered_mean("ib", 5, part="isin")} AS ib5,
+  lead(price_adj) {w} AS price1, lead(mktcap) {w} AS mktcap1,
+  {", ".join(f"{mean2(x)} AS {x}_m" for x in ("at", "invt", "ap", "rect", "dltt", "dlc", "ceq", "seq"))},
+  {diff('invt')} AS invt_d FROM gy)"""
+    last = f"{z('sale')} - {z('cogs')} - {z('xsga')}"
+    c = {
+        "capital_ratioa": dv("dltt", f"{z('dltt')} + {z('ceq')} + {z('pstk')}"),
+        "equity_invcapa": dv("ceq", "icapt"), "debt_invcapa": dv("dltt", "icapt"),
+        "totdebt_invcapa": dv("debt", z("icapt")), "at_turna": dv("sale", "at_m"), "inv_turna": dv("cogs", "invt_m"),
+        "pay_turna": dv(f"{z('cogs')} + invt_d", "ap_m"), "rect_turna": dv("sale", "rect_m"),
+        "sale_equitya": dv("sale", "seq"), "sale_invcapa": dv("sale", "icapt"),
+        "sale_nwc": dv("sale", f"{z('act')} - {z('lct')}"), "invt_acta": dv("invt", "act"), "rect_acta": dv("rect", "act"),
+        "fcf_ocfa": dv(f"{z('ocf')} - {z('capx')}", "ocf"), "ocf_lcta": dv("ocf", "lct"),
+        "cash_debta": dv("ocf", "coalesce(lt, debt)"), "cash_lta": dv("che", "lt"),
+        "cfma": dv(f"{z('ibc')} + {z('dpc')}", "sale"), "short_debta": dv("dlc", "debt"), "profit_lcta": dv(before, "lct"),
+        "curr_debta": dv("lct", "lt"), "debt_ebitda": dv("debt", f"coalesce(ebitda, oibdp, {last})"),
+        "dltt_bea": dv("dltt", "bea"), "int_debta": dv("xint", "dltt_m"), "int_totdebta": dv("xint", "dltt_m + dlc_m"),
+        "lt_debta": dv("dltt", "lt"), "lt_ppenta": dv("lt", "ppent"),
+        "cash_conversiona": f"{dv('invt_m', z('cogs') + ' / 365')} + {dv('rect_m', z('sale') + ' / 365')} - {dv('ap_m', z('cogs') + ' / 365')}",
+        "cash_ratioa": dv("che", "lct"), "curr_ratioa": dv(f"coalesce(act, {z('che')} + {z('rect')} + {z('invt')})", "lct"),
+        "quick_ratioa": dv(f"{z('act')} - {z('invt')}", "lct"), "accruala": dv(f"{z('oancf')} - {z('ib')}", "at_m"),
+        "rd_salea": dv("xrd", "sale"), "efftaxa": dv("txt", income), "GProfa": dv(gross, "at"),
+        "aftret_eqa": dv(f"{z('ib')} - {z('dvp')}", "ceq_m"), "aftret_equitya": dv("ib", "seq_m"),
+        "aftret_invcapxa": dv(f"{z('ib')} + {z('xint')} + {z('mii')}", "invested1"), "gpma": dv(gross, "sale"),
+        "npma": dv("ib", "sale"), "opmada": dv(f"coalesce(oiadp, {z('oibdp')} - {z('dp')})", "sale"),
+        "opmbda": dv(before, "sale"), "pretret_earnata": dv(after, f"(works1 + {works}) / 2"),
+        "pretret_noa": dv(after, f"({z('noa1')} + {noa}) / 2"), "ptpma": dv(income, "sale"), "roaa": dv(before, "at_m"),
+        "rocea": dv(f"coalesce(ebit, {last} - {z('dp')})", "(capital + capital1) / 2"),
+        "roea": dv("ib", f"({z('bea')} + {z('bea1')}) / 2"), "de_ratioa": dv("debt", f"{z('ceq')} + {z('pstk')}"),
+        "debt_ata": dv("debt", z("at")), "lt_ata": dv("lt", "at"),
+        "debt_capitala": dv(f"{z('ap')} + {z('dlc')} + {z('dltt')}", f"({z('ap')} + {z('dlc')} + {z('dltt')}) + ({z('ceq')} + {z('pstk')})"),
+        "intcova": dv(f"{z('xint')} + {z('ib')}", "xint"),
+        "intcov_ratioa": dv(f"coalesce(ebit, oiadp, {last} - {z('dp')})", "xint"), "dpra": dv("dvc", "ibc"),
+        "bma": dv("bea", "mktcap"), "capeia2": dv("mktcap1", "ib5"),
+        "evma": dv_or("ev", "ebitda", dv_or("ev", "oibdp", dv("ev", last))), "pcfa": dv("mktcap1", "oancf"),
+        "pe_exia": dv("price1", dv("epsfx", "ajex")), "pe_inca": dv("price1", dv("epsfi", "ajex")),
+    }
+    quote = re.compile(r"(?<![\w.'])at(?![\w'])")
+    body = "SELECT isin, datadate, " + ", ".join(f"{c[n]} AS {n}" for n in R.ANNUAL_COLS_GLB) + " FROM gz"
+    return O.sql(["a_panela"], quote.sub('"at"', body), quote.sub('"at"', stage))
+
+
+@register("ratios_annual_global", _annual_global_sql())
+def ratios_annual_global(spark, sf):
+    return R.annual_ratios_global(A.load(spark, sf, "a_panela"))

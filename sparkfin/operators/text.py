@@ -11,13 +11,11 @@ from __future__ import annotations
 import os
 import uuid
 
-import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
 
 from ..functions.fixed import CONTRACTIONS, STOPWORDS_EN
-from ..functions.porter import stem
+from ..functions.porter import stem_table
 from ..session import cut_lineage, ensure_checkpoint_dir
 from .word_vectors import best_kmeans
 
@@ -140,17 +138,12 @@ def remove_stopwords(toks: DataFrame) -> DataFrame:
 
 
 # ---------------------------------------------------------------- stems
-@F.pandas_udf(StringType())
-def _stem_udf(words: pd.Series) -> pd.Series:
-    return words.map(stem)
-
-
 def stems(sents: DataFrame) -> DataFrame:
-    """Stem the distinct vocabulary once (Arrow-batched pandas UDF), then
-    map every token through the stem table and regroup by document."""
-    ex = sents.select("cid", F.posexplode_outer("tokens").alias("pos", "w"))
-    vocab = ex.select("w").filter("w is not null").distinct().select("w", _stem_udf("w").alias("stem"))
-    j = ex.join(vocab, "w", "left")
+    """Stem the distinct vocabulary once (column expressions), then map every
+    token through the stem table and regroup by document."""
+    ex = sents.select("cid", F.posexplode_outer("tokens").alias("pos", "word"))
+    vocab = stem_table(ex.select("word").filter("word is not null").distinct())
+    j = ex.join(vocab, "word", "left")
     one = F.when(F.col("stem").isNotNull(), F.struct("pos", "stem"))   # an empty list stays an empty list
     g = j.groupBy("cid").agg(F.sort_array(F.collect_list(one)).alias("s"))
     return g.select("cid", F.transform("s", lambda x: x["stem"]).alias("tokens"))

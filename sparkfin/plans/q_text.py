@@ -5,6 +5,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions.fixed import CONTRACTIONS, STOPWORDS_EN
+from ..functions.porter import STEP2, STEP3, STEP4
 from ..operators import text as T
 from ..operators import word_vectors as V
 from ..sources import adapters as A
@@ -123,7 +124,68 @@ register("text_tokens", _tsql("SELECT cid, tokens FROM toks"))(
 register("text_stopwords", _tsql("SELECT cid, tokens FROM sents"))(_sents)
 
 
-@register("text_stems")
+def _stem_sql() -> str:
+    """The stemmer's rules in DuckDB: the shape is a fold over the characters,
+    a suffix is looked up in a table, and the shape is made anew at each step."""
+    def shape(w):
+        return (f"list_reduce(list_prepend('', string_split({w}, '')), lambda a, c: a || CASE WHEN contains('aeiou', c) AND c <> '' THEN 'V' "
+                f"WHEN c = 'y' AND ends_with(a, 'C') THEN 'V' WHEN c = '' THEN '' ELSE 'C' END)")
+
+    def less(k):
+        return f"left(p, length(p) - {k})"
+
+    def m0(x):
+        return f"regexp_matches({x}, '^C*V+C')"
+
+    def m1(x):
+        return f"regexp_matches({x}, '^C*V+C+V+C')"
+
+    def once(x):
+        return f"regexp_matches({x}, '^C*V+C+V*$')"
+
+    def ends(*suffixes):
+        return "(" + " OR ".join(f"ends_with(w, '{x}')" for x in suffixes) + ")"
+
+    def suffix_table(rules):
+        return ("(SELECT arg_max(struct_pack(suf := suf, rep := rep), length(suf)) FROM (VALUES "
+                + ", ".join(f"('{a}', '{b}')" for a, b in rules.items()) + ") t(suf, rep) WHERE ends_with(w, suf))")
+    names: list[str] = []
+    ctes = ["st0 AS (SELECT DISTINCT a AS word, lower(a) AS w FROM ex)"]
+
+    def step(expr, extra=""):
+        n = len(names)
+        names.append(f"st{n + 1}")
+        ctes.append(f"st{n + 1} AS (SELECT word, {expr} AS w{extra} FROM (SELECT *, {shape('w')} AS p FROM st{n}) t)")
+
+    def by_table(rules, cond):
+        n = len(names)
+        names.append(f"st{n + 1}")
+        ctes.append(f"st{n + 1} AS (SELECT word, CASE WHEN r IS NOT NULL AND {cond} THEN left(w, length(w) - length(r.suf)) || r.rep "
+                    f"ELSE w END AS w FROM (SELECT *, {shape('w')} AS p, {suffix_table(rules)} AS r FROM st{n}) t)")
+    ed, ing = f"({ends('ed')} AND contains({less(2)}, 'V'))", f"({ends('ing')} AND contains({less(3)}, 'V'))"
+    double = "(length(w) >= 2 AND right(w, 1) = left(right(w, 2), 1) AND ends_with(p, 'C'))"
+    step(f"CASE WHEN {ends('sses', 'ies')} THEN left(w, length(w) - 2) WHEN {ends('ss')} THEN w WHEN {ends('s')} THEN left(w, length(w) - 1) ELSE w END")
+    step(f"CASE WHEN {ends('eed')} THEN CASE WHEN {m0(less(3))} THEN left(w, length(w) - 1) ELSE w END "
+         f"WHEN {ed} THEN left(w, length(w) - 2) WHEN {ing} THEN left(w, length(w) - 3) ELSE w END",
+         f", NOT {ends('eed')} AND ({ed} OR {ing}) AS mend")
+    step(f"CASE WHEN NOT mend THEN w WHEN {ends('at', 'bl', 'iz')} THEN w || 'e' "
+         f"WHEN {double} AND right(w, 1) NOT IN ('l', 's', 'z') THEN left(w, length(w) - 1) "
+         f"WHEN {once('p')} AND ends_with(p, 'CVC') AND right(w, 1) NOT IN ('w', 'x', 'y') THEN w || 'e' ELSE w END")
+    step(f"CASE WHEN {ends('y')} AND contains({less(1)}, 'V') THEN left(w, length(w) - 1) || 'i' ELSE w END")
+    by_table(STEP2, m0(less("length(r.suf)")))
+    by_table(STEP3, m0(less("length(r.suf)")))
+    by_table({x: "" for x in STEP4}, m1(less("length(r.suf)")) + f" AND (r.suf <> 'ion' OR {ends('sion', 'tion')})")
+    step(f"CASE WHEN {ends('e')} AND ({m1(less(1))} OR ({once(less(1))} AND NOT (ends_with({less(1)}, 'CVC') "
+         f"AND left(right(w, 2), 1) NOT IN ('w', 'x', 'y')))) THEN left(w, length(w) - 1) ELSE w END")
+    step(f"CASE WHEN {double} AND {ends('l')} AND {m1('p')} THEN left(w, length(w) - 1) ELSE w END")
+    ctes.append(f"stems AS (SELECT word, CASE WHEN length(word) <= 2 THEN lower(word) ELSE w END AS stem FROM {names[-1]})")
+    return _tsql("""
+SELECT s.cid, coalesce(g.tokens, []) AS tokens
+FROM sents s LEFT JOIN (SELECT cid, list(stem ORDER BY pos) AS tokens FROM ex JOIN stems ON ex.a = stems.word GROUP BY cid) g ON s.cid = g.cid""",
+                 ",\n".join(ctes))
+
+
+@register("text_stems", _stem_sql())
 def text_stems(spark, sf):
     return T.stems(_sents(spark, sf))
 

@@ -2,7 +2,7 @@
 import numpy as np
 from pyspark.sql import functions as F
 
-from sparkfin.functions.porter import stem
+from porter_by_hand import stem
 from sparkfin.operators import text as T
 from sparkfin.operators import word_vectors as V
 
@@ -73,10 +73,37 @@ def test_phrases_match_brute_force(spark):
     assert all(got[str(i)] == want[i] for i in range(len(sents)))
 
 
-def test_stemmer_known_words():
+def _stems(spark, words):
+    from sparkfin.functions.porter import stem_table
+    table = stem_table(spark.createDataFrame([(w,) for w in words], "word string"))
+    assert "Python" not in table._jdf.queryExecution().executedPlan().toString()
+    return {r.word: r.stem for r in table.collect()}
+
+
+def test_stem_columns_equal_the_rules_word_by_word(spark):
+    import itertools
+    import random
+    from sparkfin.functions.porter import STEP2, STEP3, STEP4
+    rng = random.Random(3)
+    ends = ["", "s", "sses", "ies", "eed", "ed", "ing", "y", "ied", "ll", "e", "ated", "izing", *STEP2, *STEP3, *STEP4]
+    heads = ["", "y", "yy", "ayyy", "tyyyy", "gr", "hop", "fil", "add", "control", "nation", "ärg", "fizz", "x", "snow"]
+    heads += ["".join(rng.choice("abeilnosty") for _ in range(rng.randint(1, 9))) for _ in range(60)]
+    words = {h + e for h, e in itertools.product(heads, ends)} | {"y" * k for k in range(1, 9)} | {"yay" * 4000}
+    got = _stems(spark, sorted(words))
+    assert {w: stem(w) for w in words} == got
+
+
+def test_stems_of_null_and_no_words(spark):
+    from sparkfin.functions.porter import stem_table
+    empty = spark.createDataFrame([(None,)], "word string")
+    assert [tuple(r) for r in stem_table(empty).collect()] == [(None, None)]
+    assert stem_table(empty.limit(0)).count() == 0
+
+
+def test_stemmer_known_words(spark):
     pairs = {"caresses": "caress", "ponies": "poni", "motoring": "motor", "relational": "relat",
              "generalizations": "gener", "hopping": "hop", "filing": "file", "happy": "happi"}
-    assert {w: stem(w) for w in pairs} == pairs
+    assert {w: stem(w) for w in pairs} == pairs == _stems(spark, pairs)
 
 
 def test_word_frequency_sums_tokens(spark):

@@ -54,6 +54,17 @@ def comments_flat(comments: DataFrame) -> DataFrame:
         .select(*comments.columns, "parent_author")
 
 
+def comment_authors(comments: DataFrame, authors: DataFrame, threads: DataFrame) -> DataFrame:
+    """The flat comments with the account fields of their author and the votes
+    of their thread.  A comment whose author has no account any more goes; one
+    of an unknown thread stays with empty thread fields.  Both tables have one
+    row a key, so a key that holds a third of the comments makes no more rows;
+    how the sides meet is left to the planner, which splits a hot key's rows."""
+    flat = comments_flat(comments)
+    return flat.join(authors, "author").join(threads, "sub", "left").select(
+        *flat.columns, *[c for c in authors.columns if c != "author"], *[c for c in threads.columns if c != "sub"])
+
+
 # ---------------------------------------------------------------- cleaning
 def dedup_comments(comments: DataFrame) -> DataFrame:
     """Exact duplicates of the comment text removed, keeping the first under

@@ -87,6 +87,14 @@ FROM a_comments c LEFT JOIN (SELECT comment_index_track, author FROM a_comments
 WHERE c.author IS NOT NULL AND c.author <> '[deleted]'"""))(
     lambda spark, sf: T.comments_flat(L(spark, sf, "a_comments")))
 
+register("comments_authors", O.sql(["a_comments", "a_authors", "a_threads"], """
+SELECT c.*, CASE WHEN c.position > 0 THEN (
+         SELECT p.author FROM a_comments p WHERE p.position = 0 AND p.comment_index_track = c.comment_index_track) END AS parent_author,
+       a.* EXCLUDE (author), t.* EXCLUDE (sub)
+FROM a_comments c JOIN a_authors a ON a.author = c.author LEFT JOIN a_threads t ON t.sub = c.sub
+WHERE c.author <> '[deleted]'"""))(
+    lambda spark, sf: T.comment_authors(L(spark, sf, "a_comments"), L(spark, sf, "a_authors"), L(spark, sf, "a_threads")))
+
 _COMMENT_COLS = ["sub", "sub_date", "comment_index_track", "position", "kind", "author", "comment", "comment_upvotes"]
 
 

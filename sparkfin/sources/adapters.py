@@ -432,6 +432,25 @@ SELECT 'thread_' || lpad(cast(doc_id % 30 AS string), 2, '0'),
 FROM {documents}
 """)
 
+# One row per comment author that still has an account: karma from the
+# author's own rows, the account opened 30 days before the first of them.
+ADAPTERS["a_authors"] = (("a_comments",), """
+SELECT author, author_link_karma, author_comment_karma, author_comment_karma % 2 = 0 AS author_has_verified_email,
+       author_comment_karma % 7 = 0 AS author_is_gold, author_account_created
+FROM (SELECT author, cast(count(DISTINCT comment_index_track) AS bigint) AS author_link_karma,
+             cast(sum(comment_upvotes) AS bigint) AS author_comment_karma, min(sub_date) - 30 AS author_account_created
+      FROM {a_comments} WHERE author IS NOT NULL AND author <> '[deleted]' GROUP BY author) t
+WHERE author_comment_karma % 11 <> 10
+""")
+
+# One row per thread: the day it was opened, its votes and the share of them
+# that are up votes.
+ADAPTERS["a_threads"] = (("a_comments",), """
+SELECT sub, min(sub_date) AS sub_created, cast(count(*) AS bigint) AS sub_upvotes,
+       cast(sum(CASE WHEN comment_upvotes >= 50 THEN 1 ELSE 0 END) AS double) / cast(count(*) AS double) AS sub_upvote_ratio
+FROM {a_comments} GROUP BY sub
+""")
+
 # Ticker-like symbols: first word of a part name -> its brand spelled in
 # letters (digits 0-9 as a-j), lower case.
 ADAPTERS["a_symbols"] = (("part",), """

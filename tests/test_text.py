@@ -175,3 +175,16 @@ def test_clusters_keep_the_best_start(spark):
     assert centres.shape == (10, 2) and best <= min(costs) * (1 + 1e-3) and best < max(costs)
     near = ((np.array(points)[:, None, :] - centres) ** 2).sum(axis=2).min(axis=1).sum()
     assert abs(near - best) < 0.01 * best
+
+
+def test_comment_authors_without_an_account_or_thread(spark):
+    comments = spark.createDataFrame(
+        [("t1", 1, 0, "ann", "hi"), ("t1", 1, 1, "bob", "ho"), ("t9", 2, 0, "ann", "x"), ("t1", 3, 0, "gone", "y"),
+         ("t1", 4, 0, "[deleted]", "z"), ("t1", 5, 0, None, "n")],
+        "sub string, comment_index_track long, position long, author string, comment string")
+    authors = spark.createDataFrame([("ann", 7), ("bob", 8), ("[deleted]", 9)], "author string, karma int")
+    threads = spark.createDataFrame([("t1", 50)], "sub string, sub_upvotes int")
+    got = {(r.comment_index_track, r.position): (r.author, r.parent_author, r.karma, r.sub_upvotes)
+           for r in T.comment_authors(comments, authors, threads).collect()}
+    assert got == {(1, 0): ("ann", None, 7, 50), (1, 1): ("bob", "ann", 8, 50), (2, 0): ("ann", None, 7, None)}
+    assert T.comment_authors(comments.limit(0), authors, threads).count() == 0

@@ -13,6 +13,7 @@ import re
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
 from ..sources.adapters import SHEETS
 
 HEADER_ROW = 13
@@ -192,8 +193,9 @@ def wide(cells: DataFrame, drop_empty: bool = True, required: tuple[str, ...] =
     cells.  A label in two sheets keeps the later sheet's value.  The labels,
     and which of them hold a value, come from one grouped pass; what reaches
     the driver is the vocabulary of the statements.  Columns without a value
-    are dropped unless ``drop_empty`` is off; ``required`` ones always stay."""
-    lv = long_values(cells).withColumn("_so", sheet_order())
+    are dropped unless ``drop_empty`` is off; ``required`` ones always stay.
+    The long values are written once: both passes read them."""
+    lv = cut_lineage(long_values(cells).withColumn("_so", sheet_order()))
     found = lv.groupBy("name").agg(F.count("v").alias("n")).collect()
     names = sorted({r.name for r in found if r.name and (r.n or not drop_empty)} | set(required))
     # the input is hash-partitioned by file, so (file, year) groups need no new exchange

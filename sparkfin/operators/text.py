@@ -67,17 +67,16 @@ def comment_authors(comments: DataFrame, authors: DataFrame, threads: DataFrame)
 
 # ---------------------------------------------------------------- cleaning
 def dedup_comments(comments: DataFrame) -> DataFrame:
-    """Exact duplicates of the comment text removed, keeping the first under
-    an explicit total order (newest thread first, then thread, index,
-    position).  Copies are found on a digest of the text with small typed
-    fields, so no text is sorted; the text comes back by one join on the kept
-    row's own key, which no two rows share."""
+    """(cid, comment): exact duplicates of the comment text removed, keeping
+    the key of the first under an explicit total order (newest thread first,
+    then thread, index, position).  One grouped pass over one scan: the group
+    key is a digest of the text, copies meet before the shuffle, and the text
+    that travels with the digest is any of the group's, which are all equal."""
     keyed = comments.withColumn("_h", F.coalesce(F.sha2("comment", 256), F.lit("null"))) \
         .withColumn("_newest", F.datediff(F.lit("9999-12-31").cast("date"), "sub_date"))
     order = F.struct("_newest", "sub", "comment_index_track", "position")
-    first = keyed.groupBy("_h").agg(F.min(order).alias("r")).select("_h", "r.*")
-    kept = keyed.join(first, ["_h", "_newest", "sub", "comment_index_track", "position"], "left_semi").drop("_h", "_newest")
-    return kept.withColumn("cid", F.concat_ws(":", F.col("comment_index_track").cast("string"), F.col("position").cast("string")))
+    first = keyed.groupBy("_h").agg(F.min(order).alias("r"), F.any_value("comment").alias("comment"))
+    return first.select(F.concat_ws(":", F.col("r.comment_index_track").cast("string"), F.col("r.position").cast("string")).alias("cid"), "comment")
 
 
 def _contraction_map():
@@ -190,6 +189,13 @@ def word_frequency(sents: DataFrame) -> DataFrame:
     return sents.select(F.explode("tokens").alias("word")).groupBy("word").agg(F.count("*").alias("n"))
 
 
+def comment_word_frequency(comments: DataFrame, symbols: DataFrame) -> DataFrame:
+    """Word counts of the cleaned comments from the token rows themselves: no
+    document is put together again only to be taken apart."""
+    rows = _token_rows(clean_text(comments), symbols).filter("keep_stop")
+    return rows.groupBy(F.col("low").alias("word")).agg(F.count("*").alias("n"))
+
+
 # ---------------------------------------------------------------- phrases
 def _pair_rows(sents: DataFrame) -> DataFrame:
     """(cid, pos, a, b): every token with its successor (null at the end),

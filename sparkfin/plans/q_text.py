@@ -208,7 +208,7 @@ register("ngram_sentences", _tsql(f"SELECT cid, {', '.join(_ngram_sql(n) for n i
     lambda spark, sf: T.ngram_sentences(_sents(spark, sf)))
 
 register("word_frequency", _tsql("SELECT a AS word, count(*) AS n FROM ex GROUP BY a"))(
-    lambda spark, sf: T.word_frequency(_sents(spark, sf)))
+    lambda spark, sf: T.comment_word_frequency(L(spark, sf, "a_comments"), L(spark, sf, "a_symbols")))
 
 
 # ---------------------------------------------------------------- phrases

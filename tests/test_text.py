@@ -188,3 +188,18 @@ def test_comment_authors_without_an_account_or_thread(spark):
            for r in T.comment_authors(comments, authors, threads).collect()}
     assert got == {(1, 0): ("ann", None, 7, 50), (1, 1): ("bob", "ann", 8, 50), (2, 0): ("ann", None, 7, None)}
     assert T.comment_authors(comments.limit(0), authors, threads).count() == 0
+
+
+def test_copies_of_a_comment_keep_the_first_key_and_are_read_once(spark):
+    import datetime as dt
+    day = [dt.date(2024, 1, d) for d in (1, 2)]
+    rows = [("t1", day[0], 5, 0, "same"), ("t2", day[1], 7, 1, "same"), ("t2", day[1], 7, 0, "same"),
+            ("t1", day[0], 1, 0, None), ("t1", day[0], 0, 0, None), ("t1", day[0], 2, 0, ""), ("t1", day[0], 3, 0, "other")]
+    df = spark.createDataFrame(rows, "sub string, sub_date date, comment_index_track long, position long, comment string")
+    got = T.dedup_comments(df)
+    assert sorted(map(tuple, got.collect()), key=str) == sorted([("7:0", "same"), ("0:0", None), ("2:0", ""), ("3:0", "other")], key=str)
+    assert got._jdf.queryExecution().optimizedPlan().toString().count("LogicalRDD") <= 1
+    assert T.dedup_comments(df.limit(0)).count() == 0
+    symbols = spark.createDataFrame([("other", "renamed")], "symbol string, name_lower string")
+    by_rows = {r.word: r.n for r in T.comment_word_frequency(df, symbols).collect()}
+    assert by_rows == {r.word: r.n for r in T.word_frequency(T.sentences(df, symbols)).collect()} == {"renamed": 1}

@@ -8,6 +8,9 @@ measure of a stem is a regular expression on its shape.
 """
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -38,7 +41,7 @@ def _stem_shape(cut: int) -> Column:
 
 
 def _ends(*suffixes: str) -> Column:
-    return F.col("w").rlike("(?:" + "|".join(suffixes) + ")\\z")
+    return reduce(or_, (F.col("w").endswith(x) for x in suffixes))
 
 
 def _double() -> Column:
@@ -91,7 +94,7 @@ def stem_table(vocab: DataFrame) -> DataFrame:
     # 2, 3, 4
     d = _step(d, _by_suffix(STEP2, lambda suf: some(len(suf))))
     d = _step(d, _by_suffix(STEP3, lambda suf: some(len(suf))))
-    d = _step(d, _by_suffix({suf: "" for suf in STEP4}, lambda suf: many(len(suf)) & (_ends("[st]ion") if suf == "ion" else F.lit(True))))
+    d = _step(d, _by_suffix({suf: "" for suf in STEP4}, lambda suf: many(len(suf)) & (_ends("sion", "tion") if suf == "ion" else F.lit(True))))
     # 5
     bare = _stem_shape(1)
     d = _step(d, [(_ends("e") & (bare.rlike(_MORE_THAN_1) | (bare.rlike(_EXACTLY_1) & ~_short(bare, F.expr("substring(w, -2, 1)")))), 1, "")])

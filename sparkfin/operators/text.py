@@ -150,8 +150,9 @@ def remove_stopwords(toks: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------- stems
 def stems(sents: DataFrame) -> DataFrame:
     """Stem the distinct vocabulary once (column expressions), then map every
-    token through the stem table and regroup by document."""
-    ex = sents.select("cid", F.posexplode_outer("tokens").alias("pos", "word"))
+    token through the stem table and regroup by document.  The sentences are
+    written once: the vocabulary and the documents read them."""
+    ex = cut_lineage(sents).select("cid", F.posexplode_outer("tokens").alias("pos", "word"))
     vocab = stem_table(ex.select("word").filter("word is not null").distinct())
     j = ex.join(vocab, "word", "left")
     one = F.when(F.col("stem").isNotNull(), F.struct("pos", "stem"))   # an empty list stays an empty list

@@ -57,3 +57,27 @@ def test_stream_equals_batch(spark, tmp_path):
     for _ in range(2):
         got = daily_windows(spark, SF_SMALL, str(tmp_path / "stream"))
         assert {(r.day, r.event_type): r.n_events for r in got.collect()} == want
+
+
+def test_global_annual_ratios_of_null_single_repeated_and_no_rows(spark):
+    import datetime as dt
+
+    from sparkfin.operators import ratios as R
+    from sparkfin.sources.adapters import A_ITEMS
+    values = ["prcc_f", "csho", "ajex", *A_ITEMS, "mcap_comp", "prc_comp_unadj", "prc_comp_adj", "dvrate", "futepsgrowth", "ltg_eps"]
+    schema = "isin string, datadate date, " + ", ".join(f"`{c}` double" for c in values)
+    full = {c: 10.0 for c in values}
+
+    def row(isin, year, **own):
+        return (isin, dt.date(year, 12, 31), *[({**full, **own}).get(c) for c in values])
+    nothing = ("i0", dt.date(2000, 12, 31), *[None] * len(values))
+    df = spark.createDataFrame([nothing, row("i1", 2000), row("i1", 2001, revt=30.0, gp=99.0, mcap_comp=50.0),
+                                row("i1", 2001, revt=30.0, gp=99.0, mcap_comp=50.0)], schema)
+    got = {(r.isin, r.datadate.year): r for r in R.annual_ratios_global(df).collect()}
+    assert sorted(got) == [("i0", 2000), ("i1", 2000), ("i1", 2001)]
+    assert all(got[("i0", 2000)][c] is None for c in R.ANNUAL_COLS_GLB)
+    first, second = got[("i1", 2000)], got[("i1", 2001)]
+    assert first.aftret_eqa is None and second.aftret_eqa == 0.0     # no earlier year; income less preferred dividends
+    assert second.GProfa == 2.0                                     # revenue less cost, the given gross profit unused
+    assert second.bma == 10.0 / 50.0 and first.pcfa == 50.0 / 10.0 and second.pcfa is None
+    assert R.annual_ratios_global(df.limit(0)).count() == 0

@@ -128,6 +128,45 @@ def link_market(msf: DataFrame, link: DataFrame, respect_link_dates: bool = Fals
     return out.select("m.*", *[F.col("l." + c) for c in lk.columns if c != "permno"])
 
 
+def market_values(msf: DataFrame, link: DataFrame, secm: DataFrame) -> DataFrame:
+    """Market values per firm and month end: the stock file reaches its firm
+    through the link table; the security file (primary US common shares) is
+    laid beside it.  Links are taken for the firms of the security file; the
+    same pair under several date ranges counts once.  A firm with several
+    securities keeps a row for each; the panel's one-row-per-date step decides."""
+    shares = secm.filter("tpci = '0' AND fic = 'USA' AND primiss = 'P'").select(
+        "gvkey", F.last_day("datadate").alias("datadate"), (F.col("cshoq") * F.col("prccm")).alias("mcap_comp"),
+        F.col("prccm").alias("prc_comp_unadj"), (F.col("prccm") / F.nullif(F.col("ajexm"), F.lit(0.0))).alias("prc_comp_adj"), "dvrate")
+    pairs = link_pairs(link).join(shares.select("gvkey"), "gvkey", "left_semi")
+    price = F.abs("prc")
+    stock = msf.join(pairs, "permno").select(
+        "gvkey", F.last_day("date").alias("datadate"), (price * F.col("shrout") / 1000).alias("mcap_crsp"),
+        price.alias("prc_crsp_unadj"), (price / F.nullif(F.col("cfacpr"), F.lit(0.0))).alias("prc_crsp_adj"))
+    return stock.join(shares, ["gvkey", "datadate"], "left")
+
+
+def link_pairs(link: DataFrame) -> DataFrame:
+    """Distinct (gvkey, permno) of the accepted links."""
+    return (link.filter(F.col("linktype").isin("LU", "LC") & F.col("linkprim").isin("P", "C"))
+            .select("gvkey", F.col("lpermno").alias("permno")).distinct())
+
+
+def global_month_ends(prices: DataFrame) -> DataFrame:
+    """Last price row of each security and month, dated at the month end."""
+    month = prices.withColumn("month_end", F.last_day("datadate"))
+    return dedup_last(month, ["isin", "month_end"], ["datadate"]).select(
+        "isin", F.col("month_end").alias("datadate"), "prc_comp_unadj", "prc_comp_adj", "mcap_comp")
+
+
+def ratio_panel(fundamentals: DataFrame, market: DataFrame, growth: DataFrame) -> DataFrame:
+    """Fundamentals with market values by (firm, date) and forecast growth by
+    (issuer, forecast month); rows without either stay."""
+    by_month = dedup_first(growth.filter("statpers_me IS NOT NULL"), ["cusip", "statpers_me"], ["pends", "statpers"]).select(
+        F.col("cusip").alias("issuer"), F.col("statpers_me").alias("datadate"), "futepsgrowth", "ltg_eps")
+    return (fundamentals.withColumn("issuer", drop_last_char("cusip")).join(market, ["gvkey", "datadate"], "left")
+            .join(by_month, ["issuer", "datadate"], "left").drop("issuer"))
+
+
 # Items filled with zero after a firm's first observation,
 # and the items interpolated (those present in the quarterly panel), in the
 # order the quarterly preparation uses them.

@@ -390,7 +390,7 @@ def annual_panel_global(df: DataFrame, key: str = "isin", date: str = "datadate"
     values = [f.name for f in df.schema.fields if f.dataType.typeName() == "double"]
     none = F.lit(None).cast("double")
     return dedup_first(df, [key, date], [F.col(date), F.xxhash64(*values)]).withColumns(
-        {"mcap_crsp": none, "prc_crsp_unadj": none, "prc_crsp_adj": none})
+        dict.fromkeys(("mcap_crsp", "prc_crsp_unadj", "prc_crsp_adj", "dvrate", "futepsgrowth", "ltg_eps"), none))
 
 
 def annual_ratios_global(df: DataFrame, key: str = "isin", date: str = "datadate") -> DataFrame:

@@ -6,6 +6,7 @@ except the meaning they are meant to have.
 from __future__ import annotations
 
 from ..sources.adapters import duckdb_with
+from .inputs import VIEWS
 
 
 def W(part: str = "gvkey", order: str = "datadate", frame: str | None = None) -> str:
@@ -62,7 +63,7 @@ def sub0(a: str, b: str) -> str:
 
 def sql(adapters: list[str], body: str, extra_ctes: str = "") -> str:
     """Adapter CTEs, optional extra CTEs (``name AS (...), ...``), then body."""
-    w = duckdb_with(adapters)
+    w = duckdb_with(adapters, VIEWS)
     if extra_ctes:
         w = (w.rstrip() + ",\n" if w else "WITH ") + extra_ctes + "\n"
     return w + body

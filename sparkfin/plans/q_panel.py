@@ -14,6 +14,7 @@ from ..operators import panel as P
 from ..operators import ratios as R
 from ..session import ensure_checkpoint_dir
 from ..sources import adapters as A
+from . import inputs as I
 from . import oracle as O
 from .q_ratios import ratios_cte
 from .registry import register
@@ -87,23 +88,7 @@ SELECT date, permno, abs(prc) AS prc_abs, abs(prc) * shrout / 1000 AS mcap_crsp,
         (F.abs("prc") * F.col("shrout") / 1000).alias("mcap_crsp"),
         X.div(F.abs("prc"), "cfacpr").alias("prc_adj")))
 
-_GLOBAL_PRICES_SQL = """
-SELECT 'XS' || lpad(cast(permno - 10000 AS string), 10, '0') AS isin, date AS datadate,
-       abs(prc) AS prc_comp_unadj, abs(prc) / nullif(cfacpr, 0) AS prc_comp_adj,
-       shrout * 1000 / 1000000 AS cshoc, (shrout * 1000 / 1000000) * abs(prc) AS mcap_comp
-FROM a_dsf"""
-
-
-def _global_prices(spark, sf):
-    d = L(spark, sf, "a_dsf")
-    cshoc = F.col("shrout") * 1000 / 1000000
-    return d.select(F.concat(F.lit("XS"), F.lpad((F.col("permno") - 10000).cast("string"), 10, "0")).alias("isin"),
-                    F.col("date").alias("datadate"), F.abs("prc").alias("prc_comp_unadj"),
-                    X.div(F.abs("prc"), "cfacpr").alias("prc_comp_adj"), cshoc.alias("cshoc"),
-                    (cshoc * F.abs("prc")).alias("mcap_comp"))
-
-
-register("global_prices", O.sql(["a_dsf"], _GLOBAL_PRICES_SQL))(_global_prices)
+register("global_prices", O.sql(["a_dsf"], I.GLOBAL_PRICES_SQL))(I.global_prices)
 
 register("month_end_align", O.sql(["a_dsf"], "SELECT permno, date, last_day(date) AS month_end FROM a_dsf"))(
     lambda spark, sf: L(spark, sf, "a_dsf").select("permno", "date", F.last_day("date").alias("month_end")))
@@ -131,7 +116,7 @@ register("price_coalesce", O.sql(["a_panelq"], """
 SELECT gvkey, datadate, coalesce(mcap_crsp, mcap_comp) AS mktcap,
        coalesce(prc_crsp_unadj, prc_comp_unadj) AS price_unadj,
        coalesce(prc_crsp_adj, prc_comp_adj) AS price_adj FROM a_panelq"""))(
-    lambda spark, sf: L(spark, sf, "a_panelq").select(
+    lambda spark, sf: I.us_panel(spark, sf).select(
         "gvkey", "datadate", F.coalesce("mcap_crsp", "mcap_comp").alias("mktcap"),
         F.coalesce("prc_crsp_unadj", "prc_comp_unadj").alias("price_unadj"),
         F.coalesce("prc_crsp_adj", "prc_comp_adj").alias("price_adj")))
@@ -145,7 +130,7 @@ _PRICE_COLS = ["mcap_crsp", "prc_crsp_unadj", "prc_crsp_adj", "dvrate"]
 register("drop_all_null_rows", O.sql(["a_panelq"], f"""
 SELECT gvkey, datadate, {', '.join(_PRICE_COLS)} FROM a_panelq
 WHERE {' OR '.join(c + ' IS NOT NULL' for c in _PRICE_COLS)}"""))(
-    lambda spark, sf: P.drop_all_null(L(spark, sf, "a_panelq"), _PRICE_COLS)
+    lambda spark, sf: P.drop_all_null(I.us_panel(spark, sf), _PRICE_COLS)
     .select("gvkey", "datadate", *_PRICE_COLS))
 
 register("require_not_null", O.sql(["a_fundq"], """
@@ -203,10 +188,10 @@ SELECT f.gvkey, f.datadate, g.gsector, g.ggroup, g.gind FROM a_fundq f LEFT JOIN
     lambda spark, sf: L(spark, sf, "a_fundq").join(_gics_first(spark, sf), "gvkey", "left")
     .select("gvkey", "datadate", "gsector", "ggroup", "gind"))
 
-register("market_price_merge", O.sql(["a_fundq", "a_prices"], """
+register("market_price_merge", O.sql(["a_fundq", "v_market"], """
 SELECT f.gvkey, f.datadate, p.mcap_crsp, p.mcap_comp
-FROM a_fundq f LEFT JOIN a_prices p ON f.gvkey = p.gvkey AND f.datadate = p.datadate"""))(
-    lambda spark, sf: L(spark, sf, "a_fundq").join(L(spark, sf, "a_prices"), ["gvkey", "datadate"], "left")
+FROM a_fundq f LEFT JOIN v_market p ON f.gvkey = p.gvkey AND f.datadate = p.datadate"""))(
+    lambda spark, sf: L(spark, sf, "a_fundq").join(I.market(spark, sf), ["gvkey", "datadate"], "left")
     .select("gvkey", "datadate", "mcap_crsp", "mcap_comp"))
 
 
@@ -252,11 +237,9 @@ FROM a_fundq f LEFT JOIN (
   SELECT isin, last_day(datadate) AS datadate, prc_comp_unadj, mcap_comp FROM (
     SELECT *, row_number() OVER (PARTITION BY isin, last_day(datadate) ORDER BY datadate DESC) AS rn
     FROM gp) t WHERE rn = 1) p
-ON f.isin = p.isin AND f.datadate = p.datadate""", "gp AS (" + _GLOBAL_PRICES_SQL + ")"))
+ON f.isin = p.isin AND f.datadate = p.datadate""", "gp AS (" + I.GLOBAL_PRICES_SQL + ")"))
 def fundamentals_merge_global(spark, sf):
-    gp = _global_prices(spark, sf).withColumn("month_end", F.last_day("datadate"))
-    gp = P.dedup_last(gp, ["isin", "month_end"], ["datadate"]).select(
-        "isin", F.col("month_end").alias("datadate"), "prc_comp_unadj", "mcap_comp")
+    gp = P.global_month_ends(I.global_prices(spark, sf))
     return (L(spark, sf, "a_fundq").join(gp, ["isin", "datadate"], "left")
             .select("isin", "datadate", "prc_comp_unadj", "mcap_comp"))
 

@@ -75,7 +75,7 @@ _GLOBAL_FEATURE_SQL = ", ".join(
     [f"coalesce(cast({c} AS string), '') AS {c}" for c in RT.GLOBAL_CODES]
     + [f"coalesce(cast(q.{c} AS double), 0.0) AS {c}" for c in RT.GLOBAL_RATIO_FEATURES])
 
-register("rating_features_global", O.sql(["a_panelq", "a_gics", "a_rating"], f"""
+register("rating_features_global", O.sql(["a_panelq_global", "a_gics", "a_rating"], f"""
 SELECT q.isin, q.gvkey, q.datadate AS qdate, cast(r.class_pos AS double) AS label, {_GLOBAL_FEATURE_SQL}
 FROM {_GLOBAL_RATIOS} q JOIN a_rating r ON q.gvkey = r.gvkey AND q.datadate = r.qdate
 WHERE r.rating_rank > -1""", _GLOBAL_CTES))(_global_features)

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..operators import panel as P
 from ..operators import ratios as R
 from ..sources import adapters as A
+from . import inputs as I
 from . import oracle as O
 from .registry import register
 
@@ -18,6 +19,10 @@ _PANEL_DOUBLES = (["prccq", "cshoq", "ajexq"] + A.Q_ITEMS + A.Q_YTD_ITEMS +
                    "prc_comp_unadj", "prc_comp_adj", "dvrate", "futepsgrowth", "ltg_eps"])
 
 
+#: columns of the US panel that the global panel does not bring
+_US_ONLY = {"mcap_crsp", "prc_crsp_unadj", "prc_crsp_adj", "dvrate", "futepsgrowth", "ltg_eps"}
+
+
 def prep_ctes() -> str:
     """DuckDB: the quarterly preparation chain over ``a_panelq`` (one row per
     firm-date, no all-null rows, zero fill after first, interpolation, R&D
@@ -49,13 +54,13 @@ _GICS_CTE = """gics1 AS (
 
 
 def prep_global_ctes() -> str:
-    """DuckDB: the global preparation over ``a_panelq``, ending in ``g_ip``."""
+    """DuckDB: the global preparation over ``a_panelq_global``, ending in ``g_ip``."""
     run = "OVER (PARTITION BY isin ORDER BY datadate ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
     zf = ", ".join(f"CASE WHEN count({c}) {run} > 0 THEN coalesce({c}, 0.0) END AS {c}" for c in P.ZERO_FILL_GLOBAL)
     ip = ", ".join(O.interp_sql(c).replace("PARTITION BY gvkey", "PARTITION BY isin") for c in P.INTERPOLATE_GLOBAL if c in _PANEL_DOUBLES)
     return f"""{_GICS_CTE},
 g_dd AS (SELECT t.* EXCLUDE (rn_dd), gsector, ggroup, gind FROM (
-    SELECT *, row_number() OVER (PARTITION BY isin, datadate ORDER BY datadate) AS rn_dd FROM a_panelq) t JOIN gics1 USING (gvkey)
+    SELECT *, row_number() OVER (PARTITION BY isin, datadate ORDER BY datadate) AS rn_dd FROM a_panelq_global) t JOIN gics1 USING (gvkey)
   WHERE rn_dd = 1 AND gsector <> '40' AND cast(gsector AS int) > 0),
 g_zf AS (SELECT * REPLACE ({zf}) FROM g_dd),
 g_ip AS (SELECT * REPLACE ({ip}) FROM (
@@ -85,7 +90,7 @@ def ratios_cte(region: str = "US") -> tuple[str, str]:
     if us:
         src = "SELECT * FROM p_gs"
     else:
-        src = ("SELECT " + ", ".join(f"coalesce({c}, 0.0) AS {c}" for c in _PANEL_DOUBLES)
+        src = ("SELECT " + ", ".join(f"coalesce({c}, 0.0) AS {c}" for c in _PANEL_DOUBLES if c not in _US_ONLY)
                + ", " + ", ".join([*P.PANEL_GROUP_KEYS, "gsector", "ggroup", "gind"]) + " FROM g_ip")
     ytd = {"oancfq": "oancfy", "capxq": "capxy", "dpcq": "dpcy", "ibcq": "ibcy",
            "dpq": "dpy", "dvq": "dvy"}
@@ -260,12 +265,12 @@ def _family_sql(fam: str, region: str = "US") -> str:
     ctes, last = ratios_cte(region)
     key = "gvkey" if region == "US" else "isin"
     cols = (R.FAMILIES_US if region == "US" else R.FAMILIES_GLB)[fam]
-    return O.sql(["a_panelq"], f"SELECT {key}, datadate, {', '.join(cols)} FROM {last}", ctes)
+    return O.sql(["a_panelq"] if region == "US" else ["a_panelq_global", "a_gics"], f"SELECT {key}, datadate, {', '.join(cols)} FROM {last}", ctes)
 
 
 def prepared_panel(spark, sf):
     """The ratio input: the firm-quarter panel after the quarterly preparation."""
-    return P.prepare_quarterly(A.load(spark, sf, "a_panelq"))
+    return P.prepare_quarterly(I.us_panel(spark, sf))
 
 
 def _family_query(fam: str):
@@ -282,10 +287,10 @@ for _fam in R.FAMILIES_US:
 def prepared_global(spark, sf):
     """The global ratio input: the panel by security after its preparation."""
     gics = P.dedup_first(A.load(spark, sf, "a_gics"), ["gvkey"], ["indfrom", "gind"])
-    return P.prepare_global(A.load(spark, sf, "a_panelq"), gics)
+    return P.prepare_global(I.global_panel(spark, sf), gics)
 
 
-@register("ratios_global", O.sql(["a_panelq", "a_gics"], "SELECT isin, datadate, "
+@register("ratios_global", O.sql(["a_panelq_global", "a_gics"], "SELECT isin, datadate, "
                                  + ", ".join(R.ratio_columns(R.GLOBAL)) + " FROM " + ratios_cte("GLB")[1],
                                  ratios_cte("GLB")[0]))
 def ratios_global(spark, sf):
@@ -313,7 +318,7 @@ filled AS (SELECT g.{key}, g.datadate, {', '.join(
             + "".join(f"{c}, " for c in plain)
             + ", ".join(f"round_even({c} * 10000.0, 0) / 10000.0 AS {c}" for c in rounded)
             + " FROM filled WHERE qtrcheck = 10")
-    return O.sql(["a_panelq"] + ([] if us else ["a_gics"]), body, ctes + ",\n" + grid)
+    return O.sql(["a_panelq"] if us else ["a_panelq_global", "a_gics"], body, ctes + ",\n" + grid)
 
 
 @register("ratio_monthly_panel", _monthly_sql())
@@ -430,7 +435,7 @@ yb AS (SELECT *,
 
 @register("ratios_annual", _annual_sql())
 def ratios_annual(spark, sf):
-    return R.annual_ratios(A.load(spark, sf, "a_panela"))
+    return R.annual_ratios(I.us_panel(spark, sf, "a_funda"))
 
 
 def _annual_global_sql() -> str:
@@ -451,7 +456,7 @@ def _annual_global_sql() -> str:
     after = f"coalesce(oiadp, 0.0 - {z('dp')})"
     before = f"coalesce(oibdp, {z('sale')} - {z('xopr')})"
     stage = f"""gy AS (SELECT *, mcap_comp AS mktcap, prc_comp_adj AS price_adj FROM (
-    SELECT *, row_number() OVER (PARTITION BY isin, datadate ORDER BY datadate) AS rn FROM a_panela) t WHERE rn = 1),
+    SELECT *, row_number() OVER (PARTITION BY isin, datadate ORDER BY datadate) AS rn FROM a_panela_global) t WHERE rn = 1),
 gz AS (SELECT *, {debt} AS debt, {bea} AS bea, {capital} AS capital,
   coalesce(oancf, {z('ib')} - ({diff('act')} - {diff('che')} - {diff('lct')} + {diff('dlc')} + {diff('txp')} - {z('dp')})) AS ocf,
   lag({bea}) {w} AS bea1, lag({noa}) {w} AS noa1, lag({capital}) {w} AS capital1, lag({works}) {w} AS works1,
@@ -496,9 +501,9 @@ gz AS (SELECT *, {debt} AS debt, {bea} AS bea, {capital} AS capital,
     }
     quote = re.compile(r"(?<![\w.'])at(?![\w'])")
     body = "SELECT isin, datadate, " + ", ".join(f"{c[n]} AS {n}" for n in R.ANNUAL_COLS_GLB) + " FROM gz"
-    return O.sql(["a_panela"], quote.sub('"at"', body), quote.sub('"at"', stage))
+    return O.sql(["a_panela_global"], quote.sub('"at"', body), quote.sub('"at"', stage))
 
 
 @register("ratios_annual_global", _annual_global_sql())
 def ratios_annual_global(spark, sf):
-    return R.annual_ratios_global(A.load(spark, sf, "a_panela"))
+    return R.annual_ratios_global(I.global_panel(spark, sf, "a_funda"))

@@ -144,22 +144,30 @@ FROM (SELECT 10000 + l_suppkey AS permno,
       GROUP BY 1, 2, 3, l_suppkey) t
 """)
 
-ADAPTERS["a_msf"] = (("a_dsf",), """
+# last day of each month of the daily file
+ADAPTERS["a_month"] = (("a_dsf",), """
 SELECT date, permno, cusip, prc, shrout, cfacpr, ret
 FROM (SELECT d.*, row_number() OVER (PARTITION BY permno, last_day(date) ORDER BY date DESC) AS rn
       FROM {a_dsf} d) t
 WHERE rn = 1
 """)
 
-ADAPTERS["a_secm"] = (("a_msf",), """
+# monthly stock file; every fourth month of a security has no price
+ADAPTERS["a_msf"] = (("a_month",), """
+SELECT date, permno, cusip, CASE WHEN (permno + month(date)) % 4 = 1 THEN NULL ELSE prc END AS prc, shrout, cfacpr, ret
+FROM {a_month}
+""")
+
+# monthly security file; shares in millions where the stock file has thousands
+ADAPTERS["a_secm"] = (("a_month",), """
 SELECT cusip, lpad(cast(permno - 10000 AS string), 6, '0') AS gvkey, '01' AS iid,
        date AS datadate, abs(prc) AS prccm, cfacpr AS ajexm, shrout AS cshom,
-       shrout AS cshoq, cast(permno % 4 AS double) / 10 AS dvrate,
+       shrout / 1000 AS cshoq, cast(permno % 4 AS double) / 10 AS dvrate,
        'FIRM ' || lpad(cast(permno - 10000 AS string), 6, '0') AS conm,
        CASE WHEN (permno - 10000) % 10 = 9 THEN '1' ELSE '0' END AS tpci,
        CASE WHEN (permno - 10000) % 7 = 6 THEN 'CAN' ELSE 'USA' END AS fic,
        'P' AS primiss
-FROM {a_msf}
+FROM {a_month}
 """)
 
 ADAPTERS["a_link"] = (("supplier",), """
@@ -224,49 +232,6 @@ FROM (SELECT c_mktsegment AS series_key, cast(o_orderdate AS date) AS date, coun
       GROUP BY 1, 2) t
 """)
 
-# Monthly market values per firm (month end), as merged into the ratio panel.
-ADAPTERS["a_prices"] = (("a_secm", "a_link"), """
-SELECT s.gvkey, last_day(s.datadate) AS datadate,
-       CASE WHEN cast(s.gvkey AS int) % 4 = 1 THEN NULL ELSE s.prccm * s.cshom / 1000 END AS mcap_crsp,
-       CASE WHEN cast(s.gvkey AS int) % 4 = 1 THEN NULL ELSE s.prccm END AS prc_crsp_unadj,
-       CASE WHEN cast(s.gvkey AS int) % 4 = 1 THEN NULL ELSE s.prccm / s.ajexm END AS prc_crsp_adj,
-       s.cshoq * s.prccm / 1000 AS mcap_comp, s.prccm AS prc_comp_unadj,
-       s.prccm / s.ajexm AS prc_comp_adj, s.dvrate
-FROM {a_secm} s
-""")
-
-# Forecast growth per firm and forecast month: the forecast for the fiscal year
-# against the actual of the year before; long-term growth of the same month.
-ADAPTERS["a_growth"] = (("a_est_act", "a_est_sum"), """
-SELECT cusip, statpers_me, futepsgrowth, ltg_eps FROM (
-  SELECT a.cusip, last_day(s.statpers) AS statpers_me, g.meanest AS ltg_eps,
-         (s.meanest - a.current_actual) / nullif(abs(a.current_actual), 0) AS futepsgrowth,
-         row_number() OVER (PARTITION BY a.cusip, last_day(s.statpers) ORDER BY a.pends, s.statpers) AS rn
-  FROM (SELECT cusip, pends, lag(value) OVER (PARTITION BY cusip ORDER BY pends) AS current_actual FROM {a_est_act}) a
-  JOIN (SELECT * FROM {a_est_sum} WHERE fpi = '1' AND fiscalp = 'ANN' AND curr_act = 'USD') s
-    ON a.cusip = s.cusip AND a.pends = s.fpedats
-  LEFT JOIN (SELECT * FROM {a_est_sum} WHERE fpi = '0' AND fiscalp = 'LTG') g
-    ON s.cusip = g.cusip AND s.statpers = g.statpers) t
-WHERE rn = 1
-""")
-
-# Firm-quarter panel as the ratio blocks see it: fundamentals with prices and
-# estimate-derived growth inputs (left joins on firm and quarter end).
-ADAPTERS["a_panelq"] = (("a_fundq", "a_prices", "a_growth"), """
-SELECT f.*, p.mcap_crsp, p.prc_crsp_unadj, p.prc_crsp_adj, p.mcap_comp,
-       p.prc_comp_unadj, p.prc_comp_adj, p.dvrate, e.futepsgrowth, e.ltg_eps
-FROM {a_fundq} f LEFT JOIN {a_prices} p ON f.gvkey = p.gvkey AND f.datadate = p.datadate
-LEFT JOIN {a_growth} e ON substring(f.cusip, 1, length(f.cusip) - 1) = e.cusip AND f.datadate = e.statpers_me
-""")
-
-ADAPTERS["a_panela"] = (("a_funda", "a_prices", "a_growth"), """
-SELECT f.*, p.mcap_crsp, p.prc_crsp_unadj, p.prc_crsp_adj, p.mcap_comp,
-       p.prc_comp_unadj, p.prc_comp_adj, p.dvrate, e.futepsgrowth, e.ltg_eps
-FROM {a_funda} f LEFT JOIN {a_prices} p ON f.gvkey = p.gvkey AND f.datadate = p.datadate
-LEFT JOIN {a_growth} e ON substring(f.cusip, 1, length(f.cusip) - 1) = e.cusip AND f.datadate = e.statpers_me
-""")
-
-
 # Firm location: the supplier's nation.
 ADAPTERS["a_loc"] = (("supplier", "nation"), """
 SELECT lpad(cast(s_suppkey AS string), 6, '0') AS gvkey, n_name AS loc, s_nationkey AS loc_rank
@@ -472,13 +437,13 @@ FROM (SELECT lpad(cast(b.firm AS string), 6, '0') AS gvkey, b.qend AS qdate, l.l
 """)
 
 
-def _deps_order(names: list[str]) -> list[str]:
+def _deps_order(names: list[str], known: dict[str, tuple[tuple[str, ...], str]]) -> list[str]:
     out: list[str] = []
 
     def visit(n: str) -> None:
         if n in TABLES or n in out:
             return
-        for d in ADAPTERS[n][0]:
+        for d in known[n][0]:
             visit(d)
         out.append(n)
 
@@ -502,13 +467,15 @@ def load(spark: SparkSession, sf_dir: str, name: str, _cache: dict | None = None
     return df
 
 
-def duckdb_with(names: list[str]) -> str:
-    """WITH clause defining the given adapters (and their inputs) for DuckDB."""
-    order = _deps_order(names)
+def duckdb_with(names: list[str], views: dict[str, tuple[tuple[str, ...], str]] | None = None) -> str:
+    """WITH clause defining the given adapters (and their inputs) for DuckDB;
+    ``views`` are further texts that only the oracles use."""
+    known = {**ADAPTERS, **(views or {})}
+    order = _deps_order(names, known)
     if not order:
         return ""
     parts = []
     for n in order:
-        deps, sql = ADAPTERS[n]
+        deps, sql = known[n]
         parts.append(f"{n} AS MATERIALIZED ({sql.format(**{d: d for d in deps})})")
     return "WITH " + ",\n".join(parts) + "\n"

@@ -13,8 +13,8 @@ def test_ratio_family_firm_exchanges(spark):
     import re
     from sparkfin.operators import panel as P
     from sparkfin.operators import ratios as R
-    from sparkfin.sources import adapters as A
-    schema = A.load(spark, SF_SMALL, "a_panelq").schema
+    from sparkfin.plans import inputs
+    schema = inputs.us_panel(spark, SF_SMALL).schema
     panel = spark.createDataFrame([], schema).repartition(3)
     plan = _plan(R.family(P.prepare_quarterly(panel), "efficiency"))
     keys = re.findall(r"Exchange hashpartitioning\(([^,)]*)#\d+, ([^,)]*)", plan)

@@ -59,7 +59,7 @@ def op7_top_inner(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows, dealt = mixing.mix(read_table(spark, sf_dir, "documents"))
-    return mixing.taken(rows, dealt).select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken")
+    return mixing.taken(rows, dealt).select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken", "shard_words")
 
 
 def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,10 +2,11 @@
 import base64
 import hashlib
 
+import duckdb
 import pyspark.sql.functions as F
 import pytest
 
-from llm_fixtures import docs, empty, rows  # noqa: F401
+from llm_fixtures import SF_CHECK, docs, empty, rows  # noqa: F401
 from sparkfin.llm import mixing, warc
 from sparkfin.llm.shared import run_folder
 
@@ -37,6 +38,37 @@ def test_shards_hold_exact_halves(docs, spark):
     assert spark.read.parquet(path).agg(F.sum("words")).first()[0] == dealt.agg(F.sum("words")).first()[0]
 
 
+def shard_words(spark, sf):
+    rows, dealt = mixing.mix(spark.read.parquet(f"{sf}/documents.parquet"))
+    return sorted((r.id, r.taken, r.shard_words) for r in mixing.taken(rows, dealt).collect())
+
+
+def test_the_tree_decides_the_shards(spark, monkeypatch):
+    con = duckdb.connect()
+    con.execute(f"create view documents as select * from read_parquet('{SF_CHECK}/documents.parquet')")
+    want = sorted(con.sql(f"select doc_id, taken, shard_words from ({mixing.ORACLE.strip()})").fetchall())
+    assert shard_words(spark, SF_CHECK) == want
+    assert all(t == sum(map(int, w.split(","))) for _, t, w in want)
+
+    def round_robin(drawn, levels=3):
+        sizes = F.array(*(F.floor(F.col("drawn") * (j + 1) / 2 ** levels) for j in range(2 ** levels)))
+        return drawn.select("place", "drawn").distinct().select("place", sizes.alias("ends"))
+    monkeypatch.setattr(mixing, "shard_quotas", round_robin)
+    other = shard_words(spark, SF_CHECK)
+    assert other != want and [x[:2] for x in other] == [x[:2] for x in want]
+
+
+def test_a_node_is_halved_by_a_hypergeometric_draw(spark):
+    n = {0: 3000, 1: 1000, 2: 1}
+    drawn = spark.createDataFrame(list(n.items()), "place long, drawn long")
+    ends = {r.place: r.ends for r in mixing.shard_quotas(drawn, levels=2).collect()}
+    assert {p: e[-1] for p, e in ends.items()} == n
+    at = [sum(e[j] for e in ends.values()) for j in range(4)]
+    assert at[1] == 4001 // 2 and abs(at[0] - 1000) <= 1 and abs(at[2] - 3000) <= 1
+    sd = (2000 * 0.75 * 0.25 * 2000 / 4000) ** 0.5
+    assert 0 < abs(ends[0][1] - 1500) < 5 * sd
+
+
 def test_targets_stop_at_the_cap(spark):
     df = spark.createDataFrame([(i, "w " * n, "x", s) for i, (s, n) in enumerate([("a", 1000), ("b", 10), ("c", 20)])],
                                "doc_id long, text string, lang string, source string")

@@ -32,6 +32,8 @@ from .shared import held_out
 #: labelled rows learnt from, at most, and worse rows each better row meets
 FIT_ROWS = 12_000
 RIVALS = 8
+#: tasks that look at the sample's texts
+SAMPLE_PARTS = 32
 THRESHOLD = 0.7
 
 FEATURES = ("log_words", "word_length", "upper", "digit", "blank", "exclaim", "bar", "sign", "stop", "other_ascii", "wide",
@@ -71,13 +73,15 @@ def _featured(batches):
 
 
 def sample_rows(docs: DataFrame, labels: DataFrame, label: str, bound: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(text, y) of the labelled rows that may be learnt from, those ``bound``
-    at most whose ids hash smallest.  The ids are that many, so they are
-    broadcast."""
+    """(text, y) of the labelled rows that may be learnt from, ``bound`` at
+    most: those whose ids hash smallest, each text of an id once.  Ids and keys
+    are that many, so they are broadcast."""
     ids = labels.select(F.col(id_col).alias("lid"), F.col(label).cast("int").alias("y")).filter("lid is not null and y in (0, 1)") \
         .filter(~held_out(F.col("lid"))).groupBy("lid").agg(F.max("y").alias("y")).orderBy(F.xxhash64("lid"), "lid").limit(bound)
     src = docs.select(F.col(id_col).alias("lid"), F.col(text_col).cast("string").alias("text"))
-    return src.join(F.broadcast(ids), "lid").select("text", "y")
+    known = src.join(F.broadcast(ids), "lid").withColumn("hash", F.xxhash64("text"))
+    keys = known.select("lid", "hash").distinct().orderBy(F.xxhash64("lid"), "lid", "hash").limit(bound)
+    return known.join(F.broadcast(keys), ["lid", "hash"]).dropDuplicates(["lid", "hash"]).repartition(SAMPLE_PARTS, "lid", "hash").select("text", "y")
 
 
 def pair_indices(y: np.ndarray, rivals: int, seed: int = 2) -> tuple[np.ndarray, np.ndarray]:

@@ -9,8 +9,8 @@ counts once per text.  The machine scores
 so that two terms that are harmless alone, such as an insult word and the name
 of a group, can weigh together what no sum of single weights gives.  It is
 fitted on a bounded sample of labelled rows, on the buckets whose presence
-tells the classes apart best (G statistic of grouped counts), with Spark's
-factorization machine.  The pair term costs one pass over a text's terms:
+tells the classes apart best (G statistic of grouped counts) and on those of
+the pairs that tell it only together, with Spark's factorization machine.  The pair term costs one pass over a text's terms:
 sum over factors of ((sum v)^2 - sum v^2) / 2.
 
 Scoring maps documents one batch at a time.  The model is some thousand
@@ -43,6 +43,11 @@ BUCKETS_LOG2 = 22
 #: buckets the machine weighs, each seen in at least MIN_ROWS sample rows
 TERMS = 1024
 MIN_ROWS = 5
+#: buckets whose pairs are screened, those that may come in by a pair, and the
+#: gain in G (natural log, no factor 2) a pair must show beyond its parts
+SCREENED = 1024
+PAIRED = 256
+PAIR_GAIN = 30.0
 FACTORS = 4
 THRESHOLD = 0.3
 
@@ -71,23 +76,84 @@ def _counted(batches):
                                      names=["bucket", "n0", "n1"])
 
 
-def chosen_buckets(sample: DataFrame, size: int = TERMS) -> list[int]:
-    """Buckets with the largest G statistic against the label."""
-    rows = sample.groupBy().agg(F.sum(1 - F.col("y")).alias("r0"), F.sum("y").alias("r1")).first()
-    c = sample.select("text", "y").mapInArrow(_counted, "bucket long, n0 long, n1 long") \
+def bucket_counts(sample: DataFrame) -> DataFrame:
+    """(bucket, n0, n1) of the buckets seen in at least MIN_ROWS rows."""
+    return sample.select("text", "y").mapInArrow(_counted, "bucket long, n0 long, n1 long") \
         .groupBy("bucket").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1")).filter(F.col("n0") + F.col("n1") >= MIN_ROWS)
-    total = rows.r0 + rows.r1
+
+
+def chosen_buckets(counts: DataFrame, r0: int, r1: int, size: int = TERMS) -> list[int]:
+    """Buckets with the largest G statistic against the label."""
+    total = r0 + r1
 
     def part(seen, expected):
         return F.when(seen > 0, seen * F.log(seen / expected)).otherwise(0.0)
 
     n = F.col("n0") + F.col("n1")
     g = sum((part(F.col(f"n{i}"), n * r / total) + part(F.lit(r) - F.col(f"n{i}"), (total - n) * F.lit(r) / total)
-             for i, r in enumerate((rows.r0, rows.r1))), F.lit(0.0))
-    top = c.orderBy(g.desc(), "bucket").limit(size).select("bucket").collect()
+             for i, r in enumerate((r0, r1))), F.lit(0.0))
+    top = counts.orderBy(g.desc(), "bucket").limit(size).select("bucket").collect()
     return sorted(r.bucket for r in top)
 
 
+def pair_gains(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """What the presence of two columns of ``x`` together tells of ``y`` beyond
+    what each tells alone: G of the four joint cells less both single G."""
+    rows = [float((y == c).sum()) for c in (0, 1)]
+    both = [x[y == c].T @ x[y == c] for c in (0, 1)]
+    one = [np.diag(b).astype(np.float64) for b in both]
+
+    def g(cells):
+        seen = cells[0] + cells[1]
+        out = np.zeros(seen.shape)
+        for cell, r in zip(cells, rows, strict=True):
+            with np.errstate(divide="ignore", invalid="ignore"):
+                out += np.where(cell > 0, cell * np.log(cell * sum(rows) / (seen * r)), 0.0)
+        return out
+
+    alone = g(one) + g([r - o for r, o in zip(rows, one, strict=True)])
+    joint = g(both)
+    for left in (True, False):  # exactly one of the two
+        joint += g([(o[:, None] if left else o[None, :]) - b for o, b in zip(one, both, strict=True)])
+    joint += g([r - o[:, None] - o[None, :] + b for r, o, b in zip(rows, one, both, strict=True)])
+    gain = joint - alone[:, None] - alone[None, :]
+    np.fill_diagonal(gain, 0.0)
+    return gain
+
+
+def paired_buckets(sample: DataFrame, counts: DataFrame, total: int) -> list[int]:
+    """Buckets of the pairs that tell the classes apart only together: all
+    pairs of the SCREENED most balanced buckets are looked at, in one task over
+    the bounded sample's places."""
+    n = F.col("n0") + F.col("n1")
+    even = [r.bucket for r in counts.orderBy(F.desc(n * (total - n)), "bucket").limit(SCREENED).select("bucket").collect()]
+    finder = Machine(even)
+
+    def screen(batches):
+        labels, places = [], []
+        for batch in batches:
+            labels += batch.column(0).to_pylist()
+            places += [np.asarray(a, np.int64) for a in batch.column(1).to_pylist()]
+        x = np.zeros((len(labels), len(even)), np.float32)
+        for i, at in enumerate(places):
+            x[i, at] = 1
+        gain = pair_gains(x, np.asarray(labels, np.int64)).max(axis=1, initial=0.0)
+        good = np.argsort(-gain, kind="stable")[:PAIRED]
+        good = good[gain[good] >= PAIR_GAIN]
+        yield pa.RecordBatch.from_arrays([pa.array(np.asarray(even, np.int64)[good])], names=["bucket"])
+
+    at = sample.mapInArrow(_places(finder), "label double, at array<long>")
+    return sorted(r.bucket for r in at.repartition(1).mapInArrow(screen, "bucket long").collect())
+
+
+def _places(finder: Machine):
+    def run(batches):
+        for batch in batches:
+            got = [finder.indices(t.as_py()) for t in batch.column(0)]
+            yield pa.RecordBatch.from_arrays([batch.column(1).cast(pa.float64()), pa.array(got, pa.list_(pa.int64()))], names=["label", "at"])
+    return run
+
+
 class Machine:
     """Scores in 0..1; those of at least 0.3 are predicted toxic."""
 
@@ -129,20 +195,14 @@ class Machine:
 def fit(docs: DataFrame, labels: DataFrame, bound: int = FIT_ROWS, id_col: str = "doc_id", text_col: str = "text", label: str = "toxic") -> Machine:
     sample = sample_rows(docs, labels, label, bound, id_col, text_col)
     sample = written(sample, "toxic-sample")
-    classes = [r.y for r in sample.groupBy("y").count().orderBy("y").collect()]
-    if len(classes) < 2:
-        return Machine(constant=float(classes[0]) if classes else 0.5)
-    buckets = chosen_buckets(sample)
+    seen = {r.y: r["count"] for r in sample.groupBy("y").count().collect()}
+    if len(seen) < 2:
+        return Machine(constant=float(next(iter(seen))) if seen else 0.5)
+    counts = written(bucket_counts(sample), "toxic-counts")
+    buckets = sorted({*chosen_buckets(counts, seen[0], seen[1]), *paired_buckets(sample, counts, seen[0] + seen[1])})
     if not buckets:
-        return Machine(constant=sample.agg(F.avg("y")).first()[0])
-    finder = Machine(buckets)
-
-    def vectors(batches):
-        for batch in batches:
-            got = [finder.indices(t.as_py()) for t in batch.column(0)]
-            yield pa.RecordBatch.from_arrays([batch.column(1).cast(pa.float64()), pa.array(got, pa.list_(pa.int64()))], names=["label", "at"])
-
-    rows = sample.mapInArrow(vectors, "label double, at array<long>").toPandas()  # the bounded sample's bucket places
+        return Machine(constant=seen[1] / (seen[0] + seen[1]))
+    rows = sample.mapInArrow(_places(Machine(buckets)), "label double, at array<long>").toPandas()  # the bounded sample's bucket places
     rows["key"] = rows["at"].map(lambda a: tuple(a))
     rows = rows.sort_values(["key", "label"])
     width = len(buckets)

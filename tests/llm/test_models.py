@@ -1,4 +1,6 @@
 """Language ID and classifiers: held-out accuracy on the small tables, edge rows."""
+import random
+
 import numpy as np
 import pyspark.sql.functions as F
 import pytest
@@ -105,3 +107,49 @@ def test_unlabelled_script_and_junk_are_not_accepted(spark):
              (101, "αυτή η πρόταση είναι γραμμένη σε άλλη γλώσσα", False, None, None, None, None), (102, junk, False, None, None, None, None)]
     got = {r.doc_id: r.accepted for r in lang_id.identify(evidence(spark, known + other), m).collect()}
     assert all(got[i] for i in range(len(known))) and not got[100] and not got[101] and not got[102]
+
+
+def test_sample_bound_holds_for_repeated_ids(spark):
+    many = spark.range(5000).select(F.lit(1).cast("long").alias("doc_id"), F.concat(F.lit("text "), (F.col("id") % 50).cast("string")).alias("text"))
+    docs = many.unionByName(spark.createDataFrame([(3, "other"), (4, None)], "doc_id long, text string"))
+    labels = spark.createDataFrame([(i, 1) for i in range(20)], "doc_id long, quality int")
+    assert quality.sample_rows(docs, labels, "quality", 10).count() == 10
+    assert quality.sample_rows(docs, labels, "quality", 1000).count() == 51 + int(not docs.filter("doc_id = 4").select(quality.held_out(F.col("doc_id"))).first()[0])
+
+
+def test_pair_whose_parts_tell_nothing_is_learnt(spark):
+    r = random.Random(5)
+    noise = ["".join(r.choices("bcdfghjklm", k=7)) for _ in range(6000)]
+    rows = []
+    for i in range(6000):
+        a, b = r.random() < 0.5, r.random() < 0.5
+        words = r.sample(noise, 20) + ["zorba"] * a + ["quexi"] * b
+        r.shuffle(words)
+        rows.append((i, " ".join(words), int(a != b)))
+    df = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    m = toxicity.fit(df.select("doc_id", "text"), df.select("doc_id", "toxic"))
+    assert {toxicity.bucket("zorba"), toxicity.bucket("quexi")} <= set(m.at)
+    got = toxicity.score(df.select("doc_id", "text"), m).join(df.select(F.col("doc_id").alias("id"), "toxic"), "id").filter("held_out")
+    assert got.agg(F.avg((F.col("predicted") == F.col("toxic")).cast("int"))).first()[0] >= 0.9
+
+
+def test_pair_gains_against_counting():
+    rng = np.random.default_rng(3)
+    x = rng.integers(0, 2, (200, 4)).astype(np.float32)
+    y = (x[:, 0] != x[:, 1]).astype(np.int64)
+    gain = toxicity.pair_gains(x, y)
+
+    def g(cell):
+        return sum(n * np.log(n * len(y) / ((cell == c).sum() * (y == k).sum()))
+                   for c in np.unique(cell) for k in (0, 1) if (n := ((cell == c) & (y == k)).sum()))
+    want = g(2 * x[:, 0] + x[:, 1]) - g(x[:, 0]) - g(x[:, 1])
+    assert gain[0, 1] == pytest.approx(want) and gain.max() == gain[0, 1] > 100
+
+
+def test_language_ids_may_have_any_name(spark):
+    m = model(spark)
+    e = evidence(spark, [(1, "the dog and the cat", False, "en", "uk", "a.co.uk", "co.uk")])
+    names = ("n", "ll", "post", "fused", "final", "even", "row", "id", "all_n", "host_n", "host_c", "host_prior", "log_declared", "s0", "c0")
+    got = lang_id.identify(e.selectExpr("*", "'x' as lang", *(f"'{c}' as {c}" for c in names)), m).first().asDict()
+    assert got["doc_id"] == 1 and got["lang"] == "en" and all(got[c] == c for c in names)
+    assert lang_id.identify(e.drop("doc_id"), m).first().lang == "en"

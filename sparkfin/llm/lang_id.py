@@ -18,8 +18,9 @@ back is a plain equi-join that adaptive execution may split.
 Defined results: missing evidence (null or empty) is left out; a row without a
 letter gets the language the other evidence favours but is not accepted; with
 no labelled rows every language is null and nothing is accepted; repeated rows
-are each identified; an empty table gives an empty result; ids, and only they,
-are carried along, other columns are not read.
+are each identified; an empty table gives an empty result; every column that
+is not evidence is carried along under any name, but for lang, confidence and
+accepted, which the result brings itself.
 """
 from __future__ import annotations
 
@@ -121,21 +122,23 @@ def _given(rows: DataFrame, column: str, width: int) -> DataFrame:
 
 
 def identify(rows: DataFrame, model: tuple[list[str], np.ndarray], strength: float = STRENGTH) -> DataFrame:
-    """``rows``: id columns and text, markup (boolean), declared, suffix, host,
-    domain.  Returns the id columns, lang, confidence and accepted."""
+    """``rows``: carried columns and text, markup (boolean), declared, suffix, host,
+    domain.  Returns the carried columns, lang, confidence and accepted."""
     names, table = model
-    ids = [c for c in rows.columns if c not in ("text", "markup", "declared", "suffix", "host", "domain")]
+    evidence = ("text", "markup", "declared", "suffix", "host", "domain")
+    ids = [c for c in rows.columns if c not in (*evidence, "lang", "confidence", "accepted")]
     if not names:
         return rows.select(*ids, F.lit(None).cast("string").alias("lang"), F.lit(0.0).alias("confidence"), F.lit(False).alias("accepted"))
     width = len(names)
-    fields = {f.name: f.dataType.simpleString() for f in rows.schema.fields if f.name not in ("text", "markup")}
-    schema = ", ".join(f"`{k}` {v}" for k, v in fields.items()) + ", n long, ll array<double>"
-    e = written(rows.select(*fields, "text", "markup").mapInArrow(_score(table), schema).withColumn("post", _softmax(F.col("ll"))), "lang-evidence")
+    # the carried columns travel as one, so none meets a column of this module
+    rows = rows.select(F.struct(*(F.col(f"`{c}`") for c in ids), *([] if ids else [F.lit(0).alias("none")])).alias("row"), *evidence)
+    schema = f"row {rows.schema['row'].dataType.simpleString()}, declared string, suffix string, host string, domain string, n long, ll array<double>"
+    e = written(rows.select("row", "declared", "suffix", "host", "domain", "text", "markup").mapInArrow(_score(table), schema).withColumn("post", _softmax(F.col("ll"))), "lang-evidence")
 
     sums = [F.sum(F.col("post")[i]).alias(f"s{i}") for i in range(width)]
     everything = e.agg(F.count(F.lit(1)).alias("all_n"), *sums).select("all_n", F.array(*(F.col(f"s{i}") for i in range(width))).alias("all_c")).first()
     if not everything.all_n:
-        return e.select(*ids, F.lit(None).cast("string").alias("lang"), F.lit(0.0).alias("confidence"), F.lit(False).alias("accepted"))
+        return e.select(*(f"row.`{c}`" for c in ids), F.lit(None).cast("string").alias("lang"), F.lit(0.0).alias("confidence"), F.lit(False).alias("accepted"))
     base = F.array(*(F.lit((c + 1.0) / (everything.all_n + width)) for c in everything.all_c))
     for level in ("domain", "host"):
         t = e.filter(F.col(level).isNotNull()).groupBy(level).agg(F.count(F.lit(1)).alias(f"{level}_n"), *sums) \
@@ -162,7 +165,7 @@ def identify(rows: DataFrame, model: tuple[list[str], np.ndarray], strength: flo
     e = e.withColumn("fused", total).withColumn("final", _softmax(F.col("fused"))).withColumn("even", even)
     top = F.array_max("final")
     held = 1 / (1 / top + F.exp(F.col("even") - F.array_max("fused")))
-    return e.select(*ids, F.element_at(F.array(*map(F.lit, names)), F.array_position("final", top).cast("int")).alias("lang"),
+    return e.select(*(f"row.`{c}`" for c in ids), F.element_at(F.array(*map(F.lit, names)), F.array_position("final", top).cast("int")).alias("lang"),
                     top.alias("confidence"), ((F.col("n") > 0) & (held >= ACCEPT)).alias("accepted"))
 
 

@@ -148,9 +148,11 @@ def parse(src: DataFrame, key_type: str, window: int) -> DataFrame:
     k = window // 2 + 1
     anchors = src.mapInArrow(_anchors(window), f"anchor long, key {key_type}, place long")
     index = anchors.groupBy("anchor").agg(F.min("key").alias("ref"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
-    # both joins are written or shuffled on at once, so a hot anchor can be split
+    # each aggregate is a table of its own before its join: both sides are plain
+    # exchanges then, and a hot anchor can be split
+    index = written(index, "substring-index")
     hits = written(anchors.join(index, "anchor"), "substring-hits")
-    head = hits.filter(F.col("key") == F.col("ref")).groupBy("anchor").agg(F.min("place").alias("ref_place"))
+    head = written(hits.filter(F.col("key") == F.col("ref")).groupBy("anchor").agg(F.min("place").alias("ref_place")), "substring-heads")
     rows = hits.join(head, "anchor")
 
     at, ref_at = F.shiftright("place", 16), F.shiftright("ref_place", 16)
@@ -166,7 +168,7 @@ def parse(src: DataFrame, key_type: str, window: int) -> DataFrame:
     whole = Window.partitionBy("key", "factor")
     out = written(rows.withColumn("cs", F.min("at").over(whole)).withColumn("ce", F.max("at").over(whole) + k)
                   .select("anchor", "key", "lo", "hi", "first", "cs", "ce"), "substring-factors")
-    release(hits)
+    release(hits, index, head)
     return out
 
 

@@ -68,12 +68,14 @@ def _gram(d: int):
 
 
 def _pack(d: int, size: int):
-    """Rows in order become blocks of ``size``: ids and the matrix as bytes."""
+    """Rows in order become blocks of ``size``: ids and the matrix as bytes, and
+    the length of the longest row."""
     def run(batches):
         ids, rows, held = [], [], 0
 
         def emit(i, m):
-            return pa.RecordBatch.from_arrays([pa.array([i.tobytes()], pa.binary()), pa.array([m.tobytes()], pa.binary())], names=["ids", "m"])
+            top = float(np.sqrt((m.astype(np.float64) ** 2).sum(axis=1).max()))
+            return pa.RecordBatch.from_arrays([pa.array([i.tobytes()], pa.binary()), pa.array([m.tobytes()], pa.binary()), pa.array([top])], names=["ids", "m", "top"])
         for batch in batches:
             ids.append(np.asarray(batch.column(0)))
             rows.append(_matrix(batch.column(1), d))
@@ -141,6 +143,22 @@ def search_block(best: Best, qid, qm, cid, cm, rotation: np.ndarray) -> None:
             best.add(xs[good], s[good], cid[ys[good]])
 
 
+def shortest(qm: np.ndarray, floor: np.ndarray) -> float:
+    """The length a candidate needs, at least, to reach any query's floor."""
+    length = np.sqrt((qm.astype(np.float64) ** 2).sum(axis=1))
+    with np.errstate(divide="ignore", invalid="ignore"):
+        need = np.where(floor > 0, floor / length * (1 - 1e-9), -np.inf)
+    return float(need.min(initial=np.inf))
+
+
+def block_pairs(asked: DataFrame, blocks: DataFrame) -> DataFrame:
+    """(qblock, block) of the pairs that can hold a result, by the lengths
+    alone: no vector is moved for a pair that is left out."""
+    listed = blocks.agg(F.collect_list(F.struct("block", "top")).alias("listed")).withColumn("all", F.lit(0))
+    pairs = asked.select("qblock", "need").withColumn("all", F.lit(0)).join(listed, "all")
+    return pairs.select("qblock", F.explode(F.filter("listed", lambda b: b["top"] >= F.col("need"))).alias("b")).select("qblock", "b.block")
+
+
 def top_inner(df: DataFrame, queries, id_col: str = "vec_id", vec_col: str = "embedding", k: int = 5, scale: int = 256,
               block: int = BLOCK, query_block: int = QUERY_BLOCK) -> DataFrame:
     """(query_id, rank, vec_id, score): the ``k`` best rows of ``df`` for each
@@ -159,17 +177,16 @@ def top_inner(df: DataFrame, queries, id_col: str = "vec_id", vec_col: str = "em
     parts = max(1, -(-n // block))
     sorted_rows = ints.withColumn("norm", norm).repartitionByRange(parts, F.desc("norm"), "id").sortWithinPartitions(F.desc("norm"), "id")
     numbered = F.monotonically_increasing_id().alias("block")
-    blocks = written(sorted_rows.select("id", "v").mapInArrow(_pack(d, block), "ids binary, m binary").select(numbered, "ids", "m"), "inner-blocks")
-    asked = ints.filter(queries(F.col("id"))).mapInArrow(_pack(d, query_block), "ids binary, m binary")
+    blocks = written(sorted_rows.select("id", "v").mapInArrow(_pack(d, block), "ids binary, m binary, top double").select(numbered, "ids", "m", "top"), "inner-blocks")
+    asked = ints.filter(queries(F.col("id"))).mapInArrow(_pack(d, query_block), "ids binary, m binary, top double")
     asked = written(asked.select(F.monotonically_increasing_id().alias("qblock"), "ids", "m"), "inner-queries")
-    names = blocks.select("block").orderBy("block")
-    first = blocks.join(names.limit(1), "block").first()
+    first = blocks.join(blocks.select("block").orderBy("block").limit(1), "block").first()
     head = bytes(first.ids), bytes(first.m)
 
     def opened(batches):
         cid, cm = _unpack(*head, d)
         for batch in batches:
-            floors = []
+            floors, needs = [], []
             for ids, m in zip(batch.column("ids"), batch.column("m"), strict=True):
                 qid, qm = _unpack(ids.as_py(), m.as_py(), d)
                 best = Best(len(qid), k)
@@ -182,8 +199,9 @@ def top_inner(df: DataFrame, queries, id_col: str = "vec_id", vec_col: str = "em
                     real = qid[a + x] != cid[y]
                     best.add((a + x)[real], s[x, y][real], cid[y[real]])
                 floors.append(best.floor.tobytes())
-            yield pa.RecordBatch.from_arrays([batch.column(c) for c in ("qblock", "ids", "m")] + [pa.array(floors, pa.binary())],
-                                             names=["qblock", "ids", "m", "floors"])
+                needs.append(shortest(qm, best.floor))
+            yield pa.RecordBatch.from_arrays([batch.column(c) for c in ("qblock", "ids", "m")] + [pa.array(floors, pa.binary()), pa.array(needs, pa.float64())],
+                                             names=["qblock", "ids", "m", "floors", "need"])
 
     def met(batches):
         for batch in batches:
@@ -196,11 +214,11 @@ def top_inner(df: DataFrame, queries, id_col: str = "vec_id", vec_col: str = "em
                     [pa.array(np.full(len(best.q), row["qblock"])), pa.array(best.q), pa.array(qid[best.q]), pa.array(best.i), pa.array(best.s)],
                     names=["qblock", "q", "query_id", "vec_id", "score"])
 
-    asked = asked.mapInArrow(opened, "qblock long, ids binary, m binary, floors binary").withColumnsRenamed({"ids": "qids", "m": "qm"})
-    # every query block goes to every candidate block, by the block's number
-    listed = names.agg(F.collect_list("block").alias("numbers")).withColumn("all", F.lit(0))
-    pairs = asked.withColumn("all", F.lit(0)).join(listed, "all").withColumn("block", F.explode("numbers")).drop("numbers", "all")
-    found = pairs.join(blocks, "block").select("qblock", "qids", "qm", "floors", "ids", "m") \
+    asked = written(asked.mapInArrow(opened, "qblock long, ids binary, m binary, floors binary, need double")
+                    .withColumnsRenamed({"ids": "qids", "m": "qm"}), "inner-asked")
+    met_blocks = block_pairs(asked, blocks)
+    pairs = met_blocks.join(asked.drop("need"), "qblock")
+    found = pairs.join(blocks.drop("top"), "block").select("qblock", "qids", "qm", "floors", "ids", "m") \
         .mapInArrow(met, "qblock long, q long, query_id long, vec_id long, score long")
     order = Window.partitionBy("qblock", "q").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

@@ -30,6 +30,22 @@ def test_top_inner(spark, d, n):
     assert sorted(tuple(r) for r in got.collect()) == brute_top(rows)
 
 
+def test_block_pairs_are_left_out_by_length(spark, monkeypatch):
+    rng = np.random.default_rng(7)
+    rows = [(i, (rng.normal(size=8) * 2.0 ** -(i // 60)).astype(np.float32).tolist()) for i in range(600)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    seen, real = [], top_inner.block_pairs
+
+    def counted(asked, blocks):
+        pairs = real(asked, blocks)
+        seen.append((pairs.count(), asked.count() * blocks.count()))
+        return pairs
+    monkeypatch.setattr(top_inner, "block_pairs", counted)
+    got = top_inner.top_inner(df, lambda i: i % 50 == 0, block=40, query_block=1)
+    assert sorted(tuple(r) for r in got.collect()) == brute_top(rows)
+    assert seen[0][0] * 3 < seen[0][1]
+
+
 def test_top_inner_empty(spark):
     assert top_inner.top_inner(spark.createDataFrame([], "vec_id long, embedding array<float>"), lambda i: i % 50 == 0).count() == 0
 

@@ -68,13 +68,18 @@ def _nelder_mead(f, x0, iters: int = 400, tol: float = 1e-9):
     return pts[i], vals[i]
 
 
+def _exp(x):
+    """The simplex has no bounds: beyond the largest double it is infinite."""
+    return math.exp(x) if x < 709 else math.inf
+
+
 def _sig(x):
-    return 1.0 / (1.0 + math.exp(-x))
+    return 1.0 / (1.0 + _exp(-x))
 
 
 def _nll(model: str, theta, e: list[float], v0: float) -> float:
     """Negative Gaussian log-likelihood of the demeaned returns ``e``."""
-    w = math.exp(theta[0])
+    w = _exp(theta[0])
     a = _sig(theta[1])
     if model == "garch":
         b = _sig(theta[2]) * (1 - a)
@@ -105,11 +110,11 @@ def _nll(model: str, theta, e: list[float], v0: float) -> float:
             var = max(var, 1e-300)
             ll += math.log(var) + x * x / var
             prev = x
-    return 0.5 * (ll + len(e) * math.log(2 * math.pi))
+    return math.inf if math.isnan(ll) else 0.5 * (ll + len(e) * math.log(2 * math.pi))
 
 
 def _params(model: str, theta) -> dict:
-    w = math.exp(theta[0])
+    w = _exp(theta[0])
     a = _sig(theta[1])
     if model == "garch":
         return {"omega": w, "alpha": a, "gamma": 0.0, "beta": _sig(theta[2]) * (1 - a)}
@@ -126,7 +131,7 @@ def fit_group(pdf: pd.DataFrame) -> pd.DataFrame:
     pdf = pdf.sort_values("date")
     r = np.log1p(pdf["ret"].to_numpy(dtype=float))   # log returns
     r = r[np.isfinite(r)]
-    key = int(pdf["permno"].iloc[0])
+    key = None if pdf["permno"].isna().iloc[0] else int(pdf["permno"].iloc[0])
     rows = []
     reason = "short series" if len(r) < 30 else "flat series" if not np.var(r) else None
     if reason:   # a row that says why there is no fit

@@ -13,7 +13,7 @@ import re
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import cut_lineage
+from ..session import by_key, cut_lineage, written
 from ..sources.adapters import SHEETS
 
 HEADER_ROW = 13
@@ -157,8 +157,9 @@ def long_values(cells: DataFrame) -> DataFrame:
     label, the column's error marker and header, the file's fiscal years and
     chosen dates, the first column of each year.  All these windows reuse the
     one file partitioning, so the plan has a single exchange and no joins; a
-    file (one company's statements) is a bounded group."""
-    c = _own_header(cells.repartition("file"))
+    file (one company's statements) is a bounded group, and there are as many
+    tasks as the (written) cells need."""
+    c = _own_header(by_key(cells, "file"))
     by_row, by_col = Window.partitionBy("file", "sheet", "row"), Window.partitionBy("file", "sheet", "col")
     by_file = Window.partitionBy("file")
     income = F.col("hdr") & (F.col("sheet") == "Income Statement")
@@ -195,6 +196,10 @@ def wide(cells: DataFrame, drop_empty: bool = True, required: tuple[str, ...] =
     the driver is the vocabulary of the statements.  Columns without a value
     are dropped unless ``drop_empty`` is off; ``required`` ones always stay.
     The long values are written once: both passes read them."""
+    return _wide(written(cells), drop_empty, required)
+
+
+def _wide(cells: DataFrame, drop_empty: bool = True, required: tuple[str, ...] = ()) -> DataFrame:
     lv = cut_lineage(long_values(cells).withColumn("_so", sheet_order()))
     found = lv.groupBy("name").agg(F.count("v").alias("n")).collect()
     names = sorted({r.name for r in found if r.name and (r.n or not drop_empty)} | set(required))
@@ -214,8 +219,9 @@ def identity(cells: DataFrame) -> DataFrame:
 def capitalization(cells: DataFrame) -> DataFrame:
     """Bank files (a 'Tier 1 Capital' row exists) report tier capital;
     others report enterprise value; both report total capital."""
-    wd = wide(cells, required=("share_price", "shares_out", "market_capitalization", "tier_1_capital", "tier_2_capital",
-                               "total_enterprise_value", "total_capital"))
+    cells = written(cells)
+    wd = _wide(cells, required=("share_price", "shares_out", "market_capitalization", "tier_1_capital", "tier_2_capital",
+                                "total_enterprise_value", "total_capital"))
     bank = (label_filter(cells).filter((F.col("label") == "Tier 1 Capital") & (F.col("sheet") == CAPITALIZATION)).select("file").distinct()
             .withColumn("bank", F.lit(True)))
     out = wd.join(bank, "file", "left").withColumn("bank", F.coalesce("bank", F.lit(False)))
@@ -230,7 +236,8 @@ def capitalization(cells: DataFrame) -> DataFrame:
 def stacked(cells: DataFrame) -> DataFrame:
     """All companies' wide tables stacked: the union of their columns in
     sorted order, identity first, rows without revenue dropped."""
-    wd = wide(cells)
+    cells = written(cells)
+    wd = _wide(cells)
     ident = identity(cells)
     cols = sorted(c for c in wd.columns if c not in ("file", "year"))
     return (wd.join(ident, "file", "left").filter(F.col("total_revenue").isNotNull())

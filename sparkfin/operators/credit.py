@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.expr import ffill_limit, rint_n, z
+from ..session import by_key, written
 from .aggregates import rolling_deviation
 from .panel import dedup_first, dedup_last
 
@@ -32,15 +33,15 @@ def dtd_inputs(dsf: DataFrame, macro: DataFrame, link: DataFrame, fundq: DataFra
     """Per firm-quarter: equity value, lagged book debt, 252-day equity
     volatility and the 1-year rate.
 
-    The daily file is the large input.  Its volatility window partitions by
-    security; the month-end reduction keeps one row per security-month before
+    The daily file is the large input.  Its rows are written once, so that the
+    volatility window is dealt by security into tasks of a bounded size; the month-end reduction keeps one row per security-month before
     the join with the quarterly fundamentals.  The rate table has one row
     per calendar day (bounded by the calendar, not by the data), so the
     planner may broadcast it.
     """
     daily = dsf.select("date", "permno", "cusip",
                       (F.abs("prc") * F.col("shrout") / 1000).alias("mcap_crsp_dd"), "ret").distinct()
-    daily = daily.join(rate_series(macro), "date", "left")
+    daily = by_key(written(daily.join(rate_series(macro), "date", "left")), "permno")
     daily = rolling_deviation(daily, "ret", "permno", "date", VOL_DAYS, "sd_12M_dd") \
         .withColumn("sd_12M_dd", F.col("sd_12M_dd") * math.sqrt(VOL_DAYS))
     daily = daily.withColumn("month_end", F.last_day("date"))

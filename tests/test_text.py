@@ -203,3 +203,37 @@ def test_copies_of_a_comment_keep_the_first_key_and_are_read_once(spark):
     symbols = spark.createDataFrame([("other", "renamed")], "symbol string, name_lower string")
     by_rows = {r.word: r.n for r in T.comment_word_frequency(df, symbols).collect()}
     assert by_rows == {r.word: r.n for r in T.word_frequency(T.sentences(df, symbols)).collect()} == {"renamed": 1}
+
+
+def test_documents_of_one_key_repeated_symbols_and_no_text(spark):
+    """Two texts under one key are merged by position; a symbol named twice
+    gives both names; a null text is no document, a blank one has no tokens."""
+    clean = spark.createDataFrame([("a", "BTC up"), ("a", "an ETH now"), ("b", "x BTC"), ("c", None), ("d", " "), ("e", "")], "cid string, clean string")
+    sym = spark.createDataFrame([("BTC", "bit"), ("BTC", "Coin"), ("ETH", None), (None, "no")], "symbol string, name_lower string")
+    got = {r.cid: r.tokens for r in T.symbol_replace(clean, sym).collect()}
+    assert got == {"a": ["Coin", "an", "bit", "ETH", "up", "now"], "b": ["x", "Coin", "bit"], "d": [], "e": []}
+    low = {r.cid: r.tokens for r in T.tokens_from_clean(clean, sym).collect()}
+    assert low == {"a": ["an", "bit", "coin", "eth", "up", "now"], "b": ["x", "bit", "coin"], "d": [], "e": []}
+
+
+def _token_exchanges(df):
+    """Exchanges that deal out one row per token, in the plan that ran."""
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    final = plan.split("== Initial Plan ==")[0]
+    return [line for line in final.splitlines() if "Exchange hashpartitioning" in line and ("pos#" in line or "tok#" in line)]
+
+
+def test_tokens_are_not_dealt_out_for_symbols(spark):
+    c = _comments(spark, [f"word{i} BTC and more words {i}" for i in range(50)])
+    sym = spark.createDataFrame([("BTC", "bitcoin")], "symbol string, name_lower string")
+    assert not _token_exchanges(T.sentences(c, sym))
+
+
+def test_phrases_in_one_long_run_and_threshold_below_zero(spark):
+    sents = [["new", "york"] * 6 + ["new"]] * 6 + [[], ["other"], ["york", "new"]]
+    df = spark.createDataFrame([(str(i), s) for i, s in enumerate(sents)], "cid string, tokens array<string>")
+    for threshold in (0.0, -10.0):
+        got = {r.cid: r.tokens for r in T.phrases(df, 3, threshold).collect()}
+        want = _brute_phrases(sents, 3, threshold)
+        assert [got[str(i)] for i in range(len(sents))] == want

@@ -144,6 +144,31 @@ def test_planted_synonyms_are_nearest(spark):
         assert ("left", "port") in near and ("star", "right") in near
 
 
+def test_vectors_are_written_once_a_visit_however_many_blocks(spark, monkeypatch):
+    made, folder = [], V._folder
+    monkeypatch.setattr(V, "_folder", lambda *a: made.append(folder(*a)) or made[-1])
+    s = spark.createDataFrame([(i, [f"w{i}", f"w{i + 1}", "all"]) for i in range(40)], "cid long, tokens array<string>")
+    v = V.skip_gram(s, dim=4, sample=1e9, epochs=2, visits=2, block_words=6)
+    assert len(made) == 2  # before: one folder for each visit and block
+    assert {r.word: len(r.vector) for r in v.collect()} == dict.fromkeys([f"w{i}" for i in range(41)] + ["all"], 4)
+    copies = spark.read.parquet(made[-1])  # a word's copies are the parts its documents are in
+    assert copies.count() <= 3 * 40 and copies.filter("copies = 1").count() > 0
+    assert copies.groupBy("id").agg(F.count("*").alias("k"), F.max("copies").alias("c")).filter("k <> c").count() == 0
+
+
+def test_copies_are_averaged_by_their_pairs_across_batches():
+    import numpy as np
+    import pyarrow as pa
+    ids, w = [1, 1, 1, 2, 3, 3], [1, 2, 1, 5, 1, 3]
+    m = np.arange(12, dtype=np.float32).reshape(6, 2)
+    table = pa.table({"part": pa.array(range(6), pa.int32()), "id": pa.array(ids), "n": pa.array(w), "copies": pa.array(w, pa.int32()), "w": pa.array(w),
+                      "m": pa.array([x.tobytes() for x in m], pa.binary())})
+    want = np.array([np.average(m[np.array(ids) == i], axis=0, weights=np.array(w)[np.array(ids) == i]) for i in ids])
+    for size in (1, 2, 3, 6):
+        got = pa.Table.from_batches(V._averaged(table.to_batches(max_chunksize=size)))
+        assert got.column("id").to_pylist() == ids and np.allclose(V._vectors(got.column("m")), want)
+
+
 def test_frequent_words_are_sub_sampled_and_windows_kept(spark):
     s = spark.createDataFrame([(i, ["the"] * 20 + [f"u{i}", f"v{i}"]) for i in range(100)], "cid long, tokens array<string>")
     vocab, blocks, total = V.vocabulary(s.select(F.explode("tokens").alias("word")))

@@ -1,9 +1,11 @@
 """Volatility models per security: naive baselines and GARCH-family fits.
 
-Baselines are window expressions.  The GARCH fits are a grouped pandas job:
-one group is one security's daily return history, whose length is bounded by
-the number of trading days it has existed (not by the size of the table), so
-no group grows with the data.
+Baselines are window expressions.  For the GARCH fits securities are dealt by
+key; a task takes its daily returns as they stream in, and fits many securities
+at the same time: one step of all their simplexes is a few passes over the days,
+each a numpy operation over the securities.  What is held is a bounded number of
+returns, or one security's history, whose length is the number of trading days it
+has existed (not the size of the table).
 """
 from __future__ import annotations
 
@@ -11,9 +13,12 @@ import math
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import written
+
 
 def baselines(rets: DataFrame, key: str = "permno", date: str = "date", ret: str = "ret") -> DataFrame:
     """Forecasts of the squared log return: the expanding mean of past
@@ -31,125 +36,196 @@ def baselines(rets: DataFrame, key: str = "permno", date: str = "date", ret: str
 
 
 # ------------------------------------------------------------------ GARCH
-def _nelder_mead(f, x0, iters: int = 400, tol: float = 1e-9):
-    """Plain Nelder-Mead simplex minimiser (no external optimiser here)."""
-    n = len(x0)
-    pts = [np.asarray(x0, float)]
+#: returns of the securities that are fitted at the same time, and rows of a task
+HELD, TASK_ROWS = 1 << 21, 2_000_000
+#: with fewer securities than this every point a step may need is tried in one pass
+FEW = 256
+
+
+def _nelder_mead(f, x0: np.ndarray, iters: int = 400, tol: float = 1e-9) -> tuple[np.ndarray, np.ndarray]:
+    """Plain Nelder-Mead simplex minimiser (no external optimiser here), one
+    simplex for each row of ``x0``; ``f(rows, points)``: values at the points, one
+    for each row named.  A simplex moves as it would alone."""
+    m, n = x0.shape
+    pts = np.repeat(x0[:, None].astype(float), n + 1, axis=1)
     for i in range(n):
-        p = np.array(x0, float)
-        p[i] = p[i] + (0.5 if p[i] == 0 else 0.25 * abs(p[i]) + 0.1)
-        pts.append(p)
-    vals = [f(p) for p in pts]
+        pts[:, i + 1, i] += np.where(x0[:, i] == 0, 0.5, 0.25 * np.abs(x0[:, i]) + 0.1)
+    at = np.arange(m)
+    vals = np.stack([f(at, pts[:, i]) for i in range(n + 1)], axis=1)
     for _ in range(iters):
-        order = np.argsort(vals)
-        pts = [pts[i] for i in order]
-        vals = [vals[i] for i in order]
-        if abs(vals[-1] - vals[0]) <= tol * (1 + abs(vals[0])):
+        order = np.argsort(vals[at], axis=1)
+        pts[at], vals[at] = pts[at[:, None], order], vals[at[:, None], order]
+        with np.errstate(invalid="ignore"):
+            at = at[~(np.abs(vals[at, -1] - vals[at, 0]) <= tol * (1 + np.abs(vals[at, 0])))]
+        if not len(at):
             break
-        c = np.mean(pts[:-1], axis=0)
-        xr = c + (c - pts[-1])
-        fr = f(xr)
-        if fr < vals[0]:
-            xe = c + 2 * (c - pts[-1])
-            fe = f(xe)
-            pts[-1], vals[-1] = (xe, fe) if fe < fr else (xr, fr)
-        elif fr < vals[-2]:
-            pts[-1], vals[-1] = xr, fr
+        p, v = pts[at], vals[at]
+        c = np.mean(p[:, :-1], axis=1)
+        tried = np.stack([c + (c - p[:, -1]), c + 2 * (c - p[:, -1]), c + 0.5 * (p[:, -1] - c)])
+        if len(at) < FEW:
+            fr, fe, fc = f(np.tile(at, 3), tried.reshape(-1, n)).reshape(3, -1)
+            far, near = fr < v[:, 0], ~(fr < v[:, 0]) & ~(fr < v[:, -2])
         else:
-            xc = c + 0.5 * (pts[-1] - c)
-            fc = f(xc)
-            if fc < vals[-1]:
-                pts[-1], vals[-1] = xc, fc
-            else:
-                for i in range(1, len(pts)):
-                    pts[i] = pts[0] + 0.5 * (pts[i] - pts[0])
-                    vals[i] = f(pts[i])
-    i = int(np.argmin(vals))
-    return pts[i], vals[i]
+            fr = f(at, tried[0])
+            far, near = fr < v[:, 0], ~(fr < v[:, 0]) & ~(fr < v[:, -2])
+            fe, fc = np.full(len(at), np.inf), np.full(len(at), np.inf)
+            turn = np.concatenate([np.flatnonzero(far), np.flatnonzero(near)])
+            got = f(at[turn], np.concatenate([tried[1, far], tried[2, near]]))
+            fe[far], fc[near] = got[:far.sum()], got[far.sum():]
+        stretched, pulled = far & (fe < fr), near & (fc < v[:, -1])
+        for which, point, value in ((~near & ~stretched, tried[0], fr), (stretched, tried[1], fe), (pulled, tried[2], fc)):
+            pts[at[which], -1], vals[at[which], -1] = point[which], value[which]
+        shrunk = at[near & ~pulled]
+        if len(shrunk):
+            pts[shrunk, 1:] = pts[shrunk, :1] + 0.5 * (pts[shrunk, 1:] - pts[shrunk, :1])
+            vals[shrunk, 1:] = f(np.repeat(shrunk, n), pts[shrunk, 1:].reshape(-1, n)).reshape(-1, n)
+    best = np.argmin(vals, axis=1)
+    return pts[np.arange(m), best], vals[np.arange(m), best]
 
 
 def _exp(x):
     """The simplex has no bounds: beyond the largest double it is infinite."""
-    return math.exp(x) if x < 709 else math.inf
+    return np.where(x < 709, np.exp(np.minimum(x, 709)), np.inf)
 
 
 def _sig(x):
     return 1.0 / (1.0 + _exp(-x))
 
 
+def _weights(model: str, theta: np.ndarray) -> tuple:
+    """omega, alpha, gamma, beta of each row of ``theta``."""
+    w, a = _exp(theta[:, 0]), _sig(theta[:, 1])
+    if model == "garch":
+        return w, a, np.zeros(len(theta)), _sig(theta[:, 2]) * (1 - a)
+    g = _sig(theta[:, 2])
+    return w, a, g, _sig(theta[:, 3]) * np.maximum(1e-9, 1 - a - 0.5 * g)
+
+
+def _nlls(model: str, theta: np.ndarray, e: np.ndarray, sizes: np.ndarray, v0: np.ndarray) -> np.ndarray:
+    """Negative Gaussian log-likelihoods, one for each row of ``theta`` and column
+    of ``e``: demeaned returns by day, longest series first (``sizes``: days)."""
+    with np.errstate(all="ignore"):
+        w, a, g, b = _weights(model, theta)
+        on_deviation = model == "tgarch"
+        state = np.sqrt(v0) if on_deviation else v0.copy()
+        ll, part, logs, var = (np.zeros(len(w)) for _ in range(4))
+        alive = np.searchsorted(-sizes, -np.arange(len(e)), "left")     # series with more than t days
+        for t in range(len(e)):
+            if alive[t] < len(w):
+                w, a, g, b, state, part, logs, var = (x[:alive[t]] for x in (w, a, g, b, state, part, logs, var))
+            x = e[t, :len(w)]
+            if t:
+                prev = e[t - 1, :len(w)]
+                state *= b
+                if model == "garch":
+                    np.multiply(a, prev, out=part)
+                else:
+                    np.less(prev, 0, out=part)
+                    part *= g
+                    part += a
+                    part *= np.abs(prev, out=logs) if on_deviation else prev
+                if not on_deviation:
+                    part *= prev
+                part += w
+                state += part
+            if on_deviation:
+                np.maximum(np.multiply(state, state, out=var), 1e-300, out=var)
+            else:
+                var = np.maximum(state, 1e-300, out=state)
+            np.multiply(x, x, out=part)
+            part /= var
+            part += np.log(var, out=logs)
+            ll[:len(w)] += part
+        return np.where(np.isnan(ll), np.inf, 0.5 * (ll + sizes * math.log(2 * math.pi)))
+
+
 def _nll(model: str, theta, e: list[float], v0: float) -> float:
     """Negative Gaussian log-likelihood of the demeaned returns ``e``."""
-    w = _exp(theta[0])
-    a = _sig(theta[1])
-    if model == "garch":
-        b = _sig(theta[2]) * (1 - a)
-        g = 0.0
-    else:
-        g = _sig(theta[2])
-        b = _sig(theta[3]) * max(1e-9, 1 - a - 0.5 * g)
-    ll = 0.0
-    if model == "tgarch":      # model on the deviation itself
-        sd = math.sqrt(v0)
-        prev = 0.0
-        first = True
-        for x in e:
-            if not first:
-                sd = w + (a + g * (prev < 0)) * abs(prev) + b * sd
-            first = False
-            var = max(sd * sd, 1e-300)
-            ll += math.log(var) + x * x / var
-            prev = x
-    else:
-        var = v0
-        prev = 0.0
-        first = True
-        for x in e:
-            if not first:
-                var = w + (a + g * (prev < 0)) * prev * prev + b * var
-            first = False
-            var = max(var, 1e-300)
-            ll += math.log(var) + x * x / var
-            prev = x
-    return math.inf if math.isnan(ll) else 0.5 * (ll + len(e) * math.log(2 * math.pi))
+    return float(_nlls(model, np.array([theta], float), np.array(e, float)[:, None], np.array([len(e)]), np.array([v0]))[0])
 
 
 def _params(model: str, theta) -> dict:
-    w = _exp(theta[0])
-    a = _sig(theta[1])
-    if model == "garch":
-        return {"omega": w, "alpha": a, "gamma": 0.0, "beta": _sig(theta[2]) * (1 - a)}
-    g = _sig(theta[2])
-    return {"omega": w, "alpha": a, "gamma": g, "beta": _sig(theta[3]) * max(1e-9, 1 - a - 0.5 * g)}
+    with np.errstate(all="ignore"):
+        return dict(zip(("omega", "alpha", "gamma", "beta"), (float(x[0]) for x in _weights(model, np.array([theta], float)))))
 
 
 FIT_SCHEMA = ("permno long, model string, n long, omega double, alpha double, gamma double, "
               "beta double, loglik double, aic double, reason string")
+_FITS = pa.schema([("permno", pa.int64()), ("model", pa.string()), ("n", pa.int64()),
+                   *((c, pa.float64()) for c in ("omega", "alpha", "gamma", "beta", "loglik", "aic")), ("reason", pa.string())])
+
+
+def fit_series(series: list[tuple]) -> list[dict]:
+    """GARCH(1,1), GJR-GARCH(1,1,1) and TGARCH(1,1,1) of every (key, returns in
+    order of date)."""
+    rows, fitted = [], []
+    for key, ret in series:
+        with np.errstate(all="ignore"):
+            r = np.log1p(ret)   # log returns
+        r = r[np.isfinite(r)]
+        reason = "short series" if len(r) < 30 else "flat series" if not np.var(r) else None
+        if reason:   # a row that says why there is no fit
+            rows += [{"permno": key, "model": m, "n": len(r), "reason": reason} for m in ("garch", "gjr", "tgarch")]
+        else:
+            fitted.append((key, r - r.mean(), float(np.var(r))))
+    if not fitted:
+        return rows
+    fitted.sort(key=lambda x: -len(x[1]))
+    sizes, v0 = np.array([len(r) for _, r, _ in fitted]), np.array([v for _, _, v in fitted])
+    e = np.zeros((sizes[0], len(fitted)))
+    for j, (_, r, _) in enumerate(fitted):
+        e[:len(r), j] = r
+    for model, first, rest in (("garch", np.log(v0 * 0.1), (-2.0, 2.0)), ("gjr", np.log(v0 * 0.1), (-2.5, -2.5, 2.0)),
+                               ("tgarch", np.log(np.sqrt(v0) * 0.1), (-2.5, -2.5, 2.0))):
+        def value(at, points, model=model):
+            order = np.argsort(at, kind="stable")       # longest series first
+            pick = at[order]
+            out = np.empty(len(at))
+            out[order] = _nlls(model, points[order], e[:sizes[pick[0]], pick], sizes[pick], v0[pick])
+            return out
+        theta, nll = _nelder_mead(value, np.column_stack([first, np.tile(rest, (len(first), 1))]), iters=250)
+        k = len(rest) + 2
+        for j, (key, r, _) in enumerate(fitted):
+            rows.append({"permno": key, "model": model, "n": len(r), **_params(model, theta[j]),
+                         "loglik": -nll[j], "aic": 2 * k + 2 * nll[j], "reason": None})
+    return rows
 
 
 def fit_group(pdf: pd.DataFrame) -> pd.DataFrame:
-    """Fit GARCH(1,1), GJR-GARCH(1,1,1) and TGARCH(1,1,1) to one series."""
+    """The three fits of one security; ``pdf``: permno, date, ret."""
     pdf = pdf.sort_values("date")
-    r = np.log1p(pdf["ret"].to_numpy(dtype=float))   # log returns
-    r = r[np.isfinite(r)]
     key = None if pdf["permno"].isna().iloc[0] else int(pdf["permno"].iloc[0])
-    rows = []
-    reason = "short series" if len(r) < 30 else "flat series" if not np.var(r) else None
-    if reason:   # a row that says why there is no fit
-        names = [c.split()[0] for c in FIT_SCHEMA.split(", ")]
-        return pd.DataFrame([{"permno": key, "model": m, "n": len(r), "reason": reason} for m in ("garch", "gjr", "tgarch")], columns=names)
-    e = (r - r.mean()).tolist()
-    v0 = float(np.var(r))
-    for model, x0 in (("garch", [math.log(v0 * 0.1), -2.0, 2.0]),
-                      ("gjr", [math.log(v0 * 0.1), -2.5, -2.5, 2.0]),
-                      ("tgarch", [math.log(math.sqrt(v0) * 0.1), -2.5, -2.5, 2.0])):
-        theta, nll = _nelder_mead(lambda t, m=model: _nll(m, t, e, v0), x0, iters=250)
-        p = _params(model, theta)
-        k = len(x0) + 1
-        rows.append({"permno": key, "model": model, "n": len(e), **p,
-                     "loglik": -nll, "aic": 2 * k + 2 * nll, "reason": None})
-    return pd.DataFrame(rows)
+    return pd.DataFrame(fit_series([(key, pdf["ret"].to_numpy(dtype=float))]), columns=_FITS.names)
+
+
+def _fitted(batches):
+    """Rows (key, return) come sorted by key and date; a key's rows may span batches."""
+    key, parts, series, held = None, [], [], 0
+
+    def found():
+        rows = fit_series(series)
+        return pa.RecordBatch.from_pydict({c: [r.get(c) for r in rows] for c in _FITS.names}, schema=_FITS)
+    for batch in batches:
+        keys, ret = batch.column(0).to_pylist(), batch.column(1).to_numpy(zero_copy_only=False)
+        cuts = [i for i in range(len(keys)) if i == 0 or keys[i] != keys[i - 1]]
+        for lo, hi in zip(cuts, [*cuts[1:], len(keys)], strict=True):
+            if parts and keys[lo] != key:
+                series.append((key, np.concatenate(parts)))
+                held, parts = held + len(series[-1][1]), []
+                if held >= HELD:
+                    yield found()
+                    series, held = [], 0
+            key = keys[lo]
+            parts.append(ret[lo:hi])
+    if parts:
+        series.append((key, np.concatenate(parts)))
+        yield found()
 
 
 def garch_fits(rets: DataFrame, key: str = "permno") -> DataFrame:
-    return (rets.select(key, "date", "ret").filter(F.col("ret").isNotNull())
-            .groupBy(key).applyInPandas(fit_group, FIT_SCHEMA))
+    """The fits of every security: dealt by key, as many tasks as there are
+    cores, or more if a task would hold more than ``TASK_ROWS`` returns."""
+    known = written(rets.filter(F.col("ret").isNotNull()).select(F.col(key).cast("long").alias("permno"), "date", F.col("ret").cast("double").alias("ret")))
+    tasks = max(rets.sparkSession.sparkContext.defaultParallelism, math.ceil(known.count() / TASK_ROWS))
+    dealt = known.repartition(tasks, "permno").sortWithinPartitions("permno", F.asc_nulls_last("date"), "ret")
+    return dealt.select("permno", "ret").mapInArrow(_fitted, FIT_SCHEMA)

@@ -262,3 +262,12 @@ def test_phrases_in_one_long_run_and_threshold_below_zero(spark):
         got = {r.cid: r.tokens for r in T.phrases(df, 3, threshold).collect()}
         want = _brute_phrases(sents, 3, threshold)
         assert [got[str(i)] for i in range(len(sents))] == want
+
+
+def test_documents_are_moved_as_text_not_as_tokens(spark):
+    clean = spark.createDataFrame([("a", "Btc goes up"), ("a", "x BTC"), ("b", ""), ("c", None)], "cid string, clean string")
+    symbols = spark.createDataFrame([("BTC", "bitcoin"), ("up", None)], "symbol string, name_lower string")
+    got = T.symbol_replace(clean, symbols)
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "collect_list(clean" in plan and "collect_list(split" not in plan
+    assert {r.cid: sorted(r.tokens) for r in got.collect()} == {"a": ["Btc", "bitcoin", "goes", "up", "x"], "b": []}
